@@ -1,0 +1,440 @@
+"""SCD2 merges (close-and-insert, upsert, historical update, expire) as DataFrame plans.
+
+``merge(target, source, spec)`` returns the whole new target. It works on any
+table format: no row-level MERGE support is needed.
+
+Plan (T = target, S = source, K = null-safe keys, b = optional batch column for
+the ``T.b <= S.b`` residual):
+
+* slice    T by the target-side literals (source system, partition value) and the
+           open-row predicate: ``touched`` can match, ``rest`` passes through untouched
+           (no shuffle; literals on partition columns prune files).
+* summary  S grouped by K: the matching source row and a match counter. Partial
+           aggregation runs before the shuffle, so a hot key costs one row per map task.
+* update   ``touched LEFT JOIN summary``. The target is never aggregated, and the
+           summary has one row per key, so a hot target key is split by AQE's skew
+           join (left side of a left outer join) or, when the summary's size is
+           checked to be small, the join is a broadcast hash join and the target is not
+           shuffled at all. A target row matched by two source rows raises an error.
+* insert   ``S LEFT ANTI JOIN target-key summary``; the target keys are pre-aggregated
+           (distinct, or ``min(b)`` with the residual), so the anti join sees one row
+           per key on its build side.
+* result   ``rest UNION ALL update UNION ALL insert`` in the target's column order.
+"""
+
+from __future__ import annotations
+
+import logging
+from dataclasses import dataclass, field
+from functools import reduce
+from typing import Any, Iterable, Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+log = logging.getLogger(__name__)
+
+# Column names the vault tables use.
+SOURCE_COL = "REC_SRC_NM"
+PARTITION_COL = "PART_COL"
+LOAD_DATE = "LD_DT"
+BATCH_DATE = "BTCH_DT"
+REF_ID = "REF_ID"
+SRC_EFF_DT = "SRC_EFF_DT"
+SRC_EXPRN_DT = "SRC_EXPRN_DT"
+RANK_COLUMN = "rankColumn"
+NEVER_UPDATED = (SOURCE_COL, PARTITION_COL)
+
+_S = "__s_"  # prefix of source columns inside the join
+
+
+@dataclass(frozen=True)
+class MergeSpec:
+    """What to match and what to write.
+
+    ``set_from_source`` maps target column -> source column for matched rows;
+    ``set_literal`` maps target column -> constant. ``insert_columns`` None means
+    "insert every target column found in the source"; an empty tuple means no insert.
+    """
+
+    keys: tuple[str, ...]
+    end_key: str = "LD_END_DT"
+    open_only: bool = True
+    source_filter: str | None = None
+    partition_value: str | None = None
+    source_col: str = SOURCE_COL
+    partition_col: str = PARTITION_COL
+    batch_col: str | None = None
+    set_from_source: Mapping[str, str] = field(default_factory=dict)
+    set_literal: Mapping[str, Any] = field(default_factory=dict)
+    insert_columns: tuple[str, ...] | None = None
+    check_single_match: bool = True
+
+    def slice_predicate(self) -> Column | None:
+        parts: list[Column] = []
+        if self.source_filter is not None:
+            parts.append(F.col(self.source_col) == F.lit(self.source_filter))
+            if self.partition_value is not None:
+                parts.append(F.col(self.partition_col) == F.lit(self.partition_value))
+        if self.open_only:
+            parts.append(F.col(self.end_key).isNull())
+        return reduce(lambda a, b: a & b, parts) if parts else None
+
+
+def unique(names: Iterable[str]) -> list[str]:
+    return list(dict.fromkeys(names))
+
+
+def find_column(df: DataFrame, name: str) -> str | None:
+    """Case-insensitive column lookup."""
+    for c in df.columns:
+        if c.upper() == name.upper():
+            return c
+    return None
+
+
+def discover_partition_value(source: DataFrame, name: str = PARTITION_COL) -> str | None:
+    """The source's partition value when it has exactly one, non-null; else None.
+
+    One aggregate pass (min, max, null count) returning one row: no distinct shuffle,
+    nothing unbounded reaches the driver.
+    """
+    c = find_column(source, name)
+    if c is None:
+        return None
+    row = source.agg(
+        F.min(c).alias("lo"), F.max(c).alias("hi"), F.count(F.lit(1)).alias("n"),
+        F.count(c).alias("nn"),
+    ).first()
+    if row is None or row["n"] == 0 or row["nn"] != row["n"] or row["lo"] != row["hi"]:
+        return None
+    return str(row["lo"])
+
+
+# Fixed widths (bytes) of the fixed-size types, as Spark's row format stores them.
+FIXED_WIDTH = {
+    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4, T.FloatType: 4,
+    T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8, T.DecimalType: 16,
+}
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Payload size of a frame in one aggregate pass: fixed widths, plus octet lengths of text,
+    binary and (as JSON) nested values."""
+    widths: list[Column] = []
+    for f in df.schema.fields:
+        dt = f.dataType
+        if isinstance(dt, (T.StringType, T.BinaryType)):
+            widths.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)))
+        elif isinstance(dt, (T.ArrayType, T.MapType, T.StructType)):
+            widths.append(F.coalesce(F.octet_length(F.to_json(F.col(f.name))), F.lit(0)))
+        else:
+            widths.append(F.lit(FIXED_WIDTH.get(type(dt), 16)))
+    row_width = reduce(lambda a, b: a + b, widths, F.lit(16))
+    total = df.agg(F.sum(row_width.cast("long")).alias("b")).first()["b"]
+    return int(total or 0)
+
+
+def broadcast_limit(spark) -> int:
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        value = int(str(raw).lower().rstrip("b"))
+    except ValueError:
+        value = 10 * 1024 * 1024
+    return value
+
+
+def _key_condition(keys: Sequence[str], left_prefix: str = "", right_prefix: str = _S) -> Column:
+    return reduce(
+        lambda a, b: a & b,
+        [F.col(left_prefix + k).eqNullSafe(F.col(right_prefix + k)) for k in keys],
+    )
+
+
+def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, strategy: str = "auto") -> DataFrame:
+    """Return the merged target. ``strategy``: "auto" (size-checked broadcast, else shuffle),
+    "broadcast" or "shuffle"."""
+    if not spec.keys:
+        raise ValueError("a merge needs at least one key column")
+    tcols = target.columns
+    ttypes = {f.name: f.dataType for f in target.schema.fields}
+    keys = unique(spec.keys)
+    for k in keys:
+        if k not in ttypes or k not in source.columns:
+            raise ValueError(f"merge key {k!r} must exist in target and source")
+    b = spec.batch_col
+    insert_cols = (
+        [c for c in tcols if c in source.columns] if spec.insert_columns is None
+        else [c for c in unique(spec.insert_columns) if c in ttypes]
+    )
+    missing = [c for c in insert_cols if c not in source.columns]
+    if missing:
+        raise ValueError(f"insert columns missing from source: {missing}")
+    for tc, sc in spec.set_from_source.items():
+        if tc not in ttypes or sc not in source.columns:
+            raise ValueError(f"cannot set target {tc!r} from source {sc!r}")
+    needed = unique([*keys, *([b] if b else []), *spec.set_from_source.values(), *insert_cols])
+    s = source.select([F.col(c).alias(_S + c) for c in needed])
+    payload = [c for c in needed if c not in keys]
+
+    pred = spec.slice_predicate()
+    if pred is None:
+        touched, rest = target, None
+    else:
+        inside = F.coalesce(pred, F.lit(False))
+        touched, rest = target.where(inside), target.where(~inside)
+
+    # --- source summary: one row per key -------------------------------------------
+    skeys = [_S + k for k in keys]
+    if b is None:
+        others = [_S + c for c in payload]
+        aggs = [F.count(F.lit(1)).alias("__n")]
+        if others:
+            aggs.append(F.min(F.struct(*others)).alias("__row"))
+        summary = s.groupBy(*skeys).agg(*aggs)
+        summary = summary.select(*skeys, "__n", *[F.col("__row." + o).alias(o) for o in others])
+        match_cond = _key_condition(keys)
+        matched = F.col("__n").isNotNull()
+        too_many = F.col("__n") > 1
+    else:
+        # Rows whose batch value is null never satisfy T.b <= S.b.
+        sb = _S + b
+        nn = s.where(F.col(sb).isNotNull())
+        others = [_S + c for c in payload if c != b]
+        top = nn.groupBy(*skeys).agg(
+            F.max(F.struct(sb, *others)).alias("__row"), F.count(F.lit(1)).alias("__n"),
+        )
+        top = top.select(*skeys, "__n", *[F.col("__row." + o).alias(o) for o in [sb, *others]])
+        # Second largest batch value (with multiplicity), only for keys with 2+ rows.
+        multi = top.where(F.col("__n") > 1).select(*[F.col(k).alias("__m" + k) for k in skeys],
+                                                     F.col(sb).alias("__m1"))
+        second = (
+            nn.join(multi, reduce(lambda x, y: x & y,
+                                  [F.col(k).eqNullSafe(F.col("__m" + k)) for k in skeys]))
+            .groupBy(*skeys)
+            .agg(F.count_if(F.col(sb) == F.col("__m1")).alias("__c1"),
+                 F.max(F.when(F.col(sb) < F.col("__m1"), F.col(sb))).alias("__lt"),
+                 F.max("__m1").alias("__m1"))
+            .select(*[F.col(k).alias("__m" + k) for k in skeys],
+                    F.when(F.col("__c1") >= 2, F.col("__m1")).otherwise(F.col("__lt")).alias("__m2"))
+        )
+        summary = top.join(
+            second, reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col("__m" + k)) for k in skeys]), "left"
+        ).drop(*["__m" + k for k in skeys])
+        match_cond = _key_condition(keys) & (F.col(b) <= F.col(sb))
+        matched = F.col("__n").isNotNull()
+        too_many = F.col("__m2").isNotNull() & (F.col(b) <= F.col("__m2"))
+
+    use_broadcast = strategy == "broadcast"
+    if strategy == "auto":
+        limit = broadcast_limit(source.sparkSession)
+        use_broadcast = limit > 0 and estimated_bytes(s) <= limit
+    elif strategy not in ("broadcast", "shuffle"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+
+    # --- matched target rows ---------------------------------------------------------
+    right = F.broadcast(summary) if use_broadcast else summary
+    joined = touched.join(right, match_cond, "left")
+    if spec.check_single_match:
+        joined = joined.where(
+            F.when(matched & too_many,
+                   F.raise_error(F.lit("merge: a target row is matched by more than one source row")))
+            .otherwise(F.lit(True))
+        )
+    out = []
+    for c in tcols:
+        if c in spec.set_from_source:
+            new = F.col(_S + spec.set_from_source[c]).cast(ttypes[c])
+            out.append(F.when(matched, new).otherwise(F.col(c)).alias(c))
+        elif c in spec.set_literal:
+            new = F.lit(spec.set_literal[c]).cast(ttypes[c])
+            out.append(F.when(matched, new).otherwise(F.col(c)).alias(c))
+        else:
+            out.append(F.col(c))
+    updated = joined.select(out)
+
+    parts = [updated] if rest is None else [rest.select(tcols), updated]
+
+    # --- unmatched source rows -------------------------------------------------------
+    if insert_cols:
+        tk_src = touched
+        if use_broadcast:
+            # Only target keys that occur in the (small) source can block an insert.
+            skeys_only = F.broadcast(s.select(*skeys).distinct())
+            tk_src = touched.join(skeys_only, _key_condition(keys), "left_semi")
+        if b is None:
+            tk = tk_src.select(*[F.col(k).alias("__t" + k) for k in keys]).distinct()
+            anti_cond = _key_condition(keys, "__t", _S)
+        else:
+            tk = (tk_src.where(F.col(b).isNotNull()).groupBy(*keys).agg(F.min(b).alias("__tmin"))
+                  .select(*[F.col(k).alias("__t" + k) for k in keys], "__tmin"))
+            anti_cond = _key_condition(keys, "__t", _S) & (F.col("__tmin") <= F.col(_S + b))
+        if use_broadcast:
+            tk = F.broadcast(tk)  # bounded by the distinct keys of the checked source
+        inserts = s.join(tk, anti_cond, "left_anti")
+        chosen = set(insert_cols)
+        inserts = inserts.select([
+            (F.col(_S + c).cast(ttypes[c]) if c in chosen else F.lit(None).cast(ttypes[c])).alias(c)
+            for c in tcols
+        ])
+        parts.append(inserts)
+    return reduce(lambda x, y: x.unionByName(y), parts)
+
+
+# --------------------------------------------------------------------------------------
+# Key rules and the four merge flavours, with the options the load jobs pass.
+# --------------------------------------------------------------------------------------
+
+def scd2_keys(scd2: Mapping[str, Any], source_columns: Sequence[str]) -> list[str]:
+    """Keys for close-and-insert and upsert: configured keys, REF_ID when the source has it
+    (only with ``target-table-keys``), then LD_DT and BTCH_DT."""
+    if "keys-to-identify-unique" in scd2:
+        return unique([*scd2["keys-to-identify-unique"]["key-list"], LOAD_DATE, BATCH_DATE])
+    base = list(scd2["target-table-keys"])
+    if REF_ID in source_columns:
+        return unique([*base, REF_ID, LOAD_DATE, BATCH_DATE])
+    return unique([*base, LOAD_DATE, BATCH_DATE])
+
+
+def historical_update_keys(
+    scd2: Mapping[str, Any] | None,
+    source_columns: Sequence[str],
+    update_key_cols: Sequence[str] = (),
+    *,
+    add_batch_key: bool = False,
+) -> list[str]:
+    """Keys for the historical column update: given keys, or configured keys + LD_DT; then
+    REF_ID and SRC_EFF_DT when the source has them; BTCH_DT when asked for."""
+    if update_key_cols:
+        keys = list(update_key_cols)
+    elif scd2 and "keys-to-identify-unique" in scd2:
+        keys = [*scd2["keys-to-identify-unique"]["key-list"], LOAD_DATE]
+    else:
+        keys = [*(scd2 or {})["target-table-keys"], LOAD_DATE]
+    if REF_ID in source_columns:
+        keys.append(REF_ID)
+    if SRC_EFF_DT in source_columns:
+        keys.append(SRC_EFF_DT)
+    if add_batch_key and BATCH_DATE in source_columns:
+        keys.append(BATCH_DATE)
+    return unique(keys)
+
+
+def _partition_literal(source: DataFrame, source_filter: str | None, discover: bool) -> str | None:
+    # A partition literal only narrows the match when a source filter is also given.
+    if source_filter is None or not discover:
+        return None
+    return discover_partition_value(source)
+
+
+def close_and_insert(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    end_key: str,
+    end_value: Any,
+    *,
+    source_filter: str | None = None,
+    discover_partition: bool = True,
+    strategy: str = "auto",
+) -> DataFrame:
+    """Open target rows matched on ``keys`` get ``end_key := end_value``; unmatched source
+    rows are inserted with all their columns."""
+    spec = MergeSpec(
+        keys=tuple(keys), end_key=end_key, open_only=True, source_filter=source_filter,
+        partition_value=_partition_literal(source, source_filter, discover_partition),
+        set_literal={end_key: end_value}, insert_columns=None,
+    )
+    return merge(target, source, spec, strategy=strategy)
+
+
+def upsert(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    end_key: str,
+    insert_columns: Sequence[str],
+    *,
+    scd2_columns: Sequence[str] = (),
+    historical_sat: bool = False,
+    source_filter: str | None = None,
+    discover_partition: bool = True,
+    strategy: str = "auto",
+) -> DataFrame:
+    """Matched open rows take the source's end key (and ``scd2_columns``); unmatched source
+    rows insert ``insert_columns`` (``rankColumn`` is never inserted; other columns stay null).
+
+    ``historical_sat``: keys also REF_ID and SRC_EFF_DT (when present) and closed rows match too.
+    """
+    key_list = list(keys)
+    if historical_sat:
+        key_list += [c for c in (REF_ID, SRC_EFF_DT) if c in source.columns]
+    sets = {end_key: end_key}
+    for c in scd2_columns:
+        sets[c] = c
+    spec = MergeSpec(
+        keys=tuple(unique(key_list)), end_key=end_key, open_only=not historical_sat,
+        source_filter=source_filter,
+        partition_value=_partition_literal(source, source_filter, discover_partition),
+        set_from_source=sets,
+        insert_columns=tuple(c for c in insert_columns if c != RANK_COLUMN),
+    )
+    return merge(target, source, spec, strategy=strategy)
+
+
+def update_columns(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    *,
+    dedup_source: bool = False,
+    source_filter: str | None = None,
+    discover_partition: bool = True,
+    strategy: str = "auto",
+) -> DataFrame:
+    """Historical update: matched rows (open or closed) take ``columns`` from the source,
+    except the partition columns; nothing is inserted. ``dedup_source`` keeps one source
+    row per key, chosen repeatably."""
+    from lakeshift.operators.dedup import dedup_by_key
+
+    if dedup_source:
+        source = dedup_by_key(source, keys)
+    spec = MergeSpec(
+        keys=tuple(unique(keys)), open_only=False, source_filter=source_filter,
+        partition_value=_partition_literal(source, source_filter, discover_partition),
+        set_from_source={c: c for c in columns if c not in NEVER_UPDATED},
+        insert_columns=(),
+    )
+    return merge(target, source, spec, strategy=strategy)
+
+
+def expire(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    end_key: str,
+    insert_columns: Sequence[str],
+    *,
+    cols_to_update: Sequence[str] | None = None,
+    batch_col: str = BATCH_DATE,
+    source_filter: str | None = None,
+    discover_partition: bool = True,
+    strategy: str = "auto",
+) -> DataFrame:
+    """Expire open rows whose batch is not newer than the source's: ``end_key := source``;
+    with two ``cols_to_update`` also ``SRC_EXPRN_DT := source.SRC_EFF_DT``. Unmatched source
+    rows insert ``insert_columns``."""
+    n = len(cols_to_update) if cols_to_update else 1
+    if n not in (1, 2):
+        raise ValueError("expire updates one column (end key) or two (end key and SRC_EXPRN_DT)")
+    sets = {end_key: end_key}
+    if n == 2:
+        sets[SRC_EXPRN_DT] = SRC_EFF_DT
+    spec = MergeSpec(
+        keys=tuple(unique(keys)), end_key=end_key, open_only=True, source_filter=source_filter,
+        partition_value=_partition_literal(source, source_filter, discover_partition),
+        batch_col=batch_col, set_from_source=sets, insert_columns=tuple(insert_columns),
+    )
+    return merge(target, source, spec, strategy=strategy)

@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The loads this library reproduces are batch jobs; incremental loading is done with
+load-date windows (``read-type`` ``*-with-loaddate`` and ``num_of_days``), not with
+streams. No streaming operator is built.
+"""
