@@ -6,7 +6,7 @@ partition values, size checks).
 """
 
 from lakeshift.functions.predicates import ReadSpec, read_filter, resolve_read_spec, resolve_window
-from lakeshift.operators.merge import (
+from lakeshift.operators.scd2 import (
     MergeSpec,
     close_and_insert,
     expire,

@@ -3,7 +3,7 @@
 from lakeshift.operators.cycles import read_cycle
 from lakeshift.operators.dedup import dedup_by_key, distinct_values
 from lakeshift.operators.lookup import active_rows, lookup
-from lakeshift.operators.merge import (
+from lakeshift.operators.scd2 import (
     MergeSpec,
     close_and_insert,
     discover_partition_value,

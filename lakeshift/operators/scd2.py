@@ -70,13 +70,17 @@ class MergeSpec:
     set_literal: Mapping[str, Any] = field(default_factory=dict)
     insert_columns: tuple[str, ...] | None = None
     check_single_match: bool = True
+    discover_partition: bool = False
 
-    def slice_predicate(self) -> Column | None:
+    def slice_predicate(self, partition_value: str | None = None) -> Column | None:
+        """Target rows that can match. A partition literal (given, or discovered from the
+        source) only narrows the slice together with a source filter."""
         parts: list[Column] = []
+        value = self.partition_value if partition_value is None else partition_value
         if self.source_filter is not None:
             parts.append(F.col(self.source_col) == F.lit(self.source_filter))
-            if self.partition_value is not None:
-                parts.append(F.col(self.partition_col) == F.lit(self.partition_value))
+            if value is not None:
+                parts.append(F.col(self.partition_col) == F.lit(value))
         if self.open_only:
             parts.append(F.col(self.end_key).isNull())
         return reduce(lambda a, b: a & b, parts) if parts else None
@@ -94,24 +98,6 @@ def find_column(df: DataFrame, name: str) -> str | None:
     return None
 
 
-def discover_partition_value(source: DataFrame, name: str = PARTITION_COL) -> str | None:
-    """The source's partition value when it has exactly one, non-null; else None.
-
-    One aggregate pass (min, max, null count) returning one row: no distinct shuffle,
-    nothing unbounded reaches the driver.
-    """
-    c = find_column(source, name)
-    if c is None:
-        return None
-    row = source.agg(
-        F.min(c).alias("lo"), F.max(c).alias("hi"), F.count(F.lit(1)).alias("n"),
-        F.count(c).alias("nn"),
-    ).first()
-    if row is None or row["n"] == 0 or row["nn"] != row["n"] or row["lo"] != row["hi"]:
-        return None
-    return str(row["lo"])
-
-
 # Fixed widths (bytes) of the fixed-size types, as Spark's row format stores them.
 FIXED_WIDTH = {
     T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4, T.FloatType: 4,
@@ -119,11 +105,11 @@ FIXED_WIDTH = {
 }
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Payload size of a frame in one aggregate pass: fixed widths, plus octet lengths of text,
-    binary and (as JSON) nested values."""
+def row_bytes(schema: T.StructType) -> Column:
+    """Payload size of a row: fixed widths, plus octet lengths of text, binary and (as JSON)
+    nested values."""
     widths: list[Column] = []
-    for f in df.schema.fields:
+    for f in schema.fields:
         dt = f.dataType
         if isinstance(dt, (T.StringType, T.BinaryType)):
             widths.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)))
@@ -131,9 +117,38 @@ def estimated_bytes(df: DataFrame) -> int:
             widths.append(F.coalesce(F.octet_length(F.to_json(F.col(f.name))), F.lit(0)))
         else:
             widths.append(F.lit(FIXED_WIDTH.get(type(dt), 16)))
-    row_width = reduce(lambda a, b: a + b, widths, F.lit(16))
-    total = df.agg(F.sum(row_width.cast("long")).alias("b")).first()["b"]
-    return int(total or 0)
+    return reduce(lambda a, b: a + b, widths, F.lit(16)).cast("long")
+
+
+def profile_source(df: DataFrame, measure_bytes: bool, partition_col: str | None
+                   ) -> tuple[int | None, str | None]:
+    """One aggregate pass over a frame returning one row: its payload bytes (for the broadcast
+    check) and its partition value when it holds exactly one, non-null. Nothing else reaches
+    the driver."""
+    aggs: list[Column] = []
+    if measure_bytes:
+        aggs.append(F.sum(row_bytes(df.schema)).alias("bytes"))
+    if partition_col is not None:
+        aggs += [F.min(partition_col).alias("lo"), F.max(partition_col).alias("hi"),
+                 F.count(F.lit(1)).alias("n"), F.count(partition_col).alias("nn")]
+    if not aggs:
+        return None, None
+    row = df.agg(*aggs).first()
+    size = int(row["bytes"] or 0) if measure_bytes else None
+    value = None
+    if partition_col is not None and row["n"] and row["nn"] == row["n"] and row["lo"] == row["hi"]:
+        value = str(row["lo"])
+    return size, value
+
+
+def discover_partition_value(source: DataFrame, name: str = PARTITION_COL) -> str | None:
+    """The source's partition value when it has exactly one, non-null; else None."""
+    c = find_column(source, name)
+    return None if c is None else profile_source(source, False, c)[1]
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    return profile_source(df, True, None)[0] or 0
 
 
 def broadcast_limit(spark) -> int:
@@ -178,7 +193,17 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, strategy: st
     s = source.select([F.col(c).alias(_S + c) for c in needed])
     payload = [c for c in needed if c not in keys]
 
-    pred = spec.slice_predicate()
+    if strategy not in ("auto", "broadcast", "shuffle"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    limit = broadcast_limit(source.sparkSession) if strategy == "auto" else 0
+    part_src = None
+    if spec.discover_partition and spec.source_filter is not None and spec.partition_value is None:
+        part_src = find_column(source, spec.partition_col)
+    size, part_value = profile_source(
+        source.select(*unique([*needed, *([part_src] if part_src else [])])), limit > 0, part_src)
+    use_broadcast = strategy == "broadcast" or (limit > 0 and size is not None and size <= limit)
+
+    pred = spec.slice_predicate(part_value)
     if pred is None:
         touched, rest = target, None
     else:
@@ -226,13 +251,6 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, strategy: st
         matched = F.col("__n").isNotNull()
         too_many = F.col("__m2").isNotNull() & (F.col(b) <= F.col("__m2"))
 
-    use_broadcast = strategy == "broadcast"
-    if strategy == "auto":
-        limit = broadcast_limit(source.sparkSession)
-        use_broadcast = limit > 0 and estimated_bytes(s) <= limit
-    elif strategy not in ("broadcast", "shuffle"):
-        raise ValueError(f"unknown strategy {strategy!r}")
-
     # --- matched target rows ---------------------------------------------------------
     right = F.broadcast(summary) if use_broadcast else summary
     joined = touched.join(right, match_cond, "left")
@@ -321,13 +339,6 @@ def historical_update_keys(
     return unique(keys)
 
 
-def _partition_literal(source: DataFrame, source_filter: str | None, discover: bool) -> str | None:
-    # A partition literal only narrows the match when a source filter is also given.
-    if source_filter is None or not discover:
-        return None
-    return discover_partition_value(source)
-
-
 def close_and_insert(
     target: DataFrame,
     source: DataFrame,
@@ -343,7 +354,7 @@ def close_and_insert(
     rows are inserted with all their columns."""
     spec = MergeSpec(
         keys=tuple(keys), end_key=end_key, open_only=True, source_filter=source_filter,
-        partition_value=_partition_literal(source, source_filter, discover_partition),
+        discover_partition=discover_partition,
         set_literal={end_key: end_value}, insert_columns=None,
     )
     return merge(target, source, spec, strategy=strategy)
@@ -376,7 +387,7 @@ def upsert(
     spec = MergeSpec(
         keys=tuple(unique(key_list)), end_key=end_key, open_only=not historical_sat,
         source_filter=source_filter,
-        partition_value=_partition_literal(source, source_filter, discover_partition),
+        discover_partition=discover_partition,
         set_from_source=sets,
         insert_columns=tuple(c for c in insert_columns if c != RANK_COLUMN),
     )
@@ -403,7 +414,7 @@ def update_columns(
         source = dedup_by_key(source, keys)
     spec = MergeSpec(
         keys=tuple(unique(keys)), open_only=False, source_filter=source_filter,
-        partition_value=_partition_literal(source, source_filter, discover_partition),
+        discover_partition=discover_partition,
         set_from_source={c: c for c in columns if c not in NEVER_UPDATED},
         insert_columns=(),
     )
@@ -434,7 +445,7 @@ def expire(
         sets[SRC_EXPRN_DT] = SRC_EFF_DT
     spec = MergeSpec(
         keys=tuple(unique(keys)), end_key=end_key, open_only=True, source_filter=source_filter,
-        partition_value=_partition_literal(source, source_filter, discover_partition),
+        discover_partition=discover_partition,
         batch_col=batch_col, set_from_source=sets, insert_columns=tuple(insert_columns),
     )
     return merge(target, source, spec, strategy=strategy)

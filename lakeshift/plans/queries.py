@@ -16,7 +16,7 @@ from lakeshift.functions.predicates import apply_read_type, resolve_read_spec
 from lakeshift.operators import cycles, retention
 from lakeshift.operators.dedup import dedup_by_key, distinct_values
 from lakeshift.operators.lookup import active_rows, lookup
-from lakeshift.operators.merge import (
+from lakeshift.operators.scd2 import (
     close_and_insert,
     expire,
     historical_update_keys,
