@@ -339,40 +339,17 @@ def historical_update_keys(
     return unique(keys)
 
 
-def close_and_insert(
-    target: DataFrame,
-    source: DataFrame,
-    keys: Sequence[str],
-    end_key: str,
-    end_value: Any,
-    *,
-    source_filter: str | None = None,
-    discover_partition: bool = True,
-    strategy: str = "auto",
-) -> DataFrame:
+def close_and_insert_spec(keys: Sequence[str], end_key: str, end_value: Any, *,
+                          source_filter: str | None = None, discover_partition: bool = True) -> MergeSpec:
     """Open target rows matched on ``keys`` get ``end_key := end_value``; unmatched source
     rows are inserted with all their columns."""
-    spec = MergeSpec(
-        keys=tuple(keys), end_key=end_key, open_only=True, source_filter=source_filter,
-        discover_partition=discover_partition,
-        set_literal={end_key: end_value}, insert_columns=None,
-    )
-    return merge(target, source, spec, strategy=strategy)
+    return MergeSpec(keys=tuple(unique(keys)), end_key=end_key, open_only=True, source_filter=source_filter,
+                     discover_partition=discover_partition, set_literal={end_key: end_value}, insert_columns=None)
 
 
-def upsert(
-    target: DataFrame,
-    source: DataFrame,
-    keys: Sequence[str],
-    end_key: str,
-    insert_columns: Sequence[str],
-    *,
-    scd2_columns: Sequence[str] = (),
-    historical_sat: bool = False,
-    source_filter: str | None = None,
-    discover_partition: bool = True,
-    strategy: str = "auto",
-) -> DataFrame:
+def upsert_spec(source_columns: Sequence[str], keys: Sequence[str], end_key: str, insert_columns: Sequence[str],
+                *, scd2_columns: Sequence[str] = (), historical_sat: bool = False,
+                source_filter: str | None = None, discover_partition: bool = True) -> MergeSpec:
     """Matched open rows take the source's end key (and ``scd2_columns``); unmatched source
     rows insert ``insert_columns`` (``rankColumn`` is never inserted; other columns stay null).
 
@@ -380,60 +357,31 @@ def upsert(
     """
     key_list = list(keys)
     if historical_sat:
-        key_list += [c for c in (REF_ID, SRC_EFF_DT) if c in source.columns]
+        key_list += [c for c in (REF_ID, SRC_EFF_DT) if c in source_columns]
     sets = {end_key: end_key}
     for c in scd2_columns:
         sets[c] = c
-    spec = MergeSpec(
+    return MergeSpec(
         keys=tuple(unique(key_list)), end_key=end_key, open_only=not historical_sat,
-        source_filter=source_filter,
-        discover_partition=discover_partition,
-        set_from_source=sets,
+        source_filter=source_filter, discover_partition=discover_partition, set_from_source=sets,
         insert_columns=tuple(c for c in insert_columns if c != RANK_COLUMN),
     )
-    return merge(target, source, spec, strategy=strategy)
 
 
-def update_columns(
-    target: DataFrame,
-    source: DataFrame,
-    keys: Sequence[str],
-    columns: Sequence[str],
-    *,
-    dedup_source: bool = False,
-    source_filter: str | None = None,
-    discover_partition: bool = True,
-    strategy: str = "auto",
-) -> DataFrame:
+def update_columns_spec(keys: Sequence[str], columns: Sequence[str], *, source_filter: str | None = None,
+                        discover_partition: bool = True) -> MergeSpec:
     """Historical update: matched rows (open or closed) take ``columns`` from the source,
-    except the partition columns; nothing is inserted. ``dedup_source`` keeps one source
-    row per key, chosen repeatably."""
-    from lakeshift.operators.dedup import dedup_by_key
-
-    if dedup_source:
-        source = dedup_by_key(source, keys)
-    spec = MergeSpec(
+    except the partition columns; nothing is inserted."""
+    return MergeSpec(
         keys=tuple(unique(keys)), open_only=False, source_filter=source_filter,
         discover_partition=discover_partition,
-        set_from_source={c: c for c in columns if c not in NEVER_UPDATED},
-        insert_columns=(),
+        set_from_source={c: c for c in columns if c not in NEVER_UPDATED}, insert_columns=(),
     )
-    return merge(target, source, spec, strategy=strategy)
 
 
-def expire(
-    target: DataFrame,
-    source: DataFrame,
-    keys: Sequence[str],
-    end_key: str,
-    insert_columns: Sequence[str],
-    *,
-    cols_to_update: Sequence[str] | None = None,
-    batch_col: str = BATCH_DATE,
-    source_filter: str | None = None,
-    discover_partition: bool = True,
-    strategy: str = "auto",
-) -> DataFrame:
+def expire_spec(keys: Sequence[str], end_key: str, insert_columns: Sequence[str], *,
+                cols_to_update: Sequence[str] | None = None, batch_col: str = BATCH_DATE,
+                source_filter: str | None = None, discover_partition: bool = True) -> MergeSpec:
     """Expire open rows whose batch is not newer than the source's: ``end_key := source``;
     with two ``cols_to_update`` also ``SRC_EXPRN_DT := source.SRC_EFF_DT``. Unmatched source
     rows insert ``insert_columns``."""
@@ -443,9 +391,45 @@ def expire(
     sets = {end_key: end_key}
     if n == 2:
         sets[SRC_EXPRN_DT] = SRC_EFF_DT
-    spec = MergeSpec(
+    return MergeSpec(
         keys=tuple(unique(keys)), end_key=end_key, open_only=True, source_filter=source_filter,
-        discover_partition=discover_partition,
-        batch_col=batch_col, set_from_source=sets, insert_columns=tuple(insert_columns),
+        discover_partition=discover_partition, batch_col=batch_col, set_from_source=sets,
+        insert_columns=tuple(insert_columns),
     )
+
+
+def close_and_insert(target: DataFrame, source: DataFrame, keys: Sequence[str], end_key: str, end_value: Any, *,
+                     source_filter: str | None = None, discover_partition: bool = True,
+                     strategy: str = "auto") -> DataFrame:
+    spec = close_and_insert_spec(keys, end_key, end_value, source_filter=source_filter,
+                                 discover_partition=discover_partition)
+    return merge(target, source, spec, strategy=strategy)
+
+
+def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], end_key: str, insert_columns: Sequence[str],
+           *, scd2_columns: Sequence[str] = (), historical_sat: bool = False, source_filter: str | None = None,
+           discover_partition: bool = True, strategy: str = "auto") -> DataFrame:
+    spec = upsert_spec(source.columns, keys, end_key, insert_columns, scd2_columns=scd2_columns,
+                       historical_sat=historical_sat, source_filter=source_filter,
+                       discover_partition=discover_partition)
+    return merge(target, source, spec, strategy=strategy)
+
+
+def update_columns(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str], *,
+                   dedup_source: bool = False, source_filter: str | None = None, discover_partition: bool = True,
+                   strategy: str = "auto") -> DataFrame:
+    """``dedup_source`` keeps one source row per key, chosen repeatably."""
+    from lakeshift.operators.dedup import dedup_by_key
+
+    if dedup_source:
+        source = dedup_by_key(source, keys)
+    spec = update_columns_spec(keys, columns, source_filter=source_filter, discover_partition=discover_partition)
+    return merge(target, source, spec, strategy=strategy)
+
+
+def expire(target: DataFrame, source: DataFrame, keys: Sequence[str], end_key: str, insert_columns: Sequence[str],
+           *, cols_to_update: Sequence[str] | None = None, batch_col: str = BATCH_DATE,
+           source_filter: str | None = None, discover_partition: bool = True, strategy: str = "auto") -> DataFrame:
+    spec = expire_spec(keys, end_key, insert_columns, cols_to_update=cols_to_update, batch_col=batch_col,
+                       source_filter=source_filter, discover_partition=discover_partition)
     return merge(target, source, spec, strategy=strategy)

@@ -6,10 +6,14 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeshift.operators.merge_table import merge_into_table
+from lakeshift.operators.scd2 import expire_spec, scd2_keys, upsert_spec
+
 from lakeshift.plans.frames import BASE_TABLES, frame, oracle, table
-from lakeshift.plans.queries import SAT_COLS, register
+from lakeshift.plans.queries import EXPIRE_INSERT, ORACLE, SAT_COLS, TABLE_KEYS, UPSERT_INSERT, register
 from lakeshift.session import scratch_path
 from lakeshift.sinks.writers import export_csv, extract_name, write_clean, write_partitioned
 from lakeshift.sources.catalog import latest_files, schema_catalog
@@ -114,3 +118,26 @@ TYPE_MAP_SQL = """CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN
     + ", ".join(f"'{t}'" for t in BASE_TABLES) + ")"))
 def q_schema_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema_catalog(spark, {t: table(spark, sf_dir, t) for t in BASE_TABLES})
+
+
+@register("merge_upsert_into_table", ORACLE["merge_upsert"])
+def q_merge_upsert_into_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upsert applied to a partitioned satellite on disk: only affected partitions are
+    read and rewritten; the table is read back whole."""
+    sat, path = _partitioned_sat(spark, sf_dir)
+    upd = frame(spark, sf_dir, "upd")
+    spec = upsert_spec(upd.columns, scd2_keys(TABLE_KEYS, upd.columns), "LD_END_DT", UPSERT_INSERT,
+                       source_filter="F")
+    merge_into_table(spark, path, upd, spec, schema=sat.schema)
+    return spark.read.schema(sat.schema).parquet(path).select(SAT_COLS)
+
+
+@register("merge_expire_part_into_table", ORACLE["merge_expire_part_literal"])
+def q_merge_expire_part_into_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expire with a discovered partition literal on a table on disk: the merge reads and
+    rewrites the single partition (F, 2) plus nothing else."""
+    sat, path = _partitioned_sat(spark, sf_dir)
+    src = frame(spark, sf_dir, "upd").where(F.col("PART_COL") == "2")
+    spec = expire_spec(["ORD_ID"], "LD_END_DT", EXPIRE_INSERT, source_filter="F")
+    merge_into_table(spark, path, src, spec, schema=sat.schema)
+    return spark.read.schema(sat.schema).parquet(path).select(SAT_COLS)

@@ -11,7 +11,6 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshift.functions import predicates as P
 from lakeshift.functions.predicates import apply_read_type, resolve_read_spec
 from lakeshift.operators import cycles, retention
 from lakeshift.operators.dedup import dedup_by_key, distinct_values
@@ -305,6 +304,15 @@ def q_merge_expire_ref_key_shuffle(spark, sf_dir):
                   strategy="shuffle")
 
 
+@register("merge_expire_part_literal", merge_oracle(
+    "SELECT * FROM upd WHERE PART_COL = '2'", ["ORD_ID"], pred=OPEN_F + " AND PART_COL = '2'",
+    residual="t.BTCH_DT <= s.BTCH_DT", set_src={"LD_END_DT": "LD_END_DT"}, insert=EXPIRE_INSERT))
+def q_merge_expire_part_literal(spark, sf_dir):
+    sat, upd = _sat_upd(spark, sf_dir)
+    return expire(sat, upd.where(F.col("PART_COL") == "2"), ["ORD_ID"], "LD_END_DT", EXPIRE_INSERT,
+                  source_filter="F")
+
+
 LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
                  "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
