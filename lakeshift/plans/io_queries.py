@@ -9,13 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeshift.operators import retention
 from lakeshift.operators.merge_table import merge_into_table
 from lakeshift.operators.scd2 import expire_spec, scd2_keys, upsert_spec
 
 from lakeshift.plans.frames import BASE_TABLES, frame, oracle, table
-from lakeshift.plans.queries import EXPIRE_INSERT, ORACLE, SAT_COLS, TABLE_KEYS, UPSERT_INSERT, register
+from lakeshift.plans.queries import (
+    EXPIRE_INSERT,
+    ORACLE,
+    RETENTION_TS,
+    SAT_COLS,
+    TABLE_KEYS,
+    UPSERT_INSERT,
+    register,
+)
 from lakeshift.session import scratch_path
-from lakeshift.sinks.writers import export_csv, extract_name, write_clean, write_partitioned
+from lakeshift.sinks.writers import export_csv, extract_name, replace_table, write_clean, write_partitioned
 from lakeshift.sources.catalog import latest_files, schema_catalog
 from lakeshift.sources.paths import clean_path, raw_path
 from lakeshift.sources.raw import read_raw
@@ -141,3 +150,46 @@ def q_merge_expire_part_into_table(spark: SparkSession, sf_dir: str) -> DataFram
     spec = expire_spec(["ORD_ID"], "LD_END_DT", EXPIRE_INSERT, source_filter="F")
     merge_into_table(spark, path, src, spec, schema=sat.schema)
     return spark.read.schema(sat.schema).parquet(path).select(SAT_COLS)
+
+
+RUNS_SCHEMA = T.StructType([
+    T.StructField("run_id", T.LongType()), T.StructField("event_id", T.LongType()),
+    T.StructField("value", T.DoubleType()), T.StructField("dq_table_name", T.StringType()),
+])
+
+
+def _retention_job(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Store every error table of ``runs`` as its own parquet table, then run the housekeeping
+    job: plan all tables in one pass, rewrite each table without its old runs (staged), append
+    the audit log."""
+    root = scratch_path(spark, "dq")
+    frame(spark, sf_dir, "runs").write.partitionBy("dq_table_name").parquet(f"{root}/tables")
+    log_path = f"{root}/clean_log"
+
+    def table_path(name: str) -> str:
+        return f"{root}/tables/dq_table_name={name}"
+
+    def load(name: str) -> DataFrame:
+        return spark.read.parquet(table_path(name))
+
+    def write(name: str, df: DataFrame) -> None:
+        replace_table(spark, df, table_path(name))
+
+    errors = retention.run_retention(spark, frame(spark, sf_dir, "cfg"), load, write,
+                                     lambda log: log.write.mode("append").parquet(log_path),
+                                     executed_at=RETENTION_TS)
+    if errors:
+        raise RuntimeError(f"retention job failed for {errors}")
+    return f"{root}/tables", log_path
+
+
+@register("retention_tables_job", ORACLE["retention_apply"])
+def q_retention_tables_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables, _ = _retention_job(spark, sf_dir)
+    return spark.read.schema(RUNS_SCHEMA).parquet(tables).select("dq_table_name", "run_id", "event_id", "value")
+
+
+@register("retention_tables_job_log", ORACLE["retention_log"])
+def q_retention_tables_job_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, log_path = _retention_job(spark, sf_dir)
+    return spark.read.schema(retention.LOG_SCHEMA).parquet(log_path)

@@ -1,0 +1,165 @@
+"""Sources, sinks, text helpers, lookups, cycles and path rules."""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakeshift.functions.text import as_text, pad_left, sanitize_columns, sanitize_name
+from lakeshift.operators.cycles import cycle_year, read_cycle
+from lakeshift.operators.lookup import active_rows, lookup
+from lakeshift.operators.merge_table import merge_into_table
+from lakeshift.operators.scd2 import upsert_spec
+from lakeshift.sinks.writers import export_csv, write_jdbc, write_partitioned
+from lakeshift.sources import jdbc
+from lakeshift.sources.catalog import latest_files
+from lakeshift.sources.paths import clean_path, raw_path, table_path
+from lakeshift.sources.raw import read_raw
+
+
+def test_sanitize_names():
+    assert sanitize_name("a b") == "a_b"
+    assert sanitize_name("x,;{ } (y)=z\t\nw") == "x_y_z_w"
+    assert sanitize_name("plain") == "plain"
+
+
+def test_sanitize_collision_rejected(spark):
+    df = spark.createDataFrame([(1, 2)], "`a b` int, `a;b` int")
+    with pytest.raises(ValueError, match="collide"):
+        sanitize_columns(df)
+
+
+def test_text_helpers(spark):
+    df = spark.createDataFrame([(" 7\t",), ("123456",), (None,), ("\n12 ",)], "v string")
+    got = [r[0] for r in df.select(pad_left(as_text(F.col("v")), 4, "0")).collect()]
+    assert got == ["0007", "123456", "None", "0012"]
+    with pytest.raises(ValueError):
+        pad_left(F.col("v"), 3, "00")
+
+
+def test_lookup_case_insensitive(spark):
+    ref = spark.createDataFrame([("1", "Auto", "x", "1"), ("22", "AUTO", "y", "0"), (None, "auto", "x", "1"),
+                                 ("4", "Home", "x", "1")], "VAL string, SEG string, C string, IS_ACTV_FLG string")
+    assert sorted(r.VAL for r in lookup(ref, {"SEG": "aUtO", "C": "X"}, "VAL").collect()) == ["1", "None"]
+    assert sorted(r.VAL for r in lookup(ref, {"SEG": "auto"}, "VAL", pad_length=3).collect()) == [
+        "001", "022", "None"]
+    assert active_rows(ref, 1).count() == 3
+    assert active_rows(ref, "0").count() == 1
+
+
+def test_cycles(spark):
+    rows = [(y, m, i) for i, (y, m) in enumerate([(99, 12), (100, 1), (100, 2), (100, 3), (100, 12), (100, 11)])]
+    df = spark.createDataFrame(rows, "Y int, M int, i int")
+    def ids(d):
+        return sorted(r.i for r in d.collect())
+    assert ids(read_cycle(df, "daily", year_col="Y", month_col="M")) == [4, 5]
+    jan = df.where("NOT (Y = 100 AND M > 1)")
+    assert ids(read_cycle(jan, "daily", year_col="Y", month_col="M")) == [1]
+    assert ids(read_cycle(df, "full", batch_date="19991231", year_col="Y", month_col="M")) == [0]
+    assert ids(read_cycle(df, "historical", year_col="Y", month_col="M")) == [0, 1, 2, 3, 4, 5]
+    assert cycle_year("20240115") == 124
+    with pytest.raises(ValueError):
+        read_cycle(df, "weekly", year_col="Y", month_col="M")
+    # text years compare as numbers, not as text ("9" > "12" in text)
+    text = spark.createDataFrame([("9", "3", 0), ("12", "1", 1)], "Y string, M string, i int")
+    assert ids(read_cycle(text, "daily", year_col="Y", month_col="M")) == [1]
+
+
+def test_paths():
+    assert table_path("/mnt/lake", "Vault.SAT_Order") == "/mnt/lake/VAULT/sat_order"
+    assert table_path("/mnt/lake", "sat_order", "adv") == "/mnt/lake/ADV/sat_order"
+    assert clean_path("/c", "erp", "s", "t", "20240101") == "/c/erp/s/t/20240101"
+    assert raw_path("/r", "erp", "s", "t", "20240101", "csv") == "/r/erp/s/t/t_20240101.csv"
+    assert raw_path("/r", "erp", "s", "t", "20240101", "csv", "x.txt") == "/r/erp/s/t/x.txt"
+
+
+def test_jdbc_routing_and_options():
+    assert jdbc.partition_column("Fact_Sales") == "fact_sales_id"
+    assert jdbc.partition_column("DIM_UNDERWRITING_COMPANY") == "Dim_Underwriter_Company_Id"
+    r = jdbc.route("mart.fact_sales")
+    assert (r.dbtable, r.partitioned) == ("mart.fact_sales", True)
+    assert jdbc.route("mart.ref_codes").partitioned is False          # not a mart prefix -> dbo
+    assert jdbc.route("bau.dim_x").partitioned is False               # excluded schema
+    assert jdbc.route("fact_sales").dbtable == "fact_sales"           # undotted names are accepted
+    assert jdbc.route("x.Fact_Sales", dm_schema="dm").dbtable == "dm.fact_sales"
+    opts = jdbc.jdbc_read_options("jdbc:x", "mart.fact_sales", driver="D")
+    assert opts == {"url": "jdbc:x", "dbtable": "mart.fact_sales", "driver": "D", "partitionColumn": "fact_sales_id",
+                    "numPartitions": "20", "lowerBound": "0", "upperBound": "10000000"}
+    assert "partitionColumn" not in jdbc.jdbc_read_options("jdbc:x", "dbo.fact_sales")
+
+
+def test_write_modes_are_checked(spark):
+    df = spark.createDataFrame([(1,)], "a int")
+    with pytest.raises(ValueError):
+        write_jdbc(df, "jdbc:none", "t", mode="upsert")
+
+
+def test_raw_csv_and_xml(spark, tmp_path):
+    csv_path = str(tmp_path / "in.csv")
+    with open(csv_path, "w") as fh:
+        fh.write("id;first name;amount(usd)\n1;a;2.5\n2;b;3.0\n")
+    df = read_raw(spark, csv_path, "csv", header=True, delimiter=";", infer_schema=True)
+    assert df.columns == ["id", "first_name", "amount_usd_"]
+    assert [tuple(r) for r in df.orderBy("id").collect()] == [(1, "a", 2.5), (2, "b", 3.0)]
+    xml_path = str(tmp_path / "in.xml")
+    with open(xml_path, "w") as fh:
+        fh.write('<rows><row><id>1</id><v unit="kg">5</v></row><row><id>2</id><v unit="g">7</v></row></rows>')
+    x = read_raw(spark, xml_path, "xml", row_tag="row")
+    got = sorted((r.id, r.v.ValueTagElement, r.v._unit) for r in x.collect())
+    assert got == [(1, 5, "kg"), (2, 7, "g")]
+    with pytest.raises(ValueError):
+        read_raw(spark, csv_path, "json")
+
+
+def test_export_csv(spark, tmp_path):
+    df = spark.createDataFrame([(1, 'say "hi"', ""), (2, None, "x,y")], "a int, b string, c string")
+    status = export_csv(df, str(tmp_path), "ext", as_of=dt.date(2024, 3, 9), single_file=True)
+    assert status["status"] == "success" and status["file_name"] == "ext_20240309.csv"
+    folder = tmp_path / "ext_20240309.csv"
+    (part,) = [p for p in os.listdir(folder) if p.startswith("part-")]
+    text = (folder / part).read_text()
+    assert text == 'a,b,c\n1,"say ""hi""",\n2,,"x,y"\n'
+    assert export_csv(df.where("a > 5"), str(tmp_path), "none")["status"] == "empty"
+    assert not (tmp_path / f"none_{dt.date.today():%Y%m%d}.csv").exists()
+
+
+def test_merge_into_table_keeps_other_partitions(spark, tmp_path):
+    path = str(tmp_path / "sat")
+    rows = [(i, "F" if i % 2 else "O", str(i % 3), dt.datetime(2024, 1, 1), None, float(i)) for i in range(12)]
+    ddl = "K long, REC_SRC_NM string, PART_COL string, LD_DT timestamp_ntz, LD_END_DT timestamp_ntz, VAL double"
+    t = spark.createDataFrame(rows, ddl)
+    write_partitioned(t, path)
+    def files():
+        out = {}
+        for d, _, fs in os.walk(path):
+            for f in fs:
+                if f.endswith(".parquet"):
+                    p = os.path.join(d, f)
+                    out[p] = os.path.getmtime(p)
+        return out
+    before = files()
+    src = spark.createDataFrame([(1, "F", "1", dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1), 0.0),
+                                 (100, "F", "1", dt.datetime(2024, 1, 1), None, 5.0)], ddl)
+    spec = upsert_spec(src.columns, ["K", "LD_DT"], "LD_END_DT", src.columns, source_filter="F")
+    info = merge_into_table(spark, path, src, spec, schema=t.schema)
+    assert info["partitions"] == 1
+    after = files()
+    changed = {p for p in after if before.get(p) != after[p]}
+    assert changed and all("REC_SRC_NM=F/PART_COL=1" in p for p in changed)
+    got = {r.K: r for r in spark.read.schema(t.schema).parquet(path).collect()}
+    assert len(got) == 13 and got[1].LD_END_DT == dt.datetime(2024, 2, 1) and got[100].VAL == 5.0
+
+
+def test_latest_files(spark, tmp_path):
+    for d in ("a", "b"):
+        os.makedirs(tmp_path / "root" / d)
+        for i, name in enumerate(["x_1.parquet", "x_2.parquet"]):
+            p = tmp_path / "root" / d / name
+            p.write_text("z")
+            os.utime(p, (1_700_000_000 + i, 1_700_000_000 + i))
+    df = latest_files(spark, str(tmp_path / "root"), pattern="x_", name_segment=len(str(tmp_path).split("/")) + 2)
+    got = sorted((r.table_name, r.path.rsplit("/", 1)[1]) for r in df.collect())
+    assert got == [("a", "x_2.parquet"), ("b", "x_2.parquet")]
