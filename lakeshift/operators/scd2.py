@@ -151,13 +151,24 @@ def estimated_bytes(df: DataFrame) -> int:
     return profile_source(df, True, None)[0] or 0
 
 
+_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30,
+          "t": 1 << 40, "tb": 1 << 40}
+
+
+def parse_bytes(text: str) -> int:
+    """Spark size strings: "10485760", "10485760b", "10m", "64MB", "-1"."""
+    raw = str(text).strip().lower()
+    digits = raw.lstrip("-0123456789")
+    number = raw[: len(raw) - len(digits)]
+    return int(number) * _UNITS.get(digits.strip() or "b", 1)
+
+
 def broadcast_limit(spark) -> int:
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    """The session's broadcast threshold in bytes (<= 0 disables broadcasting)."""
     try:
-        value = int(str(raw).lower().rstrip("b"))
+        return parse_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"))
     except ValueError:
-        value = 10 * 1024 * 1024
-    return value
+        return 10 << 20
 
 
 def _key_condition(keys: Sequence[str], left_prefix: str = "", right_prefix: str = _S) -> Column:
