@@ -6,6 +6,7 @@ from lakeshift.sinks.writers import (
     write_clean,
     write_connector,
     write_jdbc,
+    write_mart,
     write_partitioned,
     write_table,
 )
@@ -16,6 +17,7 @@ __all__ = [
     "write_clean",
     "write_connector",
     "write_jdbc",
+    "write_mart",
     "write_partitioned",
     "write_table",
 ]

@@ -116,3 +116,36 @@ def export_csv(df: DataFrame, folder: str, prefix: str, *, as_of: _dt.date | Non
     out = df.coalesce(1) if single_file else df
     out.write.mode("overwrite").options(**CSV_OPTIONS).csv(f"{folder.rstrip('/')}/{name}")
     return {"status": "success", "file_name": name, "extractPathFolder": folder, "columnDelimiter": ","}
+
+
+# The bulk SQL Server connector and its options for partitioned mart tables.
+BULK_FORMAT = "com.microsoft.sqlserver.jdbc.spark"
+BULK_OPTIONS = {
+    "batchsize": str(BULK_BATCH_SIZE),
+    "mssqlIsolationLevel": "READ_UNCOMMITTED",
+    "tableLock": "true",
+    "reliabilityLevel": "BEST_EFFORT",
+    "schemaCheckEnabled": "false",
+}
+
+
+def mart_write_plan(url: str, table_name: str, *, dm_schema: str | None = None, mode: str = "append",
+                    driver: str | None = None) -> tuple[str, dict[str, str], str]:
+    """(format, options, mode) for a mart table: tables routed to an unpartitioned schema use
+    plain JDBC over ``JDBC_WRITE_PARTITIONS`` connections and honour the mode; the others
+    append through the bulk connector."""
+    from lakeshift.sources.jdbc import route
+
+    r = route(table_name, dm_schema)
+    if not r.partitioned:
+        opts = {"url": url, "dbtable": r.dbtable, "numPartitions": str(JDBC_WRITE_PARTITIONS)}
+        if driver:
+            opts["driver"] = driver
+        return "jdbc", opts, _mode(mode)
+    return BULK_FORMAT, {"url": url, "dbtable": r.dbtable, **BULK_OPTIONS}, "append"
+
+
+def write_mart(df: DataFrame, url: str, table_name: str, *, dm_schema: str | None = None, mode: str = "append",
+               driver: str | None = None) -> None:
+    fmt, opts, m = mart_write_plan(url, table_name, dm_schema=dm_schema, mode=mode, driver=driver)
+    df.write.format(fmt).options(**opts).mode(m).save()
