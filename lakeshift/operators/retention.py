@@ -143,8 +143,10 @@ def apply(runs: DataFrame, retention_plan: DataFrame, cfg: DataFrame | None = No
 
 
 def apply_table(df: DataFrame, cutoff: int, run_col: str = RUN_ID) -> DataFrame:
-    """Surviving rows of one table for a known cut-off."""
-    return df.where(~F.coalesce(F.col(run_col) <= F.lit(cutoff), F.lit(False)))
+    """Surviving rows of one table for a known cut-off: ``run_id > cut-off OR run_id IS NULL``,
+    written so that it is pushed to the scan (and prunes run partitions)."""
+    run = F.col(run_col)
+    return df.where((run > F.lit(cutoff)) | run.isNull())
 
 
 def audit_log(retention_plan: DataFrame, executed_at: _dt.datetime) -> DataFrame:

@@ -218,8 +218,9 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, strategy: st
     if pred is None:
         touched, rest = target, None
     else:
-        inside = F.coalesce(pred, F.lit(False))
-        touched, rest = target.where(inside), target.where(~inside)
+        # The bare conjuncts reach the scan (partition filters, pushed filters); a filter drops
+        # null outcomes, so only the complement needs the null-safe form.
+        touched, rest = target.where(pred), target.where(~F.coalesce(pred, F.lit(False)))
 
     # --- source summary: one row per key -------------------------------------------
     skeys = [_S + k for k in keys]
