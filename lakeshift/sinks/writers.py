@@ -104,17 +104,15 @@ def extract_name(prefix: str, as_of: _dt.date) -> str:
     return f"{prefix}_{as_of.strftime('%Y%m%d')}.csv"
 
 
-def export_csv(df: DataFrame, folder: str, prefix: str, *, as_of: _dt.date | None = None,
-               single_file: bool = False) -> dict:
-    """Dated CSV extract ``<folder>/<prefix>_<yyyymmdd>.csv`` (a folder of part files written by
-    all tasks; ``single_file`` funnels the rows through one task and is meant for small
-    extracts only). An empty frame writes nothing and returns status "empty"."""
+def export_csv(df: DataFrame, folder: str, prefix: str, *, as_of: _dt.date | None = None) -> dict:
+    """Dated CSV extract: a folder ``<folder>/<prefix>_<yyyymmdd>.csv`` of part files, each with
+    the header, written by all tasks in parallel (no single task or driver sees all rows).
+    An empty frame writes nothing and returns status "empty"."""
     when = as_of or _dt.date.today()
     name = extract_name(prefix, when)
     if df.isEmpty():
         return {"status": "empty", "file_name": name, "extractPathFolder": folder, "columnDelimiter": ","}
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").options(**CSV_OPTIONS).csv(f"{folder.rstrip('/')}/{name}")
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(f"{folder.rstrip('/')}/{name}")
     return {"status": "success", "file_name": name, "extractPathFolder": folder, "columnDelimiter": ","}
 
 
