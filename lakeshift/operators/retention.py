@@ -153,7 +153,8 @@ def audit_log(retention_plan: DataFrame, executed_at: _dt.datetime) -> DataFrame
     """Log rows for the planned deletions; the timestamp is passed in for repeatable output."""
     return retention_plan.select(
         F.col(ID).cast("long").alias(ID),
-        F.lit(executed_at).cast("timestamp_ntz").alias("execution_ts"),
+        # from text, so neither the Python process's nor the session's time zone shifts it
+        F.lit(executed_at.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz").alias("execution_ts"),
         TABLE, "exec_avail_in_frt", "max_run_id_deleted_in_frt", "records_removed_from_frt",
     )
 
