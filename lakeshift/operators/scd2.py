@@ -231,6 +231,7 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, strategy: st
             aggs.append(F.min(F.struct(*others)).alias("__row"))
         summary = s.groupBy(*skeys).agg(*aggs)
         summary = summary.select(*skeys, "__n", *[F.col("__row." + o).alias(o) for o in others])
+        source_keys = summary.select(*skeys)  # one row per key, shares the summary's shuffle
         match_cond = _key_condition(keys)
         matched = F.col("__n").isNotNull()
         too_many = F.col("__n") > 1
@@ -243,6 +244,7 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, strategy: st
             F.max(F.struct(sb, *others)).alias("__row"), F.count(F.lit(1)).alias("__n"),
         )
         top = top.select(*skeys, "__n", *[F.col("__row." + o).alias(o) for o in [sb, *others]])
+        source_keys = top.select(*skeys)  # keys with a batch value; null batches never match
         # Second largest batch value (with multiplicity), only for keys with 2+ rows.
         multi = top.where(F.col("__n") > 1).select(*[F.col(k).alias("__m" + k) for k in skeys],
                                                      F.col(sb).alias("__m1"))
@@ -291,8 +293,7 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, strategy: st
         tk_src = touched
         if use_broadcast:
             # Only target keys that occur in the (small) source can block an insert.
-            skeys_only = F.broadcast(s.select(*skeys).distinct())
-            tk_src = touched.join(skeys_only, _key_condition(keys), "left_semi")
+            tk_src = touched.join(F.broadcast(source_keys), _key_condition(keys), "left_semi")
         if b is None:
             tk = tk_src.select(*[F.col(k).alias("__t" + k) for k in keys]).distinct()
             anti_cond = _key_condition(keys, "__t", _S)
