@@ -115,9 +115,10 @@ def q_csv_extract_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
             .csv(f"{folder}/{extract_name('orders_extract', day)}"))
 
 
-TYPE_MAP_SQL = """CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
-  WHEN 'DOUBLE' THEN 'double' WHEN 'FLOAT' THEN 'float' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'DATE' THEN 'date'
-  WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT[]' THEN 'array<float>' WHEN 'SMALLINT' THEN 'smallint'
+TYPE_MAP_SQL = """CASE WHEN data_type LIKE 'TIMESTAMP%' AND data_type NOT LIKE '%TIME ZONE%' THEN 'timestamp_ntz'
+  WHEN data_type = 'BIGINT' THEN 'bigint' WHEN data_type = 'INTEGER' THEN 'int' WHEN data_type = 'VARCHAR' THEN 'string'
+  WHEN data_type = 'DOUBLE' THEN 'double' WHEN data_type = 'FLOAT' THEN 'float' WHEN data_type = 'BOOLEAN' THEN 'boolean'
+  WHEN data_type = 'DATE' THEN 'date' WHEN data_type = 'FLOAT[]' THEN 'array<float>' WHEN data_type = 'SMALLINT' THEN 'smallint'
   ELSE lower(data_type) END"""
 
 
