@@ -93,7 +93,15 @@ def merge_into_table(
     merged = merge(target, source, spec, strategy=strategy).select(tcols)
     stage = scratch_path(spark, "merge")
     merged.hint("rebalance", *pcols).write.format(fmt).partitionBy(*pcols).save(stage)
-    staged = spark.read.format(fmt).schema(merged.schema).load(stage).select(tcols)
+    publish_staged(spark, stage, path, merged.schema, pcols, fmt=fmt)
+    return {"partitions": len(keys) if len(keys) <= max_partitions else None, "staged": stage}
+
+
+def publish_staged(spark: SparkSession, stage: str, path: str, schema: StructType, partition_cols: Sequence[str],
+                   *, fmt: str = "parquet") -> None:
+    """Copy staged partitions over the table with dynamic partition overwrite. The staged copy
+    is complete before this starts, so if the job dies here it can simply be run again."""
+    pcols = list(partition_cols)
+    staged = spark.read.format(fmt).schema(schema).load(stage).select(schema.fieldNames())
     (staged.hint("rebalance", *pcols).write.format(fmt).mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*pcols).save(path))
-    return {"partitions": len(keys) if len(keys) <= max_partitions else None, "staged": stage}

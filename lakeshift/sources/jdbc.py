@@ -97,9 +97,18 @@ def read_mart(
     url: str,
     table_name: str,
     spec: ReadSpec | None = None,
+    *,
+    bounds_from_data: bool = False,
     **kwargs,
 ) -> DataFrame:
-    """Mart table over JDBC with a mart read type (``spec.kind == "mart"``)."""
+    """Mart table over JDBC with a mart read type (``spec.kind == "mart"``).
+
+    ``bounds_from_data`` replaces the fixed stride bounds by the partition column's min/max
+    (one small remote query), so the partitions split the real id range evenly."""
+    r = route(table_name, kwargs.get("dm_schema"))
+    if bounds_from_data and r.partitioned and "lower_bound" not in kwargs:
+        lo, hi = bounds_from_table(spark, url, r.dbtable, partition_column(r.table), kwargs.get("driver"))
+        kwargs.update(lower_bound=lo, upper_bound=max(hi, lo + 1))
     df = spark.read.format("jdbc").options(**jdbc_read_options(url, table_name, **kwargs)).load()
     return df if spec is None else apply_read_type(df, spec)
 
