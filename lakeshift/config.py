@@ -27,6 +27,29 @@ from lakeshift.sources.raw import read_raw
 from lakeshift.sources.tables import read_connector, read_table
 
 
+# Use-case names and the application-config sections they select.
+USE_CASES = {
+    "DataMart": ("DataMart", "Datamart", "datamart"),
+    "DataVault": ("DataVault", "Data-Vault", "datavault"),
+}
+
+
+def overlay_use_case(app_conf: Mapping[str, Any], obj: Mapping[str, Any] | None = None) -> dict[str, Any]:
+    """Application settings with the section of the job's ``use-case`` laid over the top level.
+    The caller loads the file (it is driver configuration, not data)."""
+    merged = dict(app_conf)
+    use_case = (obj or {}).get("use-case")
+    for section, names in USE_CASES.items():
+        if use_case in names and isinstance(app_conf.get(section), Mapping):
+            merged.update(app_conf[section])
+            break
+    return merged
+
+
+def rec_source_list(app_conf: Mapping[str, Any], obj: Mapping[str, Any] | None = None) -> list[str]:
+    return list(overlay_use_case(app_conf, obj).get("rec-source-list", []))
+
+
 def _source_filter(obj: Mapping[str, Any]) -> str | None:
     return str(obj["source-filter"]) if "source-filter" in obj else None
 

@@ -82,3 +82,11 @@ def test_raw_and_clean_from_config(spark, tmp_path):
     path = config.write_clean_zone(df, obj)
     assert path.endswith("/crm/sales/cust/20240102")
     assert spark.read.parquet(path).count() == 2
+
+
+def test_use_case_overlay():
+    app = {"rec-source-list": ["A"], "DataVault": {"rec-source-list": ["B", "C"]}, "DataMart": {"x": 1}}
+    assert config.rec_source_list(app, {"use-case": "Data-Vault"}) == ["B", "C"]
+    assert config.rec_source_list(app, {"use-case": "datamart"}) == ["A"]
+    assert config.overlay_use_case(app, {"use-case": "Datamart"})["x"] == 1
+    assert config.rec_source_list({}, None) == []
