@@ -248,6 +248,8 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, strategy: st
         # Second largest batch value (with multiplicity), only for keys with 2+ rows.
         multi = top.where(F.col("__n") > 1).select(*[F.col(k).alias("__m" + k) for k in skeys],
                                                      F.col(sb).alias("__m1"))
+        if use_broadcast:
+            multi = F.broadcast(multi)  # at most one row per key of the checked source
         second = (
             nn.join(multi, reduce(lambda x, y: x & y,
                                   [F.col(k).eqNullSafe(F.col("__m" + k)) for k in skeys]))
