@@ -123,7 +123,8 @@ TYPE_MAP_SQL = """CASE WHEN data_type LIKE 'TIMESTAMP%' AND data_type NOT LIKE '
 
 
 @register("schema_catalog", (
-    f"SELECT table_name, CAST(ordinal_position AS INTEGER) AS position, column_name, {TYPE_MAP_SQL} AS data_type, "
+    f"SELECT DISTINCT table_name, CAST(ordinal_position AS INTEGER) AS position, column_name, "
+    f"{TYPE_MAP_SQL} AS data_type, "
     "is_nullable = 'YES' AS nullable FROM information_schema.columns WHERE table_name IN ("
     + ", ".join(f"'{t}'" for t in BASE_TABLES) + ")"))
 def q_schema_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
