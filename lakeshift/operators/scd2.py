@@ -268,6 +268,10 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, strategy: st
         too_many = F.col("__m2").isNotNull() & (F.col(b) <= F.col("__m2"))
 
     # --- matched target rows ---------------------------------------------------------
+    # Keys compare with <=>, which Spark plans on (coalesce(k), isnull(k)); the summary,
+    # grouped by k, is therefore shuffled once more into the join. That is deliberate: AQE
+    # splits a skewed join partition only when both join inputs are plain shuffle stages,
+    # and a hot target key must stay splittable. The re-shuffled side has one row per key.
     right = F.broadcast(summary) if use_broadcast else summary
     joined = touched.join(right, match_cond, "left")
     if spec.check_single_match:

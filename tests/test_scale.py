@@ -120,3 +120,28 @@ def test_null_keys_match_null_keys(spark, strategy):
     spec = MergeSpec(keys=("K",), end_key="END", set_from_source={"VAL": "VAL"}, insert_columns=None)
     got = sorted((r.K or 0, r.VAL) for r in merge(t, s, spec, strategy=strategy).collect())
     assert got == [(0, 9.0), (2, 2.0)]
+
+
+def test_hot_source_key_is_split_in_the_insert_join(spark):
+    # a third of the source shares one new key: all of those rows are inserts
+    t = spark.range(0, 30_000).select(F.col("id").alias("K"), F.lit("F").alias("SRC"),
+                                       F.lit(None).cast("timestamp_ntz").alias("END"), F.lit(0.0).alias("VAL"))
+    s = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, F.lit(-9)).otherwise(F.col("id") + 100_000).alias("K"),
+                                    F.lit("F").alias("SRC"), F.lit(None).cast("timestamp_ntz").alias("END"),
+                                    F.col("id").cast("double").alias("VAL"))
+    spec = MergeSpec(keys=("K",), end_key="END", source_filter="F", source_col="SRC",
+                     set_from_source={"VAL": "VAL"}, insert_columns=None)
+    with conf(spark, **{
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }):
+        out = merge(t, s, spec, strategy="shuffle")
+        assert out.count() == 90_000
+        out.collect()
+        final = plan_text(out)
+    joins = [line for line in final.splitlines() if "SortMergeJoin(skew=true)" in line]
+    assert any("LeftAnti" in line for line in joins)
