@@ -231,7 +231,7 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, strategy: st
             aggs.append(F.min(F.struct(*others)).alias("__row"))
         summary = s.groupBy(*skeys).agg(*aggs)
         summary = summary.select(*skeys, "__n", *[F.col("__row." + o).alias(o) for o in others])
-        source_keys = summary.select(*skeys)  # one row per key, shares the summary's shuffle
+        source_keys = summary.select(*skeys)  # one row per key (Catalyst prunes it to a distinct)
         match_cond = _key_condition(keys)
         matched = F.col("__n").isNotNull()
         too_many = F.col("__n") > 1
