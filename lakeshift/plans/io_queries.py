@@ -4,6 +4,7 @@ fresh folder under the shared checkpoint directory and reads it back."""
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,7 @@ from lakeshift.sinks.writers import export_csv, extract_name, replace_table, wri
 from lakeshift.sources.catalog import latest_files, schema_catalog
 from lakeshift.sources.paths import clean_path, raw_path
 from lakeshift.sources.raw import read_raw
+from lakeshift.sources.tables import read_catalog
 
 # Headers with characters parquet rejects, and the names they become.
 MESSY_CUSTOMER = {
@@ -105,9 +107,12 @@ def q_latest_file_per_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("csv_extract_roundtrip", "SELECT * FROM orders")
 def q_csv_extract_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
+    view = f"lakeshift_extract_{uuid.uuid4().hex}"
+    orders.createOrReplaceTempView(view)  # the extract reads a catalog view by name
     folder = scratch_path(spark, "extract")
     day = _dt.date(2024, 1, 31)
-    status = export_csv(orders, folder, "orders_extract", as_of=day)
+    status = export_csv(read_catalog(spark, view), folder, "orders_extract", as_of=day)
+    spark.catalog.dropTempView(view)
     if status["status"] != "success":
         raise RuntimeError(f"extract failed: {status}")
     return (spark.read.schema(orders.schema).option("header", "true")

@@ -4,13 +4,14 @@ from lakeshift.sources.catalog import latest_files, schema_catalog
 from lakeshift.sources.jdbc import jdbc_read_options, partition_column, read_mart, route
 from lakeshift.sources.paths import clean_path, raw_path, split_table_name, table_path
 from lakeshift.sources.raw import read_raw
-from lakeshift.sources.tables import read_connector, read_reference, read_table
+from lakeshift.sources.tables import read_catalog, read_connector, read_reference, read_table
 
 __all__ = [
     "clean_path",
     "jdbc_read_options",
     "latest_files",
     "partition_column",
+    "read_catalog",
     "raw_path",
     "read_connector",
     "read_mart",

@@ -19,6 +19,12 @@ def read_table(spark: SparkSession, path: str, spec: ReadSpec | None = None, fmt
     return df if spec is None else apply_read_type(df, spec)
 
 
+def read_catalog(spark: SparkSession, name: str) -> DataFrame:
+    """A catalog table or view by name (``select *`` of it); filters and projections applied
+    later still reach its scan."""
+    return spark.table(name)
+
+
 def read_connector(spark: SparkSession, fmt: str, options: Mapping[str, str], spec: ReadSpec | None = None
                    ) -> DataFrame:
     """Any connector (``format`` + options), e.g. a wide-column store; read types of kind "wide"."""
