@@ -190,13 +190,19 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, strategy: st
         if k not in ttypes or k not in source.columns:
             raise ValueError(f"merge key {k!r} must exist in target and source")
     b = spec.batch_col
-    insert_cols = (
-        [c for c in tcols if c in source.columns] if spec.insert_columns is None
-        else [c for c in unique(spec.insert_columns) if c in ttypes]
-    )
+    if spec.insert_columns is None:
+        insert_cols = [c for c in tcols if c in source.columns]
+    else:
+        insert_cols = unique(spec.insert_columns)
+        unknown = [c for c in insert_cols if c not in ttypes]
+        if unknown:
+            raise ValueError(f"insert columns are not target columns: {unknown}")
     missing = [c for c in insert_cols if c not in source.columns]
     if missing:
         raise ValueError(f"insert columns missing from source: {missing}")
+    unknown = [c for c in spec.set_literal if c not in ttypes]
+    if unknown:
+        raise ValueError(f"cannot set columns the target lacks: {unknown}")
     for tc, sc in spec.set_from_source.items():
         if tc not in ttypes or sc not in source.columns:
             raise ValueError(f"cannot set target {tc!r} from source {sc!r}")

@@ -166,3 +166,21 @@ def test_latest_files(spark, tmp_path):
     df = latest_files(spark, str(tmp_path / "root"), pattern="x_", name_segment=len(str(tmp_path).split("/")) + 2)
     got = sorted((r.table_name, r.path.rsplit("/", 1)[1]) for r in df.collect())
     assert got == [("a", "x_2.parquet"), ("b", "x_2.parquet")]
+
+
+@pytest.mark.parametrize("max_partitions", [0, 100])
+def test_merge_into_table_without_pruning(spark, tmp_path, max_partitions):
+    """No source filter (every partition can match) or too many partitions to list: the whole
+    table is merged, with the same result."""
+    path = str(tmp_path / "sat")
+    ddl = "K long, REC_SRC_NM string, PART_COL string, LD_DT timestamp_ntz, LD_END_DT timestamp_ntz, VAL double"
+    rows = [(i, "F" if i % 2 else "O", str(i % 3), dt.datetime(2024, 1, 1), None, float(i)) for i in range(12)]
+    t = spark.createDataFrame(rows, ddl)
+    write_partitioned(t, path)
+    src = spark.createDataFrame([(2, "O", "2", dt.datetime(2024, 1, 1), dt.datetime(2024, 3, 1), 0.0),
+                                 (3, "F", "0", dt.datetime(2024, 1, 1), dt.datetime(2024, 3, 1), 0.0)], ddl)
+    spec = upsert_spec(src.columns, ["K", "LD_DT"], "LD_END_DT", src.columns)
+    info = merge_into_table(spark, path, src, spec, schema=t.schema, max_partitions=max_partitions)
+    assert info["partitions"] == (None if max_partitions == 0 else 6)
+    got = {r.K: r.LD_END_DT for r in spark.read.schema(t.schema).parquet(path).collect()}
+    assert len(got) == 12 and got[2] == got[3] == dt.datetime(2024, 3, 1) and got[4] is None

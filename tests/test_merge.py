@@ -299,3 +299,11 @@ def test_bad_options_rejected(spark):
         merge(t, s, MergeSpec(keys=("nope",)))
     with pytest.raises(ValueError):
         merge(t, s, MergeSpec(keys=("K",)), strategy="magic")
+
+
+def test_unknown_columns_rejected(spark):
+    t, s = frames(spark, TARGET, SOURCE[:2])
+    with pytest.raises(ValueError, match="not target columns"):
+        merge(t, s, MergeSpec(keys=("K",), insert_columns=("K", "nope")))
+    with pytest.raises(ValueError, match="target lacks"):
+        merge(t, s, MergeSpec(keys=("K",), set_literal={"nope": 1}))
