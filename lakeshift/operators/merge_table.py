@@ -100,8 +100,10 @@ def merge_into_table(
 def publish_staged(spark: SparkSession, stage: str, path: str, schema: StructType, partition_cols: Sequence[str],
                    *, fmt: str = "parquet") -> None:
     """Copy staged partitions over the table with dynamic partition overwrite. The staged copy
-    is complete before this starts, so if the job dies here it can simply be run again."""
+    is complete before this starts, so if the job dies here it can simply be run again. The
+    staged files were sized by the rebalanced write and each lies in one partition folder, so
+    the copy needs no shuffle: every task writes the partitions of the files it reads."""
     pcols = list(partition_cols)
     staged = spark.read.format(fmt).schema(schema).load(stage).select(schema.fieldNames())
-    (staged.hint("rebalance", *pcols).write.format(fmt).mode("overwrite")
+    (staged.write.format(fmt).mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*pcols).save(path))
