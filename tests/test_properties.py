@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import types as T
 
 from lakeshift.functions.predicates import apply_read_type, resolve_read_spec
+from lakeshift.operators import retention
 from lakeshift.operators.scd2 import close_and_insert, update_columns
 
 SCHEMA = T.StructType([
@@ -138,3 +139,43 @@ def test_merges_match_duckdb(spark, target, source, shape):
             return
         raise AssertionError("DuckDB rejected a double match that the merge accepted")
     assert ours(run()) == want
+
+
+
+def retention_model(runs, cfg):
+    """The housekeeping rules, per configured table, in plain Python."""
+    plan = {}
+    for cid, name, keep, active in cfg:
+        if active != "Y" or name is None or (keep or 0) <= 0:
+            continue
+        ids = [r for t, r in runs if t == name and r is not None]
+        if len(set(ids)) - keep <= 0:
+            continue
+        cut = max(ids) - keep
+        plan[(cid, name)] = (len(set(ids)), cut, sum(1 for r in ids if r <= cut))
+    return plan
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    runs=st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.one_of(st.none(), st.integers(1, 12))),
+                  max_size=30),
+    cfg=st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(-1, 6)),
+                           st.sampled_from(["Y", "N"])), max_size=3, unique_by=lambda c: c[0]),
+)
+def test_retention_matches_model(spark, runs, cfg):
+    cfg_rows = [(i + 1, name, keep, active) for i, (name, keep, active) in enumerate(cfg)]
+    runs_df = spark.createDataFrame(runs, "dq_table_name string, run_id bigint")
+    cfg_df = retention.config_frame(spark, [
+        dict(zip(["dq_err_tables_master_id", "dq_table_name", "no_of_exec_to_keep", "actv_inactv_ind"], r))
+        for r in cfg_rows])
+    plan = retention.plan(runs_df, cfg_df)
+    got = {(r[0], r[1]): (r[2], r[3], r[4]) for r in plan.collect()}
+    want = retention_model(runs, cfg_rows)
+    assert got == want
+    cuts = {name: cut for (_, name), (_, cut, _) in want.items()}
+    kept = sorted((t, -1 if r is None else r)
+                  for t, r in (tuple(x) for x in retention.apply(runs_df, plan, cfg_df).collect()))
+    want_kept = sorted((t, -1 if r is None else r) for t, r in runs
+                       if not (t in cuts and r is not None and r <= cuts[t]))
+    assert kept == want_kept
