@@ -7,8 +7,6 @@ DuckDB uses its registered views.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 
 BASE_TABLES = (
@@ -65,12 +63,13 @@ SELECT CAST(c_custkey AS STRING) AS VAL, c_mktsegment AS SEG, CAST(c_nationkey A
 FROM {customer}""",
 }
 
-_FRAME_REF = re.compile(r"\bFROM\s+(\w+)\b", re.IGNORECASE)
+# Frames built on other frames (the rest read only base tables).
+DEPENDS_ON = {"upd": ["sat"], "cycle_jan": ["cycle"]}
 
 
 def _deps(name: str, seen: list[str]) -> list[str]:
-    for ref in _FRAME_REF.findall(FRAMES[name]):
-        if ref in FRAMES and ref not in seen:
+    for ref in DEPENDS_ON.get(name, []):
+        if ref not in seen:
             _deps(ref, seen)
     if name not in seen:
         seen.append(name)
