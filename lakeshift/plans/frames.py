@@ -89,10 +89,6 @@ def with_clause(names: list[str], engine: str, sf_dir: str | None = None) -> str
     return "WITH " + ",\n".join(ctes)
 
 
-def base_ref(engine: str, table: str, sf_dir: str | None = None) -> str:
-    return f"parquet.`{sf_dir}/{table}.parquet`" if engine == "spark" else table
-
-
 def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(f"{with_clause([name], 'spark', sf_dir)}\nSELECT * FROM {name}")
 
