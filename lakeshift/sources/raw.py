@@ -21,16 +21,20 @@ def read_raw(
     infer_schema: bool | str = True,
     row_tag: str | None = None,
     schema: StructType | str | None = None,
+    sampling_ratio: float | None = None,
 ) -> DataFrame:
     """Read a raw CSV or XML file (parquet also accepted) and sanitise the column names.
 
     Prefer an explicit ``schema`` in production: inference costs an extra pass over the
     files and guesses narrower types (ints for longs, timestamps for timestamp_ntz).
+    ``sampling_ratio`` limits that pass to a fraction of the rows.
     """
     fmt = str(file_format).lower()
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
+    elif sampling_ratio is not None:
+        reader = reader.option("samplingRatio", str(sampling_ratio))
     if fmt == "csv":
         df = (reader.format("csv").option("header", str(header).lower())
               .option("delimiter", delimiter)
