@@ -313,6 +313,28 @@ def q_merge_expire_part_literal(spark, sf_dir):
                   source_filter="F")
 
 
+@register("merge_close_open_shuffle", ORACLE["merge_close_open"])
+def q_merge_close_open_shuffle(spark, sf_dir):
+    sat, upd = _sat_upd(spark, sf_dir)
+    return close_and_insert(sat, upd, scd2_keys(TABLE_KEYS, upd.columns), "LD_END_DT", END_VALUE,
+                            source_filter="F", strategy="shuffle")
+
+
+@register("merge_historical_update_shuffle", ORACLE["merge_historical_update"])
+def q_merge_historical_update_shuffle(spark, sf_dir):
+    sat, upd = _sat_upd(spark, sf_dir)
+    keys = historical_update_keys(TABLE_KEYS, upd.columns)
+    return update_columns(sat, upd, keys, ["VAL", "LD_END_DT", "REC_SRC_NM"], dedup_source=True,
+                          source_filter="F", strategy="shuffle")
+
+
+@register("merge_expire_two_cols_shuffle", ORACLE["merge_expire_two_cols"])
+def q_merge_expire_two_cols_shuffle(spark, sf_dir):
+    sat, upd = _sat_upd(spark, sf_dir)
+    return expire(sat, upd, ["ORD_ID"], "LD_END_DT", EXPIRE_INSERT,
+                  cols_to_update=["LD_END_DT", "SRC_EXPRN_DT"], source_filter="F", strategy="shuffle")
+
+
 LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
                  "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
@@ -322,6 +344,15 @@ def q_dedup_by_key(spark, sf_dir):
     return dedup_by_key(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+@register("dedup_events_by_type", _dedup_sql("events", ["event_type"], EVENT_COLS))
+def q_dedup_events_by_type(spark, sf_dir):
+    """Five keys, each holding about a fifth of the rows: the hot-group case of the de-duplication."""
+    return dedup_by_key(table(spark, sf_dir, "events"), ["event_type"])
+
+
 @register("distinct_part_col", oracle(["sat"], "SELECT DISTINCT PART_COL FROM sat"))
 def q_distinct_part_col(spark, sf_dir):
     return distinct_values(frame(spark, sf_dir, "sat"), "PART_COL")
