@@ -159,3 +159,65 @@ def expire_batch(target: DataFrame, source: DataFrame, obj: Mapping[str, Any], l
     update_keys = obj["update-keys"]
     return expire(target, source, list(update_keys["key-list"]), load_end_key, insert_columns,
                   cols_to_update=update_keys.get("cols-to-update"), source_filter=_source_filter(obj), **kw)
+
+
+# ---- merges into stored tables -------------------------------------------------------
+
+def _vault_target(root: str, obj: Mapping[str, Any]) -> tuple[str, list[str]]:
+    path = table_path(root, str(obj["target-table"]), obj.get("adv_schema"))
+    cols = obj.get("partition_col", list(VAULT_PARTITION_COLUMNS))
+    return path, [cols] if isinstance(cols, str) else list(cols)
+
+
+def _into_table(spark: SparkSession, root: str, source: DataFrame, obj: Mapping[str, Any], spec, **kw) -> dict:
+    from lakeshift.operators.merge_table import merge_into_table
+
+    path, cols = _vault_target(root, obj)
+    return merge_into_table(spark, path, source, spec, partition_cols=cols, **kw)
+
+
+def close_and_insert_into_table(spark: SparkSession, root: str, source: DataFrame, obj: Mapping[str, Any],
+                                load_end_key: str, load_end_value: Any, **kw) -> dict:
+    from lakeshift.operators.scd2 import close_and_insert_spec
+
+    spec = close_and_insert_spec(scd2_keys(obj["scd2"], source.columns), load_end_key, load_end_value,
+                                 source_filter=_source_filter(obj))
+    return _into_table(spark, root, source, obj, spec, **kw)
+
+
+def upsert_into_table(spark: SparkSession, root: str, source: DataFrame, obj: Mapping[str, Any],
+                      load_end_key: str, insert_columns: Sequence[str], **kw) -> dict:
+    from lakeshift.operators.scd2 import upsert_spec
+
+    _, table = split_table_name(str(obj["target-table"]))
+    scd2 = obj["scd2"]
+    extra = [scd2["scd2-column"][k]["colName"] for k in sorted(scd2.get("scd2-column", {}))]
+    spec = upsert_spec(source.columns, scd2_keys(scd2, source.columns), load_end_key, insert_columns,
+                       scd2_columns=extra, historical_sat=_historical(obj) and table.startswith("sat"),
+                       source_filter=_source_filter(obj))
+    return _into_table(spark, root, source, obj, spec, **kw)
+
+
+def update_historical_into_table(spark: SparkSession, root: str, source: DataFrame, obj: Mapping[str, Any],
+                                 columns: Sequence[str], update_key_cols: Sequence[str] = (), *,
+                                 batch_key_sources: Sequence[str] = (), **kw) -> dict:
+    from lakeshift.operators.dedup import dedup_by_key
+    from lakeshift.operators.scd2 import update_columns_spec
+
+    source_name = str(obj.get("sourceName", "")).lower()
+    add_batch = _historical(obj) and source_name in {s.lower() for s in batch_key_sources}
+    keys = historical_update_keys(obj.get("scd2"), source.columns, update_key_cols, add_batch_key=add_batch)
+    if _historical(obj):
+        source = dedup_by_key(source, keys)
+    spec = update_columns_spec(keys, columns, source_filter=_source_filter(obj))
+    return _into_table(spark, root, source, obj, spec, **kw)
+
+
+def expire_into_table(spark: SparkSession, root: str, source: DataFrame, obj: Mapping[str, Any],
+                      load_end_key: str, insert_columns: Sequence[str], **kw) -> dict:
+    from lakeshift.operators.scd2 import expire_spec
+
+    update_keys = obj["update-keys"]
+    spec = expire_spec(list(update_keys["key-list"]), load_end_key, insert_columns,
+                       cols_to_update=update_keys.get("cols-to-update"), source_filter=_source_filter(obj))
+    return _into_table(spark, root, source, obj, spec, **kw)

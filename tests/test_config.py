@@ -90,3 +90,34 @@ def test_use_case_overlay():
     assert config.rec_source_list(app, {"use-case": "datamart"}) == ["A"]
     assert config.overlay_use_case(app, {"use-case": "Datamart"})["x"] == 1
     assert config.rec_source_list({}, None) == []
+
+
+def test_upsert_into_table_matches_in_memory(spark, tmp_path):
+    sat, upd = frame(spark, SF_SMALL, "sat"), frame(spark, SF_SMALL, "upd")
+    root = str(tmp_path)
+    obj = {"target-table": "vault.SAT_ORDER", "source-filter": "F", "scd2": {"target-table-keys": ["ORD_ID"]}}
+    config.write_vault_table(sat, root, obj)
+    ins = ["ORD_ID", "REF_ID", "REC_SRC_NM", "PART_COL", "LD_DT", "BTCH_DT", "LD_END_DT", "VAL", "rankColumn"]
+    config.upsert_into_table(spark, root, upd, obj, "LD_END_DT", ins, schema=sat.schema)
+    stored = spark.read.schema(sat.schema).parquet(f"{root}/VAULT/sat_order").select(sat.columns)
+    assert rows(stored) == rows(config.upsert_batch(sat, upd, obj, "LD_END_DT", ins))
+
+
+def test_expire_and_historical_into_table(spark, tmp_path):
+    sat, upd = frame(spark, SF_SMALL, "sat"), frame(spark, SF_SMALL, "upd")
+    obj = {"target-table": "vault.SAT_ORDER", "source-filter": "F", "scd2": {"target-table-keys": ["ORD_ID"]},
+           "update-keys": {"key-list": ["ORD_ID"], "cols-to-update": ["LD_END_DT", "SRC_EXPRN_DT"]},
+           "historicalFlag": "true"}
+    src = upd.where("ORD_ID IS NOT NULL")
+    ins = ["ORD_ID", "REC_SRC_NM", "PART_COL", "LD_DT", "BTCH_DT", "SRC_EFF_DT", "LD_END_DT", "VAL"]
+    for name, into, mem in [
+        ("a", lambda r: config.expire_into_table(spark, r, src, obj, "LD_END_DT", ins, schema=sat.schema),
+         lambda: config.expire_batch(sat, src, obj, "LD_END_DT", ins)),
+        ("b", lambda r: config.update_historical_into_table(spark, r, upd, obj, ["VAL"], schema=sat.schema),
+         lambda: config.update_historical_batch(sat, upd, obj, ["VAL"])),
+    ]:
+        root = str(tmp_path / name)
+        config.write_vault_table(sat, root, obj)
+        into(root)
+        stored = spark.read.schema(sat.schema).parquet(f"{root}/VAULT/sat_order").select(sat.columns)
+        assert rows(stored) == rows(mem())
