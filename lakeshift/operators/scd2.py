@@ -120,24 +120,36 @@ def row_bytes(schema: T.StructType) -> Column:
     return reduce(lambda a, b: a + b, widths, F.lit(16)).cast("long")
 
 
-def profile_source(df: DataFrame, measure_bytes: bool, partition_col: str | None
-                   ) -> tuple[int | None, str | None]:
-    """One aggregate pass over a frame returning one row: its payload bytes (for the broadcast
-    check) and its partition value when it holds exactly one, non-null. Nothing else reaches
-    the driver."""
-    aggs: list[Column] = []
-    if measure_bytes:
-        aggs.append(F.sum(row_bytes(df.schema)).alias("bytes"))
+MIN_ROW_BYTES = 16  # the per-row overhead ``row_bytes`` starts from
+
+
+def profile_source(df: DataFrame, measure_bytes: bool, partition_col: str | None,
+                   byte_limit: int | None = None) -> tuple[int | None, str | None]:
+    """The frame's payload bytes (for the broadcast check) and its partition value when it holds
+    exactly one, non-null. Each pass returns one row; nothing else reaches the driver.
+
+    With ``byte_limit`` a first pass counts rows (reading at most the partition column); only
+    a frame whose row count could fit under the limit is measured exactly in a second pass,
+    so a large source is never read in full just to learn that it is large."""
+    size = value = None
+    first: list[Column] = []
     if partition_col is not None:
-        aggs += [F.min(partition_col).alias("lo"), F.max(partition_col).alias("hi"),
-                 F.count(F.lit(1)).alias("n"), F.count(partition_col).alias("nn")]
-    if not aggs:
-        return None, None
-    row = df.agg(*aggs).first()
-    size = int(row["bytes"] or 0) if measure_bytes else None
-    value = None
-    if partition_col is not None and row["n"] and row["nn"] == row["n"] and row["lo"] == row["hi"]:
-        value = str(row["lo"])
+        first += [F.min(partition_col).alias("lo"), F.max(partition_col).alias("hi"),
+                  F.count(partition_col).alias("nn")]
+    if measure_bytes and byte_limit is None:
+        first.append(F.sum(row_bytes(df.schema)).alias("bytes"))
+    if first or measure_bytes:
+        row = df.agg(F.count(F.lit(1)).alias("n"), *first).first()
+        n = int(row["n"])
+        if partition_col is not None and n and row["nn"] == n and row["lo"] == row["hi"]:
+            value = str(row["lo"])
+        if measure_bytes and byte_limit is None:
+            size = int(row["bytes"] or 0)
+        elif measure_bytes:
+            if n * MIN_ROW_BYTES > byte_limit:
+                size = n * MIN_ROW_BYTES  # a lower bound, already over the limit
+            else:
+                size = int(df.agg(F.sum(row_bytes(df.schema)).alias("b")).first()["b"] or 0)
     return size, value
 
 
@@ -217,7 +229,8 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, strategy: st
     if spec.discover_partition and spec.source_filter is not None and spec.partition_value is None:
         part_src = find_column(source, spec.partition_col)
     size, part_value = profile_source(
-        source.select(*unique([*needed, *([part_src] if part_src else [])])), limit > 0, part_src)
+        source.select(*unique([*needed, *([part_src] if part_src else [])])), limit > 0, part_src,
+        byte_limit=limit if limit > 0 else None)
     use_broadcast = strategy == "broadcast" or (limit > 0 and size is not None and size <= limit)
 
     pred = spec.slice_predicate(part_value)
