@@ -8,6 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+
+def _escape(text: str) -> str:
+    """``text`` as a literal inside a Java regular expression."""
+    return "\\Q" + text + "\\E"
+
+
 CATALOG_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("position", T.IntegerType()),
@@ -29,10 +35,11 @@ def schema_catalog(spark: SparkSession, tables: Mapping[str, DataFrame]) -> Data
 
 
 def latest_files(spark: SparkSession, root: str, pattern: str = "", name_segment: int | None = None,
-                 glob: str | None = None) -> DataFrame:
+                 glob: str | None = None, depth: int | None = None) -> DataFrame:
     """Newest file (by modification time, then path) in every directory under ``root``,
     kept when its path contains ``pattern``; ``table_name`` is path segment ``name_segment``
-    (1-based, counted on ``/``) when given.
+    (1-based, counted on ``/``) when given. ``depth`` keeps only files that many levels below
+    ``root`` (2 = files directly inside each sub-directory).
 
     Only file metadata is read (``binaryFile`` with ``content`` pruned). The newest file per
     directory is a ``max(struct(mtime, path))`` aggregate, so a directory with millions of
@@ -42,6 +49,9 @@ def latest_files(spark: SparkSession, root: str, pattern: str = "", name_segment
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     files = reader.load(root).select("path", "modificationTime", "length")
+    if depth is not None:
+        below = F.regexp_replace("path", r"^.*?" + _escape(root.rstrip("/").split(":", 1)[-1]) + "/", "")
+        files = files.where(F.size(F.split(below, "/")) == F.lit(depth))
     newest = (
         files.withColumn("directory", F.regexp_extract("path", r"^(.*)/[^/]*$", 1))
         .groupBy("directory")

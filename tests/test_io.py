@@ -184,3 +184,15 @@ def test_merge_into_table_without_pruning(spark, tmp_path, max_partitions):
     assert info["partitions"] == (None if max_partitions == 0 else 6)
     got = {r.K: r.LD_END_DT for r in spark.read.schema(t.schema).parquet(path).collect()}
     assert len(got) == 12 and got[2] == got[3] == dt.datetime(2024, 3, 1) and got[4] is None
+
+
+def test_latest_files_depth(spark, tmp_path):
+    root = tmp_path / "base"
+    (root / "t1" / "deeper").mkdir(parents=True)
+    (root / "t1" / "a.parquet").write_text("z")
+    (root / "t1" / "deeper" / "b.parquet").write_text("z")
+    os.utime(root / "t1" / "deeper" / "b.parquet", (1_800_000_000, 1_800_000_000))
+    got = sorted(r.path.rsplit("/", 1)[1] for r in latest_files(spark, str(root), depth=2).collect())
+    assert got == ["a.parquet"]
+    got = sorted(r.path.rsplit("/", 1)[1] for r in latest_files(spark, str(root)).collect())
+    assert got == ["a.parquet", "b.parquet"]
