@@ -7,6 +7,7 @@ from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: characters parquet rejects in names; each run of them becomes one "_".
 NAME_JUNK = re.compile(r"[\,\s;\n\t\={}()]+")
@@ -26,8 +27,11 @@ def sanitize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*cleaned)
 
 
-def as_text(c: Column) -> Column:
-    """Python-style ``str()`` of a value: null becomes the text "None"."""
+def as_text(c: Column, data_type: T.DataType | None = None) -> Column:
+    """Python-style ``str()`` of a value: null becomes "None", booleans "True"/"False".
+    (Doubles of 1e7 and more print as ``1.0E7`` here where Python prints ``10000000.0``.)"""
+    if isinstance(data_type, T.BooleanType):
+        return F.when(c.isNull(), F.lit("None")).when(c, F.lit("True")).otherwise(F.lit("False"))
     return F.coalesce(c.cast("string"), F.lit("None"))
 
 

@@ -37,7 +37,7 @@ def lookup(
         df = df.where(reduce(lambda a, b: a & b, [
             F.lower(F.col(c)) == F.lit(str(v).lower()) for c, v in filters.items()
         ]))
-    value = as_text(F.col(return_col))
+    value = as_text(F.col(return_col), df.schema[return_col].dataType)
     if pad_length is not None:
         value = pad_left(value, int(pad_length), str(pad_char))
     return df.select(value.alias(return_col))

@@ -196,3 +196,9 @@ def test_latest_files_depth(spark, tmp_path):
     assert got == ["a.parquet"]
     got = sorted(r.path.rsplit("/", 1)[1] for r in latest_files(spark, str(root)).collect())
     assert got == ["a.parquet", "b.parquet"]
+
+
+def test_lookup_text_like_python_str(spark):
+    df = spark.createDataFrame([(True, "k"), (False, "k"), (None, "k")], "flag boolean, K string")
+    assert sorted(r.flag for r in lookup(df, {"K": "k"}, "flag").collect()) == sorted(
+        str(v) for v in (True, False, None))
