@@ -31,3 +31,24 @@ def test_entry_contract(spark):
     df = entry_module.entry(spark)
     assert df.count() > 0
     assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
+
+
+JOIN_HEAVY = sorted(n for n in registry.QUERIES if n.startswith(("merge_", "retention_", "dedup")))
+
+
+@pytest.mark.parametrize("name", JOIN_HEAVY)
+def test_join_heavy_queries_without_broadcast(spark, con, name):
+    """Every join planned as a sort-merge join (no size-checked or automatic broadcast)."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        ours = spark_digest(registry.QUERIES[name](spark, SF_SMALL))
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert ours == duck_digest(con, registry.ORACLE[name])
