@@ -49,6 +49,7 @@ def merge_into_table(
     fmt: str = "parquet",
     schema: StructType | None = None,
     strategy: str = "auto",
+    salt_buckets: int = 0,
     max_partitions: int = MAX_PARTITIONS,
 ) -> dict:
     pcols = list(partition_cols)
@@ -90,7 +91,7 @@ def merge_into_table(
     if len(keys) <= max_partitions:
         target = target.where(partition_key(pcols).isin(keys))
 
-    merged = merge(target, source, spec, strategy=strategy).select(tcols)
+    merged = merge(target, source, spec, strategy=strategy, salt_buckets=salt_buckets).select(tcols)
     stage = scratch_path(spark, "merge")
     merged.hint("rebalance", *pcols).write.format(fmt).partitionBy(*pcols).save(stage)
     publish_staged(spark, stage, path, merged.schema, pcols, fmt=fmt)

@@ -190,9 +190,26 @@ def _key_condition(keys: Sequence[str], left_prefix: str = "", right_prefix: str
     )
 
 
-def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, strategy: str = "auto") -> DataFrame:
+def _salted(df: DataFrame, name: str, buckets: int) -> DataFrame:
+    """A deterministic salt per row (a hash of the whole row, never random, so a retried task
+    reproduces it)."""
+    return df.withColumn(name, F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(buckets)))
+
+
+def _replicated(df: DataFrame, name: str, buckets: int) -> DataFrame:
+    """Every row once per salt value (used on the one-row-per-key side only)."""
+    return df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)).cast("array<bigint>")))
+
+
+def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, strategy: str = "auto",
+          salt_buckets: int = 0) -> DataFrame:
     """Return the merged target. ``strategy``: "auto" (size-checked broadcast, else shuffle),
-    "broadcast" or "shuffle"."""
+    "broadcast" or "shuffle".
+
+    ``salt_buckets`` > 1 (shuffle joins only) spreads every key over that many tasks without
+    relying on AQE: target rows, and source rows in the insert join, get a deterministic salt,
+    and the one-row-per-key sides are replicated per salt value. By default AQE's skew join
+    splits hot keys at run time instead."""
     if not spec.keys:
         raise ValueError("a merge needs at least one key column")
     tcols = target.columns
@@ -291,8 +308,14 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, strategy: st
     # grouped by k, is therefore shuffled once more into the join. That is deliberate: AQE
     # splits a skewed join partition only when both join inputs are plain shuffle stages,
     # and a hot target key must stay splittable. The re-shuffled side has one row per key.
+    salt = salt_buckets > 1 and not use_broadcast
     right = F.broadcast(summary) if use_broadcast else summary
-    joined = touched.join(right, match_cond, "left")
+    if salt:
+        touched_side = _salted(touched, "__tsalt", salt_buckets)
+        right = _replicated(right, "__ssalt", salt_buckets)
+        joined = touched_side.join(right, match_cond & (F.col("__tsalt") == F.col("__ssalt")), "left")
+    else:
+        joined = touched.join(right, match_cond, "left")
     if spec.check_single_match:
         joined = joined.where(
             F.when(matched & too_many,
@@ -328,7 +351,12 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, strategy: st
             anti_cond = _key_condition(keys, "__t", _S) & (F.col("__tmin") <= F.col(_S + b))
         if use_broadcast:
             tk = F.broadcast(tk)  # bounded by the distinct keys of the checked source
-        inserts = s.join(tk, anti_cond, "left_anti")
+        if salt:
+            inserts = _salted(s, "__isalt", salt_buckets).join(
+                _replicated(tk, "__ksalt", salt_buckets), anti_cond & (F.col("__isalt") == F.col("__ksalt")),
+                "left_anti").drop("__isalt")
+        else:
+            inserts = s.join(tk, anti_cond, "left_anti")
         chosen = set(insert_cols)
         inserts = inserts.select([
             (F.col(_S + c).cast(ttypes[c]) if c in chosen else F.lit(None).cast(ttypes[c])).alias(c)
@@ -438,36 +466,37 @@ def expire_spec(keys: Sequence[str], end_key: str, insert_columns: Sequence[str]
 
 def close_and_insert(target: DataFrame, source: DataFrame, keys: Sequence[str], end_key: str, end_value: Any, *,
                      source_filter: str | None = None, discover_partition: bool = True,
-                     strategy: str = "auto") -> DataFrame:
+                     strategy: str = "auto", salt_buckets: int = 0) -> DataFrame:
     spec = close_and_insert_spec(keys, end_key, end_value, source_filter=source_filter,
                                  discover_partition=discover_partition)
-    return merge(target, source, spec, strategy=strategy)
+    return merge(target, source, spec, strategy=strategy, salt_buckets=salt_buckets)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], end_key: str, insert_columns: Sequence[str],
            *, scd2_columns: Sequence[str] = (), historical_sat: bool = False, source_filter: str | None = None,
-           discover_partition: bool = True, strategy: str = "auto") -> DataFrame:
+           discover_partition: bool = True, strategy: str = "auto", salt_buckets: int = 0) -> DataFrame:
     spec = upsert_spec(source.columns, keys, end_key, insert_columns, scd2_columns=scd2_columns,
                        historical_sat=historical_sat, source_filter=source_filter,
                        discover_partition=discover_partition)
-    return merge(target, source, spec, strategy=strategy)
+    return merge(target, source, spec, strategy=strategy, salt_buckets=salt_buckets)
 
 
 def update_columns(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str], *,
                    dedup_source: bool = False, source_filter: str | None = None, discover_partition: bool = True,
-                   strategy: str = "auto") -> DataFrame:
+                   strategy: str = "auto", salt_buckets: int = 0) -> DataFrame:
     """``dedup_source`` keeps one source row per key, chosen repeatably."""
     from lakeshift.operators.dedup import dedup_by_key
 
     if dedup_source:
         source = dedup_by_key(source, keys)
     spec = update_columns_spec(keys, columns, source_filter=source_filter, discover_partition=discover_partition)
-    return merge(target, source, spec, strategy=strategy)
+    return merge(target, source, spec, strategy=strategy, salt_buckets=salt_buckets)
 
 
 def expire(target: DataFrame, source: DataFrame, keys: Sequence[str], end_key: str, insert_columns: Sequence[str],
            *, cols_to_update: Sequence[str] | None = None, batch_col: str = BATCH_DATE,
-           source_filter: str | None = None, discover_partition: bool = True, strategy: str = "auto") -> DataFrame:
+           source_filter: str | None = None, discover_partition: bool = True, strategy: str = "auto",
+           salt_buckets: int = 0) -> DataFrame:
     spec = expire_spec(keys, end_key, insert_columns, cols_to_update=cols_to_update, batch_col=batch_col,
                        source_filter=source_filter, discover_partition=discover_partition)
-    return merge(target, source, spec, strategy=strategy)
+    return merge(target, source, spec, strategy=strategy, salt_buckets=salt_buckets)

@@ -145,3 +145,19 @@ def test_hot_source_key_is_split_in_the_insert_join(spark):
         final = plan_text(out)
     joins = [line for line in final.splitlines() if "SortMergeJoin(skew=true)" in line]
     assert any("LeftAnti" in line for line in joins)
+
+
+@pytest.mark.parametrize("residual", [False, True])
+def test_salted_merge_gives_the_same_rows(spark, residual):
+    from lakeshift.operators.scd2 import MergeSpec as Spec
+
+    t = hot_target(spark, 3000).withColumn("B", (F.col("VAL") % 5).cast("long"))
+    s = (spark.range(-9, 3000, 4).select(F.col("id").alias("K"), F.lit("F").alias("SRC"),
+                                         F.lit(None).cast("timestamp_ntz").alias("END"), F.lit(1.0).alias("VAL"),
+                                         F.lit(3).cast("long").alias("B")))
+    spec = Spec(keys=("K",), end_key="END", source_filter="F", source_col="SRC",
+                batch_col="B" if residual else None, set_from_source={"VAL": "VAL"}, insert_columns=None)
+    plain = sorted(tuple(r) for r in merge(t, s, spec, strategy="shuffle").collect())
+    salted_df = merge(t, s, spec, strategy="shuffle", salt_buckets=8)
+    assert "__tsalt" in plan_text(salted_df)
+    assert sorted(tuple(r) for r in salted_df.collect()) == plain
