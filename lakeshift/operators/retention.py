@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from typing import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -166,22 +167,33 @@ def run_retention(
     write: Callable[[str, DataFrame], None],
     append_log: Callable[[DataFrame], None],
     executed_at: _dt.datetime | None = None,
+    max_parallel_tables: int = 1,
 ) -> list[dict]:
     """The housekeeping job: plan every table in one job, then per table write the surviving
     rows (``write(name, df)`` must stage before replacing a path it reads) and append the log.
-    Failures are isolated per table and returned."""
+    Failures are isolated per table and returned. ``max_parallel_tables`` > 1 rewrites that
+    many tables at once (concurrent Spark jobs from a small thread pool)."""
     retention_plan, errors = plan_tables(spark, cfg, load)
     rows = retention_plan.collect()  # one row per table to clean
     when = executed_at or _dt.datetime.now()
-    done = []
-    for row in rows:
+
+    def clean(row) -> dict | None:
         name = row[TABLE]
         try:
             write(name, apply_table(load(name), row["max_run_id_deleted_in_frt"]))
-            done.append(row)
+            return None
         except Exception as exc:
             log.warning("retention: table %s failed: %s", name, exc)
-            errors.append({"table": name, "error": str(exc)})
+            return {"table": name, "error": str(exc)}
+
+    workers = max(1, min(int(max_parallel_tables), len(rows) or 1))
+    if workers == 1:
+        outcomes = [clean(row) for row in rows]
+    else:
+        with ThreadPoolExecutor(max_workers=workers) as pool:
+            outcomes = list(pool.map(clean, rows))
+    done = [row for row, failure in zip(rows, outcomes) if failure is None]
+    errors += [failure for failure in outcomes if failure is not None]
     if done:
         append_log(audit_log(spark.createDataFrame(done, retention_plan.schema), when))
     return errors

@@ -57,3 +57,23 @@ def test_per_table_isolation(spark, tmp_path):
     assert [e["table"] for e in errors] == ["missing"]
     assert written == {"good": [4, 5]}
     assert [tuple(r)[2:] for r in logs[0].collect()] == [("good", 5, 3, 3)]
+
+
+def test_parallel_tables_give_the_same_outcome(spark, tmp_path):
+    paths = {}
+    for name, top in (("t1", 6), ("t2", 9), ("t3", 4)):
+        paths[name] = str(tmp_path / name)
+        spark.createDataFrame([(i, 1) for i in range(1, top + 1)], "run_id bigint, v int").write.parquet(paths[name])
+    conf = cfg(spark, [(1, "t1", 2, "Y"), (2, "t2", 3, "Y"), (3, "t3", 1, "Y"), (4, "gone", 1, "Y")])
+    paths["gone"] = str(tmp_path / "missing")
+    results = []
+    for workers in (1, 3):
+        written, logs = {}, []
+        errors = retention.run_retention(
+            spark, conf, lambda n: spark.read.parquet(paths[n]),
+            lambda n, df: written.__setitem__(n, sorted(r.run_id for r in df.collect())),
+            logs.append, executed_at=dt.datetime(2024, 1, 1), max_parallel_tables=workers)
+        results.append((written, sorted(tuple(r) for r in logs[0].collect()), [e["table"] for e in errors]))
+    assert results[0] == results[1]
+    assert results[0][0] == {"t1": [5, 6], "t2": [7, 8, 9], "t3": [4]}
+    assert results[0][2] == ["gone"]
