@@ -14,8 +14,9 @@ BASE_TABLES = (
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
-# sat: satellite, one third of the rows closed. upd: one source system's batch with rows
-# matching open versions, rows matching only closed versions, new keys and null keys.
+# sat: satellite, one third of the rows closed. upd: source system F's batch, chosen by load
+# date: rows loaded from 2000 on come again with new values (they match open versions, or only
+# closed ones), the 1998 loads come under new keys, the January 1996 loads with null keys.
 FRAMES: dict[str, str] = {
     "sat": """
 SELECT o_orderkey AS ORD_ID, o_custkey AS REF_ID, o_orderstatus AS REC_SRC_NM,
@@ -27,21 +28,21 @@ FROM {orders}""",
     "upd": """
 SELECT ORD_ID, REF_ID, REC_SRC_NM, PART_COL, LD_DT, BTCH_DT, SRC_EFF_DT, SRC_EXPRN_DT,
        LD_DT + INTERVAL 400 DAY AS LD_END_DT, VAL + 1 AS VAL
-FROM sat WHERE REC_SRC_NM = 'F' AND ORD_ID % 5 = 0
+FROM sat WHERE REC_SRC_NM = 'F' AND year(LD_DT) >= 2000
 UNION ALL
 SELECT ORD_ID + 10000000, REF_ID, REC_SRC_NM, PART_COL, LD_DT, BTCH_DT, SRC_EFF_DT, SRC_EXPRN_DT,
        SRC_EXPRN_DT AS LD_END_DT, VAL
-FROM sat WHERE REC_SRC_NM = 'F' AND ORD_ID % 50 = 1
+FROM sat WHERE REC_SRC_NM = 'F' AND year(LD_DT) = 1998
 UNION ALL
 SELECT CASE WHEN ORD_ID < 0 THEN ORD_ID END, REF_ID, REC_SRC_NM, PART_COL, LD_DT, BTCH_DT, SRC_EFF_DT,
        SRC_EXPRN_DT, SRC_EXPRN_DT AS LD_END_DT, VAL
-FROM sat WHERE REC_SRC_NM = 'F' AND ORD_ID % 997 = 0""",
+FROM sat WHERE REC_SRC_NM = 'F' AND year(LD_DT) = 1996 AND month(LD_DT) = 1""",
     "cycle": """
 SELECT l_orderkey, l_linenumber, CAST(year(l_shipdate) - 1900 AS INT) AS CYC_YEAR,
        CAST(month(l_shipdate) AS INT) AS CYC_MONTH, l_extendedprice, l_shipdate
 FROM {lineitem}""",
     "cycle_jan": """
-SELECT * FROM cycle WHERE l_shipdate < TIMESTAMP '2001-02-01 00:00:00'""",
+SELECT * FROM cycle WHERE CAST(l_shipdate AS DATE) < DATE '2001-02-01'""",
     "runs": """
 SELECT event_type AS dq_table_name, CAST(day(ts) AS BIGINT) AS run_id, event_id, value
 FROM {events}""",
