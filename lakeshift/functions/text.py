@@ -28,11 +28,80 @@ def sanitize_columns(df: DataFrame) -> DataFrame:
 
 
 def as_text(c: Column, data_type: T.DataType | None = None) -> Column:
-    """Python-style ``str()`` of a value: null becomes "None", booleans "True"/"False".
-    (Doubles of 1e7 and more print as ``1.0E7`` here where Python prints ``10000000.0``.)"""
+    """Python-style ``str()`` of a value: null becomes "None", booleans "True"/"False",
+    floating point as Python's ``repr`` and timestamps with six fraction digits."""
     if isinstance(data_type, T.BooleanType):
-        return F.when(c.isNull(), F.lit("None")).when(c, F.lit("True")).otherwise(F.lit("False"))
-    return F.coalesce(c.cast("string"), F.lit("None"))
+        text = F.when(c, F.lit("True")).otherwise(F.lit("False"))
+    elif isinstance(data_type, (T.DoubleType, T.FloatType)):
+        text = python_float_text(c)
+    elif isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
+        text = python_timestamp_text(c)
+    else:
+        text = c.cast("string")
+    return F.when(c.isNull(), F.lit("None")).otherwise(text)
+
+
+def python_float_text(c: Column) -> Column:
+    """``str(float)``: the shortest significant digits that read back as the same double (15,
+    16 or 17 correctly rounded digits, trailing zeros dropped), written positionally for
+    decimal exponents -4..15 and otherwise as ``1.5e+16`` / ``1e-05``. A float column is
+    widened first, as Python does."""
+    v = c.cast("double")
+    # From 2**53 to 2**63 a double is a whole number: round its exact value, because there
+    # the JVM's own 17th digit is not always the closest one.
+    whole_band = (F.abs(v) >= float(2**53)) & (F.abs(v) < float(2**63))
+    exact = F.abs(v).cast("long").cast("decimal(20,0)")
+    size = F.length(exact.cast("string"))  # 16..19 digits in the band
+
+    def exact_text(width: int) -> Column:
+        rounded = F.lit(None).cast("string")
+        for n in (16, 17, 18, 19):
+            rounded = F.when(size == n, F.round(exact, width - n).cast("string")).otherwise(rounded)
+        return F.concat(
+            F.when(v < 0, F.lit("-")).otherwise(F.lit("")), rounded.substr(1, 1), F.lit("."),
+            rounded.substr(F.lit(2), F.lit(width - 1)), F.lit("e+"), (F.length(rounded) - 1).cast("string"),
+        )
+
+    sci = None
+    for width in (17, 16, 15):  # the last "when" added is tried first
+        text = F.when(whole_band, exact_text(width)).otherwise(F.format_string(f"%.{width - 1}e", v))
+        sci = text if sci is None else F.when(text.cast("double") == v, text).otherwise(sci)
+    mant = F.substring_index(sci, "e", 1)
+    exp = F.substring_index(sci, "e", -1).cast("int")
+    sign = F.when(mant.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    # Significant digits, first one non-zero: "1.50" -> "15", "1.0" -> "1".
+    digits = F.regexp_replace(F.regexp_replace(mant, r"[-.]", ""), "0+$", "")
+    n = F.length(digits)
+    whole = F.concat(
+        F.rpad(digits, F.greatest(n, exp + 1), "0").substr(F.lit(1), exp + 1),
+        F.lit("."),
+        F.when(n > exp + 1, digits.substr(exp + 2, n)).otherwise(F.lit("0")),
+    )
+    fraction = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
+    scientific = F.concat(
+        digits.substr(1, 1),
+        F.when(n > 1, F.concat(F.lit("."), digits.substr(F.lit(2), n))).otherwise(F.lit("")),
+        F.lit("e"),
+        F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")),
+        F.when(F.abs(exp) < 10, F.lit("0")).otherwise(F.lit("")),  # lpad would cut "308"
+        F.abs(exp).cast("string"),
+    )
+    return (
+        F.when(F.isnan(v), F.lit("nan"))
+        .when(v == float("inf"), F.lit("inf"))
+        .when(v == float("-inf"), F.lit("-inf"))
+        .when(v == 0, F.when(v.cast("string").startswith("-"), F.lit("-0.0")).otherwise(F.lit("0.0")))
+        .when((exp >= 0) & (exp < 16), F.concat(sign, whole))
+        .when((exp < 0) & (exp >= -4), F.concat(sign, fraction))
+        .otherwise(F.concat(sign, scientific))
+    )
+
+
+def python_timestamp_text(c: Column) -> Column:
+    """``str(datetime)``: seconds always, microseconds as six digits only when non-zero."""
+    base = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    micros = F.date_format(c, "SSSSSS")
+    return F.when(micros == "000000", base).otherwise(F.concat(base, F.lit("."), micros))
 
 
 def strip_whitespace(c: Column) -> Column:
