@@ -33,8 +33,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be a shared file system path set by the cluster. Only when it
-    is unset (local tests) do we create one.
+    On a cluster this must be a shared file system path set by the cluster; a missing setting
+    is an error there. Only a local master, where driver and executors are one process, gets a
+    private temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -42,7 +43,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Only when nothing is configured (local tests): a private temporary folder.
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError(
+                "set spark.checkpoint.dir to a folder that the driver and all executors share"
+            )
         configured = tempfile.mkdtemp(prefix="lakeshift-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
