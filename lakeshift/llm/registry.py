@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from lakeshift.llm import line_dedup, quality, sharding
+from lakeshift.llm import bpe, line_dedup, quality, sharding
 
 QUERIES = {
     "op1_bounded_ring": sharding.op1_bounded_ring,
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op9_quality_ledger": quality.op9_quality_ledger,
+    "op10_bpe_automaton": bpe.op10_bpe_automaton,
 }
 
 #: SQL where it runs on whole tables in reasonable time; the rest is tested by brute force.
