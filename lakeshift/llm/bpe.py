@@ -20,6 +20,7 @@ labels of the arcs.
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Sequence
 from functools import lru_cache
@@ -34,7 +35,7 @@ from pyspark.sql import types as T
 from lakeshift.llm.common import add_text_columns, table
 
 #: Words kept with their ids per Python worker; when full, the memory is emptied and filled anew.
-MEMORY_WORDS = 200_000
+MEMORY_WORDS = 400_000
 #: Letters and numbers assigned after Unicode 16, which the tokenizers library does
 #: not know yet (code points in hexadecimal). The regex module may know them.
 NEWER = """
@@ -71,17 +72,27 @@ class TokenAutomaton:
         self._arcs: dict[tuple[int, int], bool] = {}
         for time, (u, v) in enumerate(merges):
             self._gadget(vocab[u], vocab[v], vocab[u + v], time)
-        # Token texts that can be spelled, and their prefixes, for finding the arcs along a word.
-        made = {i for i in vocab.values() if i in self.left or self._is_base(self.labels[i])}
-        self.by_text = {self._marked(self.labels[i]): i for i in made}
-        self.prefixes = {s[:k] for s in self.by_text for k in range(1, len(s) + 1)}
+        # Labels of the arcs as one table: node and symbol -> node; a node's token, if it is one.
+        # A symbol is a byte, plus 256 where the word ends with it.
+        self.next_node: dict[int, int] = {}
+        self.token_at: dict[int, int] = {}
+        byte_of = {c: b for b, c in enumerate(byte_symbols())}
+        for token in vocab.values():
+            if token in self.left or self._is_base(self.labels[token]):
+                self._enter(token, byte_of)
 
     def _is_base(self, label: str) -> bool:
         return len(label.removesuffix(self.end) if self.end and label != self.end else label) == 1
 
-    def _marked(self, label: str) -> str:
-        """The token's text with its word end as one character that no symbol uses."""
-        return label.removesuffix(self.end) + "\0" if self.end and label.endswith(self.end) and label != self.end else label
+    def _enter(self, token: int, byte_of: dict[str, int]) -> None:
+        label, node = self.labels[token], 0
+        ends = bool(self.end) and label.endswith(self.end) and label != self.end
+        symbols = [byte_of[c] for c in (label.removesuffix(self.end) if ends else label)]
+        if ends:
+            symbols[-1] += 256
+        for symbol in symbols:
+            node = self.next_node.setdefault(node << 9 | symbol, len(self.next_node) + 1)
+        self.token_at[node] = token
 
     def _gadget(self, u: int, v: int, w: int, time: int) -> None:
         if w in self.left or not self._has_arc(u, v, time):
@@ -114,51 +125,56 @@ class TokenAutomaton:
 
     def follows(self, state: int, arc: int) -> bool:
         """The transition table: may this token stand after that one? Filled as it is used."""
-        found = self._arcs.get((state, arc))
+        found = self._arcs.get(state << 20 | arc)
         if found is None:
-            if len(self._arcs) > 4_000_000:
+            if len(self._arcs) > 2_000_000:
                 self._arcs.clear()
-            found = self._arcs[state, arc] = self._has_arc(state, arc)
+            found = self._arcs[state << 20 | arc] = self._has_arc(state, arc)
         return found
 
-    def encode_word(self, symbols: str) -> list[int]:
-        """The tokens of one word, given as byte symbols. Linear in its length but for dead ends."""
-        if not symbols:
+    def encode_word(self, word: bytes) -> list[int]:
+        """The tokens of one word. Linear in its length but for dead ends, which are remembered."""
+        if not word:
             return []
-        text = symbols + "\0" if self.end else symbols
-        by_text, prefixes, n = self.by_text, self.prefixes, len(text)
-        if text in by_text and self._reachable(by_text[text]):
-            return [by_text[text]]
-
-        def arcs(at: int) -> list[tuple[int, int]]:
-            found, stop = [], at + 1
-            while stop <= n and text[at:stop] in prefixes:
-                if text[at:stop] in by_text:
-                    found.append((by_text[text[at:stop]], stop))
+        symbols = list(word)
+        if self.end:
+            symbols[-1] += 256
+        n, next_node, token_at, follows = len(symbols), self.next_node, self.token_at, self.follows
+        tokens: list[int] = []
+        stops: list[int] = []
+        untried: list[list[tuple[int, int]]] = []  # per token of the path: shorter arcs from its start
+        dead: set[tuple[int, int]] = set()  # (token, stop) from which the word cannot be finished
+        at = 0
+        while at < n:
+            node, stop, arcs = 0, at, []
+            while stop < n and (node := next_node.get(node << 9 | symbols[stop])) is not None:
                 stop += 1
-            return found  # shortest first: taken from the end
-
-        path: list[tuple[int, int]] = []  # (token, where it stops)
-        open_arcs = [arcs(0)]
-        dead: set[tuple[int, int]] = set()
-        while open_arcs:
-            if path and path[-1][1] == n:
-                return [token for token, _ in path]
-            if not open_arcs[-1]:
-                open_arcs.pop()
-                if path:
-                    dead.add(path.pop())
-                continue
-            token, stop = open_arcs[-1].pop()
-            if (token, stop) in dead or path and not self.follows(path[-1][0], token):
-                continue
-            path.append((token, stop))
-            open_arcs.append(arcs(stop) if stop < n else [])
-        raise ValueError(f"the vocabulary cannot spell {symbols!r}")
-
-    def _reachable(self, token: int) -> bool:
-        """Whether the start state has this arc: tokens are entered only when a gadget makes them."""
-        return token in self.left or self._is_base(self.labels[token])
+                if node in token_at:
+                    arcs.append((token_at[node], stop))
+            while True:
+                while arcs:
+                    token, stop = arcs.pop()  # the longest first
+                    if (not tokens or follows(tokens[-1], token)) and (token, stop) not in dead:
+                        break
+                else:
+                    if not tokens:
+                        raise ValueError(f"the vocabulary cannot spell {word!r}")
+                    dead.add((tokens.pop(), stops.pop()))
+                    arcs = untried.pop()
+                    continue
+                break
+            tokens.append(token)
+            stops.append(stop)
+            untried.append(arcs)
+            at = stop
+        return tokens
+
+
+#: The split pattern that LATIN spells out for texts in Latin-1 once they are in lower case.
+KNOWN_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+LATIN = re.compile(
+    "[a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9\u00b2\u00b3\u00b9\u00bc-\u00be]"
+    "|[^\t-\r \u0085\u00a0a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff0-9\u00b2\u00b3\u00b9\u00bc-\u00be]+")
 
 
 class Bpe:
@@ -187,29 +203,34 @@ class Bpe:
         older = pattern.replace(r"\p{L}", rf"[\p{{L}}--[{new}]]").replace(r"\p{N}", rf"[\p{{N}}--[{new}]]")
         self.older_words = regex.compile(older, regex.V1)
         self.around = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        symbols = byte_symbols()
-        self.symbols = {b: symbols[b] for b in range(256)}
+        self.latin = LATIN if split["pattern"]["Regex"] == KNOWN_SPLIT and self.lower else None
         self.labels = self.automaton.labels | {i: s for s, i in self.special.items()}
         self._memory: dict[str, tuple[int, ...]] = {}
 
     def _word(self, word: str) -> tuple[int, ...]:
-        symbols = word.encode("utf-8").decode("latin-1").translate(self.symbols)
-        found = tuple(self.automaton.encode_word(symbols))
+        found = tuple(self.automaton.encode_word(word.encode("utf-8")))
         if len(self._memory) >= MEMORY_WORDS:
             self._memory.clear()
         if len(word) <= 64:
             self._memory[word] = found
         return found
 
-    def _plain(self, text: str, out: list[int]) -> None:
-        if not text.isascii() and self.nfc and not unicodedata.is_normalized("NFC", text):
+    def _split(self, text: str) -> list[str]:
+        """The words of a text. Latin-1 is in NFC and has plain lower-case forms."""
+        if _is_latin1(text):
+            words = self.latin or self.words
+            return words.findall(text.lower() if self.lower else text)
+        if self.nfc and not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
-        newer = not _is_latin1(text) and self.new.search(text)
+        newer = self.new.search(text)
         if self.lower:
             text = text.replace("Σ", "σ").lower()  # per character: no word-final form
             text = text.translate(NEWER_LOWER) if newer else text
-        memory, word_ids, words = self._memory, self._word, self.older_words if newer else self.words
-        for word in words.findall(text):
+        return (self.older_words if newer else self.words).findall(text)
+
+    def _plain(self, text: str, out: list[int]) -> None:
+        memory, word_ids = self._memory, self._word
+        for word in self._split(text):
             ids = memory.get(word)
             out.extend(word_ids(word) if ids is None else ids)
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from lakeshift.llm import bpe, line_dedup, quality, sharding
+from lakeshift.llm import bpe, licenses, line_dedup, quality, secrets, sharding
 
 QUERIES = {
     "op1_bounded_ring": sharding.op1_bounded_ring,
     "op3_line_dedup": line_dedup.op3_line_dedup,
+    "op4_markov_secrets": secrets.op4_markov_secrets,
+    "op6_license_templates": licenses.op6_license_templates,
     "op9_quality_ledger": quality.op9_quality_ledger,
     "op10_bpe_automaton": bpe.op10_bpe_automaton,
 }
