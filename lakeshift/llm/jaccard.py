@@ -226,6 +226,12 @@ def jaccard_join(
     - null id: the row stands alone, with null class and copy id
     - repeated rows and texts under different ids are copies; extra columns are ignored
     """
+    out = _classified(df, id_column, text, similarity, recall, block)
+    return out.select(F.col("id").alias(id_column), "class_id", "copy_id", "n_links", "n_linked_sets")
+
+
+def _classified(df: DataFrame, id_column: str, text: str, similarity: float, recall: float, block: int) -> DataFrame:
+    """As ``jaccard_join``, with the id as ``id`` and the text's hash as ``of``."""
     spark = df.sparkSession
     bands, rows = choose_bands(similarity, recall)
     body = text_or_empty(F.col(f"`{text}`"))
@@ -255,10 +261,10 @@ def jaccard_join(
         .join(sums, "class", "left")
         .join(named.select(F.col("node").alias("class"), "class_id"), "class", "left")
     )
-    out = sketches.select("id", "key").join(found, "key", "left")
+    out = sketches.select("id", "of", "key").join(found, "key", "left")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
     return out.select(
-        F.col("id").alias(id_column),
+        "id", "of",
         F.coalesce("class_id", "copy_id", "id").alias("class_id"),
         F.coalesce("copy_id", "id").alias("copy_id"),
         (zero(F.col("n_docs")) + zero(F.col("copies") - 1)).alias("n_links"),
@@ -288,6 +294,23 @@ def _groups(docs: DataFrame, classes: DataFrame, block: int) -> DataFrame:
     return dealt.select("comp", "i", "j", "block", "class", "copies", word_hashes(F.col("body")).alias("words")).sortWithinPartitions("comp", "i", "j")
 
 
+def drop_near_duplicates(
+    df: DataFrame, id_column: str = "doc_id", text: str = "text",
+    similarity: float = SIMILARITY, recall: float = RECALL, block: int = BLOCK,
+) -> DataFrame:
+    """``df`` with one row of each near-duplicate class, that with the smallest id (of several
+    texts under this id, that with the smallest hash); its columns are kept. Texts without words
+    are classes of their own, and rows with a null id all stay."""
+    of = lambda: F.xxhash64(text_or_empty(F.col(f"`{text}`")), F.length(text_or_empty(F.col(f"`{text}`"))))
+    id_ = F.col(f"`{id_column}`").cast("long")
+    heads = _classified(df, id_column, text, similarity, recall, block).where("id = class_id")
+    chosen = heads.groupBy(F.col("id").alias("kept_id")).agg(F.min("of").alias("kept_of"))
+    rows = df.where(id_.isNotNull()).select(F.struct(*[F.col(f"`{c}`").alias(c) for c in df.columns]).alias("row"), id_.alias("id"), of().alias("of"))
+    rows = rows.join(chosen, (rows["id"] == chosen["kept_id"]) & (rows["of"] == chosen["kept_of"]), "left_semi")
+    one = rows.dropDuplicates(["id", "of"]).select(*[F.col("row")[c].alias(c) for c in df.columns])
+    return one.unionByName(df.where(id_.isNull()))
+
+
 def op7_minhash_join(spark, sf_dir: str) -> DataFrame:
     """Five-word shingles, similarity 0.8 or more, over all documents."""
     return jaccard_join(table(spark, sf_dir, "documents", "doc_id", "text"))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from lakeshift.llm import bpe, jaccard, licenses, line_dedup, quality, secrets, sharding, warc
+from lakeshift.llm import bpe, decontaminate, jaccard, licenses, line_dedup, quality, secrets, sharding, warc
 
 QUERIES = {
     "op1_bounded_ring": sharding.op1_bounded_ring,
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_markov_secrets": secrets.op4_markov_secrets,
+    "op5_seeded_alignment": decontaminate.op5_seeded_alignment,
     "op6_license_templates": licenses.op6_license_templates,
     "op7_minhash_join": jaccard.op7_minhash_join,
     "op8_warc_transactions": warc.op8_warc_transactions,
