@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
-from lakeshift.llm import bpe, decontaminate, jaccard, licenses, line_dedup, quality, secrets, sharding, warc
+from lakeshift.llm import (
+    bpe,
+    decontaminate,
+    jaccard,
+    licenses,
+    line_dedup,
+    quality,
+    secrets,
+    sharding,
+    suffix_dedup,
+    warc,
+)
 
 QUERIES = {
     "op1_bounded_ring": sharding.op1_bounded_ring,
+    "op2_collection_bwt": suffix_dedup.op2_collection_bwt,
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_markov_secrets": secrets.op4_markov_secrets,
     "op5_seeded_alignment": decontaminate.op5_seeded_alignment,
