@@ -95,7 +95,8 @@ class TokenAutomaton:
         self.token_at[node] = token
 
     def _gadget(self, u: int, v: int, w: int, time: int) -> None:
-        if w in self.left or not self._has_arc(u, v, time):
+        made = all(t in self.left or self._is_base(self.labels[t]) for t in (u, v))
+        if not made or w in self.left or not self._has_arc(u, v, time):
             return
         self.cut[u, v] = time
         self.left[w], self.right[w] = (u, time), (v, time)
