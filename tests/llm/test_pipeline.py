@@ -1,0 +1,69 @@
+from __future__ import annotations
+
+import re
+from collections import defaultdict
+
+import corpus_pipeline
+from lakeshift.llm import bpe, quality
+from tokenizers import Tokenizer
+
+from test_jaccard import brute as near
+from test_line_dedup import UP
+from test_quality import brute as measures
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain_quality(pairs):
+    out = []
+    for i, t in pairs:
+        n, chars, symbols, dup, repeated = measures(t)
+        lines = sum(bool(re.search(r"[^\x20\x09-\x0D]", x)) for x in (t or "").split("\n"))
+        upper = sum(c.isupper() for c in t or "")
+        if not (n < 20 or 100 * repeated > 30 * n or 10 * symbols > 3 * n or 10 * dup > 3 * lines or chars < 2 * n or chars > 24 * n or 2 * upper > chars):
+            out.append((i, t))
+    return out
+
+
+def plain_lines(pairs):
+    key = lambda x: x.strip(" \t\n\x0b\x0c\r").translate(UP)
+    held = defaultdict(set)
+    for i, t in pairs:
+        for x in t.split("\n"):
+            held[key(x)].add(i)
+    keep = lambda x, i: len(key(x)) < 40 or len(held[key(x)]) < 5 or max(held[key(x)]) == i
+    return [(i, "\n".join(x for x in t.split("\n") if keep(x, i))) for i, t in pairs]
+
+
+def plain_benchmark(pairs, items):
+    words = lambda t: " ".join(re.findall(r"[^\W_]+", (t or "").lower()))
+    held = [f" {words(t)} " for t in items]
+    return [(i, t) for i, t in pairs if not any(x in f" {words(t)} " for x in held)]
+
+
+def test_run_against_plain_stages(spark):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    items = [r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    left = plain_lines(plain_quality(docs))
+    heads = {i for i, c, _, _ in near(left) if i == c}
+    left = plain_benchmark([(i, t) for i, t in left if i in heads], items)
+    library = Tokenizer.from_file(bpe.default_path())
+    found = {r["doc_id"]: r["ids"] for r in corpus_pipeline.run(spark, SF).collect()}
+    assert found == {i: library.encode(t, add_special_tokens=False).ids for i, t in left}
+
+
+def test_stages_keep_columns_and_bear_nulls(spark):
+    docs = spark.createDataFrame(
+        [(1, None, None, None, None), (None, "", None, "s", 0), (None, None, None, None, None)] + [(3, "word " * 3, "en", "s", 15)] * 2,
+        "doc_id long, text string, lang string, source string, n_chars long")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and out.schema["n_chars"].dataType == docs.schema["n_chars"].dataType
+        assert stage(spark, docs.limit(0), SF).collect() == []
+        out.collect()
+    assert corpus_pipeline.encode(spark, docs, SF).count() == 5
+
+
+def test_stage_list():
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "drop_repeated_lines", "drop_near_duplicates", "drop_benchmark", "encode"]
+    assert quality.DEFAULT.mask == 63
