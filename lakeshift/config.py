@@ -24,7 +24,7 @@ from lakeshift.sinks.writers import VAULT_PARTITION_COLUMNS, write_clean, write_
 from lakeshift.sources.jdbc import read_mart
 from lakeshift.sources.paths import raw_path, split_table_name, table_path
 from lakeshift.sources.raw import read_raw
-from lakeshift.sources.tables import read_connector, read_table
+from lakeshift.sources.tables import read_connector, read_reference, read_table
 
 
 # Use-case names and the application-config sections they select.
@@ -100,6 +100,20 @@ def read_cycle_table(df: DataFrame, obj: Mapping[str, Any], **columns: str) -> D
     return read_cycle(df, str(obj.get("read-type", "daily")), batch_date=obj.get("batchDate"), **columns)
 
 
+def read_reference_table(spark: SparkSession, root: str, table_name: str, obj: Mapping[str, Any] | None = None, *,
+                         is_active: int | str | None = 1, fmt: str = "parquet") -> DataFrame:
+    """Reference table ``<root>/<SCHEMA>/<table>`` (``adv_schema`` overrides the schema), active
+    rows by default; ``is_active`` None reads all of them."""
+    return read_reference(spark, table_path(root, table_name, (obj or {}).get("adv_schema")), fmt, is_active)
+
+
+def lookup_reference(spark: SparkSession, root: str, ref: Mapping[str, Any], obj: Mapping[str, Any] | None = None, *,
+                     fmt: str = "parquet") -> DataFrame:
+    """The lookup of ``ref`` over its own table (``ref-table-name``), all rows of it."""
+    table = read_reference_table(spark, root, str(ref["ref-table-name"]), obj, is_active=None, fmt=fmt)
+    return lookup_values(table, ref)
+
+
 def lookup_values(df: DataFrame, ref: Mapping[str, Any]) -> DataFrame:
     const = ref.get("return-look-up-col-const")
     return lookup(df, dict(ref.get("ref-look-up-values", {})), str(ref["return-look-up-col"]),

@@ -1,23 +1,24 @@
 """Merge a source batch into a partitioned table stored as files (parquet by default).
 
-Only the partitions the merge can change are read and rewritten:
-
-1. affected partitions = partitions of target rows inside the merge slice (source-system
-   and partition literals, when they are partition columns) plus the partitions that
-   inserted rows land in. Found from partition values only; at most
-   ``max_partitions`` keys reach the driver (a bounded collect). Beyond that bound the
-   whole table is merged, which is still correct.
-2. the target is read with a partition filter on those keys (static partition pruning:
-   other partitions' files are never opened) and merged with ``merge``.
-3. the merged partitions are written to a fresh folder under the shared checkpoint
-   directory (this cuts the lineage, and the target path is not overwritten while it is
-   still being read), then copied over the target with dynamic partition overwrite:
-   untouched partitions keep their files.
+Only partitions that the merge can change are read whole and rewritten, once:
+
+1. affected partitions = partitions that hold a matching key (semi join of the table's keys with
+   the source's, inside the merge slice) and partitions that source rows land in. They stay a
+   DataFrame, written as a small table; there is no limit on their number.
+2. the table is semi-joined with them on the partition columns (dynamic partition pruning: other
+   partitions' files are not opened) and merged with ``merge``.
+3. the merged partitions are written to a fresh folder under the shared checkpoint directory.
+   When that is complete its folders are moved over the table's (see ``sinks.publish``); other
+   partitions keep their files. ``publish_staged`` finishes a publish that was interrupted.
+
+Folder names are text: partition columns are text unless a schema says otherwise, and an empty
+text is stored, and therefore compared, as null.
 """
 
 from __future__ import annotations
 
 import dataclasses
+import logging
 from functools import reduce
 from typing import Sequence
 
@@ -25,18 +26,43 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakeshift.operators.scd2 import MergeSpec, discover_partition_value, find_column, merge
+from lakeshift.operators.scd2 import MergeSpec, as_stored, discover_partition_value, merge, resolve_names
 from lakeshift.session import scratch_path
+from lakeshift.sinks.publish import publish_partitions, remove_folder, same_store
 from lakeshift.sinks.writers import VAULT_PARTITION_COLUMNS
+from lakeshift.sources.tables import load_table
 
-MAX_PARTITIONS = 100_000
-_SEP = "\u0001"
-_NULL = "\u0000"
+log = logging.getLogger(__name__)
 
 
-def partition_key(cols: Sequence[str]) -> Column:
-    """One text key per partition (null-safe), comparable with ``isin``."""
-    return F.concat_ws(_SEP, *[F.coalesce(F.col(c).cast("string"), F.lit(_NULL)) for c in cols])
+def _all_not_null(cols: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+
+
+def in_partitions(df: DataFrame, parts: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose partition is among ``parts``. Partitions without a null join by plain
+    equality, which Spark can turn into pruning of the scan; the others null-safely."""
+    full = _all_not_null(cols)
+    plain = df.where(full).join(parts.where(full), list(cols), "left_semi")
+    named = parts.where(~full).select(*[F.col(c).alias("__p" + c) for c in cols])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col("__p" + c)) for c in cols])
+    return plain.unionByName(df.where(~full).join(named, same, "left_semi"))
+
+
+def affected_partitions(target: DataFrame, source: DataFrame, spec: MergeSpec, cols: Sequence[str]) -> DataFrame:
+    """Partitions with a target row that the merge can match, and those that source rows land in."""
+    pred = spec.slice_predicate()
+    touched = target if pred is None else target.where(pred)
+    keys = list(dict.fromkeys(spec.keys))
+    wanted = source.select(*[F.col(k).alias("__k" + k) for k in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col("__k" + k)) for k in keys])
+    parts = touched.select(*dict.fromkeys([*cols, *keys])).join(wanted, same, "left_semi").select(*cols)
+    if spec.insert_columns is None or spec.insert_columns:
+        types = {f.name: f.dataType for f in target.schema.fields}
+        given = set(source.columns) if spec.insert_columns is None else set(spec.insert_columns) & set(source.columns)
+        parts = parts.unionByName(source.select(*[
+            (F.col(c) if c in given else F.lit(None)).cast(types[c]).alias(c) for c in cols]))
+    return parts.distinct()
 
 
 def merge_into_table(
@@ -50,61 +76,49 @@ def merge_into_table(
     schema: StructType | None = None,
     strategy: str = "auto",
     salt_buckets: int = 0,
-    max_partitions: int = MAX_PARTITIONS,
 ) -> dict:
-    pcols = list(partition_cols)
-    reader = spark.read.format(fmt)
-    if schema is not None:
-        reader = reader.schema(schema)
-    target = reader.load(path)
+    """Merge ``source`` into the table at ``path``; returns the number of rewritten partitions and
+    the stage folder, which is gone once the publish is complete."""
+    target = load_table(spark, path, fmt, schema=schema)
     tcols = target.columns
+    source, spec = resolve_names(target, source, spec)
+    pcols = [next((c for c in tcols if c.upper() == p.upper()), p) for p in partition_cols]
     missing = [c for c in pcols if c not in tcols]
     if missing:
         raise ValueError(f"partition columns {missing} are not columns of the table")
+    types = {f.name: f.dataType for f in target.schema.fields}
+    source = source.select(*[
+        as_stored(F.col(c).cast(types[c]), types[c]).alias(c) if c in pcols else F.col(c) for c in source.columns])
 
-    # Resolve the partition literal once, so the slice below and the merge agree.
+    # Resolve the partition literal once, so that the slice below and the merge agree.
     value = spec.partition_value
     if value is None and spec.discover_partition and spec.source_filter is not None:
         value = discover_partition_value(source, spec.partition_col)
     spec = dataclasses.replace(spec, partition_value=value, discover_partition=False)
 
-    preds: list[Column] = []
-    if spec.source_filter is not None:
-        if spec.source_col in pcols:
-            preds.append(F.col(spec.source_col) == F.lit(spec.source_filter))
-        if value is not None and spec.partition_col in pcols:
-            preds.append(F.col(spec.partition_col) == F.lit(value))
-    touched_parts = target.select(*pcols)
-    if preds:
-        touched_parts = touched_parts.where(reduce(lambda a, b: a & b, preds))
-    parts = touched_parts
-    inserted = (set(tcols) & set(source.columns)) if spec.insert_columns is None else set(spec.insert_columns)
-    if spec.insert_columns is None or spec.insert_columns:
-        types = {f.name: f.dataType for f in target.schema.fields}
-        landing = source.select(*[
-            (F.col(find_column(source, c)) if c in inserted and find_column(source, c) else F.lit(None))
-            .cast(types[c]).alias(c) for c in pcols
-        ])
-        parts = parts.unionByName(landing)
-    keys = [r[0] for r in parts.select(partition_key(pcols).alias("k")).distinct()
-            .limit(max_partitions + 1).collect()]
-    if len(keys) <= max_partitions:
-        target = target.where(partition_key(pcols).isin(keys))
-
-    merged = merge(target, source, spec, strategy=strategy, salt_buckets=salt_buckets).select(tcols)
+    found = scratch_path(spark, "partitions")
+    affected_partitions(target, source, spec, pcols).write.parquet(found)
+    parts = spark.read.parquet(found)
+    merged = merge(in_partitions(target, parts, pcols), source, spec, strategy=strategy, salt_buckets=salt_buckets)
     stage = scratch_path(spark, "merge")
-    merged.hint("rebalance", *pcols).write.format(fmt).partitionBy(*pcols).save(stage)
-    publish_staged(spark, stage, path, merged.schema, pcols, fmt=fmt)
-    return {"partitions": len(keys) if len(keys) <= max_partitions else None, "staged": stage}
+    log.info("merge into %s is staged at %s", path, stage)
+    merged.select(tcols).hint("rebalance", *pcols).write.format(fmt).partitionBy(*pcols).save(stage)
+    moved = publish_staged(spark, stage, path, merged.schema, pcols, fmt=fmt)
+    remove_folder(spark, found)
+    return {"partitions": moved, "staged": stage}
 
 
 def publish_staged(spark: SparkSession, stage: str, path: str, schema: StructType, partition_cols: Sequence[str],
-                   *, fmt: str = "parquet") -> None:
-    """Copy staged partitions over the table with dynamic partition overwrite. The staged copy
-    is complete before this starts, so if the job dies here it can simply be run again. The
-    staged files were sized by the rebalanced write and each lies in one partition folder, so
-    the copy needs no shuffle: every task writes the partitions of the files it reads."""
+                   *, fmt: str = "parquet") -> int:
+    """Put the staged partitions in the place of the table's; call it again with the same stage
+    after an interruption. Folders are moved where stage and table are in one store; between
+    stores the rows are copied with dynamic partition overwrite. Returns the partitions moved."""
     pcols = list(partition_cols)
+    if same_store(spark, stage, path):
+        return publish_partitions(spark, stage, path, pcols)
     staged = spark.read.format(fmt).schema(schema).load(stage).select(schema.fieldNames())
+    n = staged.select(*pcols).distinct().count()
     (staged.write.format(fmt).mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*pcols).save(path))
+    remove_folder(spark, stage)
+    return n

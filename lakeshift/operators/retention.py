@@ -15,12 +15,17 @@ from __future__ import annotations
 import datetime as _dt
 import logging
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from typing import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeshift.sinks.publish import drop_folders, partition_folders
+from lakeshift.sinks.writers import replace_table
+from lakeshift.sources.tables import load_table, partition_columns
+
 log = logging.getLogger(__name__)
 
 # Configuration and log column names and the active flag.
@@ -44,8 +49,6 @@ CONFIG_SCHEMA = T.StructType([
     T.StructField(KEEP, T.IntegerType()),
     T.StructField(ACTIVE, T.StringType()),
 ])
-# Eligible configuration rows are few; above this the plan is joined without a broadcast.
-PLAN_BROADCAST_MAX_ROWS = 100_000
 
 
 def eligible(cfg: DataFrame) -> DataFrame:
@@ -63,14 +66,13 @@ def run_counts(runs: DataFrame, table_col: str = TABLE, run_col: str = RUN_ID) -
     )
 
 
-def plan_from_counts(per_run: DataFrame, cfg: DataFrame) -> DataFrame:
-    """Plan rows for tables that have runs to delete:
-    ``id, table, exec_avail_in_frt, max_run_id_deleted_in_frt, records_removed_from_frt``."""
+def _plan_turn(per_run: DataFrame, entries: DataFrame) -> DataFrame:
+    """Plan rows for at most one configuration row per table."""
     per_table = per_run.groupBy(TABLE).agg(
         F.count(RUN_ID).alias("exec_avail_in_frt"), F.max(RUN_ID).alias("_max_run")
     )
     cut = (
-        eligible(cfg).select(ID, TABLE, KEEP)
+        entries.select(ID, TABLE, KEEP)
         .join(per_table, TABLE)
         .where((F.col("exec_avail_in_frt") - F.col(KEEP)) > 0)
         .select(
@@ -90,6 +92,25 @@ def plan_from_counts(per_run: DataFrame, cfg: DataFrame) -> DataFrame:
     )
 
 
+def plan_from_counts(per_run: DataFrame, cfg: DataFrame) -> DataFrame:
+    """Plan rows for tables that have runs to delete:
+    ``id, table, exec_avail_in_frt, max_run_id_deleted_in_frt, records_removed_from_frt``.
+
+    Several configuration rows of one table take effect one after the other, by id: a later one
+    counts what the earlier ones left. Turns are as many as the most rows a table has in the
+    configuration (one number, read from the configuration only); usually one."""
+    order = Window.partitionBy(TABLE).orderBy(F.col(ID).asc_nulls_last(), KEEP)
+    turns = eligible(cfg).select(ID, TABLE, KEEP, F.row_number().over(order).alias("_turn"))
+    last = turns.agg(F.max("_turn")).first()[0] or 1
+    plans, left = [], per_run
+    for turn in range(1, last + 1):
+        now = _plan_turn(left, turns.where(F.col("_turn") == turn))
+        plans.append(now)
+        if turn < last:
+            left = _surviving(left, now, TABLE, RUN_ID)
+    return reduce(lambda a, b: a.unionByName(b), plans)
+
+
 def plan(runs: DataFrame, cfg: DataFrame, table_col: str = TABLE, run_col: str = RUN_ID) -> DataFrame:
     """Plan over one frame that holds many tables' rows (``table_col`` names the table)."""
     return plan_from_counts(run_counts(runs, table_col, run_col), cfg)
@@ -104,15 +125,17 @@ def plan_tables(
     """Plan over separate tables: ``load(name)`` returns a table's DataFrame.
 
     The loop runs over configuration rows only (bounded, collected); each table contributes
-    its per-run counts to one union, so the whole plan is one job. A table that fails to
-    load is reported in the returned error list and skipped; the others go on.
+    its per-run counts to one union, so the whole plan is one job. Run ids are read as numbers.
+    A table that fails to load, or whose run ids are of a type that is no number, is reported in
+    the returned error list and skipped; the others go on.
     """
     per_run_parts: list[DataFrame] = []
     errors: list[dict] = []
     for row in eligible(cfg).select(TABLE).distinct().collect():
         name = row[TABLE]
         try:
-            per_run_parts.append(run_counts(load(name).withColumn(TABLE, F.lit(name)), TABLE, run_col))
+            runs = load(name).select(F.lit(name).alias(TABLE), F.col(run_col).cast("long").alias(RUN_ID))
+            per_run_parts.append(run_counts(runs))
         except Exception as exc:  # per-table isolation
             log.warning("retention: table %s skipped: %s", name, exc)
             errors.append({"table": name, "error": str(exc)})
@@ -127,22 +150,20 @@ def plan_tables(
     return plan_from_counts(per_run, cfg), errors
 
 
-def _plan_side(retention_plan: DataFrame, cfg: DataFrame | None) -> DataFrame:
-    side = retention_plan.select(F.col(TABLE).alias("_t"), F.col("max_run_id_deleted_in_frt").alias("_cut"))
-    if cfg is not None and eligible(cfg).count() <= PLAN_BROADCAST_MAX_ROWS:
-        side = F.broadcast(side)  # at most one plan row per eligible configuration row
-    return side
-
-
-def apply(runs: DataFrame, retention_plan: DataFrame, cfg: DataFrame | None = None,
-          table_col: str = TABLE, run_col: str = RUN_ID) -> DataFrame:
-    """Rows that survive: ``NOT coalesce(run_id <= cut-off, false)`` for planned tables,
-    every row of other tables. A map-side join: the data is not shuffled."""
-    joined = runs.join(_plan_side(retention_plan, cfg), F.col(table_col) == F.col("_t"), "left")
+def _surviving(runs: DataFrame, retention_plan: DataFrame, table_col: str, run_col: str) -> DataFrame:
+    """Rows without those at or below the highest cut-off planned for their table."""
+    side = retention_plan.groupBy(F.col(TABLE).alias("_t")).agg(F.max("max_run_id_deleted_in_frt").alias("_cut"))
+    joined = runs.join(side, F.col(table_col) == F.col("_t"), "left")
     doomed = F.coalesce(F.col(run_col) <= F.col("_cut"), F.lit(False))
     return joined.where(~doomed).drop("_t", "_cut")
 
 
+def apply(runs: DataFrame, retention_plan: DataFrame, table_col: str = TABLE, run_col: str = RUN_ID) -> DataFrame:
+    """Rows that survive: ``NOT coalesce(run_id <= cut-off, false)`` for planned tables, every row
+    of other tables. The plan side has one row per table; Spark broadcasts it when it is small."""
+    return _surviving(runs, retention_plan, table_col, run_col)
+
+
 def apply_table(df: DataFrame, cutoff: int, run_col: str = RUN_ID) -> DataFrame:
     """Surviving rows of one table for a known cut-off: ``run_id > cut-off OR run_id IS NULL``,
     written so that it is pushed to the scan (and prunes run partitions)."""
@@ -171,33 +192,71 @@ def run_retention(
 ) -> list[dict]:
     """The housekeeping job: plan every table in one job, then per table write the surviving
     rows (``write(name, df)`` must stage before replacing a path it reads) and append the log.
-    Failures are isolated per table and returned. ``max_parallel_tables`` > 1 rewrites that
-    many tables at once (concurrent Spark jobs from a small thread pool)."""
+    Failures are isolated per table and returned: when the joint plan fails, tables are planned
+    one by one, and only those that fail on their own are reported. ``max_parallel_tables`` > 1
+    rewrites that many tables at once (concurrent Spark jobs from a small thread pool); a table
+    is only ever rewritten once, whatever number of configuration rows it has."""
     retention_plan, errors = plan_tables(spark, cfg, load)
-    rows = retention_plan.collect()  # one row per table to clean
+    try:
+        rows = retention_plan.collect()  # one row per configuration row that deletes
+    except Exception as exc:
+        log.warning("retention: the joint plan failed, planning table by table: %s", exc)
+        rows, known = [], {e["table"] for e in errors}
+        for entry in eligible(cfg).select(TABLE).distinct().collect():
+            name = entry[TABLE]
+            if name in known:
+                continue
+            try:
+                one, failed = plan_tables(spark, cfg.where(F.col(TABLE) == name), load)
+                errors += failed
+                rows += one.collect()
+            except Exception as reason:
+                log.warning("retention: table %s skipped: %s", name, reason)
+                errors.append({"table": name, "error": str(reason)})
     when = executed_at or _dt.datetime.now()
+    cutoffs: dict[str, int] = {}
+    for row in rows:
+        cut = row["max_run_id_deleted_in_frt"]
+        cutoffs[row[TABLE]] = max(cut, cutoffs.get(row[TABLE], cut))
 
-    def clean(row) -> dict | None:
-        name = row[TABLE]
+    def clean(name: str) -> dict | None:
         try:
-            write(name, apply_table(load(name), row["max_run_id_deleted_in_frt"]))
+            write(name, apply_table(load(name), cutoffs[name]))
             return None
         except Exception as exc:
             log.warning("retention: table %s failed: %s", name, exc)
             return {"table": name, "error": str(exc)}
 
-    workers = max(1, min(int(max_parallel_tables), len(rows) or 1))
+    workers = max(1, min(int(max_parallel_tables), len(cutoffs) or 1))
     if workers == 1:
-        outcomes = [clean(row) for row in rows]
+        outcomes = [clean(name) for name in cutoffs]
     else:
         with ThreadPoolExecutor(max_workers=workers) as pool:
-            outcomes = list(pool.map(clean, rows))
-    done = [row for row, failure in zip(rows, outcomes) if failure is None]
-    errors += [failure for failure in outcomes if failure is not None]
+            outcomes = list(pool.map(clean, cutoffs))
+    failures = [failure for failure in outcomes if failure is not None]
+    broken = {failure["table"] for failure in failures}
+    done = [row for row in rows if row[TABLE] not in broken]
+    errors += failures
     if done:
         append_log(audit_log(spark.createDataFrame(done, retention_plan.schema), when))
     return errors
 
 
+def delete_runs(spark: SparkSession, path: str, cutoff: int, run_col: str = RUN_ID, fmt: str = "parquet") -> str:
+    """Delete the runs at or below a cut-off from a stored table. Where the run is a partition
+    column, the runs' folders are deleted and nothing is rewritten ("dropped"); otherwise the
+    surviving rows replace the table, which keeps its partitioning ("rewritten")."""
+    cols = partition_columns(spark, path, fmt)
+    if run_col in cols:
+        def is_old(folder: str) -> bool:
+            value = dict(part.split("=", 1) for part in folder.split("/"))[run_col]
+            return value.lstrip("-").isdigit() and int(value) <= cutoff
+
+        drop_folders(spark, path, [f for f in partition_folders(spark, path, len(cols)) if is_old(f)])
+        return "dropped"
+    replace_table(spark, apply_table(load_table(spark, path, fmt), cutoff, run_col), path, fmt=fmt)
+    return "rewritten"
+
+
 def config_frame(spark: SparkSession, rows: list[Mapping]) -> DataFrame:
     return spark.createDataFrame([tuple(r.get(f.name) for f in CONFIG_SCHEMA.fields) for r in rows], CONFIG_SCHEMA)

@@ -9,13 +9,14 @@ the ``T.b <= S.b`` residual):
 * slice    T by the target-side literals (source system, partition value) and the
            open-row predicate: ``touched`` can match, ``rest`` passes through untouched
            (no shuffle; literals on partition columns prune files).
-* summary  S grouped by K: the matching source row and a match counter. Partial
-           aggregation runs before the shuffle, so a hot key costs one row per map task.
+* summary  S grouped by K: a match counter and the columns the merge sets, nothing else
+           (for close-and-insert only the counter). Partial aggregation runs before the
+           shuffle, so a hot key costs one row per map task.
 * update   ``touched LEFT JOIN summary``. The target is never aggregated, and the
            summary has one row per key, so a hot target key is split by AQE's skew
-           join (left side of a left outer join) or, when the summary's size is
-           checked to be small, the join is a broadcast hash join and the target is not
-           shuffled at all. A target row matched by two source rows raises an error.
+           join (left side of a left outer join). Spark picks the join from its own sizes:
+           a small summary is broadcast and the target is then not shuffled at all. A target
+           row matched by two source rows raises an error.
 * insert   ``S LEFT ANTI JOIN target-key summary``; the target keys are pre-aggregated
            (distinct, or ``min(b)`` with the residual), so the anti join sees one row
            per key on its build side.
@@ -24,6 +25,7 @@ the ``T.b <= S.b`` residual):
 
 from __future__ import annotations
 
+import dataclasses
 import logging
 from dataclasses import dataclass, field
 from functools import reduce
@@ -98,6 +100,33 @@ def find_column(df: DataFrame, name: str) -> str | None:
     return None
 
 
+def _by_upper(columns: Iterable[str], what: str) -> dict[str, str]:
+    """Upper-case name -> name; two names that differ only in case are an error."""
+    found: dict[str, str] = {}
+    for c in columns:
+        if found.setdefault(c.upper(), c) != c:
+            raise ValueError(f"{what} columns {found[c.upper()]!r} and {c!r} differ only in case")
+    return found
+
+
+def resolve_names(target: DataFrame, source: DataFrame, spec: MergeSpec) -> tuple[DataFrame, MergeSpec]:
+    """The source with the target's spelling of every shared column, and the spec spelled like
+    both. Names compare without case; a name that neither side has raises ValueError."""
+    tmap, smap = _by_upper(target.columns, "target"), _by_upper(source.columns, "source")
+    source = source.select(*[F.col(f"`{c}`").alias(tmap.get(c.upper(), c)) for c in source.columns])
+
+    def spelled(name: str) -> str:
+        return tmap.get(name.upper()) or smap.get(name.upper()) or name
+
+    return source, dataclasses.replace(
+        spec, keys=tuple(spelled(k) for k in spec.keys), end_key=spelled(spec.end_key),
+        source_col=spelled(spec.source_col), partition_col=spelled(spec.partition_col),
+        batch_col=None if spec.batch_col is None else spelled(spec.batch_col),
+        set_from_source={spelled(t): spelled(c) for t, c in spec.set_from_source.items()},
+        set_literal={spelled(t): v for t, v in spec.set_literal.items()},
+        insert_columns=None if spec.insert_columns is None else tuple(spelled(c) for c in spec.insert_columns))
+
+
 # Fixed widths (bytes) of the fixed-size types, as Spark's row format stores them.
 FIXED_WIDTH = {
     T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4, T.FloatType: 4,
@@ -120,47 +149,26 @@ def row_bytes(schema: T.StructType) -> Column:
     return reduce(lambda a, b: a + b, widths, F.lit(16)).cast("long")
 
 
-MIN_ROW_BYTES = 16  # the per-row overhead ``row_bytes`` starts from
-
-
-def profile_source(df: DataFrame, measure_bytes: bool, partition_col: str | None,
-                   byte_limit: int | None = None) -> tuple[int | None, str | None]:
-    """The frame's payload bytes (for the broadcast check) and its partition value when it holds
-    exactly one, non-null. Each pass returns one row; nothing else reaches the driver.
-
-    With ``byte_limit`` a first pass counts rows (reading at most the partition column); only
-    a frame whose row count could fit under the limit is measured exactly in a second pass,
-    so a large source is never read in full just to learn that it is large."""
-    size = value = None
-    first: list[Column] = []
-    if partition_col is not None:
-        first += [F.min(partition_col).alias("lo"), F.max(partition_col).alias("hi"),
-                  F.count(partition_col).alias("nn")]
-    if measure_bytes and byte_limit is None:
-        first.append(F.sum(row_bytes(df.schema)).alias("bytes"))
-    if first or measure_bytes:
-        row = df.agg(F.count(F.lit(1)).alias("n"), *first).first()
-        n = int(row["n"])
-        if partition_col is not None and n and row["nn"] == n and row["lo"] == row["hi"]:
-            value = str(row["lo"])
-        if measure_bytes and byte_limit is None:
-            size = int(row["bytes"] or 0)
-        elif measure_bytes:
-            if n * MIN_ROW_BYTES > byte_limit:
-                size = n * MIN_ROW_BYTES  # a lower bound, already over the limit
-            else:
-                size = int(df.agg(F.sum(row_bytes(df.schema)).alias("b")).first()["b"] or 0)
-    return size, value
-
-
 def discover_partition_value(source: DataFrame, name: str = PARTITION_COL) -> str | None:
-    """The source's partition value when it has exactly one, non-null; else None."""
+    """The source's partition value when it has exactly one, non-null; else None. One row with
+    three aggregates of one column reaches the driver; files store the empty text as null."""
     c = find_column(source, name)
-    return None if c is None else profile_source(source, False, c)[1]
+    if c is None:
+        return None
+    value = as_stored(F.col(f"`{c}`"), source.schema[c].dataType)
+    row = source.agg(F.count(F.lit(1)).alias("n"), F.count(value).alias("nn"), F.min(value).alias("lo"),
+                     F.max(value).alias("hi")).first()
+    return str(row["lo"]) if row["n"] and row["nn"] == row["n"] and row["lo"] == row["hi"] else None
+
+
+def as_stored(column: Column, kind: T.DataType) -> Column:
+    """A partition value as folders keep it: the empty text comes back as null."""
+    return F.nullif(column, F.lit("")) if isinstance(kind, T.StringType) else column
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    return profile_source(df, True, None)[0] or 0
+def measured_bytes(df: DataFrame) -> int:
+    """Payload bytes of a frame, by one aggregate over it."""
+    return int(df.agg(F.sum(row_bytes(df.schema)).alias("b")).first()["b"] or 0)
 
 
 _UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30,
@@ -203,8 +211,13 @@ def _replicated(df: DataFrame, name: str, buckets: int) -> DataFrame:
 
 def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, strategy: str = "auto",
           salt_buckets: int = 0) -> DataFrame:
-    """Return the merged target. ``strategy``: "auto" (size-checked broadcast, else shuffle),
-    "broadcast" or "shuffle".
+    """Return the merged target. ``strategy``: "auto" (Spark picks each join from its sizes),
+    "shuffle" (sort-merge joins whatever the thresholds) or "broadcast" (the source is measured
+    by an extra pass and broadcast if it fits the session's threshold, else as "auto").
+
+    Names are compared without case. ``insert_columns`` None inserts every target column, and
+    each must be in the source. Which of several source rows of a key sets values is only
+    asked when ``check_single_match`` is off; it is then any of them.
 
     ``salt_buckets`` > 1 (shuffle joins only) spreads every key over that many tasks without
     relying on AQE: target rows, and source rows in the insert join, get a deterministic salt,
@@ -212,6 +225,9 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, strategy: st
     splits hot keys at run time instead."""
     if not spec.keys:
         raise ValueError("a merge needs at least one key column")
+    if strategy not in ("auto", "broadcast", "shuffle"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    source, spec = resolve_names(target, source, spec)
     tcols = target.columns
     ttypes = {f.name: f.dataType for f in target.schema.fields}
     keys = unique(spec.keys)
@@ -220,7 +236,7 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, strategy: st
             raise ValueError(f"merge key {k!r} must exist in target and source")
     b = spec.batch_col
     if spec.insert_columns is None:
-        insert_cols = [c for c in tcols if c in source.columns]
+        insert_cols = list(tcols)
     else:
         insert_cols = unique(spec.insert_columns)
         unknown = [c for c in insert_cols if c not in ttypes]
@@ -237,18 +253,21 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, strategy: st
             raise ValueError(f"cannot set target {tc!r} from source {sc!r}")
     needed = unique([*keys, *([b] if b else []), *spec.set_from_source.values(), *insert_cols])
     s = source.select([F.col(c).alias(_S + c) for c in needed])
-    payload = [c for c in needed if c not in keys]
+    set_cols = [c for c in unique(spec.set_from_source.values()) if c not in keys and c != b]
 
-    if strategy not in ("auto", "broadcast", "shuffle"):
-        raise ValueError(f"unknown strategy {strategy!r}")
-    limit = broadcast_limit(source.sparkSession) if strategy == "auto" else 0
-    part_src = None
+    use_broadcast = False
+    if strategy == "broadcast":
+        limit = broadcast_limit(source.sparkSession)
+        use_broadcast = limit > 0 and measured_bytes(s) <= limit
+    part_value = None
     if spec.discover_partition and spec.source_filter is not None and spec.partition_value is None:
-        part_src = find_column(source, spec.partition_col)
-    size, part_value = profile_source(
-        source.select(*unique([*needed, *([part_src] if part_src else [])])), limit > 0, part_src,
-        byte_limit=limit if limit > 0 else None)
-    use_broadcast = strategy == "broadcast" or (limit > 0 and size is not None and size <= limit)
+        part_value = discover_partition_value(source, spec.partition_col)
+
+    def build(df: DataFrame) -> DataFrame:
+        """The one-row-per-key side of a join, as the strategy wants it joined."""
+        if use_broadcast:
+            return F.broadcast(df)  # no larger than the measured source
+        return df.hint("merge") if strategy == "shuffle" else df
 
     pred = spec.slice_predicate(part_value)
     if pred is None:
@@ -261,33 +280,26 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, strategy: st
     # --- source summary: one row per key -------------------------------------------
     skeys = [_S + k for k in keys]
     if b is None:
-        others = [_S + c for c in payload]
-        aggs = [F.count(F.lit(1)).alias("__n")]
-        if others:
-            aggs.append(F.min(F.struct(*others)).alias("__row"))
-        summary = s.groupBy(*skeys).agg(*aggs)
-        summary = summary.select(*skeys, "__n", *[F.col("__row." + o).alias(o) for o in others])
+        summary = s.groupBy(*skeys).agg(
+            F.count(F.lit(1)).alias("__n"), *[F.any_value(_S + c).alias(_S + c) for c in set_cols])
         source_keys = summary.select(*skeys)  # one row per key (Catalyst prunes it to a distinct)
         match_cond = _key_condition(keys)
         matched = F.col("__n").isNotNull()
         too_many = F.col("__n") > 1
     else:
-        # Rows whose batch value is null never satisfy T.b <= S.b.
+        # Rows whose batch value is null never satisfy T.b <= S.b. Two rows with the largest
+        # batch value both match whatever one of them matches, so which one sets is not asked.
         sb = _S + b
         nn = s.where(F.col(sb).isNotNull())
-        others = [_S + c for c in payload if c != b]
         top = nn.groupBy(*skeys).agg(
-            F.max(F.struct(sb, *others)).alias("__row"), F.count(F.lit(1)).alias("__n"),
-        )
-        top = top.select(*skeys, "__n", *[F.col("__row." + o).alias(o) for o in [sb, *others]])
+            F.count(F.lit(1)).alias("__n"), F.max(sb).alias("__top"),
+            *[F.max_by(_S + c, sb).alias(_S + c) for c in set_cols]).withColumnRenamed("__top", sb)
         source_keys = top.select(*skeys)  # keys with a batch value; null batches never match
         # Second largest batch value (with multiplicity), only for keys with 2+ rows.
         multi = top.where(F.col("__n") > 1).select(*[F.col(k).alias("__m" + k) for k in skeys],
                                                      F.col(sb).alias("__m1"))
-        if use_broadcast:
-            multi = F.broadcast(multi)  # at most one row per key of the checked source
         second = (
-            nn.join(multi, reduce(lambda x, y: x & y,
+            nn.join(build(multi), reduce(lambda x, y: x & y,
                                   [F.col(k).eqNullSafe(F.col("__m" + k)) for k in skeys]))
             .groupBy(*skeys)
             .agg(F.count_if(F.col(sb) == F.col("__m1")).alias("__c1"),
@@ -297,7 +309,7 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, strategy: st
                     F.when(F.col("__c1") >= 2, F.col("__m1")).otherwise(F.col("__lt")).alias("__m2"))
         )
         summary = top.join(
-            second, reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col("__m" + k)) for k in skeys]), "left"
+            build(second), reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col("__m" + k)) for k in skeys]), "left"
         ).drop(*["__m" + k for k in skeys])
         match_cond = _key_condition(keys) & (F.col(b) <= F.col(sb))
         matched = F.col("__n").isNotNull()
@@ -309,13 +321,12 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, strategy: st
     # splits a skewed join partition only when both join inputs are plain shuffle stages,
     # and a hot target key must stay splittable. The re-shuffled side has one row per key.
     salt = salt_buckets > 1 and not use_broadcast
-    right = F.broadcast(summary) if use_broadcast else summary
     if salt:
         touched_side = _salted(touched, "__tsalt", salt_buckets)
-        right = _replicated(right, "__ssalt", salt_buckets)
+        right = build(_replicated(summary, "__ssalt", salt_buckets))
         joined = touched_side.join(right, match_cond & (F.col("__tsalt") == F.col("__ssalt")), "left")
     else:
-        joined = touched.join(right, match_cond, "left")
+        joined = touched.join(build(summary), match_cond, "left")
     if spec.check_single_match:
         joined = joined.where(
             F.when(matched & too_many,
@@ -340,7 +351,7 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, strategy: st
     if insert_cols:
         tk_src = touched
         if use_broadcast:
-            # Only target keys that occur in the (small) source can block an insert.
+            # Only target keys that occur in the measured source can block an insert.
             tk_src = touched.join(F.broadcast(source_keys), _key_condition(keys), "left_semi")
         if b is None:
             tk = tk_src.select(*[F.col(k).alias("__t" + k) for k in keys]).distinct()
@@ -349,14 +360,12 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, strategy: st
             tk = (tk_src.where(F.col(b).isNotNull()).groupBy(*keys).agg(F.min(b).alias("__tmin"))
                   .select(*[F.col(k).alias("__t" + k) for k in keys], "__tmin"))
             anti_cond = _key_condition(keys, "__t", _S) & (F.col("__tmin") <= F.col(_S + b))
-        if use_broadcast:
-            tk = F.broadcast(tk)  # bounded by the distinct keys of the checked source
         if salt:
             inserts = _salted(s, "__isalt", salt_buckets).join(
-                _replicated(tk, "__ksalt", salt_buckets), anti_cond & (F.col("__isalt") == F.col("__ksalt")),
+                build(_replicated(tk, "__ksalt", salt_buckets)), anti_cond & (F.col("__isalt") == F.col("__ksalt")),
                 "left_anti").drop("__isalt")
         else:
-            inserts = s.join(tk, anti_cond, "left_anti")
+            inserts = s.join(build(tk), anti_cond, "left_anti")
         chosen = set(insert_cols)
         inserts = inserts.select([
             (F.col(_S + c).cast(ttypes[c]) if c in chosen else F.lit(None).cast(ttypes[c])).alias(c)

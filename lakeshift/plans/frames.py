@@ -14,40 +14,56 @@ BASE_TABLES = (
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
-# sat: satellite, one third of the rows closed. upd: source system F's batch, chosen by load
-# date: rows loaded from 2000 on come again with new values (they match open versions, or only
-# closed ones), the 1998 loads come under new keys, the January 1996 loads with null keys.
+# sat: satellite, one third of the rows closed, one in fifty with a null business key, one in
+# four with an expiry date. upd: source system F's batch, chosen by load date: rows loaded from
+# 2000 on come again with new values (they match open versions, or only closed ones), the 1998
+# loads come under new keys, and one row with a null key, which matches a stored null key.
 FRAMES: dict[str, str] = {
     "sat": """
-SELECT o_orderkey AS ORD_ID, o_custkey AS REF_ID, o_orderstatus AS REC_SRC_NM,
+SELECT CASE WHEN o_orderkey % 50 <> 7 THEN o_orderkey END AS ORD_ID, o_custkey AS REF_ID, o_orderstatus AS REC_SRC_NM,
        CAST(o_custkey % 4 AS STRING) AS PART_COL, o_orderdate AS LD_DT, o_orderdate AS BTCH_DT,
-       o_orderdate AS SRC_EFF_DT, CASE WHEN o_orderkey < 0 THEN o_orderdate END AS SRC_EXPRN_DT,
+       o_orderdate AS SRC_EFF_DT, CASE WHEN o_orderkey % 4 = 1 THEN o_orderdate + INTERVAL 10 DAY END AS SRC_EXPRN_DT,
        CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate + INTERVAL 30 DAY END AS LD_END_DT,
        o_totalprice AS VAL
 FROM {orders}""",
     "upd": """
 SELECT ORD_ID, REF_ID, REC_SRC_NM, PART_COL, LD_DT, BTCH_DT, SRC_EFF_DT, SRC_EXPRN_DT,
        LD_DT + INTERVAL 400 DAY AS LD_END_DT, VAL + 1 AS VAL
-FROM sat WHERE REC_SRC_NM = 'F' AND year(LD_DT) >= 2000
+FROM sat WHERE REC_SRC_NM = 'F' AND year(LD_DT) >= 2000 AND ORD_ID IS NOT NULL
 UNION ALL
 SELECT ORD_ID + 10000000, REF_ID, REC_SRC_NM, PART_COL, LD_DT, BTCH_DT, SRC_EFF_DT, SRC_EXPRN_DT,
        SRC_EXPRN_DT AS LD_END_DT, VAL
-FROM sat WHERE REC_SRC_NM = 'F' AND year(LD_DT) = 1998
+FROM sat WHERE REC_SRC_NM = 'F' AND year(LD_DT) = 1998 AND ORD_ID IS NOT NULL
 UNION ALL
-SELECT CASE WHEN ORD_ID < 0 THEN ORD_ID END, REF_ID, REC_SRC_NM, PART_COL, LD_DT, BTCH_DT, SRC_EFF_DT,
-       SRC_EXPRN_DT, SRC_EXPRN_DT AS LD_END_DT, VAL
-FROM sat WHERE REC_SRC_NM = 'F' AND year(LD_DT) = 1996 AND month(LD_DT) = 1""",
+SELECT CAST(NULL AS BIGINT), max_by(REF_ID, VAL), 'F', max_by(PART_COL, VAL), max_by(LD_DT, VAL), max_by(BTCH_DT, VAL),
+       max_by(SRC_EFF_DT, VAL), max_by(SRC_EXPRN_DT, VAL), max_by(LD_DT, VAL) + INTERVAL 400 DAY, max(VAL) + 1
+FROM sat WHERE REC_SRC_NM = 'F' AND ORD_ID IS NULL AND LD_END_DT IS NULL""",
     "cycle": """
 SELECT l_orderkey, l_linenumber, CAST(year(l_shipdate) - 1900 AS INT) AS CYC_YEAR,
        CAST(month(l_shipdate) AS INT) AS CYC_MONTH, l_extendedprice, l_shipdate
 FROM {lineitem}""",
+    # All of lineitem with its months moved on so that the latest one is a January.
     "cycle_jan": """
-SELECT * FROM cycle WHERE CAST(l_shipdate AS DATE) < DATE '2001-02-01'""",
+SELECT l_orderkey, l_linenumber,
+       CAST(floor((year(l_shipdate) * 12 + month(l_shipdate) - 1 + k) / 12.0) AS INT) - 1900 AS CYC_YEAR,
+       CAST((month(l_shipdate) - 1 + k) % 12 + 1 AS INT) AS CYC_MONTH, l_extendedprice, l_shipdate
+FROM {lineitem}, (SELECT CAST((13 - month(max(l_shipdate))) % 12 AS INT) AS k FROM {lineitem}) shift""",
+    # The satellite with the partition values that folder names can spoil: null, the empty text
+    # (stored as null) and zero-padded digits; the batch has them too.
+    "odd_sat": """
+SELECT ORD_ID, REF_ID, REC_SRC_NM, CASE PART_COL WHEN '1' THEN '01' WHEN '2' THEN '' WHEN '3' THEN NULL ELSE '1' END AS PART_COL,
+       LD_DT, BTCH_DT, SRC_EFF_DT, SRC_EXPRN_DT, LD_END_DT, VAL
+FROM sat""",
+    "odd_upd": """
+SELECT ORD_ID, REF_ID, REC_SRC_NM, CASE PART_COL WHEN '1' THEN '01' WHEN '2' THEN '' WHEN '3' THEN NULL ELSE '1' END AS PART_COL,
+       LD_DT, BTCH_DT, SRC_EFF_DT, SRC_EXPRN_DT, LD_END_DT, VAL
+FROM upd""",
     "runs": """
 SELECT event_type AS dq_table_name, CAST(day(ts) AS BIGINT) AS run_id, event_id, value
 FROM {events}""",
     # Retention configuration over the error tables found in the data; it holds an inactive
-    # entry, a null keep count, a keep count equal to the number of runs and a null name.
+    # entry, a null keep count, a keep count equal to the number of runs, a null name, and a
+    # second and third entry for a table (one that deletes more, one that finds nothing left).
     "cfg": """
 SELECT CAST(CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'purchase' THEN 3
                             WHEN 'error' THEN 4 WHEN 'signup' THEN 5 ELSE 7 END AS BIGINT) AS dq_err_tables_master_id,
@@ -57,7 +73,11 @@ SELECT CAST(CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'purchas
        CASE WHEN event_type = 'error' THEN 'N' ELSE 'Y' END AS actv_inactv_ind
 FROM (SELECT DISTINCT event_type FROM {events}) e
 UNION ALL
-SELECT CAST(6 AS BIGINT), CAST(NULL AS STRING), CAST(5 AS INT), 'Y'""",
+SELECT CAST(6 AS BIGINT), CAST(NULL AS STRING), CAST(5 AS INT), 'Y'
+UNION ALL
+SELECT CAST(8 AS BIGINT), 'click', CAST(3 AS INT), 'Y'
+UNION ALL
+SELECT CAST(9 AS BIGINT), 'click', CAST(5 AS INT), 'Y'""",
     "ref": """
 SELECT CAST(c_custkey AS STRING) AS VAL, c_mktsegment AS SEG, CAST(c_nationkey AS STRING) AS NATION,
        CASE WHEN c_custkey % 5 = 0 THEN '0' ELSE '1' END AS IS_ACTV_FLG
@@ -65,7 +85,7 @@ FROM {customer}""",
 }
 
 # Frames built on other frames (the rest read only base tables).
-DEPENDS_ON = {"upd": ["sat"], "cycle_jan": ["cycle"]}
+DEPENDS_ON = {"upd": ["sat"], "odd_sat": ["sat"], "odd_upd": ["upd"]}
 
 
 def _deps(name: str, seen: list[str]) -> list[str]:

@@ -12,24 +12,44 @@ from pyspark.sql import types as T
 
 from lakeshift.operators import retention
 from lakeshift.operators.merge_table import merge_into_table
-from lakeshift.operators.scd2 import expire_spec, scd2_keys, upsert_spec
-
-from lakeshift.plans.frames import BASE_TABLES, frame, oracle, table
+from lakeshift.operators.dedup import dedup_by_key
+from lakeshift.operators.scd2 import (
+    close_and_insert_spec,
+    expire_spec,
+    historical_update_keys,
+    scd2_keys,
+    update_columns_spec,
+    upsert_spec,
+)
+from lakeshift.plans.frames import frame, oracle, table
 from lakeshift.plans.queries import (
+    END_VALUE,
     EXPIRE_INSERT,
+    M1_KEYS,
+    M3_KEYS,
+    OPEN_F,
     ORACLE,
     RETENTION_TS,
     SAT_COLS,
     TABLE_KEYS,
     UPSERT_INSERT,
+    dedup_sql,
+    merge_oracle,
     register,
 )
 from lakeshift.session import scratch_path
-from lakeshift.sinks.writers import export_csv, extract_name, replace_table, write_clean, write_partitioned
-from lakeshift.sources.catalog import latest_files, schema_catalog
+from lakeshift.sinks.writers import (
+    CSV_OPTIONS,
+    export_csv,
+    extract_name,
+    replace_table,
+    write_clean,
+    write_partitioned,
+)
+from lakeshift.sources.catalog import latest_files
 from lakeshift.sources.paths import clean_path, raw_path
 from lakeshift.sources.raw import read_raw
-from lakeshift.sources.tables import read_catalog
+from lakeshift.sources.tables import load_table, read_catalog
 
 # Headers with characters parquet rejects, and the names they become.
 MESSY_CUSTOMER = {
@@ -94,46 +114,45 @@ def q_partitioned_append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFram
     return spark.read.schema(sat.schema).parquet(path).select(SAT_COLS)
 
 
-@register("latest_file_per_dir", None)
+NEW_FILES = ("1", "3")
+
+
+@register("latest_file_per_dir", oracle(["sat"], (
+    "SELECT DISTINCT 'REC_SRC_NM=' || REC_SRC_NM || '/PART_COL=' || PART_COL AS directory, "
+    "'REC_SRC_NM=' || REC_SRC_NM AS table_name, PART_COL IN ('1', '3') AS is_new FROM sat")))
 def q_latest_file_per_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Newest data file in every partition folder of a freshly written satellite (rows-only:
-    modification times have no SQL oracle). ``table_name`` is the source-system folder."""
-    _, path = _partitioned_sat(spark, sf_dir)
+    """Newest data file in every partition folder of a satellite whose first files were given an
+    old modification time before two partition values were appended to. ``table_name`` is the
+    source-system folder; ``is_new`` says that the file found is one of the appended ones."""
+    sat, path = _partitioned_sat(spark, sf_dir)
+    jvm = spark._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for row in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path").collect():
+        fs.setTimes(jvm.org.apache.hadoop.fs.Path(row["path"]), 1_000_000_000_000, -1)  # a few files, in 2001
+    write_partitioned(sat.where(F.col("PART_COL").isin(*NEW_FILES)), path)
     depth = len(path.rstrip("/").split("/"))
-    return latest_files(spark, path, pattern=".parquet", name_segment=depth + 1).select(
-        "directory", "table_name", "length")
+    found = latest_files(spark, path, pattern=".parquet", name_segment=depth + 1)
+    return found.select(
+        F.regexp_extract("directory", "(REC_SRC_NM=.*)$", 1).alias("directory"), "table_name",
+        (F.year("modificationTime") > 2001).alias("is_new"))
+
+
+EVENTS_SQL = ("SELECT event_id, ts, user_id, '  ' || event_type || ' ' AS event_type, value, props FROM {events}")
 
 
-@register("csv_extract_roundtrip", "SELECT * FROM orders")
+@register("csv_extract_roundtrip", EVENTS_SQL.format(events="events"))
 def q_csv_extract_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
+    """All events (every time has a fraction) with one text padded by blanks on both sides."""
+    events = spark.sql(EVENTS_SQL.format(events=f"parquet.`{sf_dir}/events.parquet`"))
     view = f"lakeshift_extract_{uuid.uuid4().hex}"
-    orders.createOrReplaceTempView(view)  # the extract reads a catalog view by name
+    events.createOrReplaceTempView(view)  # the extract reads a catalog view by name
     folder = scratch_path(spark, "extract")
     day = _dt.date(2024, 1, 31)
-    status = export_csv(read_catalog(spark, view), folder, "orders_extract", as_of=day)
+    status = export_csv(read_catalog(spark, view), folder, "events_extract", as_of=day)
     spark.catalog.dropTempView(view)
     if status["status"] != "success":
         raise RuntimeError(f"extract failed: {status}")
-    return (spark.read.schema(orders.schema).option("header", "true")
-            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-            .csv(f"{folder}/{extract_name('orders_extract', day)}"))
-
-
-TYPE_MAP_SQL = """CASE WHEN data_type LIKE 'TIMESTAMP%' AND data_type NOT LIKE '%TIME ZONE%' THEN 'timestamp_ntz'
-  WHEN data_type = 'BIGINT' THEN 'bigint' WHEN data_type = 'INTEGER' THEN 'int' WHEN data_type = 'VARCHAR' THEN 'string'
-  WHEN data_type = 'DOUBLE' THEN 'double' WHEN data_type = 'FLOAT' THEN 'float' WHEN data_type = 'BOOLEAN' THEN 'boolean'
-  WHEN data_type = 'DATE' THEN 'date' WHEN data_type = 'FLOAT[]' THEN 'array<float>' WHEN data_type = 'SMALLINT' THEN 'smallint'
-  ELSE lower(data_type) END"""
-
-
-@register("schema_catalog", (
-    f"SELECT DISTINCT table_name, CAST(ordinal_position AS INTEGER) AS position, column_name, "
-    f"{TYPE_MAP_SQL} AS data_type, "
-    "is_nullable = 'YES' AS nullable FROM information_schema.columns WHERE table_name IN ("
-    + ", ".join(f"'{t}'" for t in BASE_TABLES) + ")"))
-def q_schema_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return schema_catalog(spark, {t: table(spark, sf_dir, t) for t in BASE_TABLES})
+    return spark.read.schema(events.schema).options(**CSV_OPTIONS).csv(f"{folder}/{extract_name('events_extract', day)}")
 
 
 @register("merge_upsert_into_table", ORACLE["merge_upsert"])
@@ -159,6 +178,58 @@ def q_merge_expire_part_into_table(spark: SparkSession, sf_dir: str) -> DataFram
     return spark.read.schema(sat.schema).parquet(path).select(SAT_COLS)
 
 
+def _odd_merge(spark: SparkSession, sf_dir: str, make_spec) -> DataFrame:
+    """A merge into a stored satellite with null, empty and zero-padded partition values. The
+    reader is not told a schema."""
+    path = scratch_path(spark, "vault") + "/VAULT/sat_odd"
+    write_partitioned(frame(spark, sf_dir, "odd_sat"), path)
+    upd = frame(spark, sf_dir, "odd_upd")
+    source, spec = make_spec(upd)
+    merge_into_table(spark, path, source, spec)
+    return load_table(spark, path).select(SAT_COLS)
+
+
+def _odd_oracle(source_sql: str, keys: list[str], **options) -> str:
+    """Merges of the odd frames as stored: the empty text is null."""
+    parts = [f"{n}_stored AS (SELECT * REPLACE (nullif(PART_COL, '') AS PART_COL) FROM {n})" for n in ("odd_sat", "odd_upd")]
+    sql = merge_oracle(source_sql, keys, frames=("odd_sat", "odd_upd"), target="odd_sat_stored", **options)
+    return sql.replace("\nsrc AS (", "\n" + ",\n".join(parts) + ",\nsrc AS (", 1)
+
+
+@register("merge_close_open_into_odd_table", _odd_oracle(
+    "SELECT * FROM odd_upd_stored", M1_KEYS, pred=OPEN_F,
+    set_lit={"LD_END_DT": f"CAST('{END_VALUE}' AS TIMESTAMP)"}, insert=SAT_COLS))
+def q_merge_close_open_into_odd_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _odd_merge(spark, sf_dir, lambda upd: (upd, close_and_insert_spec(
+        scd2_keys(TABLE_KEYS, upd.columns), "LD_END_DT", END_VALUE, source_filter="F")))
+
+
+@register("merge_upsert_into_odd_table", _odd_oracle(
+    "SELECT * FROM odd_upd_stored", M1_KEYS, pred=OPEN_F, set_src={"LD_END_DT": "LD_END_DT"},
+    insert=[c for c in UPSERT_INSERT if c != "rankColumn"]))
+def q_merge_upsert_into_odd_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _odd_merge(spark, sf_dir, lambda upd: (upd, upsert_spec(
+        upd.columns, scd2_keys(TABLE_KEYS, upd.columns), "LD_END_DT", UPSERT_INSERT, source_filter="F")))
+
+
+@register("merge_historical_update_into_odd_table", _odd_oracle(
+    dedup_sql("odd_upd_stored", M3_KEYS, SAT_COLS), M3_KEYS, pred="REC_SRC_NM = 'F'",
+    set_src={"VAL": "VAL", "LD_END_DT": "LD_END_DT"}, insert=None))
+def q_merge_historical_update_into_odd_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def make(upd):
+        keys = historical_update_keys(TABLE_KEYS, upd.columns)
+        return dedup_by_key(upd, keys), update_columns_spec(keys, ["VAL", "LD_END_DT", "REC_SRC_NM"], source_filter="F")
+    return _odd_merge(spark, sf_dir, make)
+
+
+@register("merge_expire_into_odd_table", _odd_oracle(
+    "SELECT * FROM odd_upd_stored", ["ORD_ID"], pred=OPEN_F, residual="t.BTCH_DT <= s.BTCH_DT",
+    set_src={"LD_END_DT": "LD_END_DT", "SRC_EXPRN_DT": "SRC_EFF_DT"}, insert=EXPIRE_INSERT))
+def q_merge_expire_into_odd_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _odd_merge(spark, sf_dir, lambda upd: (upd, expire_spec(
+        ["ORD_ID"], "LD_END_DT", EXPIRE_INSERT, cols_to_update=["LD_END_DT", "SRC_EXPRN_DT"], source_filter="F")))
+
+
 RUNS_SCHEMA = T.StructType([
     T.StructField("run_id", T.LongType()), T.StructField("event_id", T.LongType()),
     T.StructField("value", T.DoubleType()), T.StructField("dq_table_name", T.StringType()),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lakeshift.functions.predicates import apply_read_type, resolve_read_spec
 from lakeshift.operators import cycles, retention
 from lakeshift.operators.dedup import dedup_by_key, distinct_values
-from lakeshift.operators.lookup import active_rows, lookup
+from lakeshift.operators.lookup import lookup
 from lakeshift.operators.scd2 import (
     close_and_insert,
     expire,
@@ -24,6 +24,9 @@ from lakeshift.operators.scd2 import (
     upsert,
 )
 from lakeshift.plans.frames import frame, oracle, table, with_clause
+from lakeshift.session import scratch_path
+from lakeshift.sinks.writers import write_connector, write_partitioned, write_table
+from lakeshift.sources.tables import read_connector, read_reference, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -107,11 +110,31 @@ READ_CASES: dict[str, tuple[dict, dict, list[str], str | None]] = {
 }
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The path of a frame written as a table, once per application and data set (the satellite
+    partitioned as in the vault)."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        path = f"{scratch_path(spark, 'stored')}/VAULT/{name}"
+        if name == "sat":
+            write_partitioned(frame(spark, sf_dir, name), path)
+        else:
+            write_table(frame(spark, sf_dir, name), path)
+        _STORED[key] = path
+    return _STORED[key]
+
+
 def _read_query(obj: dict, extra: dict, source_list: list[str]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spec = resolve_read_spec(obj, None, kind=extra.get("kind", "table"), source_list=source_list,
+        kind = extra.get("kind", "table")
+        spec = resolve_read_spec(obj, None, kind=kind, source_list=source_list,
                                  as_of=AS_OF, export=extra.get("export", False))
-        return apply_read_type(frame(spark, sf_dir, "sat"), spec)
+        path = stored(spark, sf_dir, "sat")
+        df = read_connector(spark, "parquet", {"path": path}, spec) if kind == "wide" else read_table(spark, path, spec)
+        return df.withColumn("PART_COL", F.col("PART_COL").cast("string")) if kind == "wide" else df
     return run
 
 
@@ -158,7 +181,7 @@ EXPIRE_INSERT = ["ORD_ID", "REF_ID", "REC_SRC_NM", "PART_COL", "LD_DT", "BTCH_DT
 TABLE_KEYS = {"target-table-keys": ["ORD_ID"]}
 
 
-def _dedup_sql(src: str, keys: list[str], cols: list[str]) -> str:
+def dedup_sql(src: str, keys: list[str], cols: list[str]) -> str:
     order = ", ".join(f"{c} ASC NULLS FIRST" for c in cols if c not in keys)
     return (f"SELECT {', '.join(cols)} FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(keys)} "
             f"ORDER BY {order}) AS __rn FROM {src}) d WHERE __rn = 1")
@@ -166,7 +189,8 @@ def _dedup_sql(src: str, keys: list[str], cols: list[str]) -> str:
 
 def merge_oracle(source_sql: str, keys: list[str], *, pred: str | None, residual: str | None = None,
                  set_src: dict[str, str] | None = None, set_lit: dict[str, str] | None = None,
-                 insert: list[str] | None = None, frames: tuple[str, ...] = ("sat", "upd")) -> str:
+                 insert: list[str] | None = None, frames: tuple[str, ...] = ("sat", "upd"),
+                 target: str = "sat") -> str:
     """MERGE semantics in plain SQL: untouched rows, then a full outer join of the touched slice
     and the source on null-safe keys."""
     set_src, set_lit = set_src or {}, set_lit or {}
@@ -186,8 +210,8 @@ def merge_oracle(source_sql: str, keys: list[str], *, pred: str | None, residual
         else:
             upd_cols.append(f"t_{c} AS {c}")
     ctes = f"""src AS ({source_sql}),
-touched AS (SELECT * FROM sat WHERE {inside}),
-rest AS (SELECT * FROM sat WHERE NOT {inside}),
+touched AS (SELECT * FROM {target} WHERE {inside}),
+rest AS (SELECT * FROM {target} WHERE NOT {inside}),
 j AS (SELECT {tsel}, {ssel}, t.__hit AS t_hit, s.__hit AS s_hit
       FROM (SELECT *, 1 AS __hit FROM touched) t {join} (SELECT *, 1 AS __hit FROM src) s ON {on})"""
     body = f"""SELECT {', '.join(SAT_COLS)} FROM rest
@@ -211,7 +235,9 @@ OPEN_F = "REC_SRC_NM = 'F' AND LD_END_DT IS NULL"
     "SELECT * FROM upd", M1_KEYS, pred=OPEN_F,
     set_lit={"LD_END_DT": f"CAST('{END_VALUE}' AS TIMESTAMP)"}, insert=SAT_COLS))
 def q_merge_close_open(spark, sf_dir):
+    """The batch spells two columns in another case than the satellite."""
     sat, upd = _sat_upd(spark, sf_dir)
+    upd = upd.withColumnsRenamed({"VAL": "val", "PART_COL": "Part_Col"})
     return close_and_insert(sat, upd, scd2_keys(TABLE_KEYS, upd.columns), "LD_END_DT", END_VALUE,
                             source_filter="F")
 
@@ -262,7 +288,7 @@ M3_KEYS = ["ORD_ID", "LD_DT", "REF_ID", "SRC_EFF_DT"]
 
 
 @register("merge_historical_update", merge_oracle(
-    _dedup_sql("upd", M3_KEYS, SAT_COLS), M3_KEYS, pred="REC_SRC_NM = 'F'",
+    dedup_sql("upd", M3_KEYS, SAT_COLS), M3_KEYS, pred="REC_SRC_NM = 'F'",
     set_src={"VAL": "VAL", "LD_END_DT": "LD_END_DT"}, insert=None))
 def q_merge_historical_update(spark, sf_dir):
     sat, upd = _sat_upd(spark, sf_dir)
@@ -289,7 +315,7 @@ def q_merge_expire_two_cols(spark, sf_dir):
 
 
 @register("merge_expire_ref_key", merge_oracle(
-    _dedup_sql("upd", ["REF_ID"], SAT_COLS), ["REF_ID"], pred=OPEN_F, residual="t.BTCH_DT <= s.BTCH_DT",
+    dedup_sql("upd", ["REF_ID"], SAT_COLS), ["REF_ID"], pred=OPEN_F, residual="t.BTCH_DT <= s.BTCH_DT",
     set_src={"LD_END_DT": "LD_END_DT"}, insert=EXPIRE_INSERT))
 def q_merge_expire_ref_key(spark, sf_dir):
     """One source row closes every open version of its REF_ID that is not newer."""
@@ -339,7 +365,7 @@ LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quan
                  "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
-@register("dedup_by_key", _dedup_sql("lineitem", ["l_orderkey", "l_linenumber"], LINEITEM_COLS))
+@register("dedup_by_key", dedup_sql("lineitem", ["l_orderkey", "l_linenumber"], LINEITEM_COLS))
 def q_dedup_by_key(spark, sf_dir):
     return dedup_by_key(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -347,7 +373,7 @@ def q_dedup_by_key(spark, sf_dir):
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 
-@register("dedup_events_by_type", _dedup_sql("events", ["event_type"], EVENT_COLS))
+@register("dedup_events_by_type", dedup_sql("events", ["event_type"], EVENT_COLS))
 def q_dedup_events_by_type(spark, sf_dir):
     """Five keys, each holding about a fifth of the rows: the hot-group case of the de-duplication."""
     return dedup_by_key(table(spark, sf_dir, "events"), ["event_type"])
@@ -365,15 +391,26 @@ def q_distinct_part_col(spark, sf_dir):
 RETENTION_TS = _dt.datetime(2024, 2, 1, 0, 0, 0)
 ELIGIBLE_SQL = ("SELECT * FROM cfg WHERE actv_inactv_ind = 'Y' AND dq_table_name IS NOT NULL "
                 "AND COALESCE(no_of_exec_to_keep, 0) > 0")
-PLAN_SQL = f"""elig AS ({ELIGIBLE_SQL}),
-stats AS (SELECT dq_table_name, COUNT(DISTINCT run_id) AS n_runs, MAX(run_id) AS max_run FROM runs GROUP BY dq_table_name),
-plan AS (
+
+
+def _turn_sql(turn: int, before: str) -> str:
+    """The plan rows of the ``turn``-th configuration row per table, over the runs left before it."""
+    return f"""stats{turn} AS (SELECT dq_table_name, COUNT(DISTINCT run_id) AS n_runs, MAX(run_id) AS max_run FROM {before} GROUP BY dq_table_name),
+plan{turn} AS (
   SELECT e.dq_err_tables_master_id, e.dq_table_name, CAST(s.n_runs AS BIGINT) AS exec_avail_in_frt,
          CAST(s.max_run - e.no_of_exec_to_keep AS BIGINT) AS max_run_id_deleted_in_frt,
-         CAST((SELECT COUNT(*) FROM runs r WHERE r.dq_table_name = e.dq_table_name
+         CAST((SELECT COUNT(*) FROM {before} r WHERE r.dq_table_name = e.dq_table_name
                AND r.run_id <= s.max_run - e.no_of_exec_to_keep) AS BIGINT) AS records_removed_from_frt
-  FROM elig e JOIN stats s ON s.dq_table_name = e.dq_table_name
-  WHERE s.n_runs - e.no_of_exec_to_keep > 0)"""
+  FROM (SELECT * FROM elig WHERE turn = {turn}) e JOIN stats{turn} s ON s.dq_table_name = e.dq_table_name
+  WHERE s.n_runs - e.no_of_exec_to_keep > 0),
+left{turn} AS (SELECT r.* FROM {before} r LEFT JOIN plan{turn} p ON r.dq_table_name = p.dq_table_name
+  WHERE NOT COALESCE(r.run_id <= p.max_run_id_deleted_in_frt, FALSE))"""
+
+
+PLAN_SQL = ",\n".join([
+    f"elig AS (SELECT *, row_number() OVER (PARTITION BY dq_table_name ORDER BY dq_err_tables_master_id) AS turn FROM ({ELIGIBLE_SQL}) q)",
+    _turn_sql(1, "runs"), _turn_sql(2, "left1"), _turn_sql(3, "left2"),
+    "plan AS (SELECT * FROM plan1 UNION ALL SELECT * FROM plan2 UNION ALL SELECT * FROM plan3)"])
 
 
 def _retention_sql(body: str) -> str:
@@ -390,12 +427,10 @@ def q_retention_plan(spark, sf_dir):
     return retention.plan(frame(spark, sf_dir, "runs"), frame(spark, sf_dir, "cfg"))
 
 
-@register("retention_apply", _retention_sql(
-    "SELECT r.* FROM runs r LEFT JOIN plan p ON r.dq_table_name = p.dq_table_name "
-    "WHERE NOT COALESCE(r.run_id <= p.max_run_id_deleted_in_frt, FALSE)"))
+@register("retention_apply", _retention_sql("SELECT * FROM left3"))
 def q_retention_apply(spark, sf_dir):
     runs, cfg = frame(spark, sf_dir, "runs"), frame(spark, sf_dir, "cfg")
-    return retention.apply(runs, retention.plan(runs, cfg), cfg)
+    return retention.apply(runs, retention.plan(runs, cfg))
 
 
 @register("retention_log", _retention_sql(
@@ -448,19 +483,26 @@ def q_cycle_january(spark, sf_dir):
 
 @register("ref_all", oracle(["ref"], "SELECT * FROM ref"))
 def q_ref_all(spark, sf_dir):
-    return frame(spark, sf_dir, "ref")
+    return read_reference(spark, stored(spark, sf_dir, "ref"))
 
 
 @register("ref_active", oracle(["ref"], "SELECT * FROM ref WHERE IS_ACTV_FLG = '1'"))
 def q_ref_active(spark, sf_dir):
-    return active_rows(frame(spark, sf_dir, "ref"), 1)
+    return read_reference(spark, stored(spark, sf_dir, "ref"), is_active=1)
+
+
+@register("connector_roundtrip", oracle(["sat"], "SELECT * FROM sat"))
+def q_connector_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "connector")
+    write_connector(frame(spark, sf_dir, "sat"), "parquet", {"path": path})
+    return read_connector(spark, "parquet", {"path": path})
 
 
 @register("ref_lookup_list", oracle(["ref"], (
     "SELECT COALESCE(CAST(VAL AS VARCHAR), 'None') AS VAL FROM ref "
     "WHERE lower(SEG) = 'building' AND lower(NATION) = '7'")))
 def q_ref_lookup_list(spark, sf_dir):
-    return lookup(frame(spark, sf_dir, "ref"), {"SEG": "Building", "NATION": 7}, "VAL")
+    return lookup(read_reference(spark, stored(spark, sf_dir, "ref")), {"SEG": "Building", "NATION": 7}, "VAL")
 
 
 @register("ref_lookup_list_padded", oracle(["ref"], (
@@ -468,4 +510,4 @@ def q_ref_lookup_list(spark, sf_dir):
     "SELECT regexp_replace(COALESCE(CAST(VAL AS VARCHAR), 'None'), '^\\s+|\\s+$', '', 'g') AS v FROM ref "
     "WHERE lower(SEG) = 'machinery') x")))
 def q_ref_lookup_list_padded(spark, sf_dir):
-    return lookup(frame(spark, sf_dir, "ref"), {"SEG": "MACHINERY"}, "VAL", pad_length=3, pad_char="0")
+    return lookup(read_reference(spark, stored(spark, sf_dir, "ref")), {"SEG": "MACHINERY"}, "VAL", pad_length=3, pad_char="0")

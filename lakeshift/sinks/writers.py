@@ -4,12 +4,19 @@ and a safe replacement of a table that the written frame was read from."""
 from __future__ import annotations
 
 import datetime as _dt
+import logging
 from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeshift.session import scratch_path
+from lakeshift.sinks.publish import remove_folder, same_store, swap_table
 from lakeshift.sources.paths import clean_path
+from lakeshift.sources.tables import load_table, partition_columns
+
+log = logging.getLogger(__name__)
 
 # Write modes and the partition columns of vault tables.
 MODES = ("append", "overwrite")
@@ -53,18 +60,28 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] |
 
 
 def replace_table(spark: SparkSession, df: DataFrame, path: str, *, fmt: str = "parquet",
-                  partition_cols: Sequence[str] = ()) -> str:
-    """Overwrite ``path`` with ``df`` even when ``df`` reads ``path``: the rows are first written
-    to a fresh folder under the shared checkpoint directory (this also cuts the lineage, so a
-    lost executor recomputes from the staged copy, not from files being replaced)."""
+                  partition_cols: Sequence[str] | None = None) -> str:
+    """Overwrite ``path`` with ``df`` even when ``df`` reads ``path``. Returns the stage folder.
+
+    The rows are written once, to a fresh folder under the shared checkpoint directory, and the
+    complete folder is then put in the table's place (``sinks.publish.swap_table``, which also
+    finishes an interrupted swap). ``partition_cols`` None keeps the table's own partitioning."""
+    if partition_cols is None:
+        partition_cols = partition_columns(spark, path, fmt)
     stage = scratch_path(spark, "replace")
-    df.write.mode("overwrite").format(fmt).save(stage)
-    staged = spark.read.format(fmt).load(stage)
-    writer = staged.write.mode("overwrite").format(fmt)
+    log.info("the new rows of %s are staged at %s", path, stage)
     if partition_cols:
-        writer = writer.partitionBy(*partition_cols)
-    writer.save(path)
-    return path
+        write_partitioned(df, stage, list(partition_cols), mode="overwrite", fmt=fmt)
+    else:
+        df.write.mode("overwrite").format(fmt).save(stage)
+    if same_store(spark, stage, path):
+        swap_table(spark, stage, path)
+        return stage
+    staged = load_table(spark, stage, fmt, schema=df.schema).select(df.columns)
+    writer = staged.write.mode("overwrite").format(fmt)
+    (writer.partitionBy(*partition_cols) if partition_cols else writer).save(path)
+    remove_folder(spark, stage)
+    return stage
 
 
 def write_jdbc(df: DataFrame, url: str, dbtable: str, *, mode: str = "append", driver: str | None = None,
@@ -85,7 +102,8 @@ def write_jdbc(df: DataFrame, url: str, dbtable: str, *, mode: str = "append", d
 
 
 # CSV layout equal to a pandas ``to_csv`` (header, comma, UTF-8, quotes escaped by
-# doubling, empty strings unquoted, timestamps with a space).
+# doubling, empty strings unquoted, blanks kept, timestamps with a space and, where it is not
+# zero, a fraction of six digits).
 CSV_OPTIONS = {
     "header": "true",
     "sep": ",",
@@ -94,8 +112,10 @@ CSV_OPTIONS = {
     "escape": '"',
     "emptyValue": "",
     "nullValue": "",
-    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
-    "timestampFormat": "yyyy-MM-dd HH:mm:ss",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
+    "timestampFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
     "dateFormat": "yyyy-MM-dd",
 }
 
@@ -104,6 +124,12 @@ def extract_name(prefix: str, as_of: _dt.date) -> str:
     return f"{prefix}_{as_of.strftime('%Y%m%d')}.csv"
 
 
+def _timestamp_text(column: Column) -> Column:
+    fraction = F.date_format(column, "SSSSSS")
+    return F.when(fraction == "000000", F.date_format(column, "yyyy-MM-dd HH:mm:ss")).otherwise(
+        F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
 def export_csv(df: DataFrame, folder: str, prefix: str, *, as_of: _dt.date | None = None) -> dict:
     """Dated CSV extract: a folder ``<folder>/<prefix>_<yyyymmdd>.csv`` of part files, each with
     the header, written by all tasks in parallel (no single task or driver sees all rows).
@@ -112,7 +138,9 @@ def export_csv(df: DataFrame, folder: str, prefix: str, *, as_of: _dt.date | Non
     name = extract_name(prefix, when)
     if df.isEmpty():
         return {"status": "empty", "file_name": name, "extractPathFolder": folder, "columnDelimiter": ","}
-    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(f"{folder.rstrip('/')}/{name}")
+    stamps = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))}
+    out = df.select(*[_timestamp_text(F.col(f"`{c}`")).alias(c) if c in stamps else F.col(f"`{c}`") for c in df.columns])
+    out.write.mode("overwrite").options(**CSV_OPTIONS).csv(f"{folder.rstrip('/')}/{name}")
     return {"status": "success", "file_name": name, "extractPathFolder": folder, "columnDelimiter": ","}
 
 

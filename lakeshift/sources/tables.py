@@ -6,16 +6,50 @@ from __future__ import annotations
 from typing import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from lakeshift.functions.predicates import ReadSpec, apply_read_type
 from lakeshift.operators.lookup import active_rows
 
+# File formats whose partition columns Spark derives from folder names.
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "text", "avro")
+
+
+def partition_columns(spark: SparkSession, path: str, fmt: str = "parquet",
+                      options: Mapping[str, str] | None = None) -> list[str]:
+    """The columns of a stored table that come from its folder names (none for formats that keep
+    their own catalog). Reads file footers only."""
+    if fmt not in FILE_FORMATS:
+        return []
+    reader = spark.read.format(fmt).options(**dict(options or {}))
+    inside = set(reader.option("recursiveFileLookup", "true").load(path).columns)
+    whole = spark.read.format(fmt).options(**dict(options or {})).load(path)
+    return [c for c in whole.columns if c not in inside]
+
+
+def load_table(spark: SparkSession, path: str, fmt: str = "parquet", options: Mapping[str, str] | None = None,
+               schema: T.StructType | None = None) -> DataFrame:
+    """``load(path)`` whose partition columns are text unless a schema gives them another type.
+    Left to itself, Spark guesses their types from the folder names: '01' would read as the
+    number 1 and be written back as another folder."""
+    reader = spark.read.format(fmt).options(**dict(options or {}))
+    if schema is not None:
+        return reader.schema(schema).load(path)
+    df = reader.load(path)
+    guessed = [c for c in partition_columns(spark, path, fmt, options)
+               if not isinstance(df.schema[c].dataType, T.StringType)]
+    if not guessed:
+        return df
+    as_text = T.StructType([
+        T.StructField(f.name, T.StringType() if f.name in guessed else f.dataType, True) for f in df.schema.fields])
+    return spark.read.format(fmt).options(**dict(options or {})).schema(as_text).load(path)
+
 
 def read_table(spark: SparkSession, path: str, spec: ReadSpec | None = None, fmt: str = "parquet",
-               options: Mapping[str, str] | None = None) -> DataFrame:
+               options: Mapping[str, str] | None = None, schema: T.StructType | None = None) -> DataFrame:
     """``load(path).where(read-type predicate)``; the predicate reaches the scan as pushed filters
     (and partition pruning when it is on partition columns)."""
-    df = spark.read.format(fmt).options(**dict(options or {})).load(path)
+    df = load_table(spark, path, fmt, options, schema)
     return df if spec is None else apply_read_type(df, spec)
 
 
@@ -35,5 +69,5 @@ def read_connector(spark: SparkSession, fmt: str, options: Mapping[str, str], sp
 def read_reference(spark: SparkSession, path: str, fmt: str = "parquet", is_active: int | str | None = None
                    ) -> DataFrame:
     """Reference table, all rows or only rows whose active flag equals ``str(is_active)``."""
-    df = spark.read.format(fmt).load(path)
+    df = load_table(spark, path, fmt)
     return df if is_active is None else active_rows(df, is_active)

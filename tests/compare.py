@@ -52,7 +52,7 @@ def duck_digest(con, sql: str):
 
 
 def main(argv: list[str] | None = None) -> int:
-    """``python -m lakeshift.plans.compare <sf_dir> [name ...]``: print one line per query."""
+    """``PYTHONPATH=. python tests/compare.py <sf_dir> [name ...]``: print one line per query."""
     import sys
     import time
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from lakeshift import config
 from lakeshift.operators.scd2 import scd2_keys, upsert
-from lakeshift.plans.compare import digest
+from compare import digest
 from lakeshift.plans.frames import frame
 from lakeshift.sinks.writers import BULK_FORMAT, mart_write_plan
 

@@ -11,13 +11,23 @@ from pyspark.sql import functions as F
 from lakeshift.functions.text import as_text, pad_left, sanitize_columns, sanitize_name
 from lakeshift.operators.cycles import cycle_year, read_cycle
 from lakeshift.operators.lookup import active_rows, lookup
-from lakeshift.operators.merge_table import merge_into_table
+from lakeshift import config
+from lakeshift.operators.merge_table import merge_into_table, publish_staged
 from lakeshift.operators.scd2 import upsert_spec
-from lakeshift.sinks.writers import export_csv, write_jdbc, write_partitioned
+from lakeshift.sinks import publish
+from lakeshift.sinks.writers import (
+    CSV_OPTIONS,
+    export_csv,
+    replace_table,
+    write_connector,
+    write_jdbc,
+    write_partitioned,
+)
 from lakeshift.sources import jdbc
 from lakeshift.sources.catalog import latest_files
 from lakeshift.sources.paths import clean_path, raw_path, table_path
 from lakeshift.sources.raw import read_raw
+from lakeshift.sources.tables import read_connector, read_table
 
 
 def test_sanitize_names():
@@ -168,22 +178,95 @@ def test_latest_files(spark, tmp_path):
     assert got == [("a", "x_2.parquet"), ("b", "x_2.parquet")]
 
 
-@pytest.mark.parametrize("max_partitions", [0, 100])
-def test_merge_into_table_without_pruning(spark, tmp_path, max_partitions):
-    """No source filter (every partition can match) or too many partitions to list: the whole
-    table is merged, with the same result."""
+DDL = "K long, REC_SRC_NM string, PART_COL string, LD_DT timestamp_ntz, LD_END_DT timestamp_ntz, VAL double"
+DAY, END = dt.datetime(2024, 1, 1), dt.datetime(2024, 3, 1)
+
+
+def files(path):
+    return {str(f.relative_to(path)) for f in path.rglob("*.parquet")}
+
+
+def test_only_partitions_with_a_match_are_rewritten(spark, tmp_path):
+    """No source filter, so every partition could match: files of those without a matching key
+    keep their names, and nothing staged is left."""
+    path = tmp_path / "sat"
+    rows = [(i, "F" if i % 2 else "O", str(i % 3), DAY, None, float(i)) for i in range(12)]
+    t = spark.createDataFrame(rows, DDL)
+    write_partitioned(t, str(path))
+    before = files(path)
+    src = spark.createDataFrame([(2, "O", "2", DAY, END, 0.0), (3, "F", "0", DAY, END, 0.0)], DDL)
+    spec = upsert_spec(src.columns, ["K", "LD_DT"], "LD_END_DT", src.columns)
+    info = merge_into_table(spark, str(path), src, spec, schema=t.schema)
+    assert info["partitions"] == 2 and not os.path.exists(info["staged"].removeprefix("file:"))
+    kept = before & files(path)
+    assert kept == {f for f in before if not f.startswith(("REC_SRC_NM=O/PART_COL=2/", "REC_SRC_NM=F/PART_COL=0/"))}
+    got = {r.K: r.LD_END_DT for r in spark.read.schema(t.schema).parquet(str(path)).collect()}
+    assert len(got) == 12 and got[2] == got[3] == END and got[4] is None
+
+
+def test_odd_partition_values_neither_lose_nor_double_rows(spark, tmp_path):
+    """Null, empty and zero-padded partition values, without a schema."""
     path = str(tmp_path / "sat")
-    ddl = "K long, REC_SRC_NM string, PART_COL string, LD_DT timestamp_ntz, LD_END_DT timestamp_ntz, VAL double"
-    rows = [(i, "F" if i % 2 else "O", str(i % 3), dt.datetime(2024, 1, 1), None, float(i)) for i in range(12)]
-    t = spark.createDataFrame(rows, ddl)
+    t = spark.createDataFrame([(1, "F", None, DAY, None, 1.0), (2, "F", "01", DAY, None, 2.0), (3, "F", "1", DAY, None, 3.0)], DDL)
     write_partitioned(t, path)
-    src = spark.createDataFrame([(2, "O", "2", dt.datetime(2024, 1, 1), dt.datetime(2024, 3, 1), 0.0),
-                                 (3, "F", "0", dt.datetime(2024, 1, 1), dt.datetime(2024, 3, 1), 0.0)], ddl)
-    spec = upsert_spec(src.columns, ["K", "LD_DT"], "LD_END_DT", src.columns)
-    info = merge_into_table(spark, path, src, spec, schema=t.schema, max_partitions=max_partitions)
-    assert info["partitions"] == (None if max_partitions == 0 else 6)
-    got = {r.K: r.LD_END_DT for r in spark.read.schema(t.schema).parquet(path).collect()}
-    assert len(got) == 12 and got[2] == got[3] == dt.datetime(2024, 3, 1) and got[4] is None
+    src = spark.createDataFrame([(9, "F", "", DAY, None, 9.0), (2, "F", "01", DAY, END, 0.0)], DDL)
+    merge_into_table(spark, path, src, upsert_spec(src.columns, ["K"], "LD_END_DT", src.columns, source_filter="F"))
+    got = sorted((r.K, r.PART_COL, r.LD_END_DT) for r in read_table(spark, path).collect())
+    assert got == [(1, None, None), (2, "01", END), (3, "1", None), (9, None, None)]
+
+
+def test_an_interrupted_publish_is_finished_by_the_same_call(spark, tmp_path, monkeypatch):
+    path, stage = str(tmp_path / "sat"), str(tmp_path / "stage")
+    rows = [(i, "F", str(i % 4), DAY, None, 0.0) for i in range(8)]
+    write_partitioned(spark.createDataFrame(rows, DDL), path)
+    new = spark.createDataFrame([(i, "F", str(i % 4), DAY, END, 1.0) for i in range(8)], DDL)
+    write_partitioned(new, stage, mode="overwrite")
+    folders = sorted((tmp_path / "stage" / "REC_SRC_NM=F").iterdir())
+    real = publish._folders
+    monkeypatch.setattr(publish, "_folders", lambda fs, p, n: real(fs, p, n)[:2] + [None])
+    with pytest.raises(AttributeError):  # stops after two of four folders
+        publish_staged(spark, stage, path, new.schema, ["REC_SRC_NM", "PART_COL"])
+    monkeypatch.undo()
+    assert len([f for f in folders if f.exists()]) == 2
+    assert publish_staged(spark, stage, path, new.schema, ["REC_SRC_NM", "PART_COL"]) == 2
+    assert not (tmp_path / "stage").exists()
+    assert {r.LD_END_DT for r in spark.read.schema(new.schema).parquet(path).collect()} == {END}
+    assert publish_staged(spark, stage, path, new.schema, ["REC_SRC_NM", "PART_COL"]) == 0
+
+
+def test_replace_keeps_partitioning_and_finishes_after_an_interruption(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, "01", 1.0), (2, "02", 2.0)], "run_id long, p string, v double")
+    df.write.partitionBy("p").parquet(path)
+    replace_table(spark, read_table(spark, path).where("run_id > 1"), path)
+    assert sorted(os.listdir(path))[-1] == "p=02" and [tuple(r) for r in read_table(spark, path).select("run_id", "p").collect()] == [(2, "02")]
+    # Stopped between the two renames: the table stands aside, the new one is still staged.
+    stage = str(tmp_path / "stage")
+    df.where("run_id = 1").write.partitionBy("p").parquet(stage)
+    os.rename(path, path + "__replaced")
+    publish.swap_table(spark, stage, path)
+    assert [r.run_id for r in read_table(spark, path).collect()] == [1] and not os.path.exists(path + "__replaced")
+
+
+def test_csv_extract_keeps_blanks_and_fractions(spark, tmp_path):
+    rows = [(" lead", dt.datetime(2024, 1, 1, 1, 2, 3, 456789)), ("trail ", dt.datetime(2024, 1, 1, 1, 2, 3)), ('a "q", b', None)]
+    df = spark.createDataFrame(rows, "t string, ts timestamp_ntz")
+    status = export_csv(df, str(tmp_path), "x", as_of=dt.date(2024, 2, 1))
+    text = "".join(open(f).read() for f in sorted((tmp_path / status["file_name"]).glob("part-*")))
+    assert " lead,2024-01-01 01:02:03.456789\n" in text and "trail ,2024-01-01 01:02:03\n" in text
+    back = spark.read.schema(df.schema).options(**CSV_OPTIONS).csv(str(tmp_path / status["file_name"]))
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+
+
+def test_connector_and_reference_entries(spark, tmp_path):
+    root = str(tmp_path)
+    ref = spark.createDataFrame([("a", "X", "1"), ("b", "x", "0"), ("c", "y", "1")], "VAL string, SEG string, IS_ACTV_FLG string")
+    write_connector(ref, "parquet", {"path": f"{root}/REF/codes"})
+    assert read_connector(spark, "parquet", {"path": f"{root}/REF/codes"}).count() == 3
+    assert sorted(r.VAL for r in config.read_reference_table(spark, root, "ref.Codes").collect()) == ["a", "c"]
+    assert config.read_reference_table(spark, root, "other.codes", {"adv_schema": "ref"}, is_active=None).count() == 3
+    options = {"ref-table-name": "ref.codes", "ref-look-up-values": {"SEG": "X"}, "return-look-up-col": "VAL"}
+    assert sorted(r.VAL for r in config.lookup_reference(spark, root, options).collect()) == ["a", "b"]
 
 
 def test_latest_files_depth(spark, tmp_path):

@@ -24,7 +24,7 @@ from lakeshift.operators.scd2 import (
     update_columns,
     upsert,
 )
-from lakeshift.plans.compare import digest
+from compare import digest
 
 COLS = ["K", "REF_ID", "REC_SRC_NM", "PART_COL", "LD_DT", "BTCH_DT", "SRC_EFF_DT", "SRC_EXPRN_DT", "LD_END_DT",
         "VAL"]
@@ -307,3 +307,46 @@ def test_unknown_columns_rejected(spark):
         merge(t, s, MergeSpec(keys=("K",), insert_columns=("K", "nope")))
     with pytest.raises(ValueError, match="target lacks"):
         merge(t, s, MergeSpec(keys=("K",), set_literal={"nope": 1}))
+
+
+FLAVOURS = {
+    "close": lambda t, s: close_and_insert(t, s, ["k"], "ld_end_dt", "2030-01-01 00:00:00"),
+    "upsert": lambda t, s: upsert(t, s, ["k"], "ld_end_dt", ["K", "REC_SRC_NM", "PART_COL", "Ld_Dt", "BTCH_DT", "REF_ID", "LD_END_DT", "VAL"]),
+    "update": lambda t, s: update_columns(t, s, ["k"], ["val"]),
+    "expire": lambda t, s: expire(t, s, ["k"], "ld_end_dt", ["K", "val", "BTCH_DT"], batch_col="btch_dt"),
+}
+
+
+@pytest.mark.parametrize("flavour", sorted(FLAVOURS))
+def test_names_compare_without_case(spark, flavour):
+    t, s = frames(spark, TARGET, SOURCE[:2])
+    run = FLAVOURS[flavour]
+    mixed = s.toDF(*[c.lower() if i % 2 else c.title() for i, c in enumerate(s.columns)])
+    same = run(t, s.select(*s.columns))
+    out = run(t, mixed)
+    assert out.columns == t.columns and ours(out) == ours(same)
+
+
+def test_a_target_column_the_source_lacks_is_an_error(spark):
+    t, s = frames(spark, TARGET, SOURCE[:2])
+    with pytest.raises(ValueError, match="missing from source"):
+        close_and_insert(t, s.drop("VAL"), ["K"], "LD_END_DT", "2030-01-01 00:00:00")
+    with pytest.raises(ValueError, match="differ only in case"):
+        close_and_insert(t, s.withColumn("extra", s["VAL"]).withColumnRenamed("extra", "Val2").select("*", s["K"].alias("a")).toDF(*s.columns, "x", "X"), ["K"], "LD_END_DT", "2030-01-01 00:00:00")
+
+
+def test_map_columns_merge_and_deduplicate(spark):
+    ddl = "K long, END timestamp_ntz, M map<string,int>, N array<map<string,int>>"
+    t = spark.createDataFrame([(1, None, {"a": 1}, [{"z": 1}]), (2, None, None, None)], ddl)
+    s = spark.createDataFrame([(1, dt.datetime(2024, 1, 1), {"b": 2}, None), (3, None, {"c": 3}, [{}])], ddl)
+    spec = MergeSpec(keys=("K",), end_key="END", set_from_source={"END": "END", "M": "M"}, insert_columns=None)
+    assert sorted((r.K, r.M) for r in merge(t, s, spec).collect()) == [(1, {"b": 2}), (2, None), (3, {"c": 3})]
+    twice = spark.createDataFrame([(1, None, {"b": 1}, None), (1, None, {"a": 9}, None), (1, None, {"a": 9}, [{"q": 1}])], ddl)
+    (row,) = dedup_by_key(twice, ["K"]).collect()
+    assert row.M == {"a": 9}
+
+
+def test_close_and_insert_aggregates_by_hash_only(spark):
+    t, s = frames(spark, TARGET, SOURCE[:2])
+    out = close_and_insert(t, s, ["K"], "LD_END_DT", "2030-01-01 00:00:00", source_filter="F")
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()

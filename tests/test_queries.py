@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_module
 from lakeshift.plans import registry
-from lakeshift.plans.compare import duck, duck_digest, spark_digest
+from compare import duck, duck_digest, spark_digest
 
 from conftest import SF_SMALL
 
@@ -52,3 +52,17 @@ def test_join_heavy_queries_without_broadcast(spark, con, name):
             else:
                 spark.conf.set(k, v)
     assert ours == duck_digest(con, registry.ORACLE[name])
+
+
+@pytest.mark.parametrize("name", ["merge_close_open", "merge_upsert", "merge_historical_update", "merge_expire"])
+def test_null_keys_are_exercised(spark, con, name, monkeypatch):
+    """With plain equality in place of the null-safe one, the query no longer matches."""
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    from lakeshift.operators import scd2
+
+    monkeypatch.setattr(scd2, "_key_condition", lambda keys, left="", right="__s_": reduce(
+        lambda a, b: a & b, [F.col(left + k) == F.col(right + k) for k in keys]))
+    assert spark_digest(registry.QUERIES[name](spark, SF_SMALL)) != duck_digest(con, registry.ORACLE[name])

@@ -32,7 +32,7 @@ def test_gaps_nulls_and_guard(spark):
     assert (plan["c"].exec_avail_in_frt, plan["c"].max_run_id_deleted_in_frt, plan["c"].records_removed_from_frt) == (
         3, 9, 2)
     kept = sorted((r.dq_table_name, -1 if r.run_id is None else r.run_id)
-                  for r in retention.apply(runs, retention.plan(runs, conf), conf).collect())
+                  for r in retention.apply(runs, retention.plan(runs, conf)).collect())
     assert kept == [("a", -1), ("a", 9), ("b", 1), ("b", 2), ("c", 10), ("d", 1)]
 
 
@@ -77,3 +77,62 @@ def test_parallel_tables_give_the_same_outcome(spark, tmp_path):
     assert results[0] == results[1]
     assert results[0][0] == {"t1": [5, 6], "t2": [7, 8, 9], "t3": [4]}
     assert results[0][2] == ["gone"]
+
+
+def test_two_rows_for_a_table_take_effect_one_after_the_other(spark):
+    runs = spark.createDataFrame([("a", i, 0) for i in range(1, 11) for _ in range(2)], RUNS_DDL)
+    for keeps, expected in (((3, 5), [(10, 7, 14)]), ((5, 3), [(10, 5, 10), (5, 7, 4)])):
+        conf = cfg(spark, [(n + 1, "a", keep, "Y") for n, keep in enumerate(keeps)])
+        plan = retention.plan(runs, conf)
+        assert [tuple(r)[2:] for r in sorted(plan.collect())] == expected
+        assert retention.apply(runs, plan).count() == 6
+
+
+def test_two_rows_rewrite_a_table_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(i, 1) for i in range(1, 11)], "run_id bigint, v int").write.parquet(path)
+    written, logs = [], []
+    conf = cfg(spark, [(1, "t", 5, "Y"), (2, "t", 3, "Y")])
+    errors = retention.run_retention(
+        spark, conf, lambda n: spark.read.parquet(path),
+        lambda n, df: written.append(sorted(r.run_id for r in df.collect())), logs.append,
+        executed_at=dt.datetime(2024, 1, 1), max_parallel_tables=4)
+    assert errors == [] and written == [[8, 9, 10]]
+    assert sorted(tuple(r)[0] for r in logs[0].collect()) == [1, 2]
+
+
+def test_broken_and_clashing_tables_do_not_stop_the_others(spark, tmp_path):
+    paths = {n: str(tmp_path / n) for n in ("good", "corrupt", "dates", "words", "digits")}
+    spark.createDataFrame([(i, 1) for i in range(1, 6)], "run_id bigint, v int").write.parquet(paths["good"])
+    spark.createDataFrame([(i, 1) for i in range(1, 6)], "run_id bigint, v int").write.parquet(paths["corrupt"])
+    spark.createDataFrame([(dt.date(2024, 1, 1),)], "run_id date").write.parquet(paths["dates"])
+    spark.createDataFrame([("one",), ("2",)], "run_id string").write.parquet(paths["words"])
+    spark.createDataFrame([(str(i),) for i in range(1, 4)], "run_id string").write.parquet(paths["digits"])
+    schema = spark.read.parquet(paths["corrupt"]).schema
+    for f in (tmp_path / "corrupt").glob("*.parquet"):
+        f.write_bytes(b"no parquet")
+
+    def load(name):
+        return spark.read.schema(schema).parquet(paths[name]) if name == "corrupt" else spark.read.parquet(paths[name])
+
+    written, logs = {}, []
+    conf = cfg(spark, [(n, t, 2, "Y") for n, t in enumerate(paths)])
+    errors = retention.run_retention(
+        spark, conf, load, lambda n, df: written.__setitem__(n, sorted(int(r.run_id) for r in df.collect())), logs.append,
+        executed_at=dt.datetime(2024, 1, 1))
+    assert sorted(e["table"] for e in errors) == ["corrupt", "dates", "words"]
+    assert written == {"good": [4, 5], "digits": [2, 3]}
+
+
+def test_runs_that_are_partitions_are_dropped_without_a_rewrite(spark, tmp_path):
+    path = tmp_path / "t"
+    df = spark.createDataFrame([(i, "x", 1.0) for i in range(1, 6)] + [(None, "x", 0.0)], "run_id long, s string, v double")
+    df.write.partitionBy("s", "run_id").parquet(str(path))
+    before = {str(f) for f in path.rglob("*.parquet")}
+    assert retention.delete_runs(spark, str(path), 3) == "dropped"
+    assert {str(f) for f in path.rglob("*.parquet")} == {f for f in before if not any(f"run_id={i}/" in f for i in (1, 2, 3))}
+    flat = str(tmp_path / "flat")
+    df.write.partitionBy("s").parquet(flat)
+    assert retention.delete_runs(spark, flat, 3) == "rewritten"
+    assert sorted((r.run_id or 0) for r in spark.read.parquet(flat).collect()) == [0, 4, 5]
+    assert retention.partition_columns(spark, flat) == ["s"]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 
+import pytest
+
 from lakeshift.session import ensure_checkpoint_dir, scratch_path
 
 
@@ -16,8 +18,8 @@ class _Conf:
 
 
 class _Context:
-    def __init__(self, configured=None, current=None):
-        self.conf, self.current = _Conf(configured), current
+    def __init__(self, configured=None, current=None, master="local[2]"):
+        self.conf, self.current, self.master = _Conf(configured), current, master
 
     def getCheckpointDir(self):
         return self.current
@@ -52,5 +54,12 @@ def test_local_folder_only_when_unset():
     assert os.path.isdir(local) and "lakeshift-ckpt-" in local
 
 
+def test_a_cluster_without_a_folder_is_an_error():
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://x"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            ensure_checkpoint_dir(_Session(_Context(master=master)))
+    assert ensure_checkpoint_dir(_Session(_Context(configured="hdfs://nn/c", master="yarn")))
+
+
 def test_real_session_has_a_folder(spark):
     assert ensure_checkpoint_dir(spark)
