@@ -12,13 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from lakeshift.functions.predicates import resolve_read_spec
 from lakeshift.operators.cycles import read_cycle
 from lakeshift.operators.lookup import lookup
+from lakeshift.operators.dedup import dedup_by_key
+from lakeshift.operators.merge_table import merge_into_table
 from lakeshift.operators.scd2 import (
-    close_and_insert,
-    expire,
+    MergeSpec,
+    close_and_insert_spec,
+    expire_spec,
     historical_update_keys,
+    merge,
     scd2_keys,
-    update_columns,
-    upsert,
+    update_columns_spec,
+    upsert_spec,
 )
 from lakeshift.sinks.writers import VAULT_PARTITION_COLUMNS, write_clean, write_partitioned
 from lakeshift.sources.jdbc import read_mart
@@ -136,24 +140,49 @@ def write_vault_table(df: DataFrame, root: str, obj: Mapping[str, Any]) -> str:
 
 
 # ---- merges --------------------------------------------------------------------------
+# Each merge has one mapping from its options to a source and a specification, used both for
+# merging DataFrames (``*_batch``) and for merging into a stored table (``*_into_table``).
+
+def _close_and_insert(source: DataFrame, obj: Mapping[str, Any], load_end_key: str, load_end_value: Any):
+    return source, close_and_insert_spec(scd2_keys(obj["scd2"], source.columns), load_end_key, load_end_value,
+                                         source_filter=_source_filter(obj))
+
+
+def _upsert(source: DataFrame, obj: Mapping[str, Any], load_end_key: str, insert_columns: Sequence[str]):
+    _, table = split_table_name(str(obj["target-table"]))
+    scd2 = obj["scd2"]
+    extra = [scd2["scd2-column"][k]["colName"] for k in sorted(scd2.get("scd2-column", {}))]
+    return source, upsert_spec(source.columns, scd2_keys(scd2, source.columns), load_end_key, insert_columns,
+                               scd2_columns=extra, historical_sat=_historical(obj) and table.startswith("sat"),
+                               source_filter=_source_filter(obj))
+
+
+def _update_historical(source: DataFrame, obj: Mapping[str, Any], columns: Sequence[str],
+                       update_key_cols: Sequence[str] = (), *, batch_key_sources: Sequence[str] = ()):
+    source_name = str(obj.get("sourceName", "")).lower()
+    add_batch = _historical(obj) and source_name in {s.lower() for s in batch_key_sources}
+    keys = historical_update_keys(obj.get("scd2"), source.columns, update_key_cols, add_batch_key=add_batch)
+    if _historical(obj):
+        source = dedup_by_key(source, keys)
+    return source, update_columns_spec(keys, columns, source_filter=_source_filter(obj))
+
+
+def _expire(source: DataFrame, obj: Mapping[str, Any], load_end_key: str, insert_columns: Sequence[str]):
+    update_keys = obj["update-keys"]
+    return source, expire_spec(list(update_keys["key-list"]), load_end_key, insert_columns,
+                               cols_to_update=update_keys.get("cols-to-update"), source_filter=_source_filter(obj))
+
 
 def close_and_insert_batch(target: DataFrame, source: DataFrame, obj: Mapping[str, Any], load_end_key: str,
                            load_end_value: Any, **kw) -> DataFrame:
-    keys = scd2_keys(obj["scd2"], source.columns)
-    return close_and_insert(target, source, keys, load_end_key, load_end_value, source_filter=_source_filter(obj),
-                            **kw)
+    return merge(target, *_close_and_insert(source, obj, load_end_key, load_end_value), **kw)
 
 
 def upsert_batch(target: DataFrame, source: DataFrame, obj: Mapping[str, Any], load_end_key: str,
                  insert_columns: Sequence[str], **kw) -> DataFrame:
     """Historical ``sat…`` targets (``historicalFlag == "true"``) match closed rows too and add
     REF_ID and SRC_EFF_DT to the keys; ``scd2-column`` entries (in key order) are updated."""
-    _, table = split_table_name(str(obj["target-table"]))
-    scd2 = obj["scd2"]
-    extra = [scd2["scd2-column"][k]["colName"] for k in sorted(scd2.get("scd2-column", {}))]
-    return upsert(target, source, scd2_keys(scd2, source.columns), load_end_key, insert_columns,
-                  scd2_columns=extra, historical_sat=_historical(obj) and table.startswith("sat"),
-                  source_filter=_source_filter(obj), **kw)
+    return merge(target, *_upsert(source, obj, load_end_key, insert_columns), **kw)
 
 
 def update_historical_batch(target: DataFrame, source: DataFrame, obj: Mapping[str, Any],
@@ -161,18 +190,13 @@ def update_historical_batch(target: DataFrame, source: DataFrame, obj: Mapping[s
                             batch_key_sources: Sequence[str] = (), **kw) -> DataFrame:
     """``batch_key_sources``: source systems (``sourceName``) whose historical loads also key
     on BTCH_DT."""
-    source_name = str(obj.get("sourceName", "")).lower()
-    add_batch = _historical(obj) and source_name in {s.lower() for s in batch_key_sources}
-    keys = historical_update_keys(obj.get("scd2"), source.columns, update_key_cols, add_batch_key=add_batch)
-    return update_columns(target, source, keys, columns, dedup_source=_historical(obj),
-                          source_filter=_source_filter(obj), **kw)
+    return merge(target, *_update_historical(source, obj, columns, update_key_cols,
+                                             batch_key_sources=batch_key_sources), **kw)
 
 
 def expire_batch(target: DataFrame, source: DataFrame, obj: Mapping[str, Any], load_end_key: str,
                  insert_columns: Sequence[str], **kw) -> DataFrame:
-    update_keys = obj["update-keys"]
-    return expire(target, source, list(update_keys["key-list"]), load_end_key, insert_columns,
-                  cols_to_update=update_keys.get("cols-to-update"), source_filter=_source_filter(obj), **kw)
+    return merge(target, *_expire(source, obj, load_end_key, insert_columns), **kw)
 
 
 # ---- merges into stored tables -------------------------------------------------------
@@ -183,55 +207,28 @@ def _vault_target(root: str, obj: Mapping[str, Any]) -> tuple[str, list[str]]:
     return path, [cols] if isinstance(cols, str) else list(cols)
 
 
-def _into_table(spark: SparkSession, root: str, source: DataFrame, obj: Mapping[str, Any], spec, **kw) -> dict:
-    from lakeshift.operators.merge_table import merge_into_table
-
+def _into_table(spark: SparkSession, root: str, obj: Mapping[str, Any], source: DataFrame, spec: MergeSpec, **kw) -> dict:
     path, cols = _vault_target(root, obj)
     return merge_into_table(spark, path, source, spec, partition_cols=cols, **kw)
 
 
 def close_and_insert_into_table(spark: SparkSession, root: str, source: DataFrame, obj: Mapping[str, Any],
                                 load_end_key: str, load_end_value: Any, **kw) -> dict:
-    from lakeshift.operators.scd2 import close_and_insert_spec
-
-    spec = close_and_insert_spec(scd2_keys(obj["scd2"], source.columns), load_end_key, load_end_value,
-                                 source_filter=_source_filter(obj))
-    return _into_table(spark, root, source, obj, spec, **kw)
+    return _into_table(spark, root, obj, *_close_and_insert(source, obj, load_end_key, load_end_value), **kw)
 
 
 def upsert_into_table(spark: SparkSession, root: str, source: DataFrame, obj: Mapping[str, Any],
                       load_end_key: str, insert_columns: Sequence[str], **kw) -> dict:
-    from lakeshift.operators.scd2 import upsert_spec
-
-    _, table = split_table_name(str(obj["target-table"]))
-    scd2 = obj["scd2"]
-    extra = [scd2["scd2-column"][k]["colName"] for k in sorted(scd2.get("scd2-column", {}))]
-    spec = upsert_spec(source.columns, scd2_keys(scd2, source.columns), load_end_key, insert_columns,
-                       scd2_columns=extra, historical_sat=_historical(obj) and table.startswith("sat"),
-                       source_filter=_source_filter(obj))
-    return _into_table(spark, root, source, obj, spec, **kw)
+    return _into_table(spark, root, obj, *_upsert(source, obj, load_end_key, insert_columns), **kw)
 
 
 def update_historical_into_table(spark: SparkSession, root: str, source: DataFrame, obj: Mapping[str, Any],
                                  columns: Sequence[str], update_key_cols: Sequence[str] = (), *,
                                  batch_key_sources: Sequence[str] = (), **kw) -> dict:
-    from lakeshift.operators.dedup import dedup_by_key
-    from lakeshift.operators.scd2 import update_columns_spec
-
-    source_name = str(obj.get("sourceName", "")).lower()
-    add_batch = _historical(obj) and source_name in {s.lower() for s in batch_key_sources}
-    keys = historical_update_keys(obj.get("scd2"), source.columns, update_key_cols, add_batch_key=add_batch)
-    if _historical(obj):
-        source = dedup_by_key(source, keys)
-    spec = update_columns_spec(keys, columns, source_filter=_source_filter(obj))
-    return _into_table(spark, root, source, obj, spec, **kw)
+    return _into_table(spark, root, obj, *_update_historical(source, obj, columns, update_key_cols,
+                                                             batch_key_sources=batch_key_sources), **kw)
 
 
 def expire_into_table(spark: SparkSession, root: str, source: DataFrame, obj: Mapping[str, Any],
                       load_end_key: str, insert_columns: Sequence[str], **kw) -> dict:
-    from lakeshift.operators.scd2 import expire_spec
-
-    update_keys = obj["update-keys"]
-    spec = expire_spec(list(update_keys["key-list"]), load_end_key, insert_columns,
-                       cols_to_update=update_keys.get("cols-to-update"), source_filter=_source_filter(obj))
-    return _into_table(spark, root, source, obj, spec, **kw)
+    return _into_table(spark, root, obj, *_expire(source, obj, load_end_key, insert_columns), **kw)

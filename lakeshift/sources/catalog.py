@@ -41,9 +41,10 @@ def latest_files(spark: SparkSession, root: str, pattern: str = "", name_segment
     (1-based, counted on ``/``) when given. ``depth`` keeps only files that many levels below
     ``root`` (2 = files directly inside each sub-directory).
 
-    Only file metadata is read (``binaryFile`` with ``content`` pruned). The newest file per
-    directory is a ``max(struct(mtime, path))`` aggregate, so a directory with millions of
-    files is reduced map-side instead of being sorted in one task.
+    Only file metadata is read (``binaryFile`` with ``content`` pruned). Spark lists directories
+    in parallel tasks, but the list of all files under ``root`` is held by the driver: a few
+    million files are its limit, so call it per sub-tree beyond that. The newest file per
+    directory is a ``max(struct(mtime, path))`` aggregate with partial sums.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:

@@ -7,7 +7,7 @@ network, one connection per partition.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,10 +30,23 @@ PARTITION_COLUMN_EXCEPTIONS = {
 }
 
 
-def partition_column(table: str) -> str:
+@dataclass(frozen=True)
+class MartRules:
+    """What routing depends on; another site passes its own."""
+
+    unpartitioned_schemas: tuple[str, ...] = UNPARTITIONED_SCHEMAS
+    prefixes: tuple[str, ...] = MART_PREFIXES
+    default_schema: str = DEFAULT_SCHEMA
+    column_exceptions: Mapping[str, str] = field(default_factory=lambda: dict(PARTITION_COLUMN_EXCEPTIONS))
+
+
+DEFAULT_RULES = MartRules()
+
+
+def partition_column(table: str, rules: MartRules = DEFAULT_RULES) -> str:
     """``<table lower>_id`` unless the table is one of the named exceptions."""
     t = table.lower()
-    return PARTITION_COLUMN_EXCEPTIONS.get(t, f"{t}_id")
+    return rules.column_exceptions.get(t, f"{t}_id")
 
 
 @dataclass(frozen=True)
@@ -44,11 +57,11 @@ class MartRoute:
     partitioned: bool
 
 
-def route(table_name: str, dm_schema: str | None = None) -> MartRoute:
+def route(table_name: str, dm_schema: str | None = None, rules: MartRules = DEFAULT_RULES) -> MartRoute:
     """Where a mart table is read from and whether it is read in partitions.
 
-    Names not starting with a mart prefix are treated as ``dbo``; schemas in
-    ``UNPARTITIONED_SCHEMAS`` are read over one connection. Undotted names are accepted.
+    Names not starting with a mart prefix are treated as in the default schema; unpartitioned
+    schemas are read over one connection. Undotted names are accepted.
     """
     parts = str(table_name).split(".")
     table = parts[1].lower() if len(parts) > 1 else parts[0]
@@ -58,10 +71,10 @@ def route(table_name: str, dm_schema: str | None = None) -> MartRoute:
         schema, dbtable = parts[0], str(table_name)
     else:
         schema, dbtable = "", str(table_name)
-    if not table.lower().startswith(MART_PREFIXES):
-        schema = DEFAULT_SCHEMA
+    if not table.lower().startswith(tuple(rules.prefixes)):
+        schema = rules.default_schema
     return MartRoute(dbtable=dbtable, schema=schema, table=table,
-                     partitioned=schema.lower() not in UNPARTITIONED_SCHEMAS)
+                     partitioned=schema.lower() not in rules.unpartitioned_schemas)
 
 
 def jdbc_read_options(
@@ -74,16 +87,17 @@ def jdbc_read_options(
     lower_bound: int = LOWER_BOUND,
     upper_bound: int = UPPER_BOUND,
     extra: Mapping[str, str] | None = None,
+    rules: MartRules = DEFAULT_RULES,
 ) -> dict[str, str]:
     """Options for ``spark.read.format("jdbc")``. Bounds set the stride only: rows outside
     them land in the first or last partition, none are dropped."""
-    r = route(table_name, dm_schema)
+    r = route(table_name, dm_schema, rules)
     opts = {"url": url, "dbtable": r.dbtable}
     if driver:
         opts["driver"] = driver
     if r.partitioned:
         opts.update({
-            "partitionColumn": partition_column(r.table),
+            "partitionColumn": partition_column(r.table, rules),
             "numPartitions": str(num_partitions),
             "lowerBound": str(lower_bound),
             "upperBound": str(upper_bound),
@@ -105,9 +119,10 @@ def read_mart(
 
     ``bounds_from_data`` replaces the fixed stride bounds by the partition column's min/max
     (one small remote query), so the partitions split the real id range evenly."""
-    r = route(table_name, kwargs.get("dm_schema"))
+    rules = kwargs.get("rules", DEFAULT_RULES)
+    r = route(table_name, kwargs.get("dm_schema"), rules)
     if bounds_from_data and r.partitioned and "lower_bound" not in kwargs:
-        lo, hi = bounds_from_table(spark, url, r.dbtable, partition_column(r.table), kwargs.get("driver"))
+        lo, hi = bounds_from_table(spark, url, r.dbtable, partition_column(r.table, rules), kwargs.get("driver"))
         kwargs.update(lower_bound=lo, upper_bound=max(hi, lo + 1))
     df = spark.read.format("jdbc").options(**jdbc_read_options(url, table_name, **kwargs)).load()
     return df if spec is None else apply_read_type(df, spec)

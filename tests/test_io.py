@@ -95,6 +95,9 @@ def test_jdbc_routing_and_options():
     assert jdbc.route("bau.dim_x").partitioned is False               # excluded schema
     assert jdbc.route("fact_sales").dbtable == "fact_sales"           # undotted names are accepted
     assert jdbc.route("x.Fact_Sales", dm_schema="dm").dbtable == "dm.fact_sales"
+    own = jdbc.MartRules(unpartitioned_schemas=("raw",), prefixes=("f_",), default_schema="core", column_exceptions={"f_a": "A_KEY"})
+    assert jdbc.route("raw.f_a", rules=own).partitioned is False and jdbc.route("dbo.f_a", rules=own).partitioned
+    assert jdbc.jdbc_read_options("jdbc:x", "dbo.f_a", rules=own)["partitionColumn"] == "A_KEY"
     opts = jdbc.jdbc_read_options("jdbc:x", "mart.fact_sales", driver="D")
     assert opts == {"url": "jdbc:x", "dbtable": "mart.fact_sales", "driver": "D", "partitionColumn": "fact_sales_id",
                     "numPartitions": "20", "lowerBound": "0", "upperBound": "10000000"}
