@@ -37,9 +37,10 @@ RULES: tuple[Rule, ...] = (
     Rule("too_few_words", "n_words < 20"),
     Rule("repeated_windows", "100 * n_repeat_words > 30 * n_words"),
     Rule("symbols", "10 * n_symbols > 3 * n_words"),
-    Rule("repeated_lines", "10 * n_dup_lines > 3 * n_lines"),
+    Rule("repeated_lines", "2 * n_dup_lines > n_lines"),
     Rule("word_length", "word_chars < 2 * n_words OR word_chars > 24 * n_words"),
     Rule("upper_case", "2 * n_upper > word_chars"),
+    Rule("stuttering", "10 * n_same_next > 3 * n_words"),
 )
 
 
@@ -57,7 +58,7 @@ class Policy:
 
 
 BASE = Policy("base", ("too_few_words", "repeated_windows"))
-DEFAULT = Policy("2", tuple(r.name for r in RULES))
+DEFAULT = Policy("3", tuple(r.name for r in RULES))
 
 
 def _n_repeat_words(df: DataFrame) -> DataFrame:
@@ -84,14 +85,15 @@ def _n_repeat_words(df: DataFrame) -> DataFrame:
 
 def measure(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` plus the measurements: n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_upper,
-    n_repeat_words (all long).
+    n_same_next, n_repeat_words (all long).
 
     - words: ``[^\\x20\\x09-\\x0D]+``; null or empty text: no words, all measurements 0
     - n_lines, n_dup_lines: lines with a word; of these, lines equal to an earlier one
+    - n_same_next: words equal to the word after them
     - texts of any length are read whole; repeated rows: each is measured on its own
     - a column of ``df`` with the name of a measurement raises ValueError
     """
-    names = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_upper", "n_repeat_words")
+    names = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_upper", "n_same_next", "n_repeat_words")
     if set(names) & set(df.columns):
         raise ValueError(f"columns {sorted(set(names) & set(df.columns))} have the names of measurements")
     t, words, lines, h = (INNER + n for n in ("text", "words", "lines", "hashes"))
@@ -110,6 +112,8 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
         "n_upper": lost(r"\p{Lu}+").cast("long"),
         h: F.transform(words, lambda w: F.xxhash64(w)),
     }).drop(t, words, lines)
+    df = df.withColumn("n_same_next", F.expr(
+        f"size(filter(zip_with({h}, slice({h}, 2, greatest(size({h}) - 1, 0)), (a, b) -> a = b), x -> x))").cast("long"))
     return _n_repeat_words(df).drop(h)
 
 
@@ -156,7 +160,7 @@ def op9_quality_ledger(spark, sf_dir: str) -> DataFrame:
     rows = ledger(table(spark, sf_dir, "documents", "doc_id", "text"))
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        (~kept(BASE)).alias("base_failed"), kept(DEFAULT).alias("kept"), "failed", "n_lines", "n_upper")
+        (~kept(BASE)).alias("base_failed"), kept(DEFAULT).alias("kept"), "failed", "n_lines", "n_upper", "n_same_next")
 
 
 ORACLE_OP9 = r"""
@@ -180,15 +184,16 @@ m AS (
     len(lines)::BIGINT AS n_lines,
     (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
     coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
-    (length(t) - length(regexp_replace(t, '\p{Lu}', '', 'g')))::BIGINT AS n_upper
+    (length(t) - length(regexp_replace(t, '\p{Lu}', '', 'g')))::BIGINT AS n_upper,
+    len(list_filter(generate_series(1, len(words) - 1), lambda i: words[i] = words[i + 1]))::BIGINT AS n_same_next
   FROM w LEFT JOIN rep USING (r)),
 f AS (
   SELECT *, ((n_words < 20)::BIGINT + 2 * (100 * n_repeat_words > 30 * n_words)::BIGINT
-    + 4 * (10 * n_symbols > 3 * n_words)::BIGINT + 8 * (10 * n_dup_lines > 3 * n_lines)::BIGINT
+    + 4 * (10 * n_symbols > 3 * n_words)::BIGINT + 8 * (2 * n_dup_lines > n_lines)::BIGINT
     + 16 * (word_chars < 2 * n_words OR word_chars > 24 * n_words)::BIGINT
-    + 32 * (2 * n_upper > word_chars)::BIGINT)::BIGINT AS failed
+    + 32 * (2 * n_upper > word_chars)::BIGINT + 64 * (10 * n_same_next > 3 * n_words)::BIGINT)::BIGINT AS failed
   FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-  failed & 3 <> 0 AS base_failed, failed = 0 AS kept, failed, n_lines, n_upper
+  failed & 3 <> 0 AS base_failed, failed = 0 AS kept, failed, n_lines, n_upper, n_same_next
 FROM f
 """

@@ -17,10 +17,10 @@ SF = "/root/testdata/sf0.001"
 def plain_quality(pairs):
     out = []
     for i, t in pairs:
-        n, chars, symbols, dup, repeated = measures(t)
+        n, chars, symbols, dup, repeated, same = measures(t)
         lines = sum(bool(re.search(r"[^\x20\x09-\x0D]", x)) for x in (t or "").split("\n"))
         upper = sum(c.isupper() for c in t or "")
-        if not (n < 20 or 100 * repeated > 30 * n or 10 * symbols > 3 * n or 10 * dup > 3 * lines or chars < 2 * n or chars > 24 * n or 2 * upper > chars):
+        if not (n < 20 or 100 * repeated > 30 * n or 10 * symbols > 3 * n or 2 * dup > lines or chars < 2 * n or chars > 24 * n or 2 * upper > chars or 10 * same > 3 * n):
             out.append((i, t))
     return out
 
@@ -66,4 +66,4 @@ def test_stages_keep_columns_and_bear_nulls(spark):
 
 def test_stage_list():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "drop_repeated_lines", "drop_near_duplicates", "drop_benchmark", "encode"]
-    assert quality.DEFAULT.mask == 63
+    assert quality.DEFAULT.mask == 127

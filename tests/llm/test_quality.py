@@ -17,7 +17,8 @@ def brute(text):
     lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
     windows = Counter(tuple(words[i:i + 8]) for i in range(len(words) - 7))
     covered = {j for i in range(len(words) - 7) if windows[tuple(words[i:i + 8])] > 1 for j in range(i, i + 8)}
-    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered))
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered),
+            sum(x == y for x, y in zip(words, words[1:], strict=False)))
 
 
 TEXTS = [
@@ -31,8 +32,8 @@ def test_measurements_against_brute_force(spark):
     found = {r["doc_id"]: r for r in ledger(df).collect()}
     for i, text in enumerate(TEXTS):
         r = found[i]
-        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == brute(text), i
-        n, _, _, _, repeated = brute(text)
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["n_same_next"]) == brute(text), i
+        n, _, _, _, repeated, _ = brute(text)
         assert bool(r["failed"] & BASE.mask) == (n < 20 or 100 * repeated > 30 * n)
 
 
