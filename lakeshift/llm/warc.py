@@ -219,3 +219,21 @@ def op8_warc_transactions(spark, sf_dir: str) -> DataFrame:
     return assemble(read(spark, path)).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
         F.size("requests").cast("long").alias("n_requests"), F.size("metadata").cast("long").alias("n_metadata"))
+
+
+ORACLE_OP8 = r"""
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS digits FROM pages),
+h AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload) AS largest FROM p),
+d AS (
+  SELECT page_id, payload, largest,
+    (SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((('0x' || substr(digits, 1 + 5 * (k // 4), 5))::BIGINT >> (5 * (3 - k % 4))) & 31 AS INTEGER), 1), '' ORDER BY k)
+     FROM range(32) r(k)) AS payload_digest
+  FROM h)
+SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, payload_digest,
+  CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> largest THEN largest END AS refers_to,
+  1::BIGINT AS n_requests, 1::BIGINT AS n_metadata
+FROM d
+"""
