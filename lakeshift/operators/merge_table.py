@@ -43,7 +43,10 @@ def in_partitions(df: DataFrame, parts: DataFrame, cols: Sequence[str]) -> DataF
     """Rows of ``df`` whose partition is among ``parts``. Partitions without a null join by plain
     equality, which Spark can turn into pruning of the scan; the others null-safely."""
     full = _all_not_null(cols)
-    plain = df.where(full).join(parts.where(full), list(cols), "left_semi")
+    # True for every value that is not null; Spark prunes a scan by the other side of a join only
+    # where that side has a comparison.
+    compared = reduce(lambda a, b: a & b, [F.col(c).cast("string") >= F.lit("") for c in cols])
+    plain = df.where(full).join(parts.where(compared), list(cols), "left_semi")
     named = parts.where(~full).select(*[F.col(c).alias("__p" + c) for c in cols])
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col("__p" + c)) for c in cols])
     return plain.unionByName(df.where(~full).join(named, same, "left_semi"))
