@@ -30,6 +30,8 @@ QUERIES = {
 
 #: SQL where it runs on whole tables in reasonable time; the rest is tested by brute force.
 ORACLE = {
+    "op2_collection_bwt": suffix_dedup.ORACLE_OP2,
     "op3_line_dedup": line_dedup.ORACLE_OP3,
+    "op8_warc_transactions": warc.ORACLE_OP8,
     "op9_quality_ledger": quality.ORACLE_OP9,
 }

@@ -7,6 +7,13 @@ share a window, so segments are what is dealt out, by the hash of their anchor.
 once are done. Equal segments are counted before anything else is moved: each of their windows
 occurs elsewhere. What is left, different segments around equal anchors, goes through the index.
 
+**Hot anchors** (a passage in a third of all documents, each time in other surroundings) would bring
+very many different segments to one task. Anchors with more than ``GROUP`` of them are parted
+instead: a segment's windows are dealt into eight parts, by their distance from the anchor, and each
+part gets a more exact anchor, the bytes that all its windows have in common. That is repeated for
+parts that are still too many, three times at most; with one window to a part, equal anchors are
+equal parts. Nothing is left out, and no group grows with the data.
+
 **The index** (Bauer, Cox and Rosone, "Lightweight algorithms for constructing and inverting the BWT
 of string collections", 2013; Cox, Garofalo, Rosone and Sciortino, "Lightweight LCP construction",
 2016). Each segment gives one document per phase, whose symbols are its blocks of ``BLOCK`` bytes
@@ -40,7 +47,10 @@ LENGTH = 400
 GRAM = 32
 BLOCK = 100
 #: Segments are indexed in batches of whole anchors of about this many bytes.
-BATCH = 1 << 20
+BATCH = 1 << 19
+#: Anchors with more different segments than this are parted.
+GROUP = 1000
+PARTS = 8
 #: Longer texts are cut into parts of this many windows; a cut only parts a segment in two.
 PART = 1 << 22
 
@@ -88,7 +98,8 @@ def _window_minima(x: np.ndarray, w: int) -> np.ndarray:
 
 
 def segments(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """(anchor, content, start, stop) of a text's segments; content is a hash of the bytes."""
+    """(anchor, content, start, stop, at) of a text's segments; content is a hash of the bytes, at
+    the anchor's place."""
     found: list[tuple[np.ndarray, ...]] = []
     for lo in range(0, len(data) - length + 1, PART):
         part = data[lo:lo + PART + length - 1]
@@ -101,12 +112,30 @@ def segments(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[
         begin = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
         stop = np.r_[begin[1:], len(at)] + length - 1
         content = hashes.of(begin, stop) ^ (stop - begin).astype(np.uint64)
-        found.append((grams[at[begin]].view(np.int64), content.view(np.int64), begin + lo, stop + lo))
+        found.append((grams[at[begin]].view(np.int64), content.view(np.int64), begin + lo, stop + lo, at[begin] + lo))
     if not found:
-        return tuple(np.empty(0, np.int64) for _ in range(4))
+        return tuple(np.empty(0, np.int64) for _ in range(5))
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
+def part(data: bytes, anchor: int, start: int, at: int, lo: int, hi: int, length: int = LENGTH) -> list[tuple]:
+    """The parts of a segment, as (anchor, content, start, stop, lo, hi). Windows begin from ``lo``
+    to ``hi`` (exclusive) bytes after the anchor's place; parts without a window are left out."""
+    hashes, found = _Hashes(np.frombuffer(data, np.uint8)), []
+    bounds = sorted({lo + (hi - lo) * k // PARTS for k in range(PARTS + 1)})
+    for a, b in zip(bounds, bounds[1:], strict=False):
+        first = max(start, at + a)
+        last = min(start + len(data) - length, at + b - 1)
+        if first > last:
+            continue
+        core = hashes.of(np.array([at + b - 1 - start]), np.array([at + a + length - start]))
+        stop = last + length
+        content = hashes.of(np.array([first - start]), np.array([stop - start])) ^ np.uint64(stop - first)
+        exact = _mix(core + np.array([anchor]).view(np.uint64) + np.array([a - 2 * length]).view(np.uint64))
+        found.append((int(exact.view(np.int64)[0]), int(content.view(np.int64)[0]), first, stop, a, b))
+    return found
+
+
 class CollectionIndex:
     """Sorted suffixes of a collection as columns, built by one symbol per document and round."""
 
@@ -207,26 +236,56 @@ def _spans(hit: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return starts[new], starts[np.r_[new[1:] - 1, len(starts) - 1]] + length
 
 
+FOUND = "id long, of long, anchor long, content long, start long, stop long, at long, lo int, hi int"
+
+
 def _scan(docs: DataFrame, length: int) -> DataFrame:
+    """The segments of all texts, with the range of window starts around the anchor (lo, hi)."""
     def run(batches):
         for batch in batches:
-            columns = [[] for _ in range(5)]
+            columns = [[] for _ in range(6)]
             for row, text in enumerate(batch.column(2)):
                 found = segments(np.frombuffer(text.as_py(), np.uint8), length)
                 for store, values in zip(columns, (np.full(len(found[0]), row), *found), strict=True):
                     store.append(values)
             if columns[0]:
                 row, *rest = (np.concatenate(c) for c in columns)
-                at = pa.array(row)
+                at, n = pa.array(row), len(row)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(at), batch.column(1).take(at), *(pa.array(c) for c in rest)],
-                    names=["id", "of", "anchor", "content", "start", "stop"])
+                    [batch.column(0).take(at), batch.column(1).take(at), *(pa.array(c) for c in rest),
+                     pa.array(np.full(n, GRAM - length, np.int32)), pa.array(np.ones(n, np.int32))],
+                    names=[f.split()[0] for f in FOUND.split(", ")])
+
+    return docs.mapInArrow(run, FOUND)
+
+
+def _parted(rows: DataFrame, length: int) -> DataFrame:
+    """Rows of FOUND with their bytes (``data``) as rows of the same columns for their parts."""
+    names = [*(f.split()[0] for f in FOUND.split(", ")), "data"]
+    kinds = {n: pa.int32() if n in ("lo", "hi") else pa.binary() if n == "data" else pa.int64() for n in names}
+
+    def run(batches):
+        for batch in (b.slice(k, 500) for b in batches for k in range(0, b.num_rows, 500)):
+            out = []
+            for r in batch.to_pylist():
+                for anchor, content, start, stop, lo, hi in part(r["data"], r["anchor"], r["start"], r["at"], r["lo"], r["hi"], length):
+                    out.append({"id": r["id"], "of": r["of"], "anchor": anchor, "content": content, "start": start, "stop": stop,
+                                "at": r["at"], "lo": lo, "hi": hi, "data": r["data"][start - r["start"]:stop - r["start"]]})
+            yield pa.RecordBatch.from_arrays([pa.array([o[n] for o in out], kinds[n]) for n in names], names=names)
+
+    return rows.mapInArrow(run, FOUND + ", data binary")
+
 
-    return docs.mapInArrow(run, "id long, of long, anchor long, content long, start long, stop long")
+def _with_bytes(places: DataFrame, docs: DataFrame) -> DataFrame:
+    """``places`` (id, of, cuts: array of structs with start and stop) unfolded, with the bytes
+    between start and stop as ``data``. Rows that repeat id and text bring each cut again."""
+    texts = places.alias("w").join(docs.alias("d"), F.col("w.id").eqNullSafe(F.col("d.id")) & (F.col("w.of") == F.col("d.of")))
+    cuts = texts.select("w.id", "w.of", "data", F.inline("cuts"))
+    return cuts.withColumn("data", F.expr("substring(data, cast(start + 1 as int), cast(stop - start as int))"))
 
 
 def _indexed(parts: DataFrame, length: int, block: int, batch_bytes: int) -> DataFrame:
-    """``parts`` has (anchor, content, bytes), rows of an anchor together. Returns the covered
+    """``parts`` has (anchor, content, data), rows of an anchor together. Returns the covered
     spans (lo, hi) of each part in which a window occurs elsewhere."""
     def run(batches):
         def solve(rows):
@@ -251,47 +310,75 @@ def _indexed(parts: DataFrame, length: int, block: int, batch_bytes: int) -> Dat
     return parts.mapInArrow(run, "anchor long, content long, spans array<struct<lo:long,hi:long>>")
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, batch_bytes: int = BATCH) -> DataFrame:
+def repeated_spans(
+    docs: DataFrame, length: int = LENGTH, block: int = BLOCK, batch_bytes: int = BATCH, group: int = GROUP,
+) -> DataFrame:
     """(id, of, spans) of the texts in which a string of ``length`` bytes occurs that also starts
     elsewhere; spans (lo, hi) may overlap. ``docs`` has (id, of, data): an id, a hash of the text,
     the bytes."""
     if length % block or block <= 0:
         raise ValueError("length must be a multiple of block")
     spark = docs.sparkSession
-    path = scratch_path(spark, "segments")
-    _scan(docs.select("id", "of", "data"), length).write.parquet(path)
-    found = spark.read.parquet(path)
-    # Per content: how often, and one place to read it from. Then per anchor.
-    contents = found.groupBy("anchor", "content").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "of", "start", "stop")).alias("head"))
-    path = scratch_path(spark, "contents")
-    contents.write.parquet(path)
-    contents = spark.read.parquet(path)
-    anchors = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least"))
-    open_ = anchors.where("kinds > 1 AND least = 1").select("anchor")
-    wanted = contents.join(open_, "anchor").groupBy("head.id", "head.of").agg(
-        F.collect_list(F.struct("anchor", "content", "head.start", "head.stop")).alias("cuts"))  # at most a text's segments
-    texts = wanted.alias("w").join(docs.alias("d"), F.col("w.id").eqNullSafe(F.col("d.id")) & (F.col("w.of") == F.col("d.of")))
-    parts = texts.select("data", F.inline("cuts")).selectExpr(
-        "anchor", "content", "substring(data, cast(start + 1 as int), cast(stop - start as int)) AS part")
-    # Rows that repeat id and text bring their parts again; one of each is kept, on the mapper's side first.
-    parts = parts.groupBy("anchor", "content").agg(F.any_value("part").alias("part"))
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    found = written(_scan(docs.select("id", "of", "data"), length), "segments")
+    covered = None
+    while True:  # once, and once more for each time that hot anchors are parted
+        # Per content: how often, and one place to read it from. Anchors that occur once are done.
+        sums = found.groupBy("anchor", "content").agg(
+            F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "of", "start", "stop", "lo", "hi")).alias("head"))
+        anchors = sums.groupBy("anchor").agg(
+            F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least"), F.sum("n").alias("total")).where("total > 1")
+        contents = written(sums.join(anchors, "anchor"), "contents")
+        hot = (F.col("kinds") > group) & (F.col("least") == 1) & (F.col("head.hi") - F.col("head.lo") > 1)
+        now = _covered(found, docs, contents.where(~hot), length, block, batch_bytes)
+        covered = now if covered is None else covered.unionByName(now)
+        anchors = contents.where(hot).select("anchor").distinct()
+        if anchors.isEmpty():
+            break
+        rows = found.join(anchors, "anchor")
+        if "data" not in found.columns:
+            # The bytes of hot segments are read once and stay with their rows from here on. Rows
+            # of the table that are equal come once in ``places`` and as often as they are from
+            # the join, so that counts stay right.
+            places = rows.groupBy("id", "of").agg(
+                F.collect_set(F.struct("anchor", "start", "stop", "at", "lo", "hi")).alias("cuts"))  # at most a text's segments
+            rows = _with_bytes(places, docs)
+        found = written(_parted(rows, length), "segments")
+    return covered.groupBy("id", "of").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))  # at most one per segment
+
+
+def _covered(found: DataFrame, docs: DataFrame, contents: DataFrame, length: int, block: int, batch_bytes: int) -> DataFrame:
+    """(id, of, lo, hi): bytes covered by windows that occur elsewhere, for the contents given."""
+    open_ = contents.where("kinds > 1 AND least = 1")
+    if "data" in found.columns:
+        bytes_ = found.join(open_.select("anchor", "content"), ["anchor", "content"])
+    else:
+        bytes_ = _with_bytes(open_.groupBy("head.id", "head.of").agg(
+            F.collect_list(F.struct("anchor", "content", "head.start", "head.stop")).alias("cuts")), docs)  # at most a text's segments
+    # Equal parts come from many rows, or from rows that repeat id and text; one of each is kept, on
+    # the mapper's side first.
+    parts = bytes_.groupBy("anchor", "content").agg(F.any_value("data").alias("data"))
     parts = parts.repartition("anchor").sortWithinPartitions("anchor")
     shared = _indexed(parts, length, block, batch_bytes)
     twice = contents.where("n > 1").select(
         "anchor", "content",
         F.array(F.struct(F.lit(0).cast("long").alias("lo"), (F.col("head.stop") - F.col("head.start")).alias("hi"))).alias("spans"))
     once = contents.where("n = 1").select("anchor", "content").join(shared, ["anchor", "content"])
-    covered = twice.unionByName(once)
+    spans = twice.unionByName(once)
     return (
-        found.join(covered, ["anchor", "content"]).select("id", "of", "start", F.inline("spans"))
-        .select("id", "of", (F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi")).alias("hi"))
-        .groupBy("id", "of").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")))  # at most one per segment
+        found.select("id", "of", "anchor", "content", "start").join(spans, ["anchor", "content"])
+        .select("id", "of", "start", F.inline("spans"))
+        .select("id", "of", (F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi")).alias("hi")))
 
 
 def remove_repeats(
     df: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = LENGTH,
-    block: int = BLOCK, batch_bytes: int = BATCH,
+    block: int = BLOCK, batch_bytes: int = BATCH, group: int = GROUP,
 ) -> DataFrame:
     """Each row's id (as ``id_column``), ``n_bytes``, ``n_removed``, ``spans`` (maximal removed
     byte runs, lo and hi) and ``kept`` (the remaining bytes; a cut can part a character).
@@ -305,14 +392,14 @@ def remove_repeats(
     body = text_or_empty(F.col(f"`{text}`"))
     docs = df.select(
         F.col(f"`{id_column}`").cast("long").alias("id"), F.xxhash64(body, F.length(body)).alias("of"), body.cast("binary").alias("data"))
-    spans = repeated_spans(docs, length, block, batch_bytes)
+    spans = repeated_spans(docs, length, block, batch_bytes, group)
     rows = docs.alias("d").join(
         spans.alias("s"), F.col("d.id").eqNullSafe(F.col("s.id")) & (F.col("d.of") == F.col("s.of")), "left")
     rows = rows.select("d.id", "data", F.array_sort("spans").alias("spans"))
     pairs = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
 
     def run(batches):
-        for batch in batches:
+        for batch in (b.slice(k, 500) for b in batches for k in range(0, b.num_rows, 500)):
             removed, kept, sizes = [], [], []
             for data, spans_ in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 runs: list[list[int]] = []
@@ -342,3 +429,29 @@ def op2_collection_bwt(spark, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE_OP2 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+c0 AS (
+  SELECT r, 500 * j AS b, substr(h, 1000 * j + 1, 1798) AS c
+  FROM (SELECT r, h, unnest(range(length(h) // 1000 + 1)) AS j FROM d)),
+w AS (
+  SELECT r, b + i AS i, hash(substr(c, 2 * i + 1, 800)) AS k
+  FROM (SELECT r, b, c, unnest(range(least(500, length(c) // 2 - 399))) AS i FROM c0 WHERE length(c) >= 800)),
+dup AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY k) AS n FROM w) WHERE n > 1),
+s AS (SELECT r, i, coalesce(i - lag(i) OVER o > 400, true) AS first FROM dup WINDOW o AS (PARTITION BY r ORDER BY i)),
+g AS (SELECT r, i, sum(first::INT) OVER (PARTITION BY r ORDER BY i) AS run FROM s),
+runs AS (SELECT r, min(i) AS lo, max(i) + 400 AS hi FROM g GROUP BY r, run),
+parts AS (
+  SELECT r, lo, substr(h, 2 * prev + 1, 2 * (lo - prev)) AS part
+  FROM (SELECT r, lo, coalesce(lag(hi) OVER (PARTITION BY r ORDER BY lo), 0) AS prev FROM runs) JOIN d USING (r)
+  UNION ALL
+  SELECT r, NULL, substr(h, 2 * coalesce(hi, 0) + 1) FROM d LEFT JOIN (SELECT r, max(hi) AS hi FROM runs GROUP BY r) USING (r)),
+kept AS (SELECT r, string_agg(part, '' ORDER BY lo NULLS LAST) AS kept FROM parts GROUP BY r),
+c AS (SELECT r, count(*) AS n FROM runs GROUP BY r)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, ((length(h) - length(kept)) // 2)::BIGINT AS n_removed,
+  coalesce(n, 0)::BIGINT AS n_spans, sha256(unhex(kept)) AS kept_sha256
+FROM d JOIN kept USING (r) LEFT JOIN c USING (r)
+"""

@@ -68,14 +68,14 @@ def test_index_columns():
             assert common[n] == min(5, same)
 
 
-@pytest.mark.parametrize("batch_bytes", [1, 1 << 20])
-def test_against_brute_force(spark, batch_bytes):
+@pytest.mark.parametrize(("batch_bytes", "group"), [(1, 1000), (1 << 20, 1), (1 << 20, 3)])
+def test_against_brute_force(spark, batch_bytes, group):
     rng = random.Random(6)
     passage, other = prose(30, 1), prose(40, 2)
     pairs = [(i, prose(rng.randrange(30), 50 + i) + " é " + passage[rng.randrange(40):] + prose(5, i)) for i in range(12)]
     pairs += [(40, other + "x" + other), (41, "ab" * 300), (42, "z" * 500), (43, passage), (44, passage), (44, passage), (45, None), (46, "")]
     pairs += [(47, "q" + "ab" * 300 + "r"), (None, prose(30, 9)), (None, prose(30, 9))]
-    assert run(docs(spark, *pairs), 64, 16, batch_bytes=batch_bytes) == brute(pairs, 64)
+    assert run(docs(spark, *pairs), 64, 16, batch_bytes=batch_bytes, group=group) == brute(pairs, 64)
 
 
 def test_long_texts_in_parts(spark, monkeypatch):
