@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from lakeshift.llm.common import table, text_or_empty
 from lakeshift.llm.jaccard import _lists, _mix
+from lakeshift.session import scratch_path
 
 SEED_WORDS = 5
 #: Bits of the bitmap; at most this many small integers reach the driver and the tasks.
@@ -148,7 +149,10 @@ def contaminated(
     bitmap[bits.to_numpy(dtype=np.int64)] = True
 
     docs = _docs(df, id_column, text)
-    hits = _places(docs.select("id", "of", word_hashes(F.col("body")).alias("words")), ["id", "of"], bitmap)
+    # Read three times below; the pass over the corpus that makes it is run once.
+    path = scratch_path(df.sparkSession, "hits")
+    _places(docs.select("id", "of", word_hashes(F.col("body")).alias("words")), ["id", "of"], bitmap).write.parquet(path)
+    hits = df.sparkSession.read.parquet(path)
     found = hits.join(seeds.select("seed").distinct(), "seed", "left_semi")
     counts = found.groupBy("seed", "id", "of").agg(F.lit(1).alias("one")).groupBy("seed").agg(F.count(F.lit(1)).alias("n_docs"))
     known = seeds.join(counts, "seed")
