@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,6 +36,19 @@ def materialised(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(row)))
 
 
+def join_splittable(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join of rows with a side that was aggregated by the same keys (never null).
+
+    Spark would join the aggregate where it lies, and there adaptive execution cannot split a key
+    that holds very many rows of the left side. Compared null-safely, both sides are shuffled into
+    the join, and a hot key's rows can be dealt to several tasks. The extra shuffle is of one row
+    per key.
+    """
+    other = right.withColumnsRenamed({c: f"__other_{c}" for c in on})
+    same = reduce(lambda a, b: a & b, [left[c].eqNullSafe(other[f"__other_{c}"]) for c in on])
+    return left.join(other, same).drop(*[f"__other_{c}" for c in on])
+
+
 def add_text_columns(
     df: DataFrame,
     text: str,

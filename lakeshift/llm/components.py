@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeshift.llm.common import join_splittable
 from lakeshift.session import scratch_path
 
 
@@ -18,10 +19,10 @@ def _star(edges: DataFrame) -> DataFrame:
     """Large-star, then small-star. Edges are (a, b) with a > b."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    large = both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+    large = join_splittable(both, least, ["a"]).where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     large = large.where(F.col("a") != F.col("b")).distinct()
     low = large.groupBy("a").agg(F.min("b").alias("m"))
-    small = large.join(low, "a").select(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b"))
+    small = join_splittable(large, low, ["a"]).select(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b"))
     small = small.unionByName(low.select("a", F.col("m").alias("b")))
     return small.where(F.col("a") != F.col("b")).distinct()
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeshift.llm.common import table, text_or_empty
+from lakeshift.llm.common import join_splittable, table, text_or_empty
 from lakeshift.llm.components import components
 from lakeshift.session import scratch_path
 
@@ -277,7 +277,7 @@ def _groups(docs: DataFrame, classes: DataFrame, block: int) -> DataFrame:
     met = classes.select("class", F.posexplode("bands").alias("band", "hash"))
     leaders = met.groupBy("band", "hash").agg(F.min("class").alias("leader"), F.count(F.lit(1)).alias("n"))
     leaders = leaders.where("n > 1").drop("n")
-    ties = met.join(leaders, ["band", "hash"]).where("class <> leader").select(
+    ties = join_splittable(met, leaders, ["band", "hash"]).where("class <> leader").select(
         F.col("class").alias("a"), F.col("leader").alias("b")).distinct()
     grouped = components(ties)
     sizes = grouped.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))

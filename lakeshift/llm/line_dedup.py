@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeshift.llm.common import BLANKS, table, text_or_empty
+from lakeshift.llm.common import BLANKS, join_splittable, table, text_or_empty
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -72,7 +72,7 @@ def dedup_lines(
         .select("hash", "keeper")
     )
     doomed = (
-        lines.join(common, "hash").where(~F.col("id").eqNullSafe(F.col("keeper")))
+        join_splittable(lines, common, ["hash"]).where(~F.col("id").eqNullSafe(F.col("keeper")))
         .groupBy("id", "of").agg(F.collect_set("pos").alias("gone"))
         .withColumnsRenamed({"id": "gone_id", "of": "gone_of"})
     )

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeshift.llm.common import table
+from lakeshift.llm.common import join_splittable, table
 from lakeshift.session import scratch_path
 
 #: Records per archive at most (three per page).
@@ -60,9 +60,9 @@ def duplicates(pages: DataFrame, page_id: str = "page_id", html: str = "html", m
     body = F.coalesce(F.col(f"`{html}`"), F.lit(""))
     narrow = pages.select(F.col(f"`{page_id}`").alias("dup_id"), payload_digest(body.cast("binary")).alias("dup_digest"),
                           F.octet_length(body).alias("size")).where(F.col("size") >= min_bytes).drop("size")
-    largest = narrow.groupBy("dup_digest").agg(F.max("dup_id").alias("refers_to"), F.min("dup_id").alias("least"), F.count(F.lit(1)).alias("n"))
-    largest = largest.where((F.col("n") > 1) & F.col("refers_to").isNotNull()).drop("least", "n")
-    found = narrow.join(largest, "dup_digest").where(~F.col("dup_id").eqNullSafe(F.col("refers_to")))
+    largest = narrow.groupBy("dup_digest").agg(F.max("dup_id").alias("refers_to"), F.count(F.lit(1)).alias("n"))
+    largest = largest.where((F.col("n") > 1) & F.col("refers_to").isNotNull()).drop("n")
+    found = join_splittable(narrow, largest, ["dup_digest"]).where(~F.col("dup_id").eqNullSafe(F.col("refers_to")))
     return found.distinct()
 
 
