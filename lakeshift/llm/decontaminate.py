@@ -94,12 +94,12 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[float, int]:
 
 
 def _aligned(pairs: DataFrame, min_score: float) -> DataFrame:
-    """``pairs`` has (id, of, item, item_words, begins, words): bins of possible first places.
+    """``pairs`` has (id, of, item_of, item_words, begins, words): bins of possible first places.
     Returns the pairs whose best alignment scores enough, with its words (end exclusive)."""
     def run(batches):
         for batch in batches:
             out = []
-            ids, ofs, items = (batch.column(c).to_pylist() for c in range(3))
+            ids, ofs, item_ofs = (batch.column(c).to_pylist() for c in range(3))
             for r, (item, begins, words) in enumerate(zip(*(_lists(batch.column(c)) for c in (3, 4, 5)), strict=True)):
                 best = (0.0, 0, 0)
                 for begin in begins.tolist():
@@ -110,14 +110,14 @@ def _aligned(pairs: DataFrame, min_score: float) -> DataFrame:
                         back, length = align(item[::-1], part[:end][::-1])
                         best = (score, lo + end - length, lo + end)
                 if best[0] >= min_score * len(item):
-                    out.append((ids[r], ofs[r], items[r], best[0] / len(item), best[1], best[2]))
+                    out.append((ids[r], ofs[r], item_ofs[r], best[0] / len(item), best[1], best[2]))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
             columns = list(zip(*out, strict=True)) or [()] * 6
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)],
-                names=["id", "of", "item", "score", "first_word", "end_word"])
+                names=["id", "of", "item_of", "score", "first_word", "end_word"])
 
-    return pairs.mapInArrow(run, "id long, of long, item long, score double, first_word long, end_word long")
+    return pairs.mapInArrow(run, "id long, of long, item_of long, score double, first_word long, end_word long")
 
 
 def _docs(df: DataFrame, id_column: str, text: str) -> DataFrame:
@@ -141,8 +141,10 @@ def contaminated(
         F.col(f"`{item_column}`").cast("long").alias("item"),
         F.xxhash64(text_or_empty(F.col(f"`{item_text}`"))).alias("item_of"),
         word_hashes(text_or_empty(F.col(f"`{item_text}`"))).alias("item_words"))
-    items = items.where(F.size("item_words") >= SEED_WORDS).dropDuplicates(["item", "item_of"])
-    seeds = _places(items, ["item", "item_of"], None).withColumnRenamed("place", "item_place")
+    items = items.where(F.size("item_words") >= SEED_WORDS)
+    # Item texts are found by their hash; the ids, which may be null, are put to them at the end.
+    names, items = items.select("item", "item_of").distinct(), items.select("item_of", "item_words").dropDuplicates(["item_of"])
+    seeds = _places(items, ["item_of"], None).withColumnRenamed("place", "item_place")
 
     bits = seeds.select(F.col("seed").bitwiseAND(F.lit(BITMAP - 1)).cast("int").alias("bit")).distinct().toPandas()["bit"]
     bitmap = np.zeros(BITMAP, bool)  # a bounded summary: at most BITMAP integers
@@ -156,19 +158,19 @@ def contaminated(
     found = hits.join(seeds.select("seed").distinct(), "seed", "left_semi")
     counts = found.groupBy("seed", "id", "of").agg(F.lit(1).alias("one")).groupBy("seed").agg(F.count(F.lit(1)).alias("n_docs"))
     known = seeds.join(counts, "seed")
-    rarest = known.groupBy("item", "item_of").agg(F.min("n_docs").alias("least"))
-    rare = known.join(rarest, ["item", "item_of"]).where(f"n_docs <= {RARE_TIMES} * least + {RARE_PLUS}")
-    rare = rare.join(items.select("item", "item_of", F.size("item_words").alias("n")), ["item", "item_of"])
+    rarest = known.groupBy("item_of").agg(F.min("n_docs").alias("least"))
+    rare = known.join(rarest, "item_of").where(f"n_docs <= {RARE_TIMES} * least + {RARE_PLUS}")
+    rare = rare.join(items.select("item_of", F.size("item_words").alias("n")), "item_of")
     begins = hits.join(rare, "seed").select(
-        "id", "of", "item", "item_of", (F.floor((F.col("place") - F.col("item_place")) / F.col("n")) * F.col("n")).cast("long").alias("begin"))
+        "id", "of", "item_of", (F.floor((F.col("place") - F.col("item_place")) / F.col("n")) * F.col("n")).cast("long").alias("begin"))
     # A document has at most its length over the item's length of bins for an item.
-    pairs = begins.groupBy("id", "of", "item", "item_of").agg(F.collect_set("begin").alias("begins"))
+    pairs = begins.groupBy("id", "of", "item_of").agg(F.collect_set("begin").alias("begins"))
     bodies = pairs.alias("p").join(
         docs.alias("d"), F.col("p.id").eqNullSafe(F.col("d.id")) & (F.col("p.of") == F.col("d.of"))
-    ).select("p.id", "p.of", "item", "item_of", "begins", "body")
-    ready = bodies.join(items, [bodies["item"].eqNullSafe(items["item"]), bodies["item_of"] == items["item_of"]]).select(
-        "id", "of", bodies["item"], "item_words", F.array_sort("begins").alias("begins"), word_hashes(F.col("body")).alias("words"))
-    scored = _aligned(ready, min_score)
+    ).select("p.id", "p.of", "item_of", "begins", "body")
+    ready = bodies.join(items, "item_of").select(
+        "id", "of", "item_of", "item_words", F.array_sort("begins").alias("begins"), word_hashes(F.col("body")).alias("words"))
+    scored = _aligned(ready, min_score).join(names, "item_of")
     best = F.max_by(F.struct("first_word", "end_word"), F.struct("score", -F.col("first_word")))
     return scored.groupBy("id", "of", "item").agg(F.max("score").alias("score"), best.alias("at")).select(
         "id", "of", "item", "score", "at.first_word", "at.end_word")

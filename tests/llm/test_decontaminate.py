@@ -70,6 +70,15 @@ def test_dropping_keeps_columns_nulls_and_clean_rows(spark):
     assert sorted(map(str, out.collect())) == sorted(map(str, expected))
 
 
+def test_an_item_without_id(spark):
+    item, other = prose(20, 1), prose(24, 2)
+    df = docs(spark, (1, "a " + item), (None, item + " b"), (3, prose(30, 3)), (4, other))
+    bench = items(spark, (None, item), (7, item), (None, other))
+    found = [(r["id"], r["item"], r["score"]) for r in decontaminate.contaminated(df, bench).collect()]
+    assert sorted(found, key=str) == sorted([(i, j, 1.0) for i in (1, None) for j in (None, 7)] + [(4, None, 1.0)], key=str)
+    assert [r["doc_id"] for r in decontaminate.drop_contaminated(df, items(spark, (None, item), (None, other))).collect()] == [3]
+
+
 def test_empty_tables(spark):
     df = edge_docs(spark)
     assert decontaminate.contaminated(empty_docs(spark), items(spark, (1, prose(9, 1)))).collect() == []
