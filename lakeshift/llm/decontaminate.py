@@ -1,14 +1,22 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-1. The benchmark's n-grams of five words are the seeds. Their low hash bits make a bitmap of fixed
-   size, which is all that is sent to every task, however large the benchmark is.
-2. One pass over the corpus keeps the n-grams that fall on the bitmap; a join on the full hash
-   finds the true ones. Document counts per seed tell which seeds of an item are rare. Rareness is
-   relative to the item's rarest seed that occurs, so an item that leaked into very many documents
-   keeps its seeds: nothing is cut off at a fixed count.
-3. A rare seed gives a place in the document where the item may begin. Places are binned by the
-   item's length, and around each bin the item is aligned locally, word by word, which bears
-   replaced, added and dropped words. The score is the alignment's share of the item's length.
+"""Benchmark decontamination: word-pair seeds without loss, then Smith-Waterman alignment.
+
+The score of an item in a text is that of the best local alignment by words (match 1; replaced,
+added or dropped word -1) over the item's length. An alignment of score S has at least S - 1 places
+where two neighbouring words of the item stand unchanged side by side: its runs of matches are
+parted by at least one error each, so matches - runs >= S - 1. Those word pairs are the seeds, and
+what follows only drops what cannot reach the score; no seed is left out for being common.
+An alignment of score S to n words spans at most 2 n - S words of the text: the added words cost
+what the matches bring in, and there are n matches at most.
+
+1. The low hash bits of the items' word pairs make a table of fixed size, two bytes each, which is
+   all that is sent to every task, however large the benchmark is. Items are classed by the score
+   that they need; a bit of an entry stands for a class.
+2. One pass over the corpus marks the places whose pair is in the table. Where a class's least
+   number of marked places lies within the longest span of the class, they are kept, with the
+   words around them; equal texts are kept once.
+3. A join on the full hashes counts, for every such stretch and item, the item's places whose pair
+   is in the stretch. Those with enough are checked again by the item's own pairs, and aligned,
+   which bears replaced, added and dropped words.
 """
 
 from __future__ import annotations
@@ -22,13 +30,13 @@ from lakeshift.llm.common import table, text_or_empty
 from lakeshift.llm.jaccard import _lists, _mix
 from lakeshift.session import scratch_path
 
-SEED_WORDS = 5
-#: Bits of the bitmap; at most this many small integers reach the driver and the tasks.
+#: Shorter items are not looked for.
+LEAST_WORDS = 5
+SEED_WORDS = 2
+#: Entries of the table of word pairs; at most this many small integers reach the driver and the tasks.
 BITMAP = 1 << 22
-#: A seed is rare when it is in at most this many times the documents of the item's rarest seed,
-#: plus a few.
-RARE_TIMES = 4
-RARE_PLUS = 20
+#: The least score that an item of a class needs; as many classes as an entry has bits.
+NEEDS = (2, 3, 4, 6, 8, 10, 12, 15, 19, 24, 32, 45, 64, 96, 160, 320)
 MIN_SCORE = 0.5
 MATCH, MISMATCH, GAP = 1.0, -1.0, -1.0
 
@@ -50,32 +58,75 @@ def ngrams(words: np.ndarray, n: int = SEED_WORDS) -> np.ndarray:
     return total.view(np.int64)
 
 
-def _places(df: DataFrame, keys: list[str], bitmap: np.ndarray | None) -> DataFrame:
-    """(keys..., place, seed) of all n-grams, or of those that fall on the bitmap. The last column
-    of ``df`` has the word hashes."""
+def dense(places: np.ndarray, count: int, span: int) -> np.ndarray:
+    """Which of the sorted places are among ``count`` places or more within ``span`` words."""
+    held = np.zeros(len(places) + 1, np.int64)
+    first = np.flatnonzero(places[count - 1:] - places[:max(0, len(places) - count + 1)] < span)
+    np.add.at(held, first, 1)
+    np.add.at(held, first + count, -1)
+    return np.cumsum(held)[:-1] > 0
+
+
+def _spans(places: np.ndarray, margin: int) -> list[tuple[int, int]]:
+    """Runs of sorted places that are at most two margins apart, as (first, last)."""
+    if not len(places):
+        return []
+    cut = np.flatnonzero(np.diff(places) > 2 * margin)
+    firsts, lasts = np.concatenate([[0], cut + 1]), np.concatenate([cut, [len(places) - 1]])
+    return list(zip(places[firsts].tolist(), places[lasts].tolist(), strict=True))
+
+
+def _stretches(df: DataFrame, marks: np.ndarray, classes: list[tuple[int, int, int]]) -> DataFrame:
+    """(of, at, words): the parts of texts, from word ``at``, that may hold an item. ``df`` has
+    (of, words); ``marks`` is the table of pairs, and ``classes`` has (bit, count, span): an item
+    of the class stands only where so many of its pairs are within so many words."""
     def run(batches):
         for batch in batches:
-            at, where, found = [], [], []
-            for row, words in enumerate(_lists(batch.column(len(keys)))):
-                seeds = ngrams(words)
-                hit = np.arange(len(seeds)) if bitmap is None else np.flatnonzero(bitmap[seeds & (BITMAP - 1)])
-                at.append(np.full(len(hit), row))
-                where.append(hit)
-                found.append(seeds[hit])
-            if at:
-                rows = pa.array(np.concatenate(at))
+            out = ([], [], [])
+            ofs = batch.column(0).to_pylist()
+            for of, words in zip(ofs, _lists(batch.column(1)), strict=True):
+                bits = marks[ngrams(words) & (BITMAP - 1)]
+                marked = np.flatnonzero(bits)
+                bits, parts = bits[marked], []
+                for bit, count, span in classes:
+                    places = marked[bits & (1 << bit) != 0]
+                    if len(places) >= count:
+                        parts += [(max(0, a - span), min(len(words), b + SEED_WORDS + span))
+                                  for a, b in _spans(places[dense(places, count, span)], span)]
+                end = 0
+                for a, b in sorted(parts):
+                    if out[0] and end and a <= end:
+                        end = max(b, end)
+                        out[2][-1] = words[out[1][-1]:end]
+                    else:
+                        end = b
+                        for store, value in zip(out, (of, a, words[a:b]), strict=True):
+                            store.append(value)
+            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["of", "at", "words"])
+
+    return df.mapInArrow(run, "of long, at long, words array<long>")
+
+
+def _seeds(df: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys..., seed, times): the different word pairs of each row and at how many places they
+    are. The last column of ``df`` has the word hashes; the keys are longs."""
+    def run(batches):
+        for batch in batches:
+            found = [np.unique(ngrams(words), return_counts=True) for words in _lists(batch.column(len(keys)))]
+            if found:
+                at = pa.array(np.repeat(np.arange(len(found)), [len(seeds) for seeds, _ in found]))
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(k).take(rows) for k in range(len(keys))),
-                     pa.array(np.concatenate(where).astype(np.int64)), pa.array(np.concatenate(found).astype(np.int64))],
-                    names=[*keys, "place", "seed"])
+                    [*(batch.column(k).take(at) for k in range(len(keys))), *(pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*found, strict=True))],
+                    names=[*keys, "seed", "times"])
 
     kinds = ", ".join(f"{k} long" for k in keys)
-    return df.mapInArrow(run, f"{kinds}, place long, seed long")
+    return df.mapInArrow(run, f"{kinds}, seed long, times long")
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[float, int]:
-    """Best local alignment: its score, and where in ``text`` it ends (exclusive). One numpy row
-    per item word; runs of gaps along the row are a running maximum."""
+    """Best local alignment: its score, and where in ``text`` it first ends (exclusive). One numpy
+    row per item word; runs of gaps along the row are a running maximum."""
     if not len(item) or not len(text):
         return 0.0, 0
     steps = -GAP * np.arange(len(text) + 1)
@@ -88,36 +139,48 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[float, int]:
         np.maximum(new, 0, out=new)
         row = np.maximum.accumulate(new + steps) - steps
         k = int(row.argmax())
-        if row[k] > best:
+        if row[k] > best or (row[k] == best and 0 < k < end):
             best, end = float(row[k]), k
     return best, end
 
 
+def needed(n: np.ndarray | int, min_score: float) -> np.ndarray:
+    """The least whole score that is accepted for an item of n words."""
+    return np.ceil(min_score * np.asarray(n) - 1e-9).astype(np.int64)
+
+
+def best_alignment(item: np.ndarray, text: np.ndarray, min_score: float) -> tuple[float, int, int] | None:
+    """(score, first word, end) of the best alignment in the text; None if it scores too little."""
+    need = int(needed(len(item), min_score))
+    places = np.flatnonzero(np.isin(ngrams(text), ngrams(item)))
+    span, best = 2 * len(item) - need, (0.0, 0, 0)
+    for a, b in _spans(places[dense(places, need - 1, span)], span):
+        lo = max(0, a - span)
+        part = text[lo:b + SEED_WORDS + span]
+        score, end = align(item, part)
+        if score > best[0]:
+            _, length = align(item[::-1], part[:end][::-1])
+            best = (score, lo + end - length, lo + end)
+    return best if best[0] >= need else None
+
+
 def _aligned(pairs: DataFrame, min_score: float) -> DataFrame:
-    """``pairs`` has (id, of, item_of, item_words, begins, words): bins of possible first places.
+    """``pairs`` has (of, at, item_of, item_words, words): parts of texts, from word ``at``.
     Returns the pairs whose best alignment scores enough, with its words (end exclusive)."""
     def run(batches):
         for batch in batches:
             out = []
-            ids, ofs, item_ofs = (batch.column(c).to_pylist() for c in range(3))
-            for r, (item, begins, words) in enumerate(zip(*(_lists(batch.column(c)) for c in (3, 4, 5)), strict=True)):
-                best = (0.0, 0, 0)
-                for begin in begins.tolist():
-                    lo = max(0, begin - len(item))
-                    part = words[lo:begin + 3 * len(item)]
-                    score, end = align(item, part)
-                    if score > best[0]:
-                        back, length = align(item[::-1], part[:end][::-1])
-                        best = (score, lo + end - length, lo + end)
-                if best[0] >= min_score * len(item):
-                    out.append((ids[r], ofs[r], item_ofs[r], best[0] / len(item), best[1], best[2]))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
-            columns = list(zip(*out, strict=True)) or [()] * 6
+            ofs, ats, item_ofs = (batch.column(c).to_pylist() for c in range(3))
+            for r, (item, words) in enumerate(zip(*(_lists(batch.column(c)) for c in (3, 4)), strict=True)):
+                if best := best_alignment(item, words, min_score):
+                    out.append((ofs[r], item_ofs[r], best[0] / len(item), ats[r] + best[1], ats[r] + best[2]))
+            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
+            columns = list(zip(*out, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)],
-                names=["id", "of", "item_of", "score", "first_word", "end_word"])
+                names=["of", "item_of", "score", "first_word", "end_word"])
 
-    return pairs.mapInArrow(run, "id long, of long, item_of long, score double, first_word long, end_word long")
+    return pairs.mapInArrow(run, "of long, item_of long, score double, first_word long, end_word long")
 
 
 def _docs(df: DataFrame, id_column: str, text: str) -> DataFrame:
@@ -136,44 +199,46 @@ def contaminated(
     - null ids stay null; rows that repeat id and text are reported once per item, with the best
       score; repeated item ids with different texts are aligned each and the best one is reported
     - ties of the score: the first place; extra columns are ignored
+    - a ``min_score`` that a single word of the shortest item reaches: ValueError
     """
+    if needed(LEAST_WORDS, min_score) < 2:
+        raise ValueError(f"min_score {min_score} is too low for seeds of {SEED_WORDS} words")
     items = benchmark.select(
         F.col(f"`{item_column}`").cast("long").alias("item"),
         F.xxhash64(text_or_empty(F.col(f"`{item_text}`"))).alias("item_of"),
         word_hashes(text_or_empty(F.col(f"`{item_text}`"))).alias("item_words"))
-    items = items.where(F.size("item_words") >= SEED_WORDS)
+    items = items.where(F.size("item_words") >= LEAST_WORDS)
     # Item texts are found by their hash; the ids, which may be null, are put to them at the end.
     names, items = items.select("item", "item_of").distinct(), items.select("item_of", "item_words").dropDuplicates(["item_of"])
-    seeds = _places(items, ["item_of"], None).withColumnRenamed("place", "item_place")
+    need = F.ceil(F.lit(float(min_score)) * F.size("item_words") - F.lit(1e-9)).cast("int")
+    items = items.withColumns({"n": F.size("item_words"), "need": need})
+    in_class = sum((F.when(F.col("need") >= least, 1).otherwise(0) for least in NEEDS[1:]), F.lit(0))
+    items = items.withColumn("class", in_class)
+    seeds = _seeds(items.select("item_of", "item_words"), ["item_of"]).join(items.select("item_of", "need", "class"), "item_of")
 
-    bits = seeds.select(F.col("seed").bitwiseAND(F.lit(BITMAP - 1)).cast("int").alias("bit")).distinct().toPandas()["bit"]
-    bitmap = np.zeros(BITMAP, bool)  # a bounded summary: at most BITMAP integers
-    bitmap[bits.to_numpy(dtype=np.int64)] = True
+    # Bounded summaries: at most BITMAP pairs of integers, and one row for each class.
+    entry = F.col("seed").bitwiseAND(F.lit(BITMAP - 1)).cast("int").alias("entry")
+    found = seeds.groupBy(entry).agg(F.bit_or(F.pow(F.lit(2), F.col("class")).cast("int")).alias("bits")).toPandas()
+    marks = np.zeros(BITMAP, np.uint16)
+    marks[found["entry"].to_numpy(dtype=np.int64)] = found["bits"].to_numpy(dtype=np.uint16)
+    sizes = items.groupBy("class").agg(F.min("need").alias("least"), F.max(2 * F.col("n") - F.col("need")).alias("span")).collect()
+    classes = [(r["class"], r["least"] - 1, r["span"]) for r in sizes]
 
     docs = _docs(df, id_column, text)
-    # Read three times below; the pass over the corpus that makes it is run once.
-    path = scratch_path(df.sparkSession, "hits")
-    _places(docs.select("id", "of", word_hashes(F.col("body")).alias("words")), ["id", "of"], bitmap).write.parquet(path)
-    hits = df.sparkSession.read.parquet(path)
-    found = hits.join(seeds.select("seed").distinct(), "seed", "left_semi")
-    counts = found.groupBy("seed", "id", "of").agg(F.lit(1).alias("one")).groupBy("seed").agg(F.count(F.lit(1)).alias("n_docs"))
-    known = seeds.join(counts, "seed")
-    rarest = known.groupBy("item_of").agg(F.min("n_docs").alias("least"))
-    rare = known.join(rarest, "item_of").where(f"n_docs <= {RARE_TIMES} * least + {RARE_PLUS}")
-    rare = rare.join(items.select("item_of", F.size("item_words").alias("n")), "item_of")
-    begins = hits.join(rare, "seed").select(
-        "id", "of", "item_of", (F.floor((F.col("place") - F.col("item_place")) / F.col("n")) * F.col("n")).cast("long").alias("begin"))
-    # A document has at most its length over the item's length of bins for an item.
-    pairs = begins.groupBy("id", "of", "item_of").agg(F.collect_set("begin").alias("begins"))
-    bodies = pairs.alias("p").join(
-        docs.alias("d"), F.col("p.id").eqNullSafe(F.col("d.id")) & (F.col("p.of") == F.col("d.of"))
-    ).select("p.id", "p.of", "item_of", "begins", "body")
-    ready = bodies.join(items, "item_of").select(
-        "id", "of", "item_of", "item_words", F.array_sort("begins").alias("begins"), word_hashes(F.col("body")).alias("words"))
+    # Read twice below; the pass over the corpus that makes it is run once.
+    path = scratch_path(df.sparkSession, "stretches")
+    parts = _stretches(docs.select("of", word_hashes(F.col("body")).alias("words")), marks, classes)
+    parts.dropDuplicates(["of", "at"]).write.parquet(path)
+    parts = df.sparkSession.read.parquet(path)
+    shared = _seeds(parts.select("of", "at", "words"), ["of", "at"]).drop("times").join(seeds, "seed")
+    pairs = shared.groupBy("of", "at", "item_of").agg(F.sum("times").alias("shared"), F.first("need").alias("need"))
+    pairs = pairs.where(F.col("shared") >= F.col("need") - 1).select("of", "at", "item_of")
+    ready = pairs.join(parts, ["of", "at"]).join(items, "item_of").select("of", "at", "item_of", "item_words", "words")
     scored = _aligned(ready, min_score).join(names, "item_of")
     best = F.max_by(F.struct("first_word", "end_word"), F.struct("score", -F.col("first_word")))
-    return scored.groupBy("id", "of", "item").agg(F.max("score").alias("score"), best.alias("at")).select(
-        "id", "of", "item", "score", "at.first_word", "at.end_word")
+    found = scored.groupBy("of", "item").agg(F.max("score").alias("score"), best.alias("at"))
+    ids = docs.select("id", "of").distinct()
+    return ids.join(found, "of").select("id", "of", "item", "score", "at.first_word", "at.end_word")
 
 
 def drop_contaminated(df: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:

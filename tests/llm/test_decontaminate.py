@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 
 from lakeshift.llm import decontaminate
 from support import docs, edge_docs, empty_docs, prose
@@ -79,6 +80,20 @@ def test_an_item_without_id(spark):
     assert [r["doc_id"] for r in decontaminate.drop_contaminated(df, items(spark, (None, item), (None, other))).collect()] == [3]
 
 
+def test_partial_copies_in_a_hot_group_beside_a_full_one(spark):
+    item = prose(38, 1)
+    part = " ".join(item.split()[:30])
+    rows = [(i, part + " " + prose(8, 5)) for i in range(100)] + [(100 + i, part + " " + prose(8, 10 + i)) for i in range(100)]
+    rows += [(900, item + " " + prose(8, 6)), (901, prose(60, 7))]
+    found = {r["id"]: r["score"] for r in decontaminate.contaminated(docs(spark, *rows), items(spark, (1, item))).collect()}
+    assert set(found) == {*range(200), 900} and found[900] == 1.0 and all(found[i] == 30 / 38 for i in range(200))
+
+
+def test_a_score_too_low_for_seeds(spark):
+    with pytest.raises(ValueError):
+        decontaminate.contaminated(edge_docs(spark), items(spark, (1, prose(9, 1))), min_score=0.2)
+
+
 def test_empty_tables(spark):
     df = edge_docs(spark)
     assert decontaminate.contaminated(empty_docs(spark), items(spark, (1, prose(9, 1)))).collect() == []
