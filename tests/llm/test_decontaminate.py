@@ -89,6 +89,45 @@ def test_partial_copies_in_a_hot_group_beside_a_full_one(spark):
     assert set(found) == {*range(200), 900} and found[900] == 1.0 and all(found[i] == 30 / 38 for i in range(200))
 
 
+def brute_pairs(rows, bench):
+    """All pairs whose alignment scores enough, by plain alignment of everything."""
+    split = {t: t.split() for t in {t for _, t in [*rows, *bench]}}
+    scores = {(i, j): brute_align(split[b], split[t])[0] / len(split[b]) for i, t in rows for j, b in bench}
+    return {k: v for k, v in scores.items() if v >= decontaminate.MIN_SCORE}
+
+
+def edited(words, share, rng):
+    """Words replaced, dropped or added at random."""
+    out = []
+    for w in words:
+        kind = rng.random()
+        if kind < share:
+            out += rng.choice([["x"], ["x"], [], [w, "y"]])
+        else:
+            out.append(w)
+    return " ".join(out)
+
+
+def test_edited_copies_against_alignment_of_all_pairs(spark):
+    """Few words, so that pairs of words are common, and items of any length from five words."""
+    rng = random.Random(3)
+    vocabulary = [f"w{k}" for k in range(40)]
+    text = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    bench = [(j, text(rng.choice([5, 6, 8, 12, 15, 20, 38, 60]))) for j in range(30)]
+    rows = []
+    for i in range(240):
+        _, item = rng.choice(bench)
+        rows.append((i, f"{text(rng.randrange(40))} {edited(item.split(), rng.choice([0.1, 0.2, 0.25, 0.3]), rng)} {text(rng.randrange(40))}"))
+    # Runs of two words only, and two halves with every second word replaced in between.
+    long = text(40).split()
+    bench.append((90, " ".join(long)))
+    rows.append((500, " ".join(w + " z" * (k % 2) for k, w in enumerate(long))))
+    rows.append((501, " ".join(long[:11] + [w if k % 2 else "z" for k, w in enumerate(long[11:29])] + long[29:])))
+    found = {(r["id"], r["item"]): r["score"] for r in decontaminate.contaminated(docs(spark, *rows), items(spark, *bench)).collect()}
+    expected = brute_pairs(rows, bench)
+    assert {(500, 90), (501, 90)} <= set(expected) and found == expected
+
+
 def test_a_score_too_low_for_seeds(spark):
     with pytest.raises(ValueError):
         decontaminate.contaminated(edge_docs(spark), items(spark, (1, prose(9, 1))), min_score=0.2)
