@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from importlib import resources
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -52,6 +53,85 @@ TEMPLATES: dict[str, str] = {
     "reserved": "<<optional>> copyright <<any 8>> <<end>> all rights reserved",
 }
 
+AS_IS = "<<one of: as is | \u201cas is\u201d>>"
+TERMS = "<<optional>> the terms <<optional>> and conditions <<end>> of <<end>>"
+
+
+def _granted(names: str, versions: str) -> str:
+    """'Licensed under the ... License, Version N', the version after the name."""
+    numbers = " | ".join(form for v in versions.split("|") for form in (f"version {v}", f"v {v}", f"v{v.strip()}", v))
+    return f"{GRANT} {TERMS} <<optional>> the <<end>> <<one of: {names}>> <<one of: {numbers}>>"
+
+
+def _gnu_notice(name: str, version: str) -> str:
+    """The notice of the GNU licenses for files; the version stands after 'as published by', before
+    it or before the name."""
+    published = "as published by the free software foundation"
+    numbers = [f"version {version}"] + ([] if " " in version else [f"version {version} 0"])
+    forms = [f"gnu {name} {published}{inc}{either} {number} {end}" for inc in ("", " inc") for either in ("", " either", " under", " in")
+             for number in numbers for end in ("", "of the license")]
+    forms += [f"gnu {name}{comma} {published}" for number in numbers for comma in (f" {number}", f" v{version}", f" {number} only", f" either {number}")]
+    forms += [f"{number} of the gnu {name} {published}" for number in numbers]
+    return ("redistribute <<any 4>> and or modify <<any 4>> under the terms <<optional>> and conditions <<end>> of"
+            f" <<optional>> the <<end>> <<one of: {' | '.join(forms)}>>"
+            " <<optional>> <<one of: or at your option any later version | any later version | or any later version | only>> <<end>>")
+
+
+def _creative_commons(kind: str, version: str) -> str:
+    return (f"{GRANT} <<optional>> <<one of: a | the | the terms of the>> <<end>> <<one of: cc | creative commons>> <<one of: {kind}>>"
+            f" <<one of: {version} | license {version}>> <<optional>> <<one of: international | unported>> <<end>> <<optional>> license <<end>>")
+
+
+_SOURCE = ("redistribution and use in source and binary forms with or without modification are permitted provided that the"
+           " following conditions are met <<any 1>> redistributions of source code must retain the above copyright notice this"
+           " list of conditions and the following disclaimer <<any 1>> redistributions in binary form must reproduce the above"
+           " copyright notice this list of conditions and the following disclaimer in the documentation and or other materials"
+           " provided with the distribution")
+_NAMES = ("<<any 1>> <<one of: neither the name | neither the names>> <<any 20>> <<one of: contributors may | contributors can>>"
+          " be used to endorse or promote products derived from this software without specific prior written permission")
+_DISCLAIMER = (f"this software is provided by <<any 12>> {AS_IS} and any express or implied warranties including but not limited"
+               " to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall"
+               " <<any 12>> be liable for any direct indirect incidental special exemplary or consequential damages including but"
+               " not limited to procurement of substitute goods or services loss of use data or profits or business interruption"
+               " however caused and on any theory of liability whether in contract strict liability or tort including negligence"
+               " or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage")
+TEMPLATES |= {
+    "LGPL-2.1": _granted("gnu lesser general public license | lesser general public license | gnu lgpl | lgpl", "2 1"),
+    "LGPL-3.0": _granted("gnu lesser general public license | lesser general public license | gnu lgpl | lgpl", "3 | 3 0"),
+    "AGPL-3.0": _granted("gnu affero general public license | affero general public license | gnu agpl | agpl", "3 | 3 0"),
+    "MPL-2.0": _granted("mozilla public license | mpl", "2 0"),
+    "MPL-1.1": _granted("mozilla public license | mpl", "1 1"),
+    "ISC": f"{GRANT} {TERMS} the isc license",
+    "BSD-2-Clause": f"{GRANT} {TERMS} <<optional>> <<one of: a | the>> <<end>> <<one of: bsd 2 clause | 2 clause bsd | simplified bsd>> <<optional>> license <<end>>",
+    "BSD-3-Clause": f"{GRANT} {TERMS} <<optional>> <<one of: a | the>> <<end>> <<one of: bsd 3 clause | 3 clause bsd | new bsd | modified bsd>>"
+                    " <<optional>> license <<end>>",
+    "CC-BY-SA-4.0": _creative_commons("by sa | attribution sharealike | attribution share alike", "4 0"),
+    "CC-BY-SA-3.0": _creative_commons("by sa | attribution sharealike | attribution share alike", "3 0"),
+    "GPL-2.0-notice": _gnu_notice("general public license", "2"),
+    "GPL-3.0-notice": _gnu_notice("general public license", "3"),
+    "LGPL-2.0-notice": _gnu_notice("library general public license", "2"),
+    "LGPL-2.1-notice": _gnu_notice("lesser general public license", "2 1"),
+    "LGPL-3.0-notice": _gnu_notice("lesser general public license", "3"),
+    "AGPL-3.0-notice": _gnu_notice("affero general public license", "3"),
+    "MPL-2.0-notice": "this source code form is subject to the terms of the mozilla public license <<one of: v 2 0 | version 2 0 | v2 0>>"
+                      " if a copy of the mpl was not distributed with this file you can obtain one at <<one of: http | https>>"
+                      " <<optional>> www <<end>> mozilla org mpl 2 0",
+    "MPL-1.1-notice": "the contents of this file are subject to the mozilla public license version 1 1 <<any 3>> you may not use this file"
+                      " except in compliance with the license",
+    "ISC-text": "permission to use copy modify <<one of: and or distribute | and distribute>> this software for any purpose with or without"
+                " fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"
+                f" the software is provided {AS_IS} and <<any 12>> <<one of: disclaims | disclaim>> all warranties with regard to this software"
+                " including all implied warranties of merchantability and fitness in no event shall <<any 12>> be liable for any special direct"
+                " indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of"
+                " contract negligence or other tortious action arising out of or in connection with the use or performance of this software",
+    "BSD-2-Clause-text": f"{_SOURCE} {_DISCLAIMER}",
+    "BSD-3-Clause-text": f"{_SOURCE} {_NAMES} {_DISCLAIMER}",
+}
+#: Full texts, from their first sentence of general wording to the end of their terms.
+FULL_TEXTS = ("GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "Apache-2.0")
+TEMPLATES |= {f"{name}-text": " ".join((resources.files("lakeshift.llm") / "license_texts" / f"{name}.txt").read_text("utf-8").split())
+              for name in FULL_TEXTS}
+
 
 @dataclass
 class TokenAutomaton:

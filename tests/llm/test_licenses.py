@@ -41,6 +41,44 @@ def test_templates_accept(text, label):
     assert label in [m[2] for m in Scanner(licenses.TEMPLATES).scan("x y " + text + " z")[2]]
 
 
+GNU = "you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation{} either version {} of the License, or (at your option) any later version."
+SOURCE = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+"""
+NAMES = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n"
+DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+
+
+@pytest.mark.parametrize(("text", "labels"), [
+    (GNU.format("General Public License", ",", "3"), {"GPL-3.0-notice"}), (GNU.format("General Public License", ";", "2"), {"GPL-2.0-notice"}),
+    (GNU.format("Lesser General Public License", ";", "2.1"), {"LGPL-2.1-notice"}), (GNU.format("Lesser General Public License", ",", "3"), {"LGPL-3.0-notice"}),
+    (GNU.format("Affero General Public License", ",", "3"), {"AGPL-3.0-notice"}), (GNU.format("Library General Public License", ",", "2"), {"LGPL-2.0-notice"}),
+    ("redistribute it and/or modify\n * it under the terms of the GNU General Public License version 2 as\n * published by the Free Software Foundation.", {"GPL-2.0-notice"}),
+    ("redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; version 2.",
+     {"GPL-2.0-notice"}),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this"
+     " file, You can obtain one at https://mozilla.org/MPL/2.0/.", {"MPL-2.0-notice"}),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", {"CC-BY-SA-4.0"}),
+    ("licensed under CC BY-SA 3.0", {"CC-BY-SA-3.0"}), ("Licensed under the Mozilla Public License, Version 2.0", {"MPL-2.0"}),
+    ("released under the ISC License", {"ISC"}), ("licensed under the GNU Lesser General Public License v2.1", {"LGPL-2.1"}), (ISC, {"ISC-text"}),
+    (SOURCE + DISCLAIMER, {"BSD-text", "BSD-2-Clause-text"}), (SOURCE + NAMES + DISCLAIMER, {"BSD-text", "BSD-3-Clause-text"}),
+    (SOURCE.replace("must retain", "may drop") + DISCLAIMER, {"BSD-text"}), (GNU.format("General Public License", ",", "4"), set())])
+def test_standard_notices_and_texts(text, labels):
+    assert {m[2] for m in Scanner(licenses.TEMPLATES).scan("x y " + text + " z")[2]} == labels
+
+
+@pytest.mark.parametrize("name", licenses.FULL_TEXTS)
+def test_full_texts_are_accepted_word_by_word(name):
+    scanner, label = Scanner(licenses.TEMPLATES), f"{name}-text"
+    words = re.sub(r"<<one of: (\w+) .*?>>", r"\1", re.sub(r"<<optional>>|<<end>>", "", licenses.TEMPLATES[label])).upper().split()
+    assert len(words) > 900 and (2, 2 + len(words), label) in scanner.scan("x y " + ", ".join(words) + " z")[2]
+    words[len(words) // 2] = "changed"
+    assert label not in [m[2] for m in scanner.scan(" ".join(words))[2]]
+
+
 def test_changed_mandatory_wording_is_not_accepted():
     for text in ("Released below the MIT License", "Released under the MIT Licence", "Licensed under Apache License, 3.0"):
         assert Scanner(licenses.TEMPLATES).scan(text)[2] == []
