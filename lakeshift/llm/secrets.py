@@ -35,7 +35,8 @@ KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 #: Characters of the models; any other character ends a run.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
+LEAST_RUN = 20
+RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % LEAST_RUN)
 WORD = re.compile(r"[A-Za-z0-9_-]{4,}")
 START = len(ALPHABET)
 SIZE = START + 1
@@ -151,14 +152,16 @@ def train(df: DataFrame, id_column: str = "doc_id", text: str = "text", sample:
 
 
 def spans(text: str, model: RatioModel) -> list[tuple[int, int, str]]:
-    """All spans in order: those of the rules, and runs clear of them that the model calls random."""
+    """All spans in order: those of the rules, and runs, or parts of runs clear of them, of 20 or
+    more characters that the model calls random."""
     found = base_spans(text)
     taken = [(a, b) for a, b, _ in found]
     for run in RUN.finditer(text):
-        if any(a < run.end() and run.start() < b for a, b in taken):
-            continue
-        if model.is_secret(run[0]):
-            found.append((run.start(), run.end(), "markov"))
+        at, inside = run.start(), [(a, b) for a, b in taken if a < run.end() and run.start() < b]
+        for a, b in [*inside, (run.end(), run.end())]:
+            if a - at >= LEAST_RUN and model.is_secret(text[at:a]):
+                found.append((at, a, "markov"))
+            at = max(at, b)
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
