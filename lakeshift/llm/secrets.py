@@ -127,12 +127,14 @@ class RatioModel:
 
 
 def train(df: DataFrame, id_column: str = "doc_id", text: str = "text", sample: int = TRAIN_DOCS) -> RatioModel:
-    """Fit on at most ``sample`` rows, those with the smallest hash of their id. Counting runs in
-    tasks; the driver gets sums over a fixed alphabet. An empty table leaves the generated
-    strings against even odds."""
-    ids = df.select(F.xxhash64(F.col(f"`{id_column}`")).alias("h")).distinct().orderBy("h").limit(sample)
-    rows = df.select(F.xxhash64(F.col(f"`{id_column}`")).alias("h"), F.col(f"`{text}`").alias("text"))
-    chosen = rows.join(F.broadcast(ids), "h", "left_semi").limit(sample).select("text")
+    """Fit on at most ``sample`` different rows, those with the smallest hash of their id and
+    text, so the same ones each time, however often ids or rows repeat. Counting runs in tasks;
+    the driver gets sums over a fixed alphabet. An empty table leaves the generated strings
+    against even odds."""
+    rows = df.select(F.xxhash64(F.col(f"`{id_column}`"), F.col(f"`{text}`")).alias("h"), F.col(f"`{text}`").alias("text"))
+    least = rows.select("h").distinct().orderBy("h").limit(sample)
+    # Rows of one hash are copies: one counts, and of a chance meeting the smallest text.
+    chosen = rows.join(F.broadcast(least), "h", "left_semi").groupBy("h").agg(F.min("text").alias("text")).select("text")
 
     def count(batches):
         totals = np.zeros((2, SIZE, SIZE, SIZE), dtype=np.int64)

@@ -66,6 +66,13 @@ def test_the_rest_of_a_run_beside_a_fixed_span(model):
     assert not [s for s in secrets.spans(id_ + "/" + key[:10], model) if s[2] == "markov"]
 
 
+def test_the_sample_is_the_same_for_any_order_of_rows(spark):
+    pairs = [(None, prose(40, i)) for i in range(60)] + [(1, prose(40, 100 + i)) for i in range(60)] + [(2, prose(40, 7))] * 30
+    one = secrets.train(docs(spark, *pairs).coalesce(1), sample=8)
+    other = secrets.train(docs(spark, *reversed(pairs)).repartition(5), sample=8)
+    assert (one.ratio == other.ratio).all()
+
+
 def test_edges(spark, model):
     df = edge_docs(spark)
     out = secrets.scan(df, model)
