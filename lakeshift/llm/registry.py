@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lakeshift.llm import (
     bpe,
+    conversations,
     decontaminate,
     jaccard,
     licenses,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_warc_transactions": warc.op8_warc_transactions,
     "op9_quality_ledger": quality.op9_quality_ledger,
     "op10_bpe_automaton": bpe.op10_bpe_automaton,
+    "op11_scalar_repair": conversations.op11_scalar_repair,
 }
 
 #: SQL where it runs on whole tables in reasonable time; the rest is tested by brute force.
