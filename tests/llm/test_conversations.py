@@ -179,13 +179,15 @@ def test_edges(spark, tmp_path):
     empty = frame(spark, [])
     assert C.summary(empty).collect() == [] and C.repair(empty).collect() == []
     gone = next(t for t in range(1000) if zlib.crc32(f"9:{t}".encode()) % 20 == 0)
+    whole = next(c for c in range(100, 200) if zlib.crc32(f"{c}: ".encode()) % 20 > 4)
     long = "w " * 2_000_000 + "."
-    rows = [(9, gone, "user", "x."), (8, None, None, None), (7, 1, "user", long), (7, 2, "assistant", long)]
+    rows = [(9, gone, "user", "x."), (whole, None, None, None), (7, 1, "user", long), (7, 2, "assistant", long)]
     frame(spark, rows).write.parquet(f"{tmp_path}/conversations.parquet")
     got = {r.conv_id: r for r in C.op11_scalar_repair(spark, str(tmp_path)).collect()}
     none = hashlib.sha256(b"").hexdigest()
     assert tuple(got[9]) == (9, 0, 0, 0, 0, 0, 0, "", none)
-    assert (got[8].blank, got[8].cost, got[8].audit, got[8].repaired_sha256) == (1, 3, "D", none)
+    r = got[whole]
+    assert (r.blank, r.cost, r.audit, r.repaired_sha256) == (1, 3, "D", none)
     assert sorted(map(tuple, got.values()), key=str) == plain(rows)
 
 
