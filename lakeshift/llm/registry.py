@@ -6,6 +6,7 @@ from lakeshift.llm import (
     bpe,
     conversations,
     decontaminate,
+    embeddings,
     jaccard,
     licenses,
     line_dedup,
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_quality_ledger": quality.op9_quality_ledger,
     "op10_bpe_automaton": bpe.op10_bpe_automaton,
     "op11_scalar_repair": conversations.op11_scalar_repair,
+    "op13_residual_codes": embeddings.op13_residual_codes,
 }
 
 #: SQL where it runs on whole tables in reasonable time; the rest is tested by brute force.
@@ -36,4 +38,5 @@ ORACLE = {
     "op3_line_dedup": line_dedup.ORACLE_OP3,
     "op8_warc_transactions": warc.ORACLE_OP8,
     "op9_quality_ledger": quality.ORACLE_OP9,
+    "op13_residual_codes": embeddings.ORACLE_OP13,
 }

@@ -1,0 +1,106 @@
+"""Near-duplicate vectors against all pairs, and the two filters of the search by themselves."""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+
+from lakeshift.llm import embeddings as E
+
+SCHEMA = "vec_id long, embedding array<double>, label int, node long, copies string, n_links int"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, 1, "c", 9) for r in rows], SCHEMA)
+
+
+def plain(rows, threshold=0.98):
+    """All pairs and a walk over the links."""
+    def fine(v, label):
+        return label is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)
+
+    near = [set() for _ in rows]
+    for i, (_, v, label) in enumerate(rows):
+        for j, (_, w, other) in enumerate(rows[:i]):
+            if fine(v, label) and fine(w, other) and label == other and len(v) == len(w):
+                a, b = E.unit(np.array(v, float)), E.unit(np.array(w, float))
+                if a @ b >= threshold:
+                    near[i].add(j)
+                    near[j].add(i)
+    out = []
+    for i, (vec_id, _, _) in enumerate(rows):
+        seen, todo = {i}, [i]
+        while todo:
+            todo += [j for j in near[todo.pop()] if j not in seen and not seen.add(j)]
+        least = min((rows[j][0] for j in seen if rows[j][0] is not None), default=None)
+        out.append((vec_id, len(near[i]), least, vec_id == least))
+    return sorted(out, key=str)
+
+
+def clouds(n, dim, seed, labels=3, spread=0.05):
+    """Random vectors, near copies in chains and balls around some of them, exact copies."""
+    rng = np.random.default_rng(seed)
+    base = rng.normal(size=(max(2, n // 8), dim))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    v = base[rng.integers(0, len(base), n)] + rng.normal(size=(n, dim)) * spread * rng.random((n, 1))
+    v[: n // 10] = v[n // 10: 2 * (n // 10)] * 2
+    return [(int(i), [float(x) for x in v[i]], int(rng.integers(labels))) for i in rng.permutation(n)]
+
+
+@pytest.mark.parametrize("dim, seed", [(2, 1), (5, 2), (16, 3), (64, 4)])
+def test_all_pairs(spark, dim, seed):
+    rows = clouds(400, dim, seed)
+    got = E.near_duplicates(frame(spark, rows), sample=100, list_size=20, block=16, lot=24)
+    assert sorted(map(tuple, got.collect()), key=str) == plain(rows)
+
+
+def test_one_group_holds_most_rows(spark):
+    """A ball of 300 different vectors that all link, among 150 others."""
+    rng = np.random.default_rng(8)
+    centre = rng.normal(size=32)
+    rows = [(i, [float(x) for x in centre + rng.normal(size=32) * 0.02], 1) for i in range(300)]
+    rows += [(1000 + i, [float(x) for x in rng.normal(size=32)], 1) for i in range(150)]
+    got = E.near_duplicates(frame(spark, rows), block=32, lot=64).collect()
+    assert sorted(map(tuple, got), key=str) == plain(rows)
+
+
+def test_edges(spark):
+    v, w = [1.0, 0.0, 0.5], [1.0, 0.001, 0.5]
+    rows = [
+        (1, v, 1), (1, v, 1), (2, w, 1), (3, v, 2), (4, v, None), (5, None, 1), (6, [], 1), (7, [0.0, 0.0, -0.0], 1),
+        (8, [1.0, None, 0.5], 1), (9, [1.0, math.nan, 0.5], 1), (10, [1.0, math.inf, 0.5], 1), (None, v, 1), (None, v, 5),
+        (None, None, None), (11, [1.0, 0.0, 0.5, 0.0], 1), (12, [1e300, 0.0, 5e299], 1), (13, [1e-300, -0.0, 5e-301], 1),
+        (14, [-1.0, 0.0, -0.5], 1), (15, v, 5), (None, [9.0, 1.0, 1.0], 9)]
+    assert sorted(map(tuple, E.near_duplicates(frame(spark, rows)).collect()), key=str) == plain(rows)
+    assert E.near_duplicates(frame(spark, [])).collect() == []
+    nothing = [(1, None, 1), (None, [0.0], 1)]
+    assert sorted(map(tuple, E.near_duplicates(frame(spark, nothing)).collect()), key=str) == plain(nothing)
+
+
+def test_filters_lose_nothing_and_leave_little():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 64))
+    x[1500:] = x[:1500] + rng.normal(size=(1500, 64)) * 0.02 * np.abs(rng.normal(size=(1500, 1)))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    reach = math.sqrt(2 - 2 * 0.98)
+    model = E.Quantiser.fit(x[:1000], 16)
+    lists, codes, error = model.encode(x)
+    probed = model.probes(x, reach)
+    linked = x @ x.T >= 0.98
+    assert probed[:, lists][linked].all()
+    near = np.zeros(linked.shape, bool)
+    for c in range(16):
+        at = np.flatnonzero(lists == c)
+        near[:, at] = model.distances(x, codes[at], c) <= reach + error[at] + E.SLACK
+    assert near[linked].all()
+    assert linked.sum() > 3000 + 2000 and (near & probed[:, lists]).sum() < 1.2 * linked.sum() + 3000
+
+
+def test_oracle_sql(spark):
+    import duckdb
+
+    rows = duckdb.sql(E.ORACLE_OP13.replace("FROM embeddings", "FROM '/root/testdata/sf0.001/embeddings.parquet'")).fetchall()
+    got = E.op13_residual_codes(spark, "/root/testdata/sf0.001").collect()
+    assert sorted(map(tuple, got)) == sorted(rows) and sum(r[1] for r in rows) > 0
