@@ -10,6 +10,7 @@ from lakeshift.llm import (
     jaccard,
     licenses,
     line_dedup,
+    phrases,
     quality,
     secrets,
     sharding,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_quality_ledger": quality.op9_quality_ledger,
     "op10_bpe_automaton": bpe.op10_bpe_automaton,
     "op11_scalar_repair": conversations.op11_scalar_repair,
+    "op12_branch_and_bound": phrases.op12_branch_and_bound,
     "op13_residual_codes": embeddings.op13_residual_codes,
 }
 
@@ -38,5 +40,6 @@ ORACLE = {
     "op3_line_dedup": line_dedup.ORACLE_OP3,
     "op8_warc_transactions": warc.ORACLE_OP8,
     "op9_quality_ledger": quality.ORACLE_OP9,
+    "op12_branch_and_bound": phrases.ORACLE_OP12,
     "op13_residual_codes": embeddings.ORACLE_OP13,
 }

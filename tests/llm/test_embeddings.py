@@ -98,9 +98,13 @@ def test_filters_lose_nothing_and_leave_little():
     assert linked.sum() > 3000 + 2000 and (near & probed[:, lists]).sum() < 1.2 * linked.sum() + 3000
 
 
-def test_oracle_sql(spark):
+def test_oracle_sql(spark, tmp_path):
     import duckdb
 
-    rows = duckdb.sql(E.ORACLE_OP13.replace("FROM embeddings", "FROM '/root/testdata/sf0.001/embeddings.parquet'")).fetchall()
-    got = E.op13_residual_codes(spark, "/root/testdata/sf0.001").collect()
-    assert sorted(map(tuple, got)) == sorted(rows) and sum(r[1] for r in rows) > 0
+    rows = clouds(200, 8, 6) + [(1, None, 1), (None, [1.0] * 8, None), (3, [0.0] * 8, 1), (None, [1.0] * 7, 1), (1, [1.0] * 7, 1)]
+    frame(spark, rows).write.parquet(f"{tmp_path}/embeddings.parquet")
+    for folder, files in ((str(tmp_path), "embeddings.parquet/*.parquet"), ("/root/testdata/sf0.01", "embeddings.parquet")):
+        found = duckdb.sql(E.ORACLE_OP13.replace("FROM embeddings", f"FROM '{folder}/{files}'")).fetchall()
+        got = E.op13_residual_codes(spark, folder).collect()
+        assert sorted(map(tuple, got), key=str) == sorted(found, key=str)
+    assert sorted(plain(rows), key=str) == sorted(map(tuple, E.op13_residual_codes(spark, str(tmp_path)).collect()), key=str)
