@@ -60,8 +60,10 @@ UNKNOWN = "und"
 BITS_PER_ENTRY = 16
 BITMAP_BITS = 1 << 27
 #: Words counted in one dictionary, and bytes split at once.
-LOT_WORDS = 6_000_000
-SLICE = 8_000_000
+LOT_WORDS = 4_000_000
+SLICE = 4_000_000
+#: Places whose hashes are looked up at once.
+PLACES = 500_000
 
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 BREAK, NONE = 1, 0
@@ -168,7 +170,13 @@ def _places(ids: np.ndarray, hashes: np.ndarray | None, lang: int, want: Wanted)
     fine = np.ones(n, bool)
     for j in range(want.length):
         fine &= ids[j: j + n] != BREAK
+    for start, length, known in want.every:
+        if length == 1:  # looked up once per word, not per place
+            fine &= known.has(fold(np.full(len(hashes), lang, np.uint64), hashes))[ids[start: start + n]]
     places = np.flatnonzero(fine)
+    every = [c for c in want.every if c[1] > 1]
+    if not every and not want.some:
+        return places
 
     def held(condition: tuple[int, int, Bitmap], at: np.ndarray) -> np.ndarray:
         start, length, known = condition
@@ -177,15 +185,23 @@ def _places(ids: np.ndarray, hashes: np.ndarray | None, lang: int, want: Wanted)
             h = fold(h, hashes[ids[at + j]])
         return known.has(h)
 
-    for condition in want.every:
-        places = places[held(condition, places)]
-    if want.some and len(places):
-        places = places[np.logical_or.reduce([held(c, places) for c in want.some])]
-    return places
+    kept = []
+    for lo in range(0, len(places), PLACES):
+        at = places[lo: lo + PLACES]
+        for condition in every:
+            at = at[held(condition, at)]
+        if want.some and len(at):
+            at = at[np.logical_or.reduce([held(c, at) for c in want.some])]
+        kept.append(at)
+    return np.concatenate(kept) if kept else places
 
 
 def _tally(ids: np.ndarray, places: np.ndarray, length: int, n_words: int) -> tuple[list[np.ndarray], np.ndarray]:
     """Word numbers (one array per position) and counts of the different phrases at places."""
+    if length == 1:
+        counts = np.bincount(ids[places], minlength=n_words)
+        found = np.flatnonzero(counts)
+        return [found], counts[found]
     levels, code = [], ids[places].astype(np.int64)
     for j in range(1, length):
         if j > 1:
