@@ -60,8 +60,8 @@ UNKNOWN = "und"
 BITS_PER_ENTRY = 16
 BITMAP_BITS = 1 << 27
 #: Words counted in one dictionary, and bytes split at once.
-LOT_WORDS = 4_000_000
-SLICE = 4_000_000
+LOT_WORDS = 2_500_000
+SLICE = 2_000_000
 #: Places whose hashes are looked up at once.
 PLACES = 500_000
 
@@ -250,7 +250,8 @@ def _count(batches: Iterator[pa.RecordBatch], wants: Sequence[Wanted], schema: p
                     n = pa.array(counts[at: at + 500_000].astype(np.int64))
                     yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang), len(n)), phrase, n], schema=schema)
 
-    for batch in batches:
+    rows = (batch.slice(at, 500) for batch in batches for at in range(0, batch.num_rows, 500))
+    for batch in rows:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
             if not text:
                 continue
