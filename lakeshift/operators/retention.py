@@ -6,8 +6,11 @@ arithmetic (``max(run_id) - keep``, not a rank) and rows with ``run_id <= cut-of
 Null run ids are neither counted nor deleted.
 
 One scan of the data per plan: rows are pre-aggregated to one row per
-``(table, run_id)`` (partial aggregation before the shuffle), and every later step
-(distinct runs, maximum, cut-off, rows to remove) works on that small result.
+``(table, run_id)`` (partial aggregation before the shuffle), and one pass over that small
+result gives the plan rows of all entries, however many a table has.
+
+The housekeeping job can be stopped at any point and run again when it is given a journal: what
+it is about to delete is written down first, and a later run finishes what was left open.
 """
 
 from __future__ import annotations
@@ -15,10 +18,9 @@ from __future__ import annotations
 import datetime as _dt
 import logging
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 from typing import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,49 +68,48 @@ def run_counts(runs: DataFrame, table_col: str = TABLE, run_col: str = RUN_ID) -
     )
 
 
-def _plan_turn(per_run: DataFrame, entries: DataFrame) -> DataFrame:
-    """Plan rows for at most one configuration row per table."""
-    per_table = per_run.groupBy(TABLE).agg(
-        F.count(RUN_ID).alias("exec_avail_in_frt"), F.max(RUN_ID).alias("_max_run")
-    )
-    cut = (
-        entries.select(ID, TABLE, KEEP)
-        .join(per_table, TABLE)
-        .where((F.col("exec_avail_in_frt") - F.col(KEEP)) > 0)
-        .select(
-            F.col(ID).cast("long").alias(ID), TABLE,
-            F.col("exec_avail_in_frt").cast("long").alias("exec_avail_in_frt"),
-            (F.col("_max_run") - F.col(KEEP)).cast("long").alias("max_run_id_deleted_in_frt"),
-        )
-    )
-    removed = (
-        per_run.join(cut.select(TABLE, "max_run_id_deleted_in_frt"), TABLE)
-        .where(F.col(RUN_ID) <= F.col("max_run_id_deleted_in_frt"))
-        .groupBy(TABLE).agg(F.sum("_rows").alias("_removed"))
-    )
-    return cut.join(removed, TABLE, "left").select(
-        ID, TABLE, "exec_avail_in_frt", "max_run_id_deleted_in_frt",
-        F.coalesce(F.col("_removed"), F.lit(0)).cast("long").alias("records_removed_from_frt"),
-    )
-
-
 def plan_from_counts(per_run: DataFrame, cfg: DataFrame) -> DataFrame:
     """Plan rows for tables that have runs to delete:
     ``id, table, exec_avail_in_frt, max_run_id_deleted_in_frt, records_removed_from_frt``.
 
     Several configuration rows of one table take effect one after the other, by id: a later one
-    counts what the earlier ones left. Turns are as many as the most rows a table has in the
-    configuration (one number, read from the configuration only); usually one."""
-    order = Window.partitionBy(TABLE).orderBy(F.col(ID).asc_nulls_last(), KEEP)
-    turns = eligible(cfg).select(ID, TABLE, KEEP, F.row_number().over(order).alias("_turn"))
-    last = turns.agg(F.max("_turn")).first()[0] or 1
-    plans, left = [], per_run
-    for turn in range(1, last + 1):
-        now = _plan_turn(left, turns.where(F.col("_turn") == turn))
-        plans.append(now)
-        if turn < last:
-            left = _surviving(left, now, TABLE, RUN_ID)
-    return reduce(lambda a, b: a.unionByName(b), plans)
+    counts what the earlier ones left. As every keep count is above 0, a table's newest run never
+    goes, so an entry's cut-off is ``newest - keep`` whatever came before it. One aggregate counts,
+    for each entry, the runs and rows above its cut-off; a fold over a table's entries carries what
+    the last one that acted left, and an entry acts where that is more runs than it keeps. The size
+    of the plan does not depend on the number of entries, and ``per_run`` is read once."""
+    entry = F.struct(F.col(ID).isNull().alias("no_id"), F.col(ID).cast("long").alias(ID), F.col(KEEP).cast("long").alias("keep"))
+    entries = eligible(cfg).groupBy(TABLE).agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
+    runs = per_run.join(entries, TABLE).withColumn("_newest", F.max(RUN_ID).over(Window.partitionBy(TABLE)))
+    above = F.col(RUN_ID) > F.col("_newest") - F.col("_entry.keep")
+    per_entry = (
+        runs.select(TABLE, RUN_ID, "_rows", "_newest", F.posexplode("_entries").alias("_turn", "_entry"))
+        .groupBy(TABLE, "_turn", "_entry").agg(
+            F.max("_newest").alias("_newest"),
+            F.count(RUN_ID).alias("_runs"), F.sum(F.when(F.col(RUN_ID).isNotNull(), F.col("_rows"))).alias("_rows"),
+            F.count_if(above).alias("_runs_above"), F.sum(F.when(above, F.col("_rows"))).alias("_rows_above")))
+    counts = F.struct("_turn", "_entry", "_runs_above", F.coalesce("_rows_above", F.lit(0)).alias("_rows_above"))
+    per_table = per_entry.groupBy(TABLE).agg(
+        F.array_sort(F.collect_list(counts)).alias("_entries"), F.max("_newest").alias("_newest"),
+        F.max("_runs").alias("_runs"), F.coalesce(F.max("_rows"), F.lit(0)).alias("_rows"))
+
+    done = f"array<struct<{ID}:bigint,exec_avail_in_frt:bigint,max_run_id_deleted_in_frt:bigint,records_removed_from_frt:bigint>>"
+    start = F.struct(F.col("_runs").alias("runs"), F.col("_rows").alias("rows"), F.array().cast(done).alias("done"))
+
+    def turn(left: Column, e: Column) -> Column:
+        acts = left["runs"] > e["_entry"]["keep"]
+        row = F.array(F.struct(
+            e["_entry"][ID].alias(ID), left["runs"].alias("exec_avail_in_frt"),
+            (F.col("_newest") - e["_entry"]["keep"]).cast("long").alias("max_run_id_deleted_in_frt"),
+            F.greatest(left["rows"] - e["_rows_above"], F.lit(0)).cast("long").alias("records_removed_from_frt")))
+        return F.struct(
+            F.when(acts, F.least(left["runs"], e["_runs_above"])).otherwise(left["runs"]).alias("runs"),
+            F.when(acts, F.least(left["rows"], e["_rows_above"])).otherwise(left["rows"]).alias("rows"),
+            F.when(acts, F.concat(left["done"], row)).otherwise(left["done"]).alias("done"))
+
+    folded = per_table.select(TABLE, F.explode(F.aggregate("_entries", start, turn, lambda left: left["done"])).alias("_row"))
+    return folded.select(
+        f"_row.{ID}", TABLE, "_row.exec_avail_in_frt", "_row.max_run_id_deleted_in_frt", "_row.records_removed_from_frt")
 
 
 def plan(runs: DataFrame, cfg: DataFrame, table_col: str = TABLE, run_col: str = RUN_ID) -> DataFrame:

@@ -136,3 +136,52 @@ def test_runs_that_are_partitions_are_dropped_without_a_rewrite(spark, tmp_path)
     assert retention.delete_runs(spark, flat, 3) == "rewritten"
     assert sorted((r.run_id or 0) for r in spark.read.parquet(flat).collect()) == [0, 4, 5]
     assert retention.partition_columns(spark, flat) == ["s"]
+
+
+def _plain_plan(runs, entries):
+    """Turn by turn over a table's run ids (with repeats and None): the plan rows."""
+    left, rows = list(runs), []
+    for entry_id, keep in entries:
+        ids = {r for r in left if r is not None}
+        if len(ids) - keep > 0:
+            cut = max(ids) - keep
+            gone = [r for r in left if r is not None and r <= cut]
+            rows.append((entry_id, len(ids), cut, len(gone)))
+            left = [r for r in left if r is None or r > cut]
+    return rows
+
+
+def test_any_number_of_entries_matches_turn_by_turn(spark):
+    import random
+
+    rng = random.Random(4)
+    runs, conf, expected = [], [], []
+    for n in range(40):
+        name = f"t{n}"
+        ids = [rng.choice([None, *rng.sample(range(-5, 40), 8)]) for _ in range(rng.randrange(1, 60))]
+        entries = [(100 * n + i, rng.randrange(1, 25)) for i in range(rng.randrange(1, 9))]
+        runs += [(name, r, 0) for r in ids]
+        conf += [(i, name, keep, "Y") for i, keep in entries]
+        expected += [(i, name, *rest) for i, *rest in _plain_plan(ids, entries)]
+    rng.shuffle(conf)
+    plan = retention.plan(spark.createDataFrame(runs, RUNS_DDL), cfg(spark, conf))
+    assert sorted(map(tuple, plan.collect())) == sorted(expected) and len(expected) > 40
+
+
+def test_one_scan_whatever_the_number_of_entries(spark, tmp_path):
+    import contextlib
+    import io
+
+    path = str(tmp_path / "runs")
+    spark.createDataFrame([("a", i, 0) for i in range(60)], RUNS_DDL).write.parquet(path)
+    sizes = []
+    for n in (1, 20):
+        conf = cfg(spark, [(i, "a", 50 - 2 * i, "Y") for i in range(n)])
+        plan = retention.plan(spark.read.parquet(path), conf)
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            plan.explain()
+        assert out.getvalue().count("FileScan parquet") == 1
+        assert plan.count() == n
+        sizes.append(len(out.getvalue().splitlines()))
+    assert sizes[0] == sizes[1]
