@@ -8,9 +8,11 @@ map-side partial results, so it stays cheap at any size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from lakeshift.functions.clean import observe_rejected
+
 # The cycle column names of the statistics table and the year offset.
 YEAR_COL = "D36Y_NFU_ACTG_YEAR"
 MONTH_COL = "D36M_NFU_ACTG_MONTH"
@@ -30,9 +32,15 @@ def read_cycle(
     batch_date: str | None = None,
     year_col: str = YEAR_COL,
     month_col: str = MONTH_COL,
+    rejected: Observation | None = None,
 ) -> DataFrame:
-    year = F.col(year_col).cast("int")
-    month = F.col(month_col).cast("int")
+    """Rows of the cycles asked for. A year or month that is no number is read as null, so its row
+    is in no cycle; ``rejected``, when given, has the number of such rows under "rejected" after
+    the frame was read (filters then stop above the count, so leave it out on large tables)."""
+    year = F.col(year_col).try_cast("int")
+    month = F.col(month_col).try_cast("int")
+    if rejected is not None:
+        df = observe_rejected(df, {year_col: "int", month_col: "int"}, rejected)
     if kind == "historical":
         return df
     if kind == "full":

@@ -18,13 +18,16 @@ from __future__ import annotations
 import datetime as _dt
 import logging
 from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 from typing import Callable, Mapping
+from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeshift.sinks.publish import drop_folders, partition_folders
+from lakeshift.functions.clean import observe_rejected
+from lakeshift.sinks.publish import drop_folders, folder_exists, partition_folders
 from lakeshift.sinks.writers import replace_table
 from lakeshift.sources.tables import load_table, partition_columns
 
@@ -122,21 +125,27 @@ def plan_tables(
     cfg: DataFrame,
     load: Callable[[str], DataFrame],
     run_col: str = RUN_ID,
+    rejected: dict[str, Observation] | None = None,
 ) -> tuple[DataFrame, list[dict]]:
     """Plan over separate tables: ``load(name)`` returns a table's DataFrame.
 
     The loop runs over configuration rows only (bounded, collected); each table contributes
     its per-run counts to one union, so the whole plan is one job. Run ids are read as numbers.
     A table that fails to load, or whose run ids are of a type that is no number, is reported in
-    the returned error list and skipped; the others go on.
+    the returned error list and skipped; the others go on. A run id in text that is no number
+    fails the plan; with ``rejected`` it is read as null (neither counted nor deleted), and
+    ``rejected[name].get["rejected"]`` has the number of such rows of a table once the plan ran.
     """
     per_run_parts: list[DataFrame] = []
     errors: list[dict] = []
     for row in eligible(cfg).select(TABLE).distinct().collect():
         name = row[TABLE]
         try:
-            runs = load(name).select(F.lit(name).alias(TABLE), F.col(run_col).cast("long").alias(RUN_ID))
-            per_run_parts.append(run_counts(runs))
+            found, run = load(name), F.col(run_col)
+            if rejected is not None:
+                found = observe_rejected(found, {run_col: "long"}, rejected.setdefault(name, Observation()))
+            number = run.cast("long") if rejected is None else run.try_cast("long")
+            per_run_parts.append(run_counts(found.select(F.lit(name).alias(TABLE), number.alias(RUN_ID))))
         except Exception as exc:  # per-table isolation
             log.warning("retention: table %s skipped: %s", name, exc)
             errors.append({"table": name, "error": str(exc)})
@@ -182,6 +191,79 @@ def audit_log(retention_plan: DataFrame, executed_at: _dt.datetime) -> DataFrame
     )
 
 
+JOURNAL_SCHEMA = T.StructType([T.StructField("job_id", T.StringType()), T.StructField("state", T.StringType()), *LOG_SCHEMA.fields])
+
+
+class Journal:
+    """What a housekeeping job is about to delete, and what it is done with: a small table with one
+    row per planned deletion and state (``intent``, then ``done`` or ``failed``), keyed by job id,
+    table and cut-off. Rows are only ever appended."""
+
+    def __init__(self, spark: SparkSession, path: str, job_id: str | None = None) -> None:
+        self.spark, self.path, self.job_id = spark, path, job_id or uuid4().hex
+
+    def write(self, state: str, rows: list[Row]) -> None:
+        """Log rows under a state. Rows of an earlier job keep its id."""
+        named = [(getattr(r, "job_id", self.job_id), state, *[r[f.name] for f in LOG_SCHEMA.fields]) for r in rows]
+        self.spark.createDataFrame(named, JOURNAL_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+
+    def open(self) -> list[Row]:
+        """Intents that no later row closed, of any job; as many as configuration rows that delete."""
+        if not folder_exists(self.spark, self.path):
+            return []
+        rows = self.spark.read.schema(JOURNAL_SCHEMA).parquet(self.path)
+        key = ["job_id", TABLE, "max_run_id_deleted_in_frt"]
+        closed = rows.where(F.col("state") != "intent").select(*key).distinct()
+        return rows.where(F.col("state") == "intent").join(closed, key, "left_anti").collect()
+
+
+def _cutoffs(rows: list[Row]) -> dict[str, int]:
+    """The highest cut-off planned for each table."""
+    found: dict[str, int] = {}
+    for row in rows:
+        cut = row["max_run_id_deleted_in_frt"]
+        found[row[TABLE]] = max(cut, found.get(row[TABLE], cut))
+    return found
+
+
+def _not_logged(spark: SparkSession, rows: list[Row], log_rows: DataFrame | None) -> list[Row]:
+    """Rows that the log does not have yet; only rows with their time stamps are read from it."""
+    if log_rows is None or not rows:
+        return rows
+    key = [ID, "execution_ts", TABLE, "max_run_id_deleted_in_frt"]
+    wanted = spark.createDataFrame([tuple(r[c] for c in key) for r in rows], T.StructType([LOG_SCHEMA[c] for c in key]))
+    there = {tuple(r) for r in log_rows.select(*key).join(F.broadcast(wanted), key, "left_semi").distinct().collect()}
+    return [r for r in rows if tuple(r[c] for c in key) not in there]
+
+
+def finish_open(
+    spark: SparkSession,
+    journal: Journal,
+    load: Callable[[str], DataFrame],
+    write: Callable[[str, DataFrame], None],
+    append_log: Callable[[DataFrame], None],
+    read_log: Callable[[], DataFrame | None],
+) -> list[dict]:
+    """Finish the deletions that stopped jobs left open: a table that still has runs at or below
+    its cut-off is rewritten, log rows that are missing are appended, and the intents are closed.
+    A table that cannot be read or written stays open and is returned as an error."""
+    rows, errors = journal.open(), []
+    for name, cut in _cutoffs(rows).items():
+        mine = [r for r in rows if r[TABLE] == name]
+        try:
+            if not load(name).where(F.col(RUN_ID) <= F.lit(cut)).isEmpty():
+                write(name, apply_table(load(name), cut))
+        except Exception as exc:
+            log.warning("retention: open deletion of %s failed: %s", name, exc)
+            errors.append({"table": name, "error": str(exc)})
+            continue
+        missing = _not_logged(spark, mine, read_log())
+        if missing:
+            append_log(spark.createDataFrame([tuple(r[f.name] for f in LOG_SCHEMA.fields) for r in missing], LOG_SCHEMA))
+        journal.write("done", mine)
+    return errors
+
+
 def run_retention(
     spark: SparkSession,
     cfg: DataFrame,
@@ -190,14 +272,28 @@ def run_retention(
     append_log: Callable[[DataFrame], None],
     executed_at: _dt.datetime | None = None,
     max_parallel_tables: int = 1,
+    journal: Journal | None = None,
+    read_log: Callable[[], DataFrame | None] | None = None,
 ) -> list[dict]:
     """The housekeeping job: plan every table in one job, then per table write the surviving
     rows (``write(name, df)`` must stage before replacing a path it reads) and append the log.
     Failures are isolated per table and returned: when the joint plan fails, tables are planned
     one by one, and only those that fail on their own are reported. ``max_parallel_tables`` > 1
     rewrites that many tables at once (concurrent Spark jobs from a small thread pool); a table
-    is only ever rewritten once, whatever number of configuration rows it has."""
-    retention_plan, errors = plan_tables(spark, cfg, load)
+    is only ever rewritten once, whatever number of configuration rows it has.
+
+    With a ``journal`` the job can be stopped anywhere and run again: it first finishes what was
+    left open, writes its own intents before anything is deleted, and logs and closes every table
+    as soon as it is done. ``read_log`` returns the log as it is now (None: not there yet), so
+    that a row that was appended just before a stop is not appended twice."""
+    if journal is not None and read_log is None:
+        raise ValueError("a journal needs read_log")
+    errors = [] if journal is None else finish_open(spark, journal, load, write, append_log, read_log)
+    unfinished = {e["table"] for e in errors}
+    if unfinished:
+        cfg = cfg.where(~F.col(TABLE).isin(*unfinished))
+    retention_plan, failed = plan_tables(spark, cfg, load)
+    errors += failed
     try:
         rows = retention_plan.collect()  # one row per configuration row that deletes
     except Exception as exc:
@@ -214,19 +310,30 @@ def run_retention(
             except Exception as reason:
                 log.warning("retention: table %s skipped: %s", name, reason)
                 errors.append({"table": name, "error": str(reason)})
+    cutoffs = _cutoffs(rows)
     when = executed_at or _dt.datetime.now()
-    cutoffs: dict[str, int] = {}
-    for row in rows:
-        cut = row["max_run_id_deleted_in_frt"]
-        cutoffs[row[TABLE]] = max(cut, cutoffs.get(row[TABLE], cut))
+    schema = retention_plan.schema
+    logged: dict[str, list[Row]] = {}
+    if journal is not None and rows:
+        for row in audit_log(spark.createDataFrame(rows, schema), when).collect():
+            logged.setdefault(row[TABLE], []).append(row)
+        journal.write("intent", [r for mine in logged.values() for r in mine])
+    one_at_a_time = Lock()
 
     def clean(name: str) -> dict | None:
         try:
             write(name, apply_table(load(name), cutoffs[name]))
-            return None
         except Exception as exc:
             log.warning("retention: table %s failed: %s", name, exc)
+            if journal is not None:
+                with one_at_a_time:
+                    journal.write("failed", logged[name])
             return {"table": name, "error": str(exc)}
+        if journal is not None:
+            with one_at_a_time:
+                append_log(spark.createDataFrame(logged[name], LOG_SCHEMA))
+                journal.write("done", logged[name])
+        return None
 
     workers = max(1, min(int(max_parallel_tables), len(cutoffs) or 1))
     if workers == 1:
@@ -238,8 +345,8 @@ def run_retention(
     broken = {failure["table"] for failure in failures}
     done = [row for row in rows if row[TABLE] not in broken]
     errors += failures
-    if done:
-        append_log(audit_log(spark.createDataFrame(done, retention_plan.schema), when))
+    if done and journal is None:
+        append_log(audit_log(spark.createDataFrame(done, schema), when))
     return errors
 
 

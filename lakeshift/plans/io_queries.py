@@ -38,6 +38,7 @@ from lakeshift.plans.queries import (
     register,
 )
 from lakeshift.session import scratch_path
+from lakeshift.sinks.publish import folder_exists
 from lakeshift.sinks.writers import (
     CSV_OPTIONS,
     export_csv,
@@ -236,10 +237,15 @@ RUNS_SCHEMA = T.StructType([
 ])
 
 
-def _retention_job(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+class _Stopped(Exception):
+    """The end of a job's process, as the restart query stages it."""
+
+
+def _retention_job(spark: SparkSession, sf_dir: str, *, restart: bool = False) -> tuple[str, str]:
     """Store every error table of ``runs`` as its own parquet table, then run the housekeeping
     job: plan all tables in one pass, rewrite each table without its old runs (staged), append
-    the audit log."""
+    the audit log. With ``restart`` the job keeps a journal, is stopped after the first table's
+    runs are deleted and before that is logged, and runs again."""
     root = scratch_path(spark, "dq")
     frame(spark, sf_dir, "runs").write.partitionBy("dq_table_name").parquet(f"{root}/tables")
     log_path = f"{root}/clean_log"
@@ -253,9 +259,23 @@ def _retention_job(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     def write(name: str, df: DataFrame) -> None:
         replace_table(spark, df, table_path(name))
 
-    errors = retention.run_retention(spark, frame(spark, sf_dir, "cfg"), load, write,
-                                     lambda log: log.write.mode("append").parquet(log_path),
-                                     executed_at=RETENTION_TS)
+    def append_log(log: DataFrame) -> None:
+        log.write.mode("append").parquet(log_path)
+
+    def stop(log: DataFrame) -> None:
+        raise _Stopped
+
+    def read_log() -> DataFrame | None:
+        return spark.read.schema(retention.LOG_SCHEMA).parquet(log_path) if folder_exists(spark, log_path) else None
+
+    cfg, options = frame(spark, sf_dir, "cfg"), {"executed_at": RETENTION_TS}
+    if restart:
+        options |= {"journal": retention.Journal(spark, f"{root}/journal"), "read_log": read_log}
+        try:
+            retention.run_retention(spark, cfg, load, write, stop, **options)
+        except _Stopped:
+            pass
+    errors = retention.run_retention(spark, cfg, load, write, append_log, **options)
     if errors:
         raise RuntimeError(f"retention job failed for {errors}")
     return f"{root}/tables", log_path
@@ -271,3 +291,10 @@ def q_retention_tables_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_retention_tables_job_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, log_path = _retention_job(spark, sf_dir)
     return spark.read.schema(retention.LOG_SCHEMA).parquet(log_path)
+
+
+@register("retention_restarted_job_log", ORACLE["retention_log"])
+def q_retention_restarted_job_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit log of a job that was stopped between a deletion and its log row, and run again."""
+    _, log_path = _retention_job(spark, sf_dir, restart=True)
+    return spark.read.schema(retention.LOG_SCHEMA).parquet(log_path)

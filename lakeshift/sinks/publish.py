@@ -23,6 +23,12 @@ def _paths(spark: SparkSession, *names: str):
     return [p.getFileSystem(conf) for p in paths], paths
 
 
+def _rename(fs, old, new, advice: str) -> None:
+    """A rename that must succeed; file systems report some failures by returning false."""
+    if not fs.rename(old, new):
+        raise OSError(f"{old} could not be moved to {new}; {advice}")
+
+
 def same_store(spark: SparkSession, a: str, b: str) -> bool:
     """Whether a rename can lead from one path to the other."""
     (fs_a, fs_b), _ = _paths(spark, a, b)
@@ -34,7 +40,7 @@ def _folders(fs, path, depth: int) -> list:
     found = [path]
     for _ in range(depth):
         found = [s.getPath() for p in found for s in fs.listStatus(p)
-                 if s.isDirectory() and "=" in s.getPath().getName()]
+                 if s.isDirectory() and "=" in s.getPath().getName() and not s.getPath().getName().startswith(".")]
     return found
 
 
@@ -49,10 +55,16 @@ def publish_partitions(spark: SparkSession, stage: str, table: str, partition_co
         for folder in _folders(fs, stage_path, len(partition_cols)):
             to = Path(table_path, str(folder.toString())[len(prefix):])
             fs.mkdirs(to.getParent())
+            # The old folder steps aside under a name that readers skip, so that it is there until
+            # the new one is.
+            aside = Path(to.getParent(), ".replaced." + to.getName())
             if fs.exists(to):
-                fs.delete(to, True)
-            if not fs.rename(folder, to):
-                raise OSError(f"{folder} could not be moved to {to}; it is complete, publish the stage again")
+                if fs.exists(aside):
+                    fs.delete(aside, True)
+                _rename(fs, to, aside, "publish the stage again")
+            _rename(fs, folder, to, "it is complete, publish the stage again")
+            if fs.exists(aside):
+                fs.delete(aside, True)
             moved += 1
         fs.delete(stage_path, True)
     spark.catalog.refreshByPath(table)
@@ -84,10 +96,9 @@ def swap_table(spark: SparkSession, stage: str, table: str) -> None:
         if fs.exists(table_path):
             if fs.exists(aside):  # a finished swap whose old folder was still there
                 fs.delete(aside, True)
-            fs.rename(table_path, aside)
+            _rename(fs, table_path, aside, "nothing was replaced yet, swap again")
         fs.mkdirs(table_path.getParent())
-        if not fs.rename(stage_path, table_path):
-            raise OSError(f"{stage} could not be moved to {table}; it is complete, swap again")
+        _rename(fs, stage_path, table_path, "it is complete, swap again")
     if fs.exists(table_path) and fs.exists(aside):
         fs.delete(aside, True)
     spark.catalog.refreshByPath(table)
@@ -96,3 +107,8 @@ def swap_table(spark: SparkSession, stage: str, table: str) -> None:
 def remove_folder(spark: SparkSession, path: str) -> None:
     (fs,), (p,) = _paths(spark, path)
     fs.delete(p, True)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    (fs,), (p,) = _paths(spark, path)
+    return bool(fs.exists(p))

@@ -288,3 +288,56 @@ def test_lookup_text_like_python_str(spark):
     df = spark.createDataFrame([(True, "k"), (False, "k"), (None, "k")], "flag boolean, K string")
     assert sorted(r.flag for r in lookup(df, {"K": "k"}, "flag").collect()) == sorted(
         str(v) for v in (True, False, None))
+
+
+def test_dirty_cycles_are_null_and_counted(spark):
+    from pyspark.sql import Observation
+
+    from lakeshift.functions.clean import rejected_values
+
+    df = spark.createDataFrame([(1, "n/a", "3"), (2, "124", "4"), (3, "124", "x"), (4, "124", "3"), (5, None, "5"), (6, "99", "12")],
+                               "id int, Y string, M string")
+    seen = Observation()
+    rows = read_cycle(df, "daily", year_col="Y", month_col="M", rejected=seen).collect()
+    assert sorted(r.id for r in rows) == [2, 4] and seen.get["rejected"] == 2
+    assert sorted(r.id for r in read_cycle(df, "full", batch_date="19991231", year_col="Y", month_col="M").collect()) == [6]
+    assert tuple(rejected_values(df, {"Y": "int", "M": "int"}).first()) == (1, 1)
+
+
+class _NoRename:
+    """A file system whose renames report failure for some paths."""
+
+    def __init__(self, fs, refuse):
+        self._fs, self._refuse = fs, refuse
+
+    def rename(self, old, new):
+        return False if self._refuse(str(old.toString())) else self._fs.rename(old, new)
+
+    def __getattr__(self, name):
+        return getattr(self._fs, name)
+
+
+def test_a_rename_that_returns_false_stops_the_publish(spark, tmp_path, monkeypatch):
+    from lakeshift.sinks import publish
+
+    table, stage = str(tmp_path / "t"), str(tmp_path / "stage")
+    paths = publish._paths
+
+    def build():
+        spark.range(5).withColumn("p", F.lit(1)).write.mode("overwrite").partitionBy("p").parquet(table)
+        spark.range(9).withColumn("p", F.lit(1)).write.mode("overwrite").partitionBy("p").parquet(stage)
+
+    for call, refuse in (
+            (lambda: publish.swap_table(spark, stage, table), lambda old: old.endswith("/t")),
+            (lambda: publish.publish_partitions(spark, stage, table, ["p"]), lambda old: "/t/p=1" in old)):
+        build()
+        with monkeypatch.context() as m:
+            def refusing(s, *names):
+                fss, ps = paths(s, *names)
+                return [_NoRename(fs, refuse) for fs in fss], ps
+            m.setattr(publish, "_paths", refusing)
+            with pytest.raises(OSError):
+                call()
+        assert spark.read.parquet(table).count() == 5 and not (tmp_path / "t" / "stage").exists()
+        call()
+        assert spark.read.parquet(table).count() == 9

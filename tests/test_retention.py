@@ -185,3 +185,87 @@ def test_one_scan_whatever_the_number_of_entries(spark, tmp_path):
         assert plan.count() == n
         sizes.append(len(out.getvalue().splitlines()))
     assert sizes[0] == sizes[1]
+
+
+class Stopped(Exception):
+    pass
+
+
+def _job(spark, root, conf, stop_at=None):
+    """A run of the housekeeping job over tables under ``root``; ``stop_at`` names the step (log or
+    done, with the number of the call) at which the process ends."""
+    from lakeshift.sinks.publish import folder_exists
+    from lakeshift.sinks.writers import replace_table
+
+    calls = {"log": 0, "done": 0}
+    log_path = f"{root}/log"
+
+    def step(name):
+        calls[name] += 1
+        if stop_at == (name, calls[name]):
+            raise Stopped(name)
+
+    def append_log(df):
+        step("log")
+        df.write.mode("append").parquet(log_path)
+
+    class Stopping(retention.Journal):
+        def write(self, state, rows):
+            if state == "done":
+                step("done")
+            super().write(state, rows)
+
+    written = []
+
+    def write(name, df):
+        written.append(name)
+        replace_table(spark, df, f"{root}/{name}")
+
+    errors = retention.run_retention(
+        spark, conf, lambda n: spark.read.parquet(f"{root}/{n}"), write, append_log, executed_at=dt.datetime(2024, 1, 1),
+        journal=Stopping(spark, f"{root}/journal"),
+        read_log=lambda: spark.read.schema(retention.LOG_SCHEMA).parquet(log_path) if folder_exists(spark, log_path) else None)
+    return errors, written
+
+
+def test_a_stopped_job_is_finished_by_the_next_one(spark, tmp_path):
+    import pytest
+
+    conf = cfg(spark, [(1, "t1", 2, "Y"), (2, "t2", 3, "Y"), (3, "t2", 1, "Y")])
+    expected = [(1, "t1", 6, 4, 4), (2, "t2", 9, 6, 6), (3, "t2", 3, 8, 2)]
+    for n, stop in enumerate([("log", 1), ("done", 1), ("log", 2), ("done", 2)]):
+        root = str(tmp_path / f"case{n}")
+        for name, top in (("t1", 6), ("t2", 9)):
+            spark.createDataFrame([(i, 1) for i in range(1, top + 1)], "run_id bigint, v int").write.parquet(f"{root}/{name}")
+        with pytest.raises(Stopped):
+            _job(spark, root, conf, stop)
+        errors, written = _job(spark, root, conf)
+        assert errors == [] and len(written) <= 1  # deleted runs are not deleted again
+        rows = spark.read.schema(retention.LOG_SCHEMA).parquet(f"{root}/log").collect()
+        assert sorted((r[0], *tuple(r)[2:]) for r in rows) == expected
+        assert [sorted(r.run_id for r in spark.read.parquet(f"{root}/{t}").collect()) for t in ("t1", "t2")] == [[5, 6], [9]]
+        assert retention.Journal(spark, f"{root}/journal").open() == []
+        assert _job(spark, root, conf) == ([], [])
+
+
+def test_a_table_that_cannot_be_finished_stays_open(spark, tmp_path):
+    root = str(tmp_path)
+    spark.createDataFrame([(i, 1) for i in range(1, 6)], "run_id bigint, v int").write.parquet(f"{root}/t")
+    journal = retention.Journal(spark, f"{root}/journal")
+    schema = retention.LOG_SCHEMA
+    when = dt.datetime(2024, 1, 1)
+    rows = spark.createDataFrame([(1, when, "t", 5, 3, 3), (2, when, "gone", 5, 3, 3)], schema).collect()
+    journal.write("intent", rows)
+    errors, written = _job(spark, root, cfg(spark, [(1, "t", 2, "Y"), (2, "gone", 2, "Y")]))
+    assert [e["table"] for e in errors] == ["gone"] and written == ["t"]
+    assert [r.dq_table_name for r in journal.open()] == ["gone"]
+
+
+def test_run_ids_that_are_no_numbers_are_counted(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("1",), ("2",), ("x",), ("3",), (None,), ("2.5.1",)], "run_id string").write.parquet(path)
+    rejected = {}
+    plan, errors = retention.plan_tables(
+        spark, cfg(spark, [(1, "t", 1, "Y")]), lambda n: spark.read.parquet(path), rejected=rejected)
+    assert errors == [] and [tuple(r) for r in plan.collect()] == [(1, "t", 3, 2, 2)]
+    assert rejected["t"].get["rejected"] == 2
