@@ -198,6 +198,35 @@ def _key_condition(keys: Sequence[str], left_prefix: str = "", right_prefix: str
     )
 
 
+def _same(a: Column, b: Column) -> Column:
+    """Null-safe equality that is no join key to the planner, only a condition."""
+    return F.when(a.isNull() | b.isNull(), a.isNull() & b.isNull()).otherwise(a == b)
+
+
+def clustered_join(left: DataFrame, right: DataFrame, keys: Sequence[str], by: Sequence[str], how: str, *,
+                   left_prefix: str = "", right_prefix: str = _S, extra: Column | None = None,
+                   null_keys: bool = True) -> DataFrame:
+    """``left`` joined to ``right`` on null-safe ``keys``, of which ``by`` are those that one side is
+    stored by. Rows without a null there join by plain equality of just these columns, so the stored
+    side is joined where it lies. Rows with one join null-safely; ``null_keys=False`` says that the
+    source has none, so the target's cannot match and are not joined at all."""
+    left_has = reduce(lambda a, b: a & b, [F.col(left_prefix + k).isNotNull() for k in by])
+    right_has = reduce(lambda a, b: a & b, [F.col(right_prefix + k).isNotNull() for k in by])
+    on = [F.col(left_prefix + k) == F.col(right_prefix + k) for k in by]
+    on += [_same(F.col(left_prefix + k), F.col(right_prefix + k)) for k in keys if k not in by]
+    more = [] if extra is None else [extra]
+    joined = left.where(left_has).join(right.where(right_has), reduce(lambda a, b: a & b, on + more), how)
+    others = left.where(~left_has)
+    if null_keys:
+        cond = reduce(lambda a, b: a & b, [_key_condition(keys, left_prefix, right_prefix), *more])
+        others = others.join(right.where(~right_has), cond, how)
+    elif how == "left_semi":
+        return joined
+    elif how == "left":
+        others = others.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields])
+    return joined.unionByName(others)
+
+
 def _salted(df: DataFrame, name: str, buckets: int) -> DataFrame:
     """A deterministic salt per row (a hash of the whole row, never random, so a retried task
     reproduces it)."""
@@ -210,7 +239,7 @@ def _replicated(df: DataFrame, name: str, buckets: int) -> DataFrame:
 
 
 def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, strategy: str = "auto",
-          salt_buckets: int = 0) -> DataFrame:
+          salt_buckets: int = 0, clustered_by: Sequence[str] = (), null_keys: bool = True) -> DataFrame:
     """Return the merged target. ``strategy``: "auto" (Spark picks each join from its sizes),
     "shuffle" (sort-merge joins whatever the thresholds) or "broadcast" (the source is measured
     by an extra pass and broadcast if it fits the session's threshold, else as "auto").
@@ -222,12 +251,21 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, strategy: st
     ``salt_buckets`` > 1 (shuffle joins only) spreads every key over that many tasks without
     relying on AQE: target rows, and source rows in the insert join, get a deterministic salt,
     and the one-row-per-key sides are replicated per salt value. By default AQE's skew join
-    splits hot keys at run time instead."""
+    splits hot keys at run time instead.
+
+    ``clustered_by``: keys by which the target is stored in buckets; its rows are then joined where
+    they lie (see ``clustered_join``, also for ``null_keys``). A bucket is one task, so AQE cannot
+    split a hot key there."""
     if not spec.keys:
         raise ValueError("a merge needs at least one key column")
     if strategy not in ("auto", "broadcast", "shuffle"):
         raise ValueError(f"unknown strategy {strategy!r}")
+    if clustered_by and (salt_buckets > 1 or strategy == "broadcast"):
+        raise ValueError("a clustered target is joined by its buckets: no salt, no broadcast strategy")
     source, spec = resolve_names(target, source, spec)
+    outside = [c for c in clustered_by if c not in spec.keys]
+    if outside:
+        raise ValueError(f"the target is clustered by {outside}, which are no merge keys")
     tcols = target.columns
     ttypes = {f.name: f.dataType for f in target.schema.fields}
     keys = unique(spec.keys)
@@ -325,6 +363,9 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, strategy: st
         touched_side = _salted(touched, "__tsalt", salt_buckets)
         right = build(_replicated(summary, "__ssalt", salt_buckets))
         joined = touched_side.join(right, match_cond & (F.col("__tsalt") == F.col("__ssalt")), "left")
+    elif clustered_by:
+        joined = clustered_join(touched, build(summary), keys, clustered_by, "left", null_keys=null_keys,
+                                extra=None if b is None else F.col(b) <= F.col(_S + b))
     else:
         joined = touched.join(build(summary), match_cond, "left")
     if spec.check_single_match:
@@ -364,6 +405,9 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, strategy: st
             inserts = _salted(s, "__isalt", salt_buckets).join(
                 build(_replicated(tk, "__ksalt", salt_buckets)), anti_cond & (F.col("__isalt") == F.col("__ksalt")),
                 "left_anti").drop("__isalt")
+        elif clustered_by:
+            inserts = clustered_join(s, build(tk), keys, clustered_by, "left_anti", left_prefix=_S, right_prefix="__t",
+                                     null_keys=null_keys, extra=None if b is None else F.col("__tmin") <= F.col(_S + b))
         else:
             inserts = s.join(build(tk), anti_cond, "left_anti")
         chosen = set(insert_cols)

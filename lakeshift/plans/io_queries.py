@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeshift.operators import retention
+from lakeshift.operators.clustered import merge_into_clustered, write_clustered
 from lakeshift.operators.merge_table import merge_into_table
 from lakeshift.operators.dedup import dedup_by_key
 from lakeshift.operators.scd2 import (
@@ -231,6 +232,31 @@ def q_merge_expire_into_odd_table(spark: SparkSession, sf_dir: str) -> DataFrame
         ["ORD_ID"], "LD_END_DT", EXPIRE_INSERT, cols_to_update=["LD_END_DT", "SRC_EXPRN_DT"], source_filter="F")))
 
 
+CLUSTERS = 16
+
+
+def _clustered_merge(spark: SparkSession, sf_dir: str, spec) -> DataFrame:
+    """A merge into the whole satellite, stored in buckets of its order id; read back whole."""
+    sat, upd = frame(spark, sf_dir, "sat"), frame(spark, sf_dir, "upd")
+    name, path = f"lakeshift_{uuid.uuid4().hex}", scratch_path(spark, "vault") + "/VAULT/sat_clustered"
+    write_clustered(sat, name, path, ["ORD_ID"], CLUSTERS)
+    merge_into_clustered(spark, name, upd, spec(upd))
+    spark.sql(f"DROP TABLE {name}")  # the files stay
+    return spark.read.schema(sat.schema).parquet(path).select(SAT_COLS)
+
+
+@register("merge_upsert_into_clustered", ORACLE["merge_upsert"])
+def q_merge_upsert_into_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _clustered_merge(spark, sf_dir, lambda upd: upsert_spec(
+        upd.columns, scd2_keys(TABLE_KEYS, upd.columns), "LD_END_DT", UPSERT_INSERT, source_filter="F"))
+
+
+@register("merge_expire_into_clustered", ORACLE["merge_expire"])
+def q_merge_expire_into_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _clustered_merge(spark, sf_dir, lambda upd: expire_spec(
+        ["ORD_ID"], "LD_END_DT", EXPIRE_INSERT, source_filter="F"))
+
+
 RUNS_SCHEMA = T.StructType([
     T.StructField("run_id", T.LongType()), T.StructField("event_id", T.LongType()),
     T.StructField("value", T.DoubleType()), T.StructField("dq_table_name", T.StringType()),
