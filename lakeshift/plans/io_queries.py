@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeshift.operators import retention
+from lakeshift.operators.cycles import read_stored_cycle
 from lakeshift.operators.clustered import merge_into_clustered, write_clustered
 from lakeshift.operators.merge_table import merge_into_table
 from lakeshift.operators.dedup import dedup_by_key
@@ -43,6 +44,7 @@ from lakeshift.sinks.publish import folder_exists
 from lakeshift.sinks.writers import (
     CSV_OPTIONS,
     export_csv,
+    export_csv_file,
     extract_name,
     replace_table,
     write_clean,
@@ -157,6 +159,17 @@ def q_csv_extract_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(events.schema).options(**CSV_OPTIONS).csv(f"{folder}/{extract_name('events_extract', day)}")
 
 
+@register("csv_one_file_roundtrip", EVENTS_SQL.format(events="events"))
+def q_csv_one_file_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as one dated CSV file, written in parts that are put together, and read back."""
+    events = spark.sql(EVENTS_SQL.format(events=f"parquet.`{sf_dir}/events.parquet`"))
+    folder, day = scratch_path(spark, "extract"), _dt.date(2024, 1, 31)
+    status = export_csv_file(events, folder, "events_extract", as_of=day, order_by=["event_id"])
+    if status["status"] != "success":
+        raise RuntimeError(f"extract failed: {status}")
+    return spark.read.schema(events.schema).options(**CSV_OPTIONS).csv(f"{folder}/{extract_name('events_extract', day)}")
+
+
 @register("merge_upsert_into_table", ORACLE["merge_upsert"])
 def q_merge_upsert_into_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The upsert applied to a partitioned satellite on disk: only affected partitions are
@@ -324,3 +337,22 @@ def q_retention_restarted_job_log(spark: SparkSession, sf_dir: str) -> DataFrame
     """The audit log of a job that was stopped between a deletion and its log row, and run again."""
     _, log_path = _retention_job(spark, sf_dir, restart=True)
     return spark.read.schema(retention.LOG_SCHEMA).parquet(log_path)
+
+
+def _stored_cycle(spark: SparkSession, sf_dir: str, by: list[str]) -> DataFrame:
+    """The newest two months of the whole cycle table, stored with and without partition folders."""
+    cycle = frame(spark, sf_dir, "cycle")
+    path = scratch_path(spark, "cycle")
+    (write_partitioned(cycle, path, by) if by else cycle.write.parquet(path))
+    found = read_stored_cycle(spark, path, year_col="CYC_YEAR", month_col="CYC_MONTH", schema=cycle.schema)
+    return found.select(cycle.columns)
+
+
+@register("cycle_latest_from_folders", ORACLE["cycle_latest_two_months"])
+def q_cycle_latest_from_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored_cycle(spark, sf_dir, ["CYC_YEAR", "CYC_MONTH"])
+
+
+@register("cycle_latest_from_footers", ORACLE["cycle_latest_two_months"])
+def q_cycle_latest_from_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored_cycle(spark, sf_dir, [])

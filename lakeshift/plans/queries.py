@@ -133,8 +133,7 @@ def _read_query(obj: dict, extra: dict, source_list: list[str]) -> Query:
         spec = resolve_read_spec(obj, None, kind=kind, source_list=source_list,
                                  as_of=AS_OF, export=extra.get("export", False))
         path = stored(spark, sf_dir, "sat")
-        df = read_connector(spark, "parquet", {"path": path}, spec) if kind == "wide" else read_table(spark, path, spec)
-        return df.withColumn("PART_COL", F.col("PART_COL").cast("string")) if kind == "wide" else df
+        return read_connector(spark, "parquet", {"path": path}, spec) if kind == "wide" else read_table(spark, path, spec)
     return run
 
 

@@ -2,6 +2,7 @@
 
 from lakeshift.sinks.writers import (
     export_csv,
+    export_csv_file,
     replace_table,
     write_clean,
     write_connector,
@@ -13,6 +14,7 @@ from lakeshift.sinks.writers import (
 
 __all__ = [
     "export_csv",
+    "export_csv_file",
     "replace_table",
     "write_clean",
     "write_connector",

@@ -112,3 +112,31 @@ def remove_folder(spark: SparkSession, path: str) -> None:
 def folder_exists(spark: SparkSession, path: str) -> bool:
     (fs,), (p,) = _paths(spark, path)
     return bool(fs.exists(p))
+
+
+COPY_BLOCK = 4 << 20
+
+
+def concatenate(spark: SparkSession, folder: str, file: str, head: bytes = b"") -> None:
+    """One file from ``head`` and the part files of a folder, in the order of their numbers. Bytes
+    go from stream to stream; the file is written beside its place and then renamed into it."""
+    (fs, parts_fs), (to, parts) = _paths(spark, file, folder)
+    jvm = spark._jvm
+    found = [s.getPath() for s in parts_fs.listStatus(parts) if s.getPath().getName().startswith("part-")]
+    found.sort(key=lambda p: int(p.getName().split("-")[1]))
+    beside = jvm.org.apache.hadoop.fs.Path(to.getParent(), "." + to.getName() + ".part")
+    fs.mkdirs(to.getParent())
+    out = fs.create(beside, True)
+    try:
+        out.write(head)
+        for part in found:
+            stream = parts_fs.open(part)
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, COPY_BLOCK, False)
+            finally:
+                stream.close()
+    finally:
+        out.close()
+    if fs.exists(to):
+        fs.delete(to, True)
+    _rename(fs, beside, to, "the file is complete there")

@@ -3,7 +3,9 @@ and a safe replacement of a table that the written frame was read from."""
 
 from __future__ import annotations
 
+import csv
 import datetime as _dt
+import io
 import logging
 from typing import Mapping, Sequence
 
@@ -11,8 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeshift.functions.text import as_text
 from lakeshift.session import scratch_path
-from lakeshift.sinks.publish import remove_folder, same_store, swap_table
+from lakeshift.sinks.publish import concatenate, remove_folder, same_store, swap_table
 from lakeshift.sources.paths import clean_path
 from lakeshift.sources.tables import load_table, partition_columns
 
@@ -144,6 +147,63 @@ def export_csv(df: DataFrame, folder: str, prefix: str, *, as_of: _dt.date | Non
     return {"status": "success", "file_name": name, "extractPathFolder": folder, "columnDelimiter": ","}
 
 
+def _resolutions(df: DataFrame) -> tuple[int, dict[str, str]]:
+    """The number of rows, and for each column of times the pattern that shows all of them: days
+    alone, seconds, or a fraction of three or six digits. One pass over these columns."""
+    stamps = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))]
+    counts = [F.count(F.lit(1)).alias("n")]
+    for i, c in enumerate(stamps):
+        col = F.col(f"`{c}`")
+        part = F.date_format(col, "SSSSSS").cast("int")
+        counts += [F.max(part % 1000 != 0).alias(f"us{i}"), F.max(part != 0).alias(f"ms{i}"),
+                   F.max(F.date_format(col, "HHmmss") != "000000").alias(f"s{i}")]
+    row = df.agg(*counts).first()
+    day = "yyyy-MM-dd"
+    return row["n"], {
+        c: f"{day} HH:mm:ss.SSSSSS" if row[f"us{i}"] else f"{day} HH:mm:ss.SSS" if row[f"ms{i}"]
+        else f"{day} HH:mm:ss" if row[f"s{i}"] else day
+        for i, c in enumerate(stamps)}
+
+
+def export_csv_file(df: DataFrame, folder: str, prefix: str, *, as_of: _dt.date | None = None,
+                    order_by: Sequence[str] = ()) -> dict:
+    """Dated CSV extract as one file ``<folder>/<prefix>_<yyyymmdd>.csv``, as pandas writes it:
+    one header, floats and booleans as Python's ``str``, NaN and null empty, a column's times with
+    the digits that all of them need. An empty frame writes nothing and returns status "empty".
+
+    Tasks write the lines in parallel, sorted by ``order_by`` across them where it is given. Their
+    files, which have no header, are then put one behind the other by copying bytes from stream to
+    stream in the driver's JVM, in blocks; no task, and no memory, ever holds the rows together. The file
+    gets its name when it is complete, in the place of an older one."""
+    spark = df.sparkSession
+    name = extract_name(prefix, as_of or _dt.date.today())
+    n, patterns = _resolutions(df)
+    status = {"status": "success" if n else "empty", "file_name": name, "extractPathFolder": folder, "columnDelimiter": ","}
+    if not n:
+        return status
+
+    def text(f: T.StructField) -> Column:
+        c = F.col(f"`{f.name}`")
+        if f.name in patterns:
+            shown = F.date_format(c, patterns[f.name])
+        elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            shown = F.when(~F.isnan(c), as_text(c, f.dataType))
+        elif isinstance(f.dataType, T.BooleanType):
+            shown = as_text(c, f.dataType)
+        else:
+            return c
+        return F.when(c.isNotNull(), shown).alias(f.name)
+
+    ordered = df.orderBy(*[f"`{c}`" for c in order_by]) if order_by else df
+    stage = scratch_path(spark, "extract-parts")
+    ordered.select(*[text(f) for f in df.schema.fields]).write.options(**CSV_OPTIONS | {"header": "false"}).csv(stage)
+    header = io.StringIO()
+    csv.writer(header, lineterminator="\n").writerow(df.columns)
+    concatenate(spark, stage, f"{folder.rstrip('/')}/{name}", header.getvalue().encode())
+    remove_folder(spark, stage)
+    return status
+
+
 # The bulk SQL Server connector and its options for partitioned mart tables.
 BULK_FORMAT = "com.microsoft.sqlserver.jdbc.spark"
 BULK_OPTIONS = {

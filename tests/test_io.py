@@ -18,6 +18,7 @@ from lakeshift.sinks import publish
 from lakeshift.sinks.writers import (
     CSV_OPTIONS,
     export_csv,
+    export_csv_file,
     replace_table,
     write_connector,
     write_jdbc,
@@ -341,3 +342,114 @@ def test_a_rename_that_returns_false_stops_the_publish(spark, tmp_path, monkeypa
         assert spark.read.parquet(table).count() == 5 and not (tmp_path / "t" / "stage").exists()
         call()
         assert spark.read.parquet(table).count() == 9
+
+
+def test_latest_files_by_tasks_and_by_the_driver_agree(spark, tmp_path):
+    from lakeshift.sources import catalog
+
+    rng, when = __import__("random").Random(3), 1_600_000_000
+    for n in range(60):
+        folder = tmp_path / "/".join(rng.choice("abc") for _ in range(rng.randrange(0, 4)))
+        folder.mkdir(parents=True, exist_ok=True)
+        file = folder / rng.choice([f"f{n}.parquet", f"f{n}.csv", f"_f{n}.parquet", f".f{n}.parquet", f"_k=1{n}.parquet", f"x y{n}.parquet"])
+        file.write_text("x" * n)
+        os.utime(file, (when + n % 7, when + n % 7))
+    for glob, depth in ((None, None), ("*.parquet", None), ("*.parquet", 2), (None, 1)):
+        by_driver = catalog._listed_by_driver(spark, str(tmp_path), glob, depth)
+        by_tasks = latest_files(spark, str(tmp_path), glob=glob, depth=depth)
+        assert sorted(map(tuple, by_tasks.collect())) == sorted(map(tuple, by_driver.select(by_tasks.columns).collect()))
+        assert by_tasks.count() > 0
+
+
+def test_the_driver_sees_no_file_names(spark, tmp_path):
+    """One result row per folder reaches the parquet levels, whatever the number of files."""
+    from lakeshift.sources.files import newest_in_folders
+
+    def lister(uri):
+        if uri.endswith("root"):
+            return [(f"d{i}", True, 0, 0) for i in range(5)]
+        return [(f"f{i:06d}", False, i % 1000, i) for i in range(50_000)]
+
+    (tmp_path / "root").mkdir()
+    rows = newest_in_folders(spark, str(tmp_path / "root"), lister=lister).collect()
+    assert len(rows) == 5 and {r.path.rsplit("/", 1)[1] for r in rows} == {"f049999"}
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_one_file_extract_is_what_pandas_writes(spark, tmp_path, parts):
+    import pandas as pd
+
+    events = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    status = export_csv_file(events.repartition(parts), str(tmp_path), "ev", as_of=dt.date(2024, 3, 9), order_by=["event_id"])
+    assert status["status"] == "success" and sorted(os.listdir(tmp_path)) == [".ev_20240309.csv.crc", "ev_20240309.csv"]
+    expected = pd.read_parquet("/root/testdata/sf0.01/events.parquet").sort_values("event_id").to_csv(index=False)
+    assert (tmp_path / "ev_20240309.csv").read_bytes() == expected.encode()
+
+
+def test_one_file_extract_of_odd_values(spark, tmp_path):
+    import pandas as pd
+
+    rows = [
+        (1, 'a "quoted", text', 1e16, True, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1), dt.date(2024, 5, 1)),
+        (2, "", float("nan"), False, dt.datetime(2024, 1, 2, 3, 4, 5), dt.datetime(2024, 2, 1), None),
+        (3, "line\nbreak", 1e-7, None, None, None, dt.date(2024, 5, 2)),
+        (4, None, 0.1, True, dt.datetime(2024, 1, 2, 3, 4, 5, 120000), dt.datetime(2024, 3, 1), dt.date(2024, 5, 3))]
+    df = spark.createDataFrame(rows, "a long, `b,c` string, x double, f boolean, t timestamp_ntz, d timestamp_ntz, e date")
+    for _ in range(2):  # the second one takes the place of the first
+        export_csv_file(df, str(tmp_path), "odd", as_of=dt.date(2024, 3, 9), order_by=["a"])
+    frame_ = df.toPandas().sort_values("a")
+    assert (tmp_path / "odd_20240309.csv").read_text() == frame_.to_csv(index=False)
+    assert export_csv_file(df.where("a > 9"), str(tmp_path), "none")["status"] == "empty"
+    assert not any(f.startswith("none") for f in os.listdir(tmp_path))
+
+
+def test_connectors_and_tables_keep_partition_text(spark, tmp_path):
+    from lakeshift.sources.tables import load_table, partition_columns
+
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "01", "x"), (2, "1", "y"), (3, None, "z")], "id int, p string, q string").write.partitionBy("p", "q").parquet(path)
+    for df in (load_table(spark, path), read_connector(spark, "parquet", {"path": path})):
+        assert sorted((r.id, r.p, r.q) for r in df.collect()) == [(1, "01", "x"), (2, "1", "y"), (3, None, "z")]
+    assert partition_columns(spark, path) == ["p", "q"]
+    assert partition_columns(spark, path + "/p=01") == ["q"]
+    assert partition_columns(spark, path + "/p=0*") == ["q"]
+
+
+CYCLES = [(1, 123, 12), (2, 124, 1), (3, 124, 2), (4, 124, 3), (5, 124, 3), (6, None, 9), (7, 124, None), (8, 99, 12)]
+
+
+@pytest.mark.parametrize("by", [[], ["Y"], ["Y", "M"], ["M"]])
+@pytest.mark.parametrize("kind", ["int", "string"])
+def test_newest_cycle_of_a_stored_table(spark, tmp_path, by, kind):
+    from lakeshift.operators.cycles import newest_cycle, read_stored_cycle
+
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame(CYCLES, "id int, Y int, M int").select("id", F.col("Y").cast(kind), F.col("M").cast(kind))
+    if kind == "string":
+        df = df.union(spark.createDataFrame([(9, "n/a", "13"), (10, "124", "x")], df.schema))
+    df.write.partitionBy(*by).parquet(path) if by else df.write.parquet(path)
+    (tmp_path / "t" / "Y=200" / "M=1").mkdir(parents=True) if by == ["Y", "M"] else None  # a folder without a file
+    assert newest_cycle(spark, path, year_col="Y", month_col="M") == (124, 3)
+    for how, expected in (("daily", [3, 4, 5]), ("historical", [r[0] for r in CYCLES] + ([9, 10] if kind == "string" else []))):
+        found = read_stored_cycle(spark, path, how, year_col="Y", month_col="M")
+        assert sorted(r.id for r in found.collect()) == expected
+    jan = str(tmp_path / "jan")
+    spark.createDataFrame([(1, 123, 12), (2, 124, 1)], "id int, Y int, M int").write.parquet(jan)
+    assert [r.id for r in read_stored_cycle(spark, jan, year_col="Y", month_col="M").collect()] == [2]
+    none = str(tmp_path / "none")
+    spark.createDataFrame([], "id int, Y int, M int").write.parquet(none)
+    assert read_stored_cycle(spark, none, year_col="Y", month_col="M").collect() == []
+
+
+def test_newest_cycle_reads_footers_only(spark, tmp_path):
+    from lakeshift.operators.cycles import _statistics, newest_in_files
+    from test_scale import plan_text
+
+    df = spark.createDataFrame(CYCLES, "id int, Y int, M int")
+    flat, by_year = str(tmp_path / "flat"), str(tmp_path / "by_year")
+    df.write.parquet(flat)
+    df.write.partitionBy("Y").parquet(by_year)
+    assert "PushedAggregation: [MAX(Y)]" in plan_text(newest_in_files(_statistics(spark, flat), "Y"))
+    month = newest_in_files(_statistics(spark, by_year).where("try_cast(Y AS int) = 124"), "M")
+    assert "PushedAggregation: [MAX(M)]" in plan_text(month) and "PartitionFilters: [" in plan_text(month)
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
