@@ -14,6 +14,9 @@ what the matches bring in, and there are n matches at most.
 2. One pass over the corpus marks the places whose pair is in the table. Where a class's least
    number of marked places lies within the longest span of the class, they are kept, with the
    words around them; equal texts are kept once.
+   Items of one to four words match, where that is asked for, if all their words stand in a row:
+   the same kind of table marks places in the texts, and a join on the full hashes, with the words
+   compared, decides.
 3. A join on the full hashes counts, for every such stretch and item, the item's places whose pair
    is in the stretch. Those with enough are checked again by the item's own pairs, and aligned,
    which bears replaced, added and dropped words.
@@ -26,11 +29,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeshift.llm.common import table, text_or_empty
+from lakeshift.llm.common import join_splittable, table, text_or_empty
 from lakeshift.llm.jaccard import _lists, _mix
 from lakeshift.session import scratch_path
 
-#: Shorter items are not looked for.
+#: Shorter items have no alignment with errors that would say anything: they match word by word.
 LEAST_WORDS = 5
 SEED_WORDS = 2
 #: Entries of the table of word pairs; at most this many small integers reach the driver and the tasks.
@@ -124,6 +127,49 @@ def _seeds(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.mapInArrow(run, f"{kinds}, seed long, times long")
 
 
+def _rows_of(df: DataFrame, marks: np.ndarray, lengths: list[int]) -> DataFrame:
+    """(of, n, seed, at, words): the first place in each text of each run of n words that is marked
+    (bit n of the entry). ``df`` has (of, words)."""
+    def run(batches):
+        for batch in batches:
+            out = ([], [], [], [], [])
+            for of, words in zip(batch.column(0).to_pylist(), _lists(batch.column(1)), strict=True):
+                for n in lengths:
+                    seeds = ngrams(words, n)
+                    places = np.flatnonzero(marks[seeds & (BITMAP - 1)] & (1 << n))
+                    for at in places[np.unique(seeds[places], return_index=True)[1]].tolist():
+                        for store, value in zip(out, (of, n, int(seeds[at]), at, words[at:at + n]), strict=True):
+                            store.append(value)
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["of", "n", "seed", "at", "words"])
+
+    return df.mapInArrow(run, "of long, n int, seed long, at long, words array<long>")
+
+
+def _short_matches(docs: DataFrame, short: DataFrame) -> DataFrame | None:
+    """Texts (of, words) that hold an item of ``short`` (item_of, item_words) word by word, as the
+    rows of ``_aligned``; None if there is no such item."""
+    lengths = sorted(r["n"] for r in short.select(F.size("item_words").alias("n")).distinct().collect())
+    if not lengths:
+        return None
+
+    def hashed(batches):
+        for batch in batches:
+            seeds = [int(ngrams(words, len(words))[0]) for words in _lists(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(seeds, pa.int64())], names=["item_of", "item_words", "seed"])
+
+    keyed = short.select("item_of", "item_words").mapInArrow(hashed, "item_of long, item_words array<long>, seed long")
+    keyed = keyed.withColumn("n", F.size("item_words"))
+    entry = F.col("seed").bitwiseAND(F.lit(BITMAP - 1)).cast("int").alias("entry")
+    found = keyed.groupBy(entry).agg(F.bit_or(F.pow(F.lit(2), F.col("n")).cast("int")).alias("bits")).toPandas()
+    marks = np.zeros(BITMAP, np.uint8)
+    marks[found["entry"].to_numpy(dtype=np.int64)] = found["bits"].to_numpy(dtype=np.uint8)
+    held = _rows_of(docs, marks, lengths).dropDuplicates(["of", "n", "seed"])
+    met = join_splittable(held, keyed, ["n", "seed"]).where(F.col("words") == F.col("item_words"))
+    return met.select("of", "item_of", F.lit(1.0).alias("score"), F.col("at").alias("first_word"), (F.col("at") + F.col("n")).alias("end_word"))
+
+
 def align(item: np.ndarray, text: np.ndarray) -> tuple[float, int]:
     """Best local alignment: its score, and where in ``text`` it first ends (exclusive). One numpy
     row per item word; runs of gaps along the row are a running maximum."""
@@ -191,11 +237,14 @@ def _docs(df: DataFrame, id_column: str, text: str) -> DataFrame:
 def contaminated(
     df: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text",
     item_column: str = "item_id", item_text: str = "text", min_score: float = MIN_SCORE,
+    short_items: bool = False,
 ) -> DataFrame:
     """(id, of, item, score, first_word, end_word): each document text (id and hash of the text)
     that holds a benchmark item, with the best alignment's score (0 to 1) and words.
 
-    - null or empty texts, on either side, and items of fewer than five words: no match
+    - null or empty texts, on either side: no match
+    - items of one to four words: no match; with ``short_items`` they match where all their words
+      stand in a row, with score 1
     - null ids stay null; rows that repeat id and text are reported once per item, with the best
       score; repeated item ids with different texts are aligned each and the best one is reported
     - ties of the score: the first place; extra columns are ignored
@@ -207,9 +256,10 @@ def contaminated(
         F.col(f"`{item_column}`").cast("long").alias("item"),
         F.xxhash64(text_or_empty(F.col(f"`{item_text}`"))).alias("item_of"),
         word_hashes(text_or_empty(F.col(f"`{item_text}`"))).alias("item_words"))
-    items = items.where(F.size("item_words") >= LEAST_WORDS)
     # Item texts are found by their hash; the ids, which may be null, are put to them at the end.
     names, items = items.select("item", "item_of").distinct(), items.select("item_of", "item_words").dropDuplicates(["item_of"])
+    short = items.where((F.size("item_words") > 0) & (F.size("item_words") < LEAST_WORDS))
+    items = items.where(F.size("item_words") >= LEAST_WORDS)
     need = F.ceil(F.lit(float(min_score)) * F.size("item_words") - F.lit(1e-9)).cast("int")
     items = items.withColumns({"n": F.size("item_words"), "need": need})
     in_class = sum((F.when(F.col("need") >= least, 1).otherwise(0) for least in NEEDS[1:]), F.lit(0))
@@ -234,7 +284,9 @@ def contaminated(
     pairs = shared.groupBy("of", "at", "item_of").agg(F.sum("times").alias("shared"), F.first("need").alias("need"))
     pairs = pairs.where(F.col("shared") >= F.col("need") - 1).select("of", "at", "item_of")
     ready = pairs.join(parts, ["of", "at"]).join(items, "item_of").select("of", "at", "item_of", "item_words", "words")
-    scored = _aligned(ready, min_score).join(names, "item_of")
+    scored = _aligned(ready, min_score)
+    whole = _short_matches(docs.select("of", word_hashes(F.col("body")).alias("words")), short) if short_items else None
+    scored = (scored if whole is None else scored.unionByName(whole)).join(names, "item_of")
     best = F.max_by(F.struct("first_word", "end_word"), F.struct("score", -F.col("first_word")))
     found = scored.groupBy("of", "item").agg(F.max("score").alias("score"), best.alias("at"))
     ids = docs.select("id", "of").distinct()
@@ -251,7 +303,7 @@ def drop_contaminated(df: DataFrame, benchmark: DataFrame, id_column: str = "doc
 
 def op5_seeded_alignment(spark, sf_dir: str) -> DataFrame:
     """All pairs of a document and a benchmark item that it holds."""
-    found = contaminated(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+    found = contaminated(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"), short_items=True)
     return found.groupBy(F.col("id").alias("doc_id"), F.col("item").alias("item_id")).agg(
         F.max("score").alias("score"), F.min_by("first_word", -F.col("score")).alias("first_word"),
         F.min_by("end_word", -F.col("score")).alias("end_word"))

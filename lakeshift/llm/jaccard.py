@@ -214,7 +214,7 @@ def _verify(groups: DataFrame, similarity: float) -> DataFrame:
 
 def jaccard_join(
     df: DataFrame, id_column: str = "doc_id", text: str = "text",
-    similarity: float = SIMILARITY, recall: float = RECALL, block: int = BLOCK,
+    similarity: float = SIMILARITY, recall: float = RECALL, block: int = BLOCK, null_ids: bool = False,
 ) -> DataFrame:
     """One row per row of ``df``: id, ``class_id`` (near-duplicate class: the smallest id among
     documents connected by links), ``copy_id`` (smallest id with an equal shingle set),
@@ -223,15 +223,18 @@ def jaccard_join(
 
     - null or empty text, or blanks only: no links; class and copy id are the row's own id
     - fewer than five words: the set has one shingle of all words
-    - null id: the row stands alone, with null class and copy id
+    - null id: the row stands alone, with null class and copy id and no links; with ``null_ids`` it
+      is classed by its text like any other, and class and copy id are the smallest that are not
+      null, or null where there is none
     - repeated rows and texts under different ids are copies; extra columns are ignored
     """
-    out = _classified(df, id_column, text, similarity, recall, block)
+    out = _classified(df, id_column, text, similarity, recall, block, null_ids)
     return out.select(F.col("id").alias(id_column), "class_id", "copy_id", "n_links", "n_linked_sets")
 
 
-def _classified(df: DataFrame, id_column: str, text: str, similarity: float, recall: float, block: int) -> DataFrame:
-    """As ``jaccard_join``, with the id as ``id`` and the text's hash as ``of``."""
+def _classified(df: DataFrame, id_column: str, text: str, similarity: float, recall: float, block: int, null_ids: bool) -> DataFrame:
+    """As ``jaccard_join``, with the id as ``id``, the text's hash as ``of`` and a number of the class
+    as ``component`` (null: the text has no words)."""
     spark = df.sparkSession
     bands, rows = choose_bands(similarity, recall)
     body = text_or_empty(F.col(f"`{text}`"))
@@ -240,9 +243,9 @@ def _classified(df: DataFrame, id_column: str, text: str, similarity: float, rec
     _sketches(docs.select("id", "of", word_hashes(F.col("body")).alias("words")), bands, rows).write.parquet(path)
     sketches = spark.read.parquet(path)
 
-    known = sketches.where("key IS NOT NULL AND id IS NOT NULL")
+    known = sketches.where("key IS NOT NULL" if null_ids else "key IS NOT NULL AND id IS NOT NULL")
     classes = known.groupBy("key").agg(
-        F.min(F.struct("id", "of")).alias("head"), F.count(F.lit(1)).alias("copies"), F.any_value("bands").alias("bands"))
+        F.min(F.struct(F.col("id").isNull(), "id", "of")).alias("head"), F.count(F.lit(1)).alias("copies"), F.any_value("bands").alias("bands"))
     path = scratch_path(spark, "classes")
     classes.select(
         "key", F.xxhash64("key").alias("class"), F.col("head.id").alias("copy_id"), F.col("head.of").alias("of"),
@@ -259,12 +262,13 @@ def _classified(df: DataFrame, id_column: str, text: str, similarity: float, rec
     found = (
         classes.select("key", "class", "copy_id", "copies")
         .join(sums, "class", "left")
-        .join(named.select(F.col("node").alias("class"), "class_id"), "class", "left")
+        .join(named.select(F.col("node").alias("class"), "component", "class_id"), "class", "left")
     )
-    out = sketches.select("id", "of", "key").join(found, "key", "left")
+    alone = F.lit(False) if null_ids else F.col("id").isNull()
+    out = sketches.select("id", "of", F.when(~alone, F.col("key")).alias("key")).join(found, "key", "left")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
     return out.select(
-        "id", "of",
+        "id", "of", F.coalesce("component", "class").alias("component"),
         F.coalesce("class_id", "copy_id", "id").alias("class_id"),
         F.coalesce("copy_id", "id").alias("copy_id"),
         (zero(F.col("n_docs")) + zero(F.col("copies") - 1)).alias("n_links"),
@@ -286,7 +290,9 @@ def _groups(docs: DataFrame, classes: DataFrame, block: int) -> DataFrame:
         F.pmod(F.xxhash64(F.lit("block"), "node"), F.col("blocks")).cast("int").alias("block"))
     heads = members.join(classes.select("class", "copies", F.col("copy_id").alias("id"), "of"), "class")
     # Equal rows of the table would bring a text more than once: one of them is enough.
-    texts = docs.join(heads, ["id", "of"]).dropDuplicates(["class"])
+    heads = heads.withColumnsRenamed({"id": "head_id", "of": "head_of"})
+    same = docs["id"].eqNullSafe(heads["head_id"]) & (docs["of"] == heads["head_of"])
+    texts = docs.join(heads, same).dropDuplicates(["class"])
     dealt = texts.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
         "comp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "class", "copies", "body")
     # The words are hashed after the shuffle, which moves the shorter texts.
@@ -296,21 +302,33 @@ def _groups(docs: DataFrame, classes: DataFrame, block: int) -> DataFrame:
 
 def drop_near_duplicates(
     df: DataFrame, id_column: str = "doc_id", text: str = "text",
-    similarity: float = SIMILARITY, recall: float = RECALL, block: int = BLOCK,
+    similarity: float = SIMILARITY, recall: float = RECALL, block: int = BLOCK, null_ids: bool = False,
 ) -> DataFrame:
     """``df`` with one row of each near-duplicate class, that with the smallest id (of several
-    texts under this id, that with the smallest hash); its columns are kept. Texts without words
-    are classes of their own, and rows with a null id all stay."""
+    texts under this id, that with the smallest hash; of rows with the same id and text, that whose
+    other columns have the smallest hash); its columns are kept.
+
+    Texts without words are classes of their own, and rows with a null id all stay. With
+    ``null_ids`` both are classed, too: a row with a null id stays only where its class has no other
+    id, and one of all texts without words stays."""
     of = lambda: F.xxhash64(text_or_empty(F.col(f"`{text}`")), F.length(text_or_empty(F.col(f"`{text}`"))))
     id_ = F.col(f"`{id_column}`").cast("long")
-    heads = _classified(df, id_column, text, similarity, recall, block).where("id = class_id")
-    chosen = heads.groupBy(F.col("id").alias("kept_id")).agg(F.min("of").alias("kept_of"))
-    rows = df.where(id_.isNotNull()).select(F.struct(*[F.col(f"`{c}`").alias(c) for c in df.columns]).alias("row"), id_.alias("id"), of().alias("of"))
-    rows = rows.join(chosen, (rows["id"] == chosen["kept_id"]) & (rows["of"] == chosen["kept_of"]), "left_semi")
-    one = rows.dropDuplicates(["id", "of"]).select(*[F.col("row")[c].alias(c) for c in df.columns])
-    return one.unionByName(df.where(id_.isNull()))
+    found = _classified(df, id_column, text, similarity, recall, block, null_ids)
+    if null_ids:
+        heads = found.groupBy("component").agg(F.min(F.struct(F.col("id").isNull(), "id", "of")).alias("head"))
+        chosen = heads.select(F.col("head.id").alias("kept_id"), F.col("head.of").alias("kept_of"))
+    else:
+        heads = found.where("id = class_id")
+        chosen = heads.groupBy(F.col("id").alias("kept_id")).agg(F.min("of").alias("kept_of"))
+    inside = df if null_ids else df.where(id_.isNotNull())
+    rows = inside.select(F.struct(*[F.col(f"`{c}`").alias(c) for c in df.columns]).alias("row"), id_.alias("id"), of().alias("of"))
+    rows = rows.join(chosen, rows["id"].eqNullSafe(chosen["kept_id"]) & (rows["of"] == chosen["kept_of"]), "left_semi")
+    image = [F.to_json(F.col("row")[f.name]) if "map<" in f.dataType.simpleString() else F.col("row")[f.name] for f in df.schema.fields]
+    one = rows.groupBy("id", "of").agg(F.min_by("row", F.xxhash64(*image)).alias("row"))
+    one = one.select(*[F.col("row")[c].alias(c) for c in df.columns])
+    return one if null_ids else one.unionByName(df.where(id_.isNull()))
 
 
 def op7_minhash_join(spark, sf_dir: str) -> DataFrame:
     """Five-word shingles, similarity 0.8 or more, over all documents."""
-    return jaccard_join(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return jaccard_join(table(spark, sf_dir, "documents", "doc_id", "text"), null_ids=True)

@@ -138,3 +138,29 @@ def test_empty_tables(spark):
     assert decontaminate.contaminated(empty_docs(spark), items(spark, (1, prose(9, 1)))).collect() == []
     assert decontaminate.contaminated(df, items(spark)).collect() == []
     assert decontaminate.drop_contaminated(df, items(spark)).count() == df.count()
+
+
+def test_short_items_match_word_by_word(spark):
+    import re
+
+    rng = random.Random(6)
+    words = [f"w{n}" for n in range(30)]
+    texts = [(n, " ".join(rng.choice(words) for _ in range(rng.randrange(0, 40)))) for n in range(120)]
+    texts += [(None, "W3, w4!"), (500, None), (3, "w1 w2"), (7, "w5 " * 3000)]
+    bench = [(n, " ".join(rng.choice(words) for _ in range(1 + n % 4))) for n in range(24)]
+    bench += [(None, "w3 w4"), (90, "..."), (91, None), (92, "W5"), (92, "w1  w2"), (93, prose(30, 1))]
+    split = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+    expected = set()
+    for i, t in texts:
+        for k, b in bench:
+            w, p = split(t), split(b)
+            at = next((a for a in range(len(w) - len(p) + 1) if w[a:a + len(p)] == p), None) if p else None
+            if at is not None and len(p) < decontaminate.LEAST_WORDS:
+                expected.add((i, t, k, at, at + len(p)))
+    found = decontaminate.contaminated(docs(spark, *texts), items(spark, *bench), short_items=True).collect()
+    assert {(r["id"], r["item"]) for r in found} == {(i, k) for i, _, k, _, _ in expected} and len(expected) > 100
+    assert all(r["score"] == 1.0 for r in found)
+    places = {(i, k, a, e) for i, _, k, a, e in expected}
+    assert all((r["id"], r["item"], r["first_word"], r["end_word"]) in places for r in found)
+    left = decontaminate.drop_contaminated(docs(spark, *texts), items(spark, *bench), short_items=True)
+    assert {(r["doc_id"], r["text"]) for r in left.collect()} == set(texts) - {(i, t) for i, t, _, _, _ in expected}

@@ -111,3 +111,57 @@ def test_components(spark):
     found = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r["node"]: r["component"] for r in found} == {x: top(x) for x in root} and len(found) == len(root)
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def with_null_ids(pairs):
+    """Brute force for rows of which some ids are null: rows get numbers, classes their ids."""
+    found = brute([(n, t) for n, (_, t) in enumerate(pairs)])
+    members = {}
+    for n, c, _, _ in found:
+        members.setdefault(c, []).append(n)
+    copies = {}
+    for n, _, c, _ in found:
+        copies.setdefault(c, []).append(n)
+    least = lambda group: min((pairs[n][0] for n in group if pairs[n][0] is not None), default=None)
+    return [(pairs[n][0], least(members[c]), least(copies[k]), links) for n, c, k, links in found], members
+
+
+def null_id_corpus():
+    base, other = prose(90, 7), prose(90, 8)
+    rng = random.Random(1)
+    pairs = [(None, base), (None, base), (1, base), (5, edited(base, rng, 1)), (None, edited(base, rng, 2))]
+    pairs += [(None, other), (None, other), (None, edited(other, rng, 1)), (None, None), (7, ""), (3, " "), (None, "x"), (9, prose(50, 3))]
+    return pairs
+
+
+def test_null_ids_are_classed_by_their_texts(spark):
+    pairs = null_id_corpus()
+    expected, _ = with_null_ids(pairs)
+    assert got(docs(spark, *pairs), null_ids=True) == sorted(expected, key=str)
+
+
+def test_one_row_of_each_group_stays_with_null_ids(spark):
+    pairs = null_id_corpus()
+    df = docs(spark, *pairs)
+    kept = [(r["doc_id"], r["text"]) for r in jaccard.drop_near_duplicates(df, null_ids=True).collect()]
+    _, members = with_null_ids(pairs)
+    wordless = {n for n, (_, t) in enumerate(pairs) if not (t or "").split()}
+    groups = [g for g in members.values() if not wordless & set(g)] + [sorted(wordless)]
+    least = lambda g: min((pairs[n][0] for n in g if pairs[n][0] is not None), default=None)
+    assert sorted((i for i, _ in kept), key=str) == sorted(map(least, groups), key=str)
+    assert all((i, t) in pairs for i, t in kept)
+    edges = edge_docs(spark)
+    assert sorted((r["doc_id"] for r in jaccard.drop_near_duplicates(edges, null_ids=True).collect()), key=str) == [1, 4, 5, 5, 6, None]
+    assert jaccard.drop_near_duplicates(empty_docs(spark), null_ids=True).collect() == []
+
+
+def test_rows_that_differ_in_other_columns_only(spark):
+    text = prose(40, 1)
+    rows = [(1, text, f"s{n}") for n in range(20)] + [(2, text, "t")]
+    for null_ids in (False, True):
+        kept = {
+            tuple(jaccard.drop_near_duplicates(
+                spark.createDataFrame(rows[n:] + rows[:n], "doc_id long, text string, source string").repartition(1 + n % 4),
+                null_ids=null_ids).first())
+            for n in (0, 3, 11)}
+        assert len(kept) == 1 and next(iter(kept))[0] == 1

@@ -67,3 +67,27 @@ def test_stages_keep_columns_and_bear_nulls(spark):
 def test_stage_list():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "drop_repeated_lines", "drop_near_duplicates", "drop_benchmark", "encode"]
     assert quality.DEFAULT.mask == 127
+
+
+def test_columns_named_like_inner_ones(spark):
+    """Inputs whose columns have the names of measurements and helpers keep them and their values."""
+    text = " ".join(f"word{n}" for n in range(60)) + "."
+    names = ["_failed", "_keep", "n_words", "n_lines", "row", "body", "failed", "of", "class_id", "key", "component"]
+    docs = spark.createDataFrame(
+        [(n, text.replace("word1", f"other{n}x{n}"), "en", "s", len(text), *range(100 * n, 100 * n + len(names))) for n in (1, 2, 3)],
+        "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} long" for c in names))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all([r[c] for c in names] == list(range(100 * r["doc_id"], 100 * r["doc_id"] + len(names))) for r in rows)
+    assert len(corpus_pipeline.quality_rules(spark, docs, SF).collect()) == 3
+
+
+def test_null_ids_and_empty_texts_in_the_near_duplicate_stage(spark):
+    text = " ".join(f"word{n}" for n in range(60)) + "."
+    docs = spark.createDataFrame(
+        [(None, text), (None, text), (4, text), (None, "a b c d e f g"), (None, "a b c d e f g"), (9, ""), (8, None), (None, " ")],
+        "doc_id long, text string")
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()
+    assert sorted(((r["doc_id"], (r["text"] or "")[:3]) for r in out), key=str) == sorted([(4, "wor"), (None, "a b"), (8, "")], key=str)
