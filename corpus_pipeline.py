@@ -26,28 +26,37 @@ def _same_columns(df: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no rule of the default policy rejects."""
-    ledger = quality.measure(docs.withColumn("_keep", F.col("text")), "_keep").withColumn("_failed", quality.failure_bits())
-    return ledger.where(quality.kept(quality.DEFAULT, "_failed")).select(*docs.columns)
+    """Documents that no rule of the default policy rejects, with all their columns, whatever their
+    names. Null and empty texts have too few words; very long texts are read whole; repeated rows
+    are judged each."""
+    # The row travels in one column, so that none of its names meets a measurement's.
+    whole = docs.select(F.struct(*[F.col(f"`{c}`").alias(c) for c in docs.columns]).alias("row"), F.col("text").alias("body"))
+    ledger = quality.measure(whole, "body").withColumn("failed", quality.failure_bits())
+    return ledger.where(quality.kept(quality.DEFAULT, "failed")).select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Long lines that many documents share stay in one of them."""
+    """Long lines that many documents share stay in the document with the largest id. A document
+    whose lines all go stays as an empty text; null texts are read as empty ones."""
     return _same_columns(line_dedup.dedup_lines(docs), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
-    return jaccard.drop_near_duplicates(docs)
+    """One document of each group of near duplicates stays, that with the smallest id. Null ids are
+    classed by their text, and one of all texts without words stays; of rows with equal id and text
+    one stays, chosen by its other columns."""
+    return jaccard.drop_near_duplicates(docs, null_ids=True)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+    """Documents that hold a benchmark item go; items of one to four words must stand word by word.
+    Ids do not matter: the same text under any id, or none, goes as well."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark", "item_id", "text"), short_items=True)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of what is left, with the digest of the text they decode to."""
+    """Token ids of what is left, with the digest of the text they decode to: doc_id, lang, source,
+    n_tokens, ids, decoded_sha256. Other columns, the text too, are left out; null texts are empty."""
     coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), bpe.default_path(), decoded="decoded")
     return coded.select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
