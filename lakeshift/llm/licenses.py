@@ -46,7 +46,11 @@ TEMPLATES: dict[str, str] = {
                  " 4 0 <<optional>> international <<end>> <<optional>> license <<end>>",
     "MIT-text": "permission is hereby granted free of charge to any person obtaining a copy of this software"
                 " <<optional>> and associated documentation files the software <<end>> to deal in the software"
-                " without restriction <<any 60>> the software is provided as is without warranty of any kind",
+                " without restriction including without limitation the rights to use copy modify merge publish distribute"
+                " sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so"
+                " subject to the following conditions the above copyright notice and this permission notice"
+                " <<optional>> including the next paragraph <<end>> shall be included in all copies or substantial portions of the"
+                " software the software is provided <<one of: as is | \u201cas is\u201d>> without warranty of any kind",
     "BSD-text": "redistribution and use in source and binary forms with or without modification are permitted"
                 " provided that the following conditions are met <<any 120>> this software is provided by"
                 " <<any 12>> as is",
@@ -310,12 +314,15 @@ def scan(df: DataFrame, text: str = "text", templates: dict[str, str] | None = N
 
 def op6_license_templates(spark, sf_dir: str) -> DataFrame:
     """Phrases and template labels of all documents; the score is the share of words that lie in
-    a phrase or match (of the best-covered template or phrase list, at most 1)."""
+    a phrase or a match, each word counted once."""
     found = scan(table(spark, sf_dir, "documents", "doc_id", "text")).drop("text")
     labels = lambda c: F.array_distinct(F.transform(c, lambda x: x["label"]))
-    covered = F.aggregate("matches", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
-    phrase_words = F.aggregate("base", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
-    share = F.greatest(covered, phrase_words) / F.col("n_words")
+    spans = F.array_sort(F.transform(F.concat("base", "matches"), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))))
+    none = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("done"))
+    covered = F.aggregate(spans, none, lambda u, x: F.struct(
+        (u["n"] + F.greatest(x["end"] - F.greatest(x["start"], u["done"]), F.lit(0))).alias("n"),
+        F.greatest(u["done"], x["end"]).alias("done")), lambda u: u["n"])
+    share = covered / F.col("n_words")
     return found.select(
         "doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
         F.array_min(F.transform("base", lambda x: x["start"])).alias("first_word"),

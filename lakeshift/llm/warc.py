@@ -4,9 +4,11 @@ each HTTP transaction together again.
 Writing: a page becomes three records, the response (or a revisit that refers to an equal payload),
 the request and metadata; the latter two name the first one in ``WARC-Concurrent-To``. Records are
 text, and the blank lines that end a record are the line separator of Spark's text writer, so the
-archives are written by the ordinary file committer: gzip files of a bounded number of records.
+archives are written by the ordinary file committer: gzip files of a bounded number of records and
+of bytes, as large payloads go to archives of fewer captures.
 
-Reading: each archive is one binary row, parsed by the lengths in the records' headers.
+Reading: each archive is one binary row, unpacked as a stream and parsed record by record by the
+lengths in the records' headers; a task holds the packed archive and a batch of records.
 
 Assembly: request and metadata records are joined to their response or revisit through the
 concurrent-to identifiers (stated on either side), and one nested row per capture comes out.
@@ -17,7 +19,9 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
-from collections.abc import Iterator
+import io
+from collections.abc import Iterator, Sequence
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,8 +31,11 @@ from pyspark.sql import types as T
 from lakeshift.llm.common import join_splittable, table
 from lakeshift.session import scratch_path
 
-#: Records per archive at most (three per page).
-ARCHIVE_RECORDS = 15_000
+#: Archives by the payloads that they hold: (most bytes of a payload, most captures of an archive).
+#: Before packing, an archive of the first two kinds holds less than 1 GB of payloads; a larger
+#: payload has an archive of its own.
+ARCHIVES = ((128 << 10, 5_000), (4 << 20, 200), (None, 1))
+RECORDS_PER_CAPTURE = 3
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = "\r\n\r\n"
@@ -67,13 +74,15 @@ def duplicates(pages: DataFrame, page_id: str = "page_id", html: str = "html", m
 
 
 def write(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", html: str = "html",
-          min_bytes: int = 0, date: str = DATE) -> None:
+          min_bytes: int = 0, date: str = DATE, archives: Sequence[tuple[int | None, int]] = ARCHIVES) -> None:
     """Write three records per row of ``pages`` as gzip archives under ``path``.
 
     - null html: the empty payload; null url: no target header; line breaks in urls are escaped
     - null page_id: no id header; such a page can revisit another one but is not referred to
     - repeated rows: each is a capture; rows with the largest id of their payload are all responses
     - other columns are not written; an empty table leaves an empty folder
+    - ``archives``: the kinds of archives by size of payload; rows are written in one pass for each
+      kind that has any
     """
     body = F.coalesce(F.col(f"`{html}`"), F.lit(""))
     rows = pages.select(
@@ -111,9 +120,22 @@ def write(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url
         ("WARC-Type", F.lit("metadata")), ("WARC-Record-ID", name("metadata")), *same, ("WARC-Concurrent-To", first),
         ("Content-Type", F.lit("application/warc-fields"))),
         F.concat(F.lit("payload-bytes: "), F.octet_length("body"), F.lit("\r\n")))
-    records = rows.select(F.explode(F.array(response, request, metadata)).alias("record"))
-    (records.write.mode("errorifexists").option("lineSep", END).option("compression", "gzip")
-        .option("maxRecordsPerFile", ARCHIVE_RECORDS).text(path))
+    size, kinds, below = F.octet_length("body"), [], -1
+    for most, captures in archives:
+        fits = (size > below) if most is None else (size > below) & (size <= most)
+        kinds.append((fits, captures))
+        below = most
+    sizes = pages.select(F.octet_length(body).alias("n")).agg(*[
+        F.count_if((F.col("n") > low) if high is None else (F.col("n") > low) & (F.col("n") <= high)).alias(f"kind{k}")
+        for k, (low, high) in enumerate(zip([-1, *[m for m, _ in archives]], [m for m, _ in archives]))]).first()
+    mode = "errorifexists"
+    for k, (fits, captures) in enumerate(kinds):
+        if sizes[k] or k == 0:
+            chosen = rows if sizes[k] == sum(sizes) else rows.where(fits)
+            records = chosen.select(F.explode(F.array(response, request, metadata)).alias("record"))
+            (records.write.mode(mode).option("lineSep", END).option("compression", "gzip")
+                .option("maxRecordsPerFile", RECORDS_PER_CAPTURE * captures).text(path))
+            mode = "append"
 
 
 RECORD = T.StructType([
@@ -125,21 +147,27 @@ RECORD = T.StructType([
 
 
 def parse(content: bytes) -> Iterator[dict]:
-    """Records of one archive. A record cut short, or a payload that does not fit its digest,
-    raises ValueError."""
-    at = 0
-    while at < len(content):
-        stop = content.find(b"\r\n\r\n", at)
-        if stop < 0 or not content.startswith(b"WARC/", at):
-            raise ValueError(f"no WARC record at byte {at}")
+    """Records of one archive that is not packed; see ``parse_stream``."""
+    yield from parse_stream(io.BytesIO(content))
+
+
+def parse_stream(stream: BinaryIO) -> Iterator[dict]:
+    """Records of one archive, read one after the other. A record cut short, or a payload that does
+    not fit its digest, raises ValueError."""
+    n_records = 0
+    while first := stream.readline():
+        n_records += 1
+        if not first.startswith(b"WARC/"):
+            raise ValueError(f"record {n_records} is no WARC record")
         head: dict[str, list[str]] = {}
-        for line in content[at:stop].decode("utf-8").split("\r\n")[1:]:
-            name, _, value = line.partition(": ")
+        while (line := stream.readline()) != b"\r\n":
+            if not line.endswith(b"\r\n"):
+                raise ValueError("a record is cut short")
+            name, _, value = line[:-2].decode("utf-8").partition(": ")
             head.setdefault(name.lower(), []).append(value)
         size = int(head["content-length"][0])
-        block = content[stop + 4:stop + 4 + size]
-        at = stop + 4 + size + 4
-        if len(block) < size or content[at - 4:at] != b"\r\n\r\n":
+        block = stream.read(size)
+        if len(block) < size or stream.read(4) != b"\r\n\r\n":
             raise ValueError("a record is cut short")
         one = lambda key: head.get(key, [None])[0]  # noqa: E731, B023
         kind, digest, payload, n_bytes = one("warc-type"), one("warc-payload-digest"), None, None
@@ -172,7 +200,8 @@ def read(spark: SparkSession, path: str, batch_bytes: int = 8_000_000) -> DataFr
         for batch in batches:
             for content in batch.column(0):
                 rows, size = [], 0
-                for record in parse(gzip.decompress(content.as_py())):
+                packed = pa.BufferReader(content.as_buffer())
+                for record in parse_stream(io.BufferedReader(gzip.GzipFile(fileobj=packed), 1 << 20)):
                     rows.append(record)
                     size += len(record["payload"] or "")
                     if size >= batch_bytes:

@@ -125,3 +125,26 @@ def test_edges(spark):
 def test_query_scores(spark):
     for r in licenses.op6_license_templates(spark, "/root/testdata/sf0.001").collect():
         assert 0 <= r["score"] <= 1 and set(filter(None, r["base_labels"].split(","))) <= set(filter(None, r["labels"].split(",")))
+
+
+MIT = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation"
+       " files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy,"
+       " modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software"
+       " is furnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be"
+       " included in all copies or substantial portions of the Software.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY"
+       " KIND, EXPRESS OR IMPLIED")
+
+
+def test_an_altered_mit_text_is_refused(spark, tmp_path):
+    altered = MIT.replace("including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or"
+                          " sell copies of the Software", "provided that no commercial use is made and every copy is paid for")
+    extra = "licensed under the mit license " + "word " * 6 + MIT + " all rights reserved"
+    rows = [(1, MIT), (2, altered), (3, extra), (4, "mit license mit license"), (5, "one two")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r for r in licenses.op6_license_templates(spark, str(tmp_path)).collect()}
+    assert "MIT-text" in found[1]["labels"] and "MIT-text" not in found[2]["labels"] and "MIT-text" in found[3]["labels"]
+    assert found[1]["score"] == pytest.approx(1 - 3 / found[1]["n_words"])  # "express or implied" is left
+    # five words of the grant, the text up to "of any kind", three words at the end
+    text = licenses.WORD_ANY_CASE.findall(MIT[: MIT.index(", EXPRESS")])
+    assert found[3]["score"] == pytest.approx((5 + len(text) + 3) / found[3]["n_words"])
+    assert found[4]["score"] == 1.0 and found[5]["score"] == 0.0

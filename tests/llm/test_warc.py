@@ -75,3 +75,29 @@ def test_digest_in_sql(spark):
     texts = ["", "a", "é" * 99]
     found = spark.createDataFrame([(t,) for t in texts], "t string").select(warc.payload_digest(F.col("t").cast("binary"))).collect()
     assert [r[0] for r in found] == [digest(t) for t in texts]
+
+
+def test_large_payloads_have_archives_of_fewer_captures(spark):
+    import gzip
+    import pathlib
+
+    rows = [(n, "u", f"{n} " + "a" * (n % 90)) for n in range(300)] + [(1000 + n, "u", f"{n} " + "b" * 5_000) for n in range(20)]
+    rows += [(2000 + n, "u", f"{n}" + "c" * 90_000) for n in range(4)]
+    path = tempfile.mkdtemp(prefix="run-") + "/warc"
+    pages = spark.createDataFrame([(*r, "r", "b") for r in rows], PAGES).coalesce(1)
+    warc.write(pages, path, archives=((100, 50), (10_000, 7), (None, 1)))
+    held = [[r["payload_bytes"] for r in warc.parse(gzip.decompress(f.read_bytes())) if r["record_type"] in ("response", "revisit")]
+            for f in pathlib.Path(path).glob("*.gz")]
+    assert sorted(map(len, held)) == sorted([50] * 6 + [7, 7, 6] + [1] * 4)
+    for sizes in held:
+        assert len(sizes) <= (50 if max(sizes) <= 100 else 7 if max(sizes) <= 10_000 else 1)
+    found = warc.assemble(warc.read(spark, path)).collect()
+    assert sorted((r["page_id"], r["payload"]) for r in found) == sorted((i, h) for i, _, h in rows)
+
+
+def test_an_archive_larger_than_a_batch_is_read_in_batches(spark):
+    rows = [(n, "u", f"{n}" + "d" * 50_000) for n in range(100)]
+    path = tempfile.mkdtemp(prefix="run-") + "/warc"
+    warc.write(spark.createDataFrame([(*r, "r", "b") for r in rows], PAGES).coalesce(1), path)
+    records = warc.read(spark, path, batch_bytes=100_000)
+    assert records.where("record_type = 'response'").count() == 100
