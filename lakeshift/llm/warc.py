@@ -24,7 +24,7 @@ from collections.abc import Iterator, Sequence
 from typing import BinaryIO
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -120,22 +120,17 @@ def write(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url
         ("WARC-Type", F.lit("metadata")), ("WARC-Record-ID", name("metadata")), *same, ("WARC-Concurrent-To", first),
         ("Content-Type", F.lit("application/warc-fields"))),
         F.concat(F.lit("payload-bytes: "), F.octet_length("body"), F.lit("\r\n")))
-    size, kinds, below = F.octet_length("body"), [], -1
-    for most, captures in archives:
-        fits = (size > below) if most is None else (size > below) & (size <= most)
-        kinds.append((fits, captures))
-        below = most
-    sizes = pages.select(F.octet_length(body).alias("n")).agg(*[
-        F.count_if((F.col("n") > low) if high is None else (F.col("n") > low) & (F.col("n") <= high)).alias(f"kind{k}")
-        for k, (low, high) in enumerate(zip([-1, *[m for m, _ in archives]], [m for m, _ in archives]))]).first()
-    mode = "errorifexists"
-    for k, (fits, captures) in enumerate(kinds):
-        if sizes[k] or k == 0:
-            chosen = rows if sizes[k] == sum(sizes) else rows.where(fits)
+    # The pass that writes the smallest payloads counts the others.
+    size, seen = F.octet_length("body"), Observation()
+    bounds = list(zip([-1, *[most for most, _ in archives]], [most for most, _ in archives]))
+    fits = [(size > low) if high is None else (size > low) & (size <= high) for low, high in bounds]
+    counts = [F.count_if(c).alias(f"kind{k}") for k, c in enumerate(fits)]
+    for k, (_, captures) in enumerate(archives):
+        if k == 0 or seen.get[f"kind{k}"]:
+            chosen = (rows.observe(seen, *counts) if k == 0 else rows).where(fits[k])
             records = chosen.select(F.explode(F.array(response, request, metadata)).alias("record"))
-            (records.write.mode(mode).option("lineSep", END).option("compression", "gzip")
+            (records.write.mode("errorifexists" if k == 0 else "append").option("lineSep", END).option("compression", "gzip")
                 .option("maxRecordsPerFile", RECORDS_PER_CAPTURE * captures).text(path))
-            mode = "append"
 
 
 RECORD = T.StructType([
@@ -151,23 +146,32 @@ def parse(content: bytes) -> Iterator[dict]:
     yield from parse_stream(io.BytesIO(content))
 
 
-def parse_stream(stream: BinaryIO) -> Iterator[dict]:
-    """Records of one archive, read one after the other. A record cut short, or a payload that does
-    not fit its digest, raises ValueError."""
-    n_records = 0
-    while first := stream.readline():
-        n_records += 1
-        if not first.startswith(b"WARC/"):
-            raise ValueError(f"record {n_records} is no WARC record")
-        head: dict[str, list[str]] = {}
-        while (line := stream.readline()) != b"\r\n":
-            if not line.endswith(b"\r\n"):
+def parse_stream(stream: BinaryIO, ahead: int = 1 << 20) -> Iterator[dict]:
+    """Records of one archive, read one after the other; held are ``ahead`` bytes and a record. A
+    record cut short, or a payload that does not fit its digest, raises ValueError."""
+    held, at = b"", 0
+    while True:
+        while (stop := held.find(b"\r\n\r\n", at)) < 0:
+            more = stream.read(ahead)
+            if not more and at == len(held):
+                return
+            if not more:
                 raise ValueError("a record is cut short")
-            name, _, value = line[:-2].decode("utf-8").partition(": ")
+            held, at = held[at:] + more, 0
+        if not held.startswith(b"WARC/", at):
+            raise ValueError("no WARC record where one should begin")
+        header = held[at:stop]
+        head: dict[str, list[str]] = {}
+        for line in header.decode("utf-8").split("\r\n")[1:]:
+            name, _, value = line.partition(": ")
             head.setdefault(name.lower(), []).append(value)
         size = int(head["content-length"][0])
-        block = stream.read(size)
-        if len(block) < size or stream.read(4) != b"\r\n\r\n":
+        end = stop + 4 + size + 4
+        if end > len(held):
+            held, stop, end = held[at:] + stream.read(max(ahead, end - len(held))), stop - at, end - at
+        at = end
+        block = held[stop + 4:end - 4]
+        if end > len(held) or held[end - 4:end] != b"\r\n\r\n":
             raise ValueError("a record is cut short")
         one = lambda key: head.get(key, [None])[0]  # noqa: E731, B023
         kind, digest, payload, n_bytes = one("warc-type"), one("warc-payload-digest"), None, None
@@ -201,7 +205,7 @@ def read(spark: SparkSession, path: str, batch_bytes: int = 8_000_000) -> DataFr
             for content in batch.column(0):
                 rows, size = [], 0
                 packed = pa.BufferReader(content.as_buffer())
-                for record in parse_stream(io.BufferedReader(gzip.GzipFile(fileobj=packed), 1 << 20)):
+                for record in parse_stream(gzip.GzipFile(fileobj=packed)):
                     rows.append(record)
                     size += len(record["payload"] or "")
                     if size >= batch_bytes:

@@ -71,6 +71,18 @@ def test_broken_archives_are_refused():
             list(warc.parse(bad))
 
 
+def test_a_stream_is_parsed_whatever_its_pieces():
+    import io
+
+    one = lambda n: b"WARC/1.1\r\nWARC-Type: metadata\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (n, b"\r\n\r\nWARC/"[:1] * n)
+    sizes = [0, 1, 5, 400, 0, 33, 2000]
+    content = b"".join(map(one, sizes))
+    for ahead in (1, 2, 3, 7, 64, 1 << 20):
+        assert [len(r["payload"]) for r in warc.parse_stream(io.BytesIO(content), ahead)] == sizes
+        with pytest.raises(ValueError):
+            list(warc.parse_stream(io.BytesIO(content[:-1]), ahead))
+
+
 def test_digest_in_sql(spark):
     texts = ["", "a", "é" * 99]
     found = spark.createDataFrame([(t,) for t in texts], "t string").select(warc.payload_digest(F.col("t").cast("binary"))).collect()
