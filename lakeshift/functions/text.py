@@ -86,8 +86,12 @@ def python_float_text(c: Column) -> Column:
         F.when(F.abs(exp) < 10, F.lit("0")).otherwise(F.lit("")),  # lpad would cut "308"
         F.abs(exp).cast("string"),
     )
+    # Most values need none of this: between 1e-3 and 1e7 the JVM writes positionally, too, and a
+    # text of at most 15 digits that it wrote is the shortest one (no two of them are one double).
+    plain = v.cast("string")
     return (
-        F.when(F.isnan(v), F.lit("nan"))
+        F.when((F.abs(v) >= 1e-3) & (F.abs(v) < 1e7) & (F.length(plain) <= 16), plain)
+        .when(F.isnan(v), F.lit("nan"))
         .when(v == float("inf"), F.lit("inf"))
         .when(v == float("-inf"), F.lit("-inf"))
         .when(v == 0, F.when(v.cast("string").startswith("-"), F.lit("-0.0")).otherwise(F.lit("0.0")))
