@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,15 +63,42 @@ def python_float_text(c: Column) -> Column:
             rounded.substr(F.lit(2), F.lit(width - 1)), F.lit("e+"), (F.length(rounded) - 1).cast("string"),
         )
 
-    sci = None
-    for width in (17, 16, 15):  # the last "when" added is tried first
-        text = F.when(whole_band, exact_text(width)).otherwise(F.format_string(f"%.{width - 1}e", v))
-        sci = text if sci is None else F.when(text.cast("double") == v, text).otherwise(sci)
-    mant = F.substring_index(sci, "e", 1)
-    exp = F.substring_index(sci, "e", -1).cast("int")
+    def written(width: int) -> Column:
+        return F.when(whole_band, exact_text(width)).otherwise(F.format_string(f"%.{width - 1}e", v))
+
+    def exactly(width: int) -> Column:
+        """The text of this width if it reads back as the same double."""
+        return _with(written(width), lambda text: F.when(text.cast("double") == v, text))
+
+    slow = _with(F.coalesce(exactly(15), exactly(16), written(17)), lambda sci: _python_form(sci))
+    # Most values need none of this: between 1e-3 and 1e7 the JVM writes positionally, too, and a
+    # text of at most 15 digits that it wrote is the shortest one (no two of them are one double).
+    plain = v.cast("string")
+    return (
+        F.when((F.abs(v) >= 1e-3) & (F.abs(v) < 1e7) & (F.length(plain) <= 16), plain)
+        .when(F.isnan(v), F.lit("nan"))
+        .when(v == float("inf"), F.lit("inf"))
+        .when(v == float("-inf"), F.lit("-inf"))
+        .when(v == 0, F.when(v.cast("string").startswith("-"), F.lit("-0.0")).otherwise(F.lit("0.0")))
+        .otherwise(slow)
+    )
+
+
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _python_form(sci: Column) -> Column:
+    """Python's spelling of the digits in ``d.ddde+xx``."""
+    return _with(F.substring_index(sci, "e", 1), lambda mant: _with(
+        F.regexp_replace(F.regexp_replace(mant, r"[-.]", ""), "0+$", ""),
+        lambda digits: _spelled(mant, digits, F.substring_index(sci, "e", -1).cast("int"))))
+
+
+def _spelled(mant: Column, digits: Column, exp: Column) -> Column:
     sign = F.when(mant.startswith("-"), F.lit("-")).otherwise(F.lit(""))
     # Significant digits, first one non-zero: "1.50" -> "15", "1.0" -> "1".
-    digits = F.regexp_replace(F.regexp_replace(mant, r"[-.]", ""), "0+$", "")
     n = F.length(digits)
     whole = F.concat(
         F.rpad(digits, F.greatest(n, exp + 1), "0").substr(F.lit(1), exp + 1),
@@ -86,16 +114,8 @@ def python_float_text(c: Column) -> Column:
         F.when(F.abs(exp) < 10, F.lit("0")).otherwise(F.lit("")),  # lpad would cut "308"
         F.abs(exp).cast("string"),
     )
-    # Most values need none of this: between 1e-3 and 1e7 the JVM writes positionally, too, and a
-    # text of at most 15 digits that it wrote is the shortest one (no two of them are one double).
-    plain = v.cast("string")
     return (
-        F.when((F.abs(v) >= 1e-3) & (F.abs(v) < 1e7) & (F.length(plain) <= 16), plain)
-        .when(F.isnan(v), F.lit("nan"))
-        .when(v == float("inf"), F.lit("inf"))
-        .when(v == float("-inf"), F.lit("-inf"))
-        .when(v == 0, F.when(v.cast("string").startswith("-"), F.lit("-0.0")).otherwise(F.lit("0.0")))
-        .when((exp >= 0) & (exp < 16), F.concat(sign, whole))
+        F.when((exp >= 0) & (exp < 16), F.concat(sign, whole))
         .when((exp < 0) & (exp >= -4), F.concat(sign, fraction))
         .otherwise(F.concat(sign, scientific))
     )
