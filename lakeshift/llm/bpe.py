@@ -12,9 +12,9 @@ arc. So the compiled table holds, per gadget, the arc that was cut and when; an
 adds is there where the arc of its left part was at that time. That is one table entry per merge
 instead of states times tokens, and a transition is a few look-ups, which are kept once computed.
 
-A word is encoded by walking the automaton along it: of all ways to spell a word by tokens the
-automaton accepts one. Longest arcs are tried first and dead ends remembered. Decoding emits the
-labels of the arcs.
+A word is encoded by walking the automaton along it once: of all ways to spell a word, or a
+beginning of it, by tokens the automaton accepts one, so its state after every symbol is fixed by
+the transitions alone and nothing is tried twice. Decoding emits the labels of the arcs.
 """
 
 from __future__ import annotations
@@ -134,41 +134,36 @@ class TokenAutomaton:
         return found
 
     def encode_word(self, word: bytes) -> list[int]:
-        """The tokens of one word. Linear in its length but for dead ends, which are remembered."""
-        if not word:
-            return []
+        """The tokens of one word, by one walk from left to right.
+
+        Each beginning of a word has one spelling that the automaton accepts, as beginnings of
+        accepted sequences are accepted. So the automaton is in one state after each symbol: that of
+        the last token of the spelling up to there. From every place the arcs that start there are
+        entered where the state has them; none is taken back.
+        """
         symbols = list(word)
-        if self.end:
+        if self.end and symbols:
             symbols[-1] += 256
         n, next_node, token_at, follows = len(symbols), self.next_node, self.token_at, self.follows
-        tokens: list[int] = []
-        stops: list[int] = []
-        untried: list[list[tuple[int, int]]] = []  # per token of the path: shorter arcs from its start
-        dead: set[tuple[int, int]] = set()  # (token, stop) from which the word cannot be finished
-        at = 0
-        while at < n:
-            node, stop, arcs = 0, at, []
+        state: list[int | None] = [None] * (n + 1)  # the token that ends here; None: nothing can
+        begin = [0] * (n + 1)  # where that token starts
+        for at in range(n):
+            last = state[at]
+            if at and last is None:
+                continue
+            node, stop = 0, at
             while stop < n and (node := next_node.get(node << 9 | symbols[stop])) is not None:
                 stop += 1
-                if node in token_at:
-                    arcs.append((token_at[node], stop))
-            while True:
-                while arcs:
-                    token, stop = arcs.pop()  # the longest first
-                    if (not tokens or follows(tokens[-1], token)) and (token, stop) not in dead:
-                        break
-                else:
-                    if not tokens:
-                        raise ValueError(f"the vocabulary cannot spell {word!r}")
-                    dead.add((tokens.pop(), stops.pop()))
-                    arcs = untried.pop()
-                    continue
-                break
-            tokens.append(token)
-            stops.append(stop)
-            untried.append(arcs)
-            at = stop
-        return tokens
+                if node in token_at and (not at or follows(last, token_at[node])):
+                    state[stop], begin[stop] = token_at[node], at
+        tokens: list[int] = []
+        at = n
+        while at:
+            if state[at] is None:
+                raise ValueError(f"the vocabulary cannot spell {word!r}")
+            tokens.append(state[at])
+            at = begin[at]
+        return tokens[::-1]
 
 
 #: The split pattern that LATIN spells out for texts in Latin-1 once they are in lower case.
