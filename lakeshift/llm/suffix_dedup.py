@@ -4,8 +4,8 @@
 with the smallest hash is its *anchor*; equal windows have equal anchors at equal offsets. Consecutive
 windows with the same anchor form a segment (its windows' bytes). Only segments with equal anchors can
 share a window, so segments are what is dealt out, by the hash of their anchor. Anchors that occur
-once are done. Equal segments are counted before anything else is moved: each of their windows
-occurs elsewhere. What is left, different segments around equal anchors, goes through the index.
+once are done. Equal segments are counted, and all others go through the index: each different segment
+around an anchor is a document of the collection, once, with the number of its copies.
 
 **Hot anchors** (a passage in a third of all documents, each time in other surroundings) would bring
 very many different segments to one task. Anchors with more than ``GROUP`` of them are parted
@@ -18,12 +18,14 @@ equal parts. Nothing is left out, and no group grows with the data.
 of string collections", 2013; Cox, Garofalo, Rosone and Sciortino, "Lightweight LCP construction",
 2016). Each segment gives one document per phase, whose symbols are its blocks of ``BLOCK`` bytes
 from that phase on, so that every byte position begins a suffix. Round by round, one symbol per
-document is put in front: the sorted list of suffixes is kept as columns (first symbol, place of the
-rest, BWT symbol, common prefix with the one before). The place of a new suffix follows from its
-symbol and the place of the suffix it extends; old and new columns are merged in one sequential
+document is put in front: the sorted list of suffixes is kept as columns (suffix,
+BWT symbol, common prefix with the one before). The symbol is entered in the BWT at the place
+of the suffix that it extends, and the BWT alone says where the longer suffix goes: after all smaller
+symbols, and after as many equal ones as stand before that place. Old and new columns are merged in one sequential
 pass, in which the common prefixes are brought up to date as well (running maxima of the last place
-with a shorter one). A window occurs elsewhere when its suffix shares LENGTH / BLOCK symbols with
-a neighbour in the list.
+with a shorter one). A window occurs elsewhere when its document has copies, or when its suffix shares
+LENGTH / BLOCK symbols with a neighbour in the list. Symbols are equal only where the bytes are: each
+block is compared with the first one of its symbol.
 
 The published method keeps the columns in external files because the collection is one. Here the
 collection is dealt out, a batch of whole anchors at a time, so the columns of a batch are arrays of a
@@ -151,37 +153,38 @@ class CollectionIndex:
         self.who = np.full(n, -1, np.int64)
         self.bwt = np.full(n, -1, np.int64)
         self.common = np.zeros(n, np.int8)
-        first, after = np.full(n, -1, np.int64), np.arange(n)
         place = np.empty(len(codes), np.int64)
         place_of_end = np.empty(len(codes), np.int64)
         place_of_end[ends] = np.arange(n)
-        big = len(codes) + n + 1
         by_count = np.argsort(counts, kind="stable")
         bounds = np.searchsorted(counts[by_count], np.arange(1, counts.max(initial=0) + 2))
         for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
             new = by_count[lo:hi]
             x = np.where(rest[new] < 0, place_of_end[new], place[rest[new]])
             self.bwt[x] = codes[new]  # the symbol that this round puts before the suffix at x
-            keys = codes[new] * big + x
-            order = np.argsort(keys)
-            new, x, keys = new[order], x[order], keys[order]
-            to = np.searchsorted(first * big + after, keys) + np.arange(len(keys))
-            first, after = self._merge(to, codes[new], x, new, first, after)
+            entered = np.full(len(self.bwt), -1, np.int64)
+            entered[x] = new
+            new, to = self._merge(n, entered)
             place[new] = to
 
-    def _merge(self, to, symbols, x, new, first, after):
-        """One sequential pass: new suffixes go to the places ``to`` between the old ones."""
-        total = len(first) + len(to)
-        is_new = np.zeros(total, bool)
-        is_new[to] = True
-        old_to = np.flatnonzero(~is_new)
+    def _merge(self, n: int, entered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One sequential pass that puts the suffixes ``entered`` (by the place of what they extend;
+        -1: none) between the old ones. After the ``n`` ends the list holds one suffix for each
+        symbol of the BWT, by symbol and then by place. Returns the new suffixes and their places."""
+        held = np.flatnonzero(self.bwt >= 0)
+        after = held[np.argsort(self.bwt[held] * (len(self.bwt) + 1) + held)]  # where each one's rest is
+        first = np.concatenate([np.full(n, -1), self.bwt[after]])
+        after = np.concatenate([np.arange(n), after])
+        suffix = np.concatenate([np.full(n, -1), entered[after[n:]]])
+        is_new = suffix >= 0
+        to, old_to = np.flatnonzero(is_new), np.flatnonzero(~is_new)
+        new = suffix[to]
 
         def merged(old, values):
-            out = np.empty(total, old.dtype)
+            out = np.empty(len(first), old.dtype)
             out[old_to], out[to] = old, values
             return out
 
-        first, old_after = merged(first, symbols), merged(after, x)
         common = merged(self.common, 0)
         # Common prefixes change at new suffixes and right after them: one more than the least
         # common prefix between the two rests in the old list.
@@ -195,15 +198,32 @@ class CollectionIndex:
         places = np.arange(len(self.common))
         for k in range(1, self.depth):
             last_shorter = np.maximum.accumulate(np.where(self.common < k, places, -1))
-            value += last_shorter[old_after[same]] <= old_after[same - 1]
+            value += last_shorter[after[same]] <= after[same - 1]
         common[same] = value
         self.common, self.who, self.bwt = common, merged(self.who, new), merged(self.bwt, -1)
-        return first, old_to[old_after]
-
-
-def shared_windows(parts: list[bytes], length: int = LENGTH, block: int = BLOCK) -> list[np.ndarray]:
+        return new, to
+
+
+def symbols(data: np.ndarray, at: np.ndarray, block: int) -> np.ndarray:
+    """A number for the bytes of each block that begins at ``at``: equal numbers, equal bytes.
+    Numbers follow from hashes, and every block is compared with the first one of its number;
+    should two differ, all are numbered by their bytes."""
+    hashes = _Hashes(data).of(at, at + block)
+    _, head, codes = np.unique(hashes, return_index=True, return_inverse=True)
+    blocks = np.lib.stride_tricks.sliding_window_view(data, block) if len(at) else data
+    again = np.flatnonzero(head[codes] != np.arange(len(at)))
+    for lo in range(0, len(again), 1 << 14):
+        part = again[lo:lo + (1 << 14)]
+        if not np.array_equal(blocks[at[part]], blocks[at[head[codes[part]]]]):
+            return np.unique(blocks[at], axis=0, return_inverse=True)[1].reshape(-1).astype(np.int64)
+    return codes.astype(np.int64)
+
+
+def shared_windows(
+    parts: list[bytes], length: int = LENGTH, block: int = BLOCK, copies: list[int] | None = None,
+) -> list[np.ndarray]:
     """For each byte string which of its windows of ``length`` bytes occur at another place of the
-    collection, as a boolean per start."""
+    collection, as a boolean per start. ``copies``: how often each string is in the collection."""
     sizes = np.array([len(p) for p in parts])
     data = np.frombuffer(b"".join(parts), np.uint8)
     stops = np.cumsum(sizes)
@@ -213,8 +233,7 @@ def shared_windows(parts: list[bytes], length: int = LENGTH, block: int = BLOCK)
     valid = np.flatnonzero(counts > 0)  # positions that begin at least one whole block
     number = np.full(len(data) + 1, -1, np.int64)
     number[valid] = np.arange(len(valid))
-    blocks = _Hashes(data).of(valid, valid + block)
-    codes = np.unique(blocks, return_inverse=True)[1].astype(np.int64)
+    codes = symbols(data, valid, block)
     rest = np.where(counts[valid] > 1, number[np.minimum(valid + block, len(data))], -1)
     depth = length // block
     index = CollectionIndex(depth)
@@ -224,6 +243,8 @@ def shared_windows(parts: list[bytes], length: int = LENGTH, block: int = BLOCK)
     hit = np.zeros(len(data), bool)
     real = index.who >= 0
     hit[valid[index.who[real]]] = deep[real]
+    if copies is not None:
+        hit |= np.repeat(np.array(copies) > 1, sizes)
     return [hit[stop - size:max(stop - size, stop - length + 1)] for stop, size in zip(stops, sizes, strict=True)]
 
 
@@ -285,11 +306,14 @@ def _with_bytes(places: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _indexed(parts: DataFrame, length: int, block: int, batch_bytes: int) -> DataFrame:
-    """``parts`` has (anchor, content, data), rows of an anchor together. Returns the covered
-    spans (lo, hi) of each part in which a window occurs elsewhere."""
+    """``parts`` has (anchor, content, n, least, data): a segment, how often it occurs, and the least
+    such number around its anchor. Rows of an anchor are together, unless all of them have copies.
+    Returns the covered spans (lo, hi) of each part in which a window occurs elsewhere."""
     def run(batches):
         def solve(rows):
-            out = [(a, c, *_spans(hit, length)) for (a, c, _), hit in zip(rows, shared_windows([r[2] for r in rows], length, block), strict=True) if hit.any()]
+            anchors, contents, copies, data = zip(*rows, strict=True)
+            hits = shared_windows(list(data), length, block, list(copies))
+            out = [(a, c, *_spans(hit, length)) for a, c, hit in zip(anchors, contents, hits, strict=True) if hit.any()]
             pairs = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
             return pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()),
@@ -298,11 +322,12 @@ def _indexed(parts: DataFrame, length: int, block: int, batch_bytes: int) -> Dat
 
         rows, size = [], 0
         for batch in batches:
-            for anchor, content, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if size >= batch_bytes and rows[-1][0] != anchor:
+            for anchor, content, n, least, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                # Where all have copies, no window depends on what else is in the batch.
+                if size >= batch_bytes and (rows[-1][0] != anchor or least > 1):
                     yield solve(rows)
                     rows, size = [], 0
-                rows.append((anchor, content, data))
+                rows.append((anchor, content, n, data))
                 size += len(data)
         if rows:
             yield solve(rows)
@@ -354,22 +379,18 @@ def repeated_spans(
 
 def _covered(found: DataFrame, docs: DataFrame, contents: DataFrame, length: int, block: int, batch_bytes: int) -> DataFrame:
     """(id, of, lo, hi): bytes covered by windows that occur elsewhere, for the contents given."""
-    open_ = contents.where("kinds > 1 AND least = 1")
+    known = contents.select("anchor", "content", "n", "least")
     if "data" in found.columns:
-        bytes_ = found.join(open_.select("anchor", "content"), ["anchor", "content"])
+        bytes_ = found.join(known.select("anchor", "content"), ["anchor", "content"])
     else:
-        bytes_ = _with_bytes(open_.groupBy("head.id", "head.of").agg(
+        bytes_ = _with_bytes(contents.groupBy("head.id", "head.of").agg(
             F.collect_list(F.struct("anchor", "content", "head.start", "head.stop")).alias("cuts")), docs)  # at most a text's segments
     # Equal parts come from many rows, or from rows that repeat id and text; one of each is kept, on
     # the mapper's side first.
     parts = bytes_.groupBy("anchor", "content").agg(F.any_value("data").alias("data"))
-    parts = parts.repartition("anchor").sortWithinPartitions("anchor")
-    shared = _indexed(parts, length, block, batch_bytes)
-    twice = contents.where("n > 1").select(
-        "anchor", "content",
-        F.array(F.struct(F.lit(0).cast("long").alias("lo"), (F.col("head.stop") - F.col("head.start")).alias("hi"))).alias("spans"))
-    once = contents.where("n = 1").select("anchor", "content").join(shared, ["anchor", "content"])
-    spans = twice.unionByName(once)
+    parts = parts.join(known, ["anchor", "content"]).select("anchor", "content", "n", "least", "data")
+    parts = parts.repartition("anchor", F.when(F.col("least") > 1, F.col("content"))).sortWithinPartitions("anchor")
+    spans = _indexed(parts, length, block, batch_bytes)
     return (
         found.select("id", "of", "anchor", "content", "start").join(spans, ["anchor", "content"])
         .select("id", "of", "start", F.inline("spans"))

@@ -96,3 +96,40 @@ def test_edges(spark):
     assert suffix_dedup.remove_repeats(empty_docs(spark)).collect() == []
     with pytest.raises(ValueError):
         suffix_dedup.remove_repeats(df, length=10, block=3)
+
+
+def test_symbols_are_told_apart_by_their_bytes(monkeypatch):
+    """With hashes that always meet, blocks still get equal numbers only for equal bytes."""
+    data = np.frombuffer(b"abcabdabcxyz", np.uint8)
+    at = np.arange(len(data) - 2)
+    honest = suffix_dedup.symbols(data, at, 3)
+    monkeypatch.setattr(suffix_dedup._Hashes, "of", lambda self, start, stop: np.zeros(len(start), np.uint64))
+    met = suffix_dedup.symbols(data, at, 3)
+    for numbers in (honest, met):
+        assert [[x == y for y in numbers] for x in numbers] == [[data[i:i + 3].tolist() == data[j:j + 3].tolist() for j in at] for i in at]
+    assert len(suffix_dedup.symbols(data, at[:0], 3)) == 0
+
+
+def test_places_follow_from_the_bwt_alone():
+    """The finished transform spells the collection when it is read back by symbol counts and ranks."""
+    rng = random.Random(9)
+    for _ in range(40):
+        strings = [[rng.randrange(3) for _ in range(rng.randrange(1, 9))] for _ in range(rng.randrange(1, 6))]
+        flat = [(d, k) for d, s in enumerate(strings) for k in range(len(s))]
+        number = {x: n for n, x in enumerate(flat)}
+        index = suffix_dedup.CollectionIndex(4)
+        index.build(np.array([strings[d][k] for d, k in flat]), np.array([number.get((d, k + 1), -1) for d, k in flat]),
+                    np.array([len(strings[d]) - k for d, k in flat]))
+        bwt = index.bwt.tolist()
+        for d, s in enumerate(strings):
+            place, read = d, []
+            while bwt[place] >= 0:
+                c = bwt[place]
+                read.append(c)
+                place = len(strings) + sum(0 <= x < c for x in bwt) + bwt[:place].count(c)
+            assert read[::-1] == s
+
+
+def test_copies_are_found_by_their_count():
+    found = suffix_dedup.shared_windows([b"abcdefgh", b"zzabcdxx", b"qrstuvwx"], 4, 2, [2, 1, 1])
+    assert found[0].all() and found[1].tolist() == [False, False, True, False, False] and not found[2].any()
