@@ -1,32 +1,34 @@
-"""Benchmark decontamination: word-pair seeds without loss, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare word-pair seeds without loss, then Smith-Waterman alignment.
 
 The score of an item in a text is that of the best local alignment by words (match 1; replaced,
 added or dropped word -1) over the item's length. An alignment of score S has at least S - 1 places
 where two neighbouring words of the item stand unchanged side by side: its runs of matches are
-parted by at least one error each, so matches - runs >= S - 1. Those word pairs are the seeds, and
-what follows only drops what cannot reach the score; no seed is left out for being common.
+parted by at least one error each, so matches - runs >= S - 1. So of the item's P places of pairs at most
+P - S + 1 are missing, and of any P - S + 2 of them one stands in the text: the rarest ones are the seeds
+(prefix filter). What follows only drops what cannot reach the score, and common pairs join nothing.
 An alignment of score S to n words spans at most 2 n - S words of the text: the added words cost
 what the matches bring in, and there are n matches at most.
 
-1. The low hash bits of the items' word pairs make a table of fixed size, two bytes each, which is
-   all that is sent to every task, however large the benchmark is. Items are classed by the score
-   that they need; a bit of an entry stands for a class.
+1. The low hash bits of the items' word pairs make a table of two bytes an entry, which is all that is
+   sent to every task: 16 entries for each pair, at least 8 MB and at most 32 MB, however large the
+   benchmark is. Items are classed by the score that they need; a bit of an entry stands for a class.
 2. One pass over the corpus marks the places whose pair is in the table. Where a class's least
    number of marked places lies within the longest span of the class, they are kept, with the
    words around them; equal texts are kept once.
    Items of one to four words match, where that is asked for, if all their words stand in a row:
    the same kind of table marks places in the texts, and a join on the full hashes, with the words
    compared, decides.
-3. A join on the full hashes counts, for every such stretch and item, the item's places whose pair
-   is in the stretch. Those with enough are checked again by the item's own pairs, and aligned,
-   which bears replaced, added and dropped words.
+3. The stretches that hold a pair are counted, and each item's rarest pairs are joined to them on the full
+   hashes. A stretch needs as many of the rarest as an alignment must have even if all others are there.
+   Those that do are checked by all of the item's pairs, and aligned, which bears replaced, added
+   and dropped words.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeshift.llm.common import join_splittable, table, text_or_empty
@@ -36,8 +38,10 @@ from lakeshift.session import scratch_path
 #: Shorter items have no alignment with errors that would say anything: they match word by word.
 LEAST_WORDS = 5
 SEED_WORDS = 2
-#: Entries of the table of word pairs; at most this many small integers reach the driver and the tasks.
+#: Entries of the table of word pairs, at least and at most; no more small integers reach the driver and
+#: the tasks. A fuller table marks more places, which the join then drops.
 BITMAP = 1 << 22
+MOST_ENTRIES = 1 << 24
 #: The least score that an item of a class needs; as many classes as an entry has bits.
 NEEDS = (2, 3, 4, 6, 8, 10, 12, 15, 19, 24, 32, 45, 64, 96, 160, 320)
 MIN_SCORE = 0.5
@@ -88,7 +92,7 @@ def _stretches(df: DataFrame, marks: np.ndarray, classes: list[tuple[int, int, i
             out = ([], [], [])
             ofs = batch.column(0).to_pylist()
             for of, words in zip(ofs, _lists(batch.column(1)), strict=True):
-                bits = marks[ngrams(words) & (BITMAP - 1)]
+                bits = marks[ngrams(words) & (len(marks) - 1)]
                 marked = np.flatnonzero(bits)
                 bits, parts = bits[marked], []
                 for bit, count, span in classes:
@@ -127,6 +131,25 @@ def _seeds(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.mapInArrow(run, f"{kinds}, seed long, times long")
 
 
+def _entries(pairs: int) -> int:
+    """Entries of a table for so many pairs: a power of two within the bounds."""
+    return min(MOST_ENTRIES, max(BITMAP, 1 << (16 * pairs - 1).bit_length() if pairs else 0))
+
+
+def _rarest(seeds: DataFrame, held: DataFrame) -> DataFrame:
+    """The pairs of each item that are joined: its rarest ones, together at n - need + 1 places, so that
+    every alignment that reaches ``need`` has one of them. ``seeds`` has (item_of, seed, times, n, need),
+    ``held`` (seed, held): in how many stretches a pair is. Returns (item_of, seed, times, least):
+    an alignment has at least ``least`` places of these pairs."""
+    by_rareness = Window.partitionBy("item_of").orderBy("held", "seed")  # an item's pairs
+    before = F.coalesce(F.sum("times").over(by_rareness.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = seeds.join(held, "seed", "left").withColumn("held", F.coalesce("held", F.lit(0))).withColumn("before", before)
+    chosen = ranked.where(F.col("before") < F.col("n") - F.col("need") + 1)
+    # n - 1 places in all; those of the other pairs may all be in the text.
+    places = F.sum("times").over(Window.partitionBy("item_of"))
+    return chosen.select("item_of", "seed", "times", (F.col("need") - F.col("n") + places).alias("least"))
+
+
 def _rows_of(df: DataFrame, marks: np.ndarray, lengths: list[int]) -> DataFrame:
     """(of, n, seed, at, words): the first place in each text of each run of n words that is marked
     (bit n of the entry). ``df`` has (of, words)."""
@@ -264,12 +287,13 @@ def contaminated(
     items = items.withColumns({"n": F.size("item_words"), "need": need})
     in_class = sum((F.when(F.col("need") >= least, 1).otherwise(0) for least in NEEDS[1:]), F.lit(0))
     items = items.withColumn("class", in_class)
-    seeds = _seeds(items.select("item_of", "item_words"), ["item_of"]).join(items.select("item_of", "need", "class"), "item_of")
+    seeds = _seeds(items.select("item_of", "item_words"), ["item_of"]).join(items.select("item_of", "n", "need", "class"), "item_of")
 
-    # Bounded summaries: at most BITMAP pairs of integers, and one row for each class.
-    entry = F.col("seed").bitwiseAND(F.lit(BITMAP - 1)).cast("int").alias("entry")
+    # Bounded summaries: at most MOST_ENTRIES pairs of integers, and one row for each class.
+    entries = _entries(items.agg(F.sum("n")).first()[0] or 0)
+    entry = F.col("seed").bitwiseAND(F.lit(entries - 1)).cast("int").alias("entry")
     found = seeds.groupBy(entry).agg(F.bit_or(F.pow(F.lit(2), F.col("class")).cast("int")).alias("bits")).toPandas()
-    marks = np.zeros(BITMAP, np.uint16)
+    marks = np.zeros(entries, np.uint16)
     marks[found["entry"].to_numpy(dtype=np.int64)] = found["bits"].to_numpy(dtype=np.uint16)
     sizes = items.groupBy("class").agg(F.min("need").alias("least"), F.max(2 * F.col("n") - F.col("need")).alias("span")).collect()
     classes = [(r["class"], r["least"] - 1, r["span"]) for r in sizes]
@@ -280,9 +304,11 @@ def contaminated(
     parts = _stretches(docs.select("of", word_hashes(F.col("body")).alias("words")), marks, classes)
     parts.dropDuplicates(["of", "at"]).write.parquet(path)
     parts = df.sparkSession.read.parquet(path)
-    shared = _seeds(parts.select("of", "at", "words"), ["of", "at"]).drop("times").join(seeds, "seed")
-    pairs = shared.groupBy("of", "at", "item_of").agg(F.sum("times").alias("shared"), F.first("need").alias("need"))
-    pairs = pairs.where(F.col("shared") >= F.col("need") - 1).select("of", "at", "item_of")
+    shared = _seeds(parts.select("of", "at", "words"), ["of", "at"]).drop("times")
+    rare = _rarest(seeds, shared.groupBy("seed").agg(F.count(F.lit(1)).alias("held")))
+    met = join_splittable(shared, rare, ["seed"])
+    pairs = met.groupBy("of", "at", "item_of").agg(F.sum("times").alias("shared"), F.max("least").alias("least"))
+    pairs = pairs.where("shared >= least").select("of", "at", "item_of")
     ready = pairs.join(parts, ["of", "at"]).join(items, "item_of").select("of", "at", "item_of", "item_words", "words")
     scored = _aligned(ready, min_score)
     whole = _short_matches(docs.select("of", word_hashes(F.col("body")).alias("words")), short) if short_items else None

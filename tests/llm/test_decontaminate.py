@@ -164,3 +164,27 @@ def test_short_items_match_word_by_word(spark):
     assert all((r["id"], r["item"], r["first_word"], r["end_word"]) in places for r in found)
     left = decontaminate.drop_contaminated(docs(spark, *texts), items(spark, *bench), short_items=True)
     assert {(r["doc_id"], r["text"]) for r in left.collect()} == set(texts) - {(i, t) for i, t, _, _, _ in expected}
+
+
+def test_only_the_rarest_pairs_are_joined(spark):
+    """Of nine places with a score of at least five of ten words, six are enough, the rarest ones; a
+    pair at two places counts twice, and then an alignment must have more of them."""
+    held = spark.createDataFrame([(k, 10 * k) for k in range(1, 9)], "seed long, held long")
+    seeds = [(1, k, 1, 10, 5) for k in range(9)] + [(2, 0, 5, 10, 5), (2, 3, 2, 10, 5), (2, 8, 2, 10, 5)]
+    rare = decontaminate._rarest(spark.createDataFrame(seeds, "item_of long, seed long, times long, n int, need int"), held).collect()
+    assert sorted((r["item_of"], r["seed"], r["least"]) for r in rare) == [(1, k, 1) for k in range(6)] + [(2, 0, 2), (2, 3, 2)]
+
+
+def test_common_pairs_join_nothing(spark):
+    """A phrase in every text is in no candidate unless the item has nothing rarer."""
+    phrase = "as shown in the table below"
+    item = phrase + " " + prose(14, 1)
+    rows = [(i, prose(12, 40 + i) + " " + phrase + " " + prose(12, 400 + i)) for i in range(60)]
+    rows += [(100, phrase + " " + phrase + " " + phrase), (101, prose(9, 5) + " " + " ".join(item.split()[4:])), (102, item)]
+    found = {(r["id"], r["item"]): r["score"] for r in decontaminate.contaminated(docs(spark, *rows), items(spark, (1, item), (2, phrase))).collect()}
+    assert found == brute_pairs(rows, [(1, item), (2, phrase)]) and (5, 2) in found and (5, 1) not in found
+
+
+def test_the_table_grows_with_the_benchmark():
+    sizes = [decontaminate._entries(pairs) for pairs in (0, 1, 1 << 18, (1 << 18) + 1, 1 << 30)]
+    assert sizes == [1 << 22, 1 << 22, 1 << 22, 1 << 23, 1 << 24]
