@@ -153,38 +153,41 @@ class CollectionIndex:
         self.who = np.full(n, -1, np.int64)
         self.bwt = np.full(n, -1, np.int64)
         self.common = np.zeros(n, np.int8)
+        self.held = np.empty(0, np.int64)
         place = np.empty(len(codes), np.int64)
         place_of_end = np.empty(len(codes), np.int64)
         place_of_end[ends] = np.arange(n)
-        by_count = np.argsort(counts, kind="stable")
-        bounds = np.searchsorted(counts[by_count], np.arange(1, counts.max(initial=0) + 2))
+        most = counts.max(initial=0)
+        by_count = np.argsort(counts.astype(np.uint16) if most < 1 << 16 else counts, kind="stable")  # short integers: radix sort
+        bounds = np.searchsorted(counts[by_count], np.arange(1, most + 2))
         for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
             new = by_count[lo:hi]
             x = np.where(rest[new] < 0, place_of_end[new], place[rest[new]])
-            self.bwt[x] = codes[new]  # the symbol that this round puts before the suffix at x
-            entered = np.full(len(self.bwt), -1, np.int64)
-            entered[x] = new
-            new, to = self._merge(n, entered)
-            place[new] = to
-
-    def _merge(self, n: int, entered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """One sequential pass that puts the suffixes ``entered`` (by the place of what they extend;
-        -1: none) between the old ones. After the ``n`` ends the list holds one suffix for each
-        symbol of the BWT, by symbol and then by place. Returns the new suffixes and their places."""
-        held = np.flatnonzero(self.bwt >= 0)
-        after = held[np.argsort(self.bwt[held] * (len(self.bwt) + 1) + held)]  # where each one's rest is
-        first = np.concatenate([np.full(n, -1), self.bwt[after]])
-        after = np.concatenate([np.arange(n), after])
-        suffix = np.concatenate([np.full(n, -1), entered[after[n:]]])
-        is_new = suffix >= 0
-        to, old_to = np.flatnonzero(is_new), np.flatnonzero(~is_new)
-        new = suffix[to]
+            order = np.argsort(codes[new] * (len(self.bwt) + 1) + x)
+            place[new[order]] = self._merge(n, new[order], codes[new[order]], x[order])
+
+    def _merge(self, n: int, new: np.ndarray, codes: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """One sequential pass that puts the ``new`` suffixes, by symbol and place ``x`` of what they
+        extend, between the old ones. After the ``n`` ends the list holds one suffix for each symbol
+        of the BWT, by symbol and then by place: ``held`` lists these places, and a new one's rank
+        in it is its place. Returns the places of the new suffixes."""
+        big = len(self.bwt) + 1
+        rank = np.searchsorted(self.bwt[self.held] * big + self.held, codes * big + x)
+        self.bwt[x] = codes  # the symbol that this round puts before the suffix at x
+        to = n + rank + np.arange(len(new))
+        is_new = np.zeros(len(self.bwt) + len(new), bool)
+        is_new[to] = True
+        old_to = np.flatnonzero(~is_new)
 
         def merged(old, values):
-            out = np.empty(len(first), old.dtype)
+            out = np.empty(len(is_new), old.dtype)
             out[old_to], out[to] = old, values
             return out
 
+        after = merged(np.concatenate([np.arange(n), self.held]), x)  # where each one's rest is
+        first = self.bwt[after]
+        first[:n] = -1
+        self.held = old_to[after[n:]]
         common = merged(self.common, 0)
         # Common prefixes change at new suffixes and right after them: one more than the least
         # common prefix between the two rests in the old list.
@@ -201,7 +204,7 @@ class CollectionIndex:
             value += last_shorter[after[same]] <= after[same - 1]
         common[same] = value
         self.common, self.who, self.bwt = common, merged(self.who, new), merged(self.bwt, -1)
-        return new, to
+        return to
 
 
 def symbols(data: np.ndarray, at: np.ndarray, block: int) -> np.ndarray:
@@ -209,14 +212,18 @@ def symbols(data: np.ndarray, at: np.ndarray, block: int) -> np.ndarray:
     Numbers follow from hashes, and every block is compared with the first one of its number;
     should two differ, all are numbered by their bytes."""
     hashes = _Hashes(data).of(at, at + block)
-    _, head, codes = np.unique(hashes, return_index=True, return_inverse=True)
+    order = np.argsort(hashes)
+    starts = np.flatnonzero(np.r_[True, np.diff(hashes[order]) != 0]) if len(at) else order
+    codes = np.empty(len(at), np.int64)
+    codes[order] = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(at)]))
+    head = order[starts]
     blocks = np.lib.stride_tricks.sliding_window_view(data, block) if len(at) else data
     again = np.flatnonzero(head[codes] != np.arange(len(at)))
     for lo in range(0, len(again), 1 << 14):
         part = again[lo:lo + (1 << 14)]
         if not np.array_equal(blocks[at[part]], blocks[at[head[codes[part]]]]):
             return np.unique(blocks[at], axis=0, return_inverse=True)[1].reshape(-1).astype(np.int64)
-    return codes.astype(np.int64)
+    return codes
 
 
 def shared_windows(
