@@ -1,12 +1,12 @@
 from __future__ import annotations
 
 import zlib
-from collections import Counter, defaultdict
+from collections import Counter, defaultdict, deque
 
 import pytest
 from pyspark.sql import functions as F
 
-from lakeshift.llm.sharding import bounded_ring, op1_bounded_ring
+from lakeshift.llm.sharding import bounded_ring, op1_bounded_ring, ring_points
 from support import docs, edge_docs, empty_docs
 
 SF = "/root/testdata/sf0.001"
@@ -62,3 +62,27 @@ def test_overflow_continues_clockwise_and_little_moves(spark):
     moved = sum(before[k] != after[k] for k in before)
     # A fresh deal would move ten elevenths of the keys.
     assert moved < 0.45 * len(before)
+
+
+@pytest.mark.parametrize(("n", "shards", "vnodes", "cells"), [(700, 5, 4, 512), (50, 7, 3, 64)])
+def test_every_key_against_a_plain_walk_round_the_ring(spark, n, shards, vnodes, cells):
+    df = spark.range(n).select(F.col("id").alias("k"))
+    found = {r["k"]: r["shard"] for r in bounded_ring(df, "k", shards, vnodes=vnodes, cells=cells, salts=4).collect()}
+    points = sorted((r["ord"], r["at"], r["shard"]) for r in ring_points(spark, shards, vnodes, cells).collect())
+    hashed = df.select("k", F.pmod(F.xxhash64(F.lit("key"), "k"), F.lit(cells)).alias("cell"), F.pmod(F.xxhash64(F.lit("salt"), "k"), F.lit(4)).alias("salt"))
+    own = defaultdict(list)
+    last = points[-1][1]
+    for r in hashed.collect():
+        home = next((o for o, at, _ in points if at >= r["cell"]), 0)
+        own[home].append((r["cell"] <= last, r["cell"], r["salt"], r["k"]))
+    room = [n // shards + (s < n % shards) for s in range(shards)]
+    plain, waiting = {}, deque()
+    for lap in range(2):
+        for o, _, shard in points:
+            arrivals = deque(k for *_, k in sorted(own[o])) if lap == 0 else deque()
+            for queue in (arrivals, waiting):
+                while queue and room[shard]:
+                    plain[queue.popleft()] = shard
+                    room[shard] -= 1
+            waiting.extend(arrivals)
+    assert found == plain and len(plain) == n
