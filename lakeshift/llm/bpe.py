@@ -154,7 +154,7 @@ class TokenAutomaton:
             node, stop = 0, at
             while stop < n and (node := next_node.get(node << 9 | symbols[stop])) is not None:
                 stop += 1
-                if node in token_at and (not at or follows(last, token_at[node])):
+                if node in token_at and state[stop] is None and (not at or follows(last, token_at[node])):
                     state[stop], begin[stop] = token_at[node], at
         tokens: list[int] = []
         at = n
