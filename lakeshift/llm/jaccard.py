@@ -3,15 +3,18 @@
 1. Words are hashed in the JVM; numpy makes the document's set of five-word shingles, the set's own
    fingerprint, and its MinHash bands. Numbers of bands and rows per band follow from the
    similarity and the recall wanted.
-2. Documents with equal sets are one class. Classes are shuffled on (band, hash); within a bucket
-   each class is tied to the smallest one, which needs as many ties as members, not pairs.
-   Classes tied together form a candidate group.
-3. Groups are verified on full shingle sets, in blocks: a group of k classes is dealt into
+2. Documents with equal sets are one class. Classes are shuffled on (band, hash); those that share
+   a hash form a bucket. Buckets with the same members are verified once.
+3. Buckets are verified on full shingle sets, in blocks: a bucket of k classes is dealt into
    k / BLOCK blocks, and a task gets two blocks (or one with itself), counts common shingles of
    their members by a matrix product, and returns per class how many links it found and a spanning
-   forest of them. Every pair inside a group is compared, so no pair that met in a bucket is lost,
-   and pairs are never written out as rows.
-4. Links are summed per class; their connected components are the near-duplicate classes.
+   forest of them. A pair counts in the first band in which it meets, so that it counts once, no
+   pair that met in a bucket is lost, and pairs are never written out as rows.
+4. Classes that meet, directly or through others, are a candidate group. Where verifying a group's
+   buckets one by one would send more rows to tasks than verifying the group as one bucket (always,
+   if it fits into a block), the group is verified as one. So a small group's texts move once,
+   and the work of a chain of texts, each like the next one only, follows their meetings.
+5. Links are summed per class; their connected components are the near-duplicate classes.
 
 Only shingle sets of classes that met another one are ever moved.
 """
@@ -156,16 +159,22 @@ def _links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, similari
 
 
 def _verify(groups: DataFrame, similarity: float) -> DataFrame:
-    """``groups`` has (comp, i, j, block, class, copies, words), rows of a block pair together.
-    Returns (class, n, n_docs, near): links found here for a class (to classes and to their
-    documents), and a linked class that ties it into the forest."""
-    def solve(class_ids, copies, blocks, sets):
+    """``groups`` has (band, bucket, i, j, block, class, copies, bands, words), rows of a block pair
+    together; band -1 is a whole candidate group. Returns (class, n, n_docs, near): links found
+    here for a class (to classes and to their documents), and a linked class that ties it into the
+    forest."""
+    def solve(key, class_ids, copies, blocks, bands, sets):
+        band, _, i, j = key
         blocks = np.array(blocks)
-        i, j = blocks.min(), blocks.max()
         left, right = np.flatnonzero(blocks == i), np.flatnonzero(blocks == j)
         a, b = _links(sets, left, right, similarity) if len(sets) > 1 else (left[:0], right[:0])
         inside = a < b if i == j else np.ones(len(a), bool)
         a, b = a[inside], b[inside]
+        if band > 0:  # pairs that met in a band before are counted there
+            earlier, bands = np.zeros(len(a), bool), np.array(bands)
+            for k in range(band):
+                earlier |= bands[a, k] == bands[b, k]
+            a, b = a[~earlier], b[~earlier]
         n, n_docs = np.zeros(len(sets), np.int64), np.zeros(len(sets), np.int64)
         np.add.at(n, a, 1)
         np.add.at(n, b, 1)
@@ -195,19 +204,20 @@ def _verify(groups: DataFrame, similarity: float) -> DataFrame:
             names=["class", "n", "n_docs", "near"])
 
     def run(batches):
-        key, rows = None, ([], [], [], [])
+        key, rows = None, ([], [], [], [], [])
         for batch in batches:
-            keys = list(zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True))
-            blocks, ids, copies = (batch.column(c).to_pylist() for c in (3, 4, 5))
-            for r, words in enumerate(_lists(batch.column(6))):
+            keys = list(zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True))
+            blocks, ids, copies = (batch.column(c).to_pylist() for c in (4, 5, 6))
+            bands = [x.copy() for x in _lists(batch.column(7))]
+            for r, words in enumerate(_lists(batch.column(8))):
                 if keys[r] != key:
                     if len(rows[0]) > 1:
-                        yield solve(*rows)
-                    key, rows = keys[r], ([], [], [], [])
-                for store, value in zip(rows, (ids[r], copies[r], blocks[r], shingle_set(words)), strict=True):
+                        yield solve(key, *rows)
+                    key, rows = keys[r], ([], [], [], [], [])
+                for store, value in zip(rows, (ids[r], copies[r], blocks[r], bands[r], shingle_set(words)), strict=True):
                     store.append(value)
         if len(rows[0]) > 1:
-            yield solve(*rows)
+            yield solve(key, *rows)
 
     return groups.mapInArrow(run, "class long, n long, n_docs long, near long")
 
@@ -275,29 +285,54 @@ def _classified(df: DataFrame, id_column: str, text: str, similarity: float, rec
         zero(F.col("n_linked_sets")).alias("n_linked_sets"))
 
 
-def _groups(docs: DataFrame, classes: DataFrame, block: int) -> DataFrame:
-    """The block pairs to verify: (comp, i, j, block, class, copies, words), rows of a pair of
-    blocks together in a partition."""
+def _buckets(classes: DataFrame, block: int) -> DataFrame:
+    """(band, bucket, n, class): the buckets to verify, their numbers of classes, and these; band -1
+    is a whole candidate group."""
+    spark = classes.sparkSession
     met = classes.select("class", F.posexplode("bands").alias("band", "hash"))
-    leaders = met.groupBy("band", "hash").agg(F.min("class").alias("leader"), F.count(F.lit(1)).alias("n"))
-    leaders = leaders.where("n > 1").drop("n")
-    ties = join_splittable(met, leaders, ["band", "hash"]).where("class <> leader").select(
-        F.col("class").alias("a"), F.col("leader").alias("b")).distinct()
-    grouped = components(ties)
-    sizes = grouped.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    members = grouped.join(sizes, "component").select(
-        F.col("node").alias("class"), F.col("component").alias("comp"), "blocks",
-        F.pmod(F.xxhash64(F.lit("block"), "node"), F.col("blocks")).cast("int").alias("block"))
-    heads = members.join(classes.select("class", "copies", F.col("copy_id").alias("id"), "of"), "class")
+    shared = met.groupBy("band", "hash").agg(
+        F.min("class").alias("leader"), F.count(F.lit(1)).alias("n"),
+        F.bit_xor(F.xxhash64("class")).alias("x"), F.bit_xor(F.xxhash64(F.lit("members"), "class")).alias("y")).where("n > 1")
+    path = scratch_path(spark, "buckets")
+    join_splittable(met, shared, ["band", "hash"]).write.parquet(path)
+    members = spark.read.parquet(path)
+    # Of buckets with the same members the first band's stays: a pair's first common band is kept.
+    buckets = members.where("class = leader").groupBy("n", "x", "y").agg(
+        F.min(F.struct("band", "hash", "leader")).alias("b")).select("b.band", "b.hash", F.col("b.leader").alias("node"), "n")
+
+    grouped = components(members.where("class <> leader").select(F.col("class").alias("a"), F.col("leader").alias("b")))
+    rows = lambda n: n * F.ceil(F.col("n") / block)  # rows that tasks get for a bucket
+    buckets = buckets.join(grouped, "node").select("component", "band", "hash", "n")
+    whole = grouped.groupBy("component").agg(F.count(F.lit(1)).alias("n")).select("component", "n", rows(F.col("n")).alias("whole"))
+    cost = buckets.groupBy("component").agg(F.sum(rows(F.col("n"))).alias("apart"))
+    sizes = whole.join(cost, "component")
+    one = join_splittable(grouped, sizes.where("apart >= whole").select("component", "n"), ["component"])
+    some = join_splittable(buckets, sizes.where("apart < whole").select("component"), ["component"])
+    some = join_splittable(members.select("class", "band", "hash"), some.select("band", "hash", "n"), ["band", "hash"])
+    return one.select(F.lit(-1).alias("band"), F.col("component").alias("bucket"), "n", F.col("node").alias("class")).unionByName(
+        some.select("band", F.col("hash").alias("bucket"), "n", "class"))
+
+
+def _groups(docs: DataFrame, classes: DataFrame, block: int) -> DataFrame:
+    """The block pairs to verify: (band, bucket, i, j, block, class, copies, bands, words), rows of a
+    pair of blocks together in a partition."""
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    placed = _buckets(classes, block).select("class", F.struct(
+        "band", "bucket", blocks.alias("blocks"),
+        F.pmod(F.xxhash64(F.lit("block"), "class"), blocks).cast("int").alias("block")).alias("place"))
+    places = placed.groupBy("class").agg(F.collect_list("place").alias("places"))  # at most one per band
+    heads = places.join(classes.select("class", "copies", "bands", F.col("copy_id").alias("id"), "of"), "class")
     # Equal rows of the table would bring a text more than once: one of them is enough.
     heads = heads.withColumnsRenamed({"id": "head_id", "of": "head_of"})
     same = docs["id"].eqNullSafe(heads["head_id"]) & (docs["of"] == heads["head_of"])
-    texts = docs.join(heads, same).dropDuplicates(["class"])
+    texts = docs.join(heads, same).dropDuplicates(["class"]).select("class", "copies", "bands", "body", F.inline("places"))
     dealt = texts.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
-        "comp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "class", "copies", "body")
+        "band", "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "class", "copies",
+        F.when(F.col("band") > 0, F.col("bands")).alias("bands"), "body")
     # The words are hashed after the shuffle, which moves the shorter texts.
-    dealt = dealt.repartition("comp", "i", "j")
-    return dealt.select("comp", "i", "j", "block", "class", "copies", word_hashes(F.col("body")).alias("words")).sortWithinPartitions("comp", "i", "j")
+    key = ["band", "bucket", "i", "j"]
+    dealt = dealt.repartition(*key)
+    return dealt.select(*key, "block", "class", "copies", "bands", word_hashes(F.col("body")).alias("words")).sortWithinPartitions(*key)
 
 
 def drop_near_duplicates(

@@ -65,6 +65,35 @@ def test_against_brute_force(spark, block):
     assert got(docs(spark, *pairs), block=block) == sorted(brute(pairs), key=str)
 
 
+def chain(n, first=0):
+    """Texts of which each is similar to the next ones only; every text meets the others through them."""
+    words = prose(4 * n + 100, 77).split()
+    return [(first + i, " ".join(f"{w}{4 * i + k}" for k, w in enumerate(words[4 * i:4 * i + 80]))) for i in range(n)]
+
+
+def test_work_of_a_chain_follows_its_meetings(spark, monkeypatch):
+    rows, verify = [], jaccard._verify
+
+    def counted(groups, similarity):
+        rows.append([(r["band"], r["n"]) for r in groups.groupBy("band").count().withColumnRenamed("count", "n").collect()])
+        return verify(groups, similarity)
+
+    monkeypatch.setattr(jaccard, "_verify", counted)
+    for n in (60, 180):
+        pairs = chain(n)
+        assert got(docs(spark, *pairs), block=4) == sorted(brute(pairs), key=str)
+    short, long = (sum(n for _, n in r) for r in rows)
+    assert all(band >= 0 for r in rows for band, _ in r)
+    assert 2.5 * short < long < 3.5 * short and long < 180 * 180 / 4
+
+
+def test_chains_beside_tight_groups(spark):
+    rng = random.Random(9)
+    base = prose(60, 5)
+    pairs = chain(30) + [(1000 + i, edited(base, rng, i % 3)) for i in range(25)] + [(2000 + i, t) for i, t in chain(30)[::7]]
+    assert got(docs(spark, *pairs), block=3) == sorted(brute(pairs), key=str)
+
+
 def test_edges(spark):
     df = edge_docs(spark)
     out = jaccard.jaccard_join(df).collect()
