@@ -79,12 +79,12 @@ def test_work_of_a_chain_follows_its_meetings(spark, monkeypatch):
         return verify(groups, similarity)
 
     monkeypatch.setattr(jaccard, "_verify", counted)
-    for n in (60, 180):
+    for n in (90, 270):
         pairs = chain(n)
         assert got(docs(spark, *pairs), block=4) == sorted(brute(pairs), key=str)
     short, long = (sum(n for _, n in r) for r in rows)
     assert all(band >= 0 for r in rows for band, _ in r)
-    assert 2.5 * short < long < 3.5 * short and long < 180 * 180 / 4
+    assert 2.5 * short < long < 3.5 * short and long < 270 * 270 / 4
 
 
 def test_chains_beside_tight_groups(spark):
