@@ -24,7 +24,7 @@ from collections.abc import Iterator, Sequence
 from typing import BinaryIO
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,9 +81,23 @@ def write(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url
     - null page_id: no id header; such a page can revisit another one but is not referred to
     - repeated rows: each is a capture; rows with the largest id of their payload are all responses
     - other columns are not written; an empty table leaves an empty folder
-    - ``archives``: the kinds of archives by size of payload; rows are written in one pass for each
-      kind that has any
+    - ``archives``: the kinds of archives by size of payload; each kind that has any rows is written
+      by itself, and only its own rows are shuffled
     """
+    size = F.octet_length(F.coalesce(F.col(f"`{html}`"), F.lit("")))
+    bounds = list(zip([-1, *[most for most, _ in archives]], [most for most, _ in archives]))
+    fits = [(size > low) if high is None else (size > low) & (size <= high) for low, high in bounds]
+    seen = pages.agg(*[F.count_if(c).alias(f"kind{k}") for k, c in enumerate(fits)]).first()
+    for k, (_, captures) in enumerate(archives):
+        if k == 0 or seen[f"kind{k}"]:
+            # Equal payloads are of one kind, so no page is a copy of one of another kind.
+            records = _records(pages.where(fits[k]), page_id, url, html, min_bytes, date)
+            (records.write.mode("errorifexists" if k == 0 else "append").option("lineSep", END).option("compression", "gzip")
+                .option("maxRecordsPerFile", RECORDS_PER_CAPTURE * captures).text(path))
+
+
+def _records(pages: DataFrame, page_id: str, url: str, html: str, min_bytes: int, date: str) -> DataFrame:
+    """The texts of three records per row, as ``write`` describes them (column ``record``)."""
     body = F.coalesce(F.col(f"`{html}`"), F.lit(""))
     rows = pages.select(
         F.col(f"`{page_id}`").alias("page_id"), F.col(f"`{url}`").cast("string").alias("url"), body.alias("body"),
@@ -120,17 +134,7 @@ def write(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url
         ("WARC-Type", F.lit("metadata")), ("WARC-Record-ID", name("metadata")), *same, ("WARC-Concurrent-To", first),
         ("Content-Type", F.lit("application/warc-fields"))),
         F.concat(F.lit("payload-bytes: "), F.octet_length("body"), F.lit("\r\n")))
-    # The pass that writes the smallest payloads counts the others.
-    size, seen = F.octet_length("body"), Observation()
-    bounds = list(zip([-1, *[most for most, _ in archives]], [most for most, _ in archives]))
-    fits = [(size > low) if high is None else (size > low) & (size <= high) for low, high in bounds]
-    counts = [F.count_if(c).alias(f"kind{k}") for k, c in enumerate(fits)]
-    for k, (_, captures) in enumerate(archives):
-        if k == 0 or seen.get[f"kind{k}"]:
-            chosen = (rows.observe(seen, *counts) if k == 0 else rows).where(fits[k])
-            records = chosen.select(F.explode(F.array(response, request, metadata)).alias("record"))
-            (records.write.mode("errorifexists" if k == 0 else "append").option("lineSep", END).option("compression", "gzip")
-                .option("maxRecordsPerFile", RECORDS_PER_CAPTURE * captures).text(path))
+    return rows.select(F.explode(F.array(response, request, metadata)).alias("record"))
 
 
 RECORD = T.StructType([
@@ -229,14 +233,16 @@ def assemble(records: DataFrame) -> DataFrame:
     primary = records.where("record_type IN ('response', 'revisit')")
     others = records.where("record_type IN ('request', 'metadata')").select(
         "record_type", "concurrent_to", F.struct("record_id", "payload").alias("record"))
-    stated = others.select(
-        "record_type", "record", F.explode_outer("concurrent_to").alias("to"))
     by_response = primary.where(F.size("concurrent_to") > 0).select(
-        F.col("record_id").alias("to_stated"), F.explode("concurrent_to").alias("named"))
-    turned = others.join(by_response, F.col("record.record_id") == F.col("named")).select(
-        "record_type", "record", F.col("to_stated").alias("to"))
+        F.col("record_id").alias("to_stated"), F.explode("concurrent_to").alias("named"), F.lit(True).alias("turned"))
+    # The archives are parsed once for both sides: what a record states itself (null: nothing), and
+    # the response that names it.
+    stated = F.when(F.size("concurrent_to") > 0, F.col("concurrent_to")).otherwise(F.array(F.lit(None).cast("string")))
+    turned = F.when(F.col("turned"), F.array("to_stated")).otherwise(F.array().cast("array<string>"))
+    both = others.join(by_response, F.col("record.record_id") == F.col("named"), "left").select(
+        "record_type", "record", F.explode(F.concat(stated, turned)).alias("to"))
     own = F.coalesce("to", "record.record_id")
-    links = stated.unionByName(turned).distinct().select("record_type", "record", own.alias("capture"))
+    links = both.distinct().select("record_type", "record", own.alias("capture"))
     pick = lambda kind: F.collect_list(F.when(F.col("record_type") == kind, F.col("record")))
     linked = links.groupBy("capture").agg(
         F.array_sort(pick("request")).alias("requests"), F.array_sort(pick("metadata")).alias("metadata"))

@@ -113,3 +113,18 @@ def test_an_archive_larger_than_a_batch_is_read_in_batches(spark):
     warc.write(spark.createDataFrame([(*r, "r", "b") for r in rows], PAGES).coalesce(1), path)
     records = warc.read(spark, path, batch_bytes=100_000)
     assert records.where("record_type = 'response'").count() == 100
+
+
+def test_a_large_payload_does_not_bring_the_small_ones_again(spark, monkeypatch):
+    given, look = [], warc.duplicates
+
+    def noted(pages, *rest):
+        given.append(sorted(r["page_id"] for r in pages.select("page_id").collect()))
+        return look(pages, *rest)
+
+    monkeypatch.setattr(warc, "duplicates", noted)
+    rows = [(n, "u", "s" * (n % 3)) for n in range(9)] + [(20 + n, "u", "m" * 50) for n in range(3)] + [(30, "u", "l" * 500), (31, "u", "l" * 500)]
+    found = round_trip(spark, [*rows, (40, "u", None)], archives=((10, 4), (100, 2), (None, 1)))
+    assert given == [[*range(9), 40], [20, 21, 22], [30, 31]]  # each page in one pass, the one of its size
+    assert {r["page_id"]: r["refers_to"] for r in found} == (
+        {0: 40, 3: 40, 6: 40, 40: None, 1: 7, 4: 7, 7: None, 2: 8, 5: 8, 8: None} | {20: 22, 21: 22, 22: None, 30: 31, 31: None})
