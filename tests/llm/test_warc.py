@@ -128,3 +128,9 @@ def test_a_large_payload_does_not_bring_the_small_ones_again(spark, monkeypatch)
     assert given == [[*range(9), 40], [20, 21, 22], [30, 31]]  # each page in one pass, the one of its size
     assert {r["page_id"]: r["refers_to"] for r in found} == (
         {0: 40, 3: 40, 6: 40, 40: None, 1: 7, 4: 7, 7: None, 2: 8, 5: 8, 8: None} | {20: 22, 21: 22, 22: None, 30: 31, 31: None})
+
+
+def test_only_large_payloads(spark):
+    found = round_trip(spark, [(1, "u", "l" * 500), (2, "u", "l" * 500), (3, "u", "m" * 50)], archives=((10, 4), (100, 2), (None, 1)))
+    assert sorted((r["page_id"], r["record_type"], r["refers_to"], r["payload_bytes"]) for r in found) == [
+        (1, "revisit", 2, 500), (2, "response", None, 500), (3, "response", None, 50)]
