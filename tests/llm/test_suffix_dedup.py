@@ -133,3 +133,55 @@ def test_places_follow_from_the_bwt_alone():
 def test_copies_are_found_by_their_count():
     found = suffix_dedup.shared_windows([b"abcdefgh", b"zzabcdxx", b"qrstuvwx"], 4, 2, [2, 1, 1])
     assert found[0].all() and found[1].tolist() == [False, False, True, False, False] and not found[2].any()
+
+
+def test_texts_scanned_together_have_the_segments_of_each():
+    rng = random.Random(12)
+    for _ in range(20):
+        texts = [prose(rng.choice([0, 1, 5, 20, 60]), rng.randrange(4)).encode() for _ in range(12)]
+        stops = np.cumsum([len(t) for t in texts])
+        together = zip(*suffix_dedup.segments(np.frombuffer(b"".join(texts), np.uint8), 64, 16, stops), strict=True)
+        alone = []
+        for text, begin in zip(texts, np.r_[0, stops], strict=False):
+            for anchor, content, *places in zip(*suffix_dedup.segments(np.frombuffer(text, np.uint8), 64, 16), strict=True):
+                alone.append((anchor, content, *(p + begin for p in places)))
+        assert list(together) == alone
+
+
+def test_blocks_in_a_row_are_compared_whole(monkeypatch):
+    """With hashes that leave out some bytes, blocks whose neighbours are equal still are told apart."""
+    rng = random.Random(13)
+    honest = suffix_dedup._Hashes.of
+    for cut in ((0, 1), (1, 0), (1, 1), (2, 0)):
+        monkeypatch.setattr(suffix_dedup._Hashes, "of", lambda self, a, b, cut=cut: honest(self, a + cut[0], b - cut[1]))
+        for _ in range(50):
+            base = bytes(rng.choice(b"ab") for _ in range(20))
+            data = base + base[:-1] + b"c" + base[rng.randrange(20):]
+            at = np.array([k for k in range(len(data) - 4) if rng.random() < 0.9])
+            numbers = suffix_dedup.symbols(np.frombuffer(data, np.uint8), at, 5)
+            assert [[x == y for y in numbers] for x in numbers] == [[data[i:i + 5] == data[j:j + 5] for j in at] for i in at]
+
+
+@pytest.mark.parametrize("batch_bytes", [1, 300, 1 << 20])
+def test_batches_reach_over_arrow_batches(spark, batch_bytes):
+    rng = random.Random(14)
+    passage = prose(30, 1)
+    pairs = [(i, prose(rng.randrange(30), 50 + i // 2) + passage[rng.randrange(150):] + prose(5, i)) for i in range(30)]
+    pairs += [(30, None), (31, ""), (32, passage), (32, passage)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        assert run(docs(spark, *pairs), 64, 16, batch_bytes=batch_bytes) == brute(pairs, 64)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_planted_passages_are_caught_by_what_is_removed(spark):
+    """Passages of over 50 words (400 bytes or more) in two documents each; ``n_bytes`` is the size before."""
+    pairs = []
+    for i in range(12):
+        passage = prose(60, 1000 + i)
+        pairs += [(3 * i, prose(40, 3 * i) + " " + passage), (3 * i + 1, passage + " " + prose(70, 3 * i + 1)), (3 * i + 2, prose(120, 3 * i + 2))]
+    found = {r["doc_id"]: r for r in suffix_dedup.remove_repeats(docs(spark, *pairs)).collect()}
+    for i, text in pairs:
+        least = 0 if i % 3 == 2 else len(prose(60, 1000 + i // 3).encode())
+        assert found[i]["n_bytes"] == len(text) and least <= found[i]["n_removed"] <= (least + 2 if least else 0)
